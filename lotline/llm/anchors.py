@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,65 +33,81 @@ BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20
 SHARD_BYTES = 2 << 20
 DIVERSE = 16
-LOW = U(0xFFF)
-#: Fixed random value of each byte, so that byte grams hash well.
-BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * U(0x2545F4914F6CDD1D))
+LOW = U(0xFFFF)
+#: Windows hashed together: their arrays fit a cache, and the places of their grams fit LOW.
+CHUNK = 1 << 15
+PLACES = np.arange(CHUNK + (1 << 12), dtype=U)
+
+
+class Runs(NamedTuple):
+    """Per run: anchor (48 bits), first window, end of windows, document."""
+
+    anchor: np.ndarray
+    at: np.ndarray
+    to: np.ndarray
+    doc: np.ndarray
 
 
 class Block:
-    """The documents of one block, as one array of units, and the runs of windows of equal anchor."""
+    """The documents of one block, in order of doc_id, as one array of units."""
 
     def __init__(self, pdf: pd.DataFrame, words: bool, length: int, gram: int):
-        pdf = pdf.assign(text=pdf["text"].fillna("")).sort_values(["doc_id", "text"], kind="stable", na_position="first")
-        self.pdf, self.words, self.length = pdf, words, length
+        by = ["doc_id"] if pdf["doc_id"].is_unique else ["doc_id", "text"]
+        pdf = pdf.assign(text=pdf["text"].fillna("")).sort_values(by, kind="stable")
+        self.pdf, self.words, self.length, self.gram = pdf, words, length, gram
         self.raws = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
         sizes = np.fromiter((len(r) + 1 for r in self.raws), np.int64, len(self.raws))
         self.base = np.concatenate(([0], np.cumsum(sizes)))  # a separator byte follows each text
-        self.raw = np.frombuffer(b"\n".join(self.raws) + b"\n", np.uint8)
+        self.data = b"\n".join(self.raws) + b"\n"
+        self.raw = np.frombuffer(self.data, np.uint8)
         if words:
             self.starts, self.ends = word_bounds(self.raw)
-            units = word_hashes(self.raw, self.starts, self.ends)
             self.first = np.searchsorted(self.starts, self.base)  # first unit of each document
-            last = self.first[1:]
+            self.last = self.first[1:]
         else:
-            units = BYTE_VALUES[self.raw]
             self.first = self.base
-            last = self.base[1:] - 1  # the separator belongs to no window
-        self.n_units = last - self.first[:-1]
-        self.runs = self._runs(units, last, gram)
+            self.last = self.base[1:] - 1  # the separator belongs to no window
+        self.n_units = self.last - self.first[:-1]
 
-    def _runs(self, units: np.ndarray, last: np.ndarray, gram: int) -> tuple[np.ndarray, ...]:
-        """Per run: anchor (52 bits), first window, end of windows, hash of the two ends, document, anchor twice."""
-        none = np.zeros(0, np.int64)
+    def lows(self) -> np.ndarray:
+        """The least key of each window: 48 bits of a gram's hash, then its place in the chunk of windows."""
+        wide = self.length - self.gram + 1
+        units = word_hashes(self.raw, self.starts, self.ends) if self.words else self.raw
         n = len(units) - self.length + 1
-        if n <= 0:
-            return none.astype(U), none, none, none.astype(U), none, none.astype(bool)
-        grams = gram_hashes(units, gram)
-        low = sliding_min((grams & ~LOW) | (np.arange(len(grams), dtype=U) & LOW), self.length - gram + 1)
-        doc = np.searchsorted(self.first[1:], np.arange(n), "right")
-        good = np.arange(n) + self.length <= last[np.minimum(doc, len(last) - 1)]
-        cut = np.concatenate(([True], (low[1:] != low[:-1]) | (good[1:] != good[:-1]) | (doc[1:] != doc[:-1])))
+        out = np.empty(max(n, 0), U)
+        for c in range(0, n, CHUNK):
+            m = min(CHUNK, n - c)
+            part = units[c : c + m + self.length - 1]
+            g = gram_hashes(part if self.words else part.astype(U), self.gram)
+            g &= ~LOW
+            g |= PLACES[: len(g)]
+            out[c : c + m] = sliding_min(g, wide)
+        return out
+
+    def runs(self) -> Runs:
+        """The runs of windows of one document and chunk that share their least key; no two windows of a run are equal."""
+        low = self.lows()
+        n = len(low)
+        begin, end = self.first[:-1], np.minimum(self.last - self.length + 1, n)
+        real = end > begin
+        begin, end = begin[real], end[real]
+        cut = np.zeros(n + 1, bool)
+        cut[1:n] = low[1:] != low[:-1]
+        cut[::CHUNK] = True
+        cut[begin] = cut[end] = True
         at = np.flatnonzero(cut)
-        to = np.concatenate((at[1:], [n]))
-        keep = good[at]
-        at, to = at[keep], to[keep]
-        tail = np.minimum(to - 1 + self.length - gram, len(grams) - 1)
-        anchor = low[at] >> U(12)
-        # Places of grams are known modulo 4096. Where a run stands across such a border, it may have its
-        # anchor twice, and so two equal windows, which elsewhere always fall into two runs.
-        twice = at // 4096 != tail // 4096
-        for r in np.flatnonzero(twice):
-            twice[r] = np.count_nonzero(grams[at[r] : tail[r] + 1] >> U(12) == anchor[r]) > 1
-        return anchor, at, to, grams[at] * U(3) + grams[tail] + (to - at).astype(U), doc[at], twice
+        to = np.append(at[1:], n)
+        doc = np.searchsorted(begin, at, "right") - 1
+        keep = (doc >= 0) & (at < end[np.maximum(doc, 0)]) if len(begin) else np.zeros(len(at), bool)
+        at, to, doc = at[keep], to[keep], np.flatnonzero(real)[doc[keep]]
+        return Runs(low[at] >> U(16), at, to, doc)
 
     def content(self, at: int, to: int) -> bytes:
         """Units of windows at..to-1, words joined by one space."""
         stop = to - 1 + self.length
         if not self.words:
-            return self.raw[at:stop].tobytes()
-        s, e = self.starts, self.ends
-        raw = self.raw
-        return b" ".join([raw[s[i] : e[i]].tobytes() for i in range(at, stop)])
+            return self.data[at:stop]
+        return b" ".join(self.data[self.starts[at] : self.ends[stop - 1]].split())  # splits at the same bytes as word_bounds
 
 
 def packed(hashes: np.ndarray) -> bytes:
@@ -118,7 +135,7 @@ def settle(
     length: int,
     gram: int,
     solve: Callable[[list[bytes], np.ndarray, np.ndarray], list[bytes | None]],
-    apply: Callable[[Block, Iterator[tuple[np.ndarray, np.ndarray, bytes]]], pd.DataFrame],
+    apply: Callable[[Block | None, Iterator[tuple[int, bytes]]], pd.DataFrame],
     schema: str,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -126,26 +143,28 @@ def settle(
 
     solve(contents, counts, least): for the distinct segments of a shard, with how often each occurs
     and the least doc_id it occurs in, the answer for each segment (None: nothing to say).
-    apply(block, answers): the rows of a block; answers yields (first windows, ends, answer) for the
-    occurrences of each answered segment. Columns named in carry reach apply as strings, carry_0 on.
+    apply(block, answers): the rows of a block; answers yields (first window, answer) of each place of
+    an answered segment. Columns named in carry reach apply as strings, carry_0 on.
     """
     n = sizes(docs)
     blocked = in_blocks(docs, n["blocks"], carry)
     keyed = blocked.groupBy("block")
 
     def anchors(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        h, _, _, sig, _, twice = Block(pdf, words, length, gram).runs
-        order = np.argsort(h, kind="stable")
-        uniq, first, count = np.unique(h[order], return_index=True, return_counts=True)
-        flags = ((count > 1) | np.isin(uniq, h[twice])).astype(U)
+        block = Block(pdf, words, length, gram)
+        h, at, to, _ = block.runs()
+        uniq, count = np.unique(h, return_counts=True)
+        flags = (count > 1).astype(U)
         for k in np.flatnonzero(count > DIVERSE):
-            if len(np.unique(sig[order[first[k] : first[k] + count[k]]])) > DIVERSE:
+            if len({block.content(at[r], to[r]) for r in np.flatnonzero(h == uniq[k])}) > DIVERSE:
                 flags[k] |= U(2)
-        bucket = (uniq * U(n["buckets"])) >> U(52) if n["buckets"] < 1 << 12 else mix(uniq) % U(n["buckets"])
+        bucket = (uniq * U(n["buckets"])) >> U(48) if n["buckets"] < 1 << 12 else mix(uniq) % U(n["buckets"])
         value = (uniq << U(2)) | flags
-        by = np.argsort(bucket, kind="stable")
-        b, start = np.unique(bucket[by], return_index=True)
-        return pd.DataFrame({"bucket": b.astype(np.int64), "block": np.int32(key[0]), "hashes": [packed(x) for x in np.split(value[by], start[1:])] if len(b) else []})
+        if n["buckets"] >= 1 << 12:
+            by = np.argsort(bucket, kind="stable")
+            bucket, value = bucket[by], value[by]
+        start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, int)
+        return pd.DataFrame({"bucket": bucket[start].astype(np.int64), "block": np.int32(key[0]), "hashes": [packed(x) for x in np.split(value, start[1:])] if len(start) else []})
 
     def shared(key, pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(x) for x in pdf["hashes"]]
@@ -166,49 +185,47 @@ def settle(
         return pdf.loc[[len(x) > 0 for x in out], ["block", "hashes"]]
 
     def segments(key, pdf: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
-        cols = ["shard", "block", "run", "seg", "n", "least"]
+        cols = ["shard", "block", "seg", "places", "least"]
         if not len(pdf) or not len(answer):
             return pd.DataFrame({c: [] for c in cols})
         block = Block(pdf, words, length, gram)
         ids = block.pdf["doc_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-        h, at, to, _, doc, _ = block.runs
+        h, at, to, doc = block.runs()
         known = np.sort(np.concatenate([unpacked(x) for x in answer["hashes"]]))
         where = np.minimum(np.searchsorted(known >> U(2), h), len(known) - 1)
         hit = known[where] >> U(2) == h
         alone = hit & ((known[where] & U(2)) > 0)
-        seen: dict[bytes, list] = {}
-        for r in np.flatnonzero(hit):
-            for a, b in zip(range(at[r], to[r]), range(at[r] + 1, to[r] + 1)) if alone[r] else ((at[r], to[r]),):
+        seen: dict[bytes, tuple[int, list[int], int]] = {}
+        for r in np.flatnonzero(hit).tolist():
+            for a, b in ((x, x + 1) for x in range(at[r], to[r])) if alone[r] else ((at[r], to[r]),):
                 c = block.content(a, b)
                 row = seen.get(c)
-                if row is None:
-                    shard = hash_bytes(c) % n["shards"] if alone[r] else int(h[r]) % n["shards"]
-                    seen[c] = [shard, key[0], int(a), c, 1, int(ids[doc[r]])]
+                if row is None:  # documents come in order of doc_id: the first is the least
+                    seen[c] = ((hash_bytes(c) if alone[r] else int(h[r])) % n["shards"], [int(a)], int(ids[doc[r]]))
                 else:
-                    row[4] += 1
-                    row[5] = min(row[5], int(ids[doc[r]]))
-        return pd.DataFrame(list(seen.values()), columns=cols)
+                    row[1].append(int(a))
+        return pd.DataFrame([(s, key[0], c, np.array(p, "<i4").tobytes(), x) for c, (s, p, x) in seen.items()], columns=cols)
 
     def shards(key, pdf: pd.DataFrame) -> pd.DataFrame:
         codes, segs = pd.factorize(pdf["seg"])
-        counts = np.bincount(codes, pdf["n"], len(segs)).astype(np.int64)
+        counts = np.bincount(codes, pdf["places"].str.len() // 4, len(segs)).astype(np.int64)
         least = np.full(len(segs), np.iinfo(np.int64).max)
         np.minimum.at(least, codes, pdf["least"].to_numpy(np.int64))
         answers = solve(list(segs), counts, least)
         said = [answers[c] for c in codes]
         ok = np.fromiter((x is not None for x in said), bool, len(said))
-        return pd.DataFrame({"block": pdf["block"][ok], "run": pdf["run"][ok], "size": [len(s) for s in pdf["seg"][ok]], "answer": [x for x in said if x is not None]})
+        return pd.DataFrame({"block": pdf["block"][ok], "places": pdf["places"][ok], "answer": [x for x in said if x is not None]})
 
     def spans(key, pdf: pd.DataFrame, answer: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return apply(None, iter(()))
-        block = Block(pdf, words, length, gram)
-        return apply(block, _occurrences(block, answer))
+        found = ((a, x) for p, x in zip(answer["places"], answer["answer"]) for a in np.frombuffer(p, "<i4").tolist())
+        return apply(Block(pdf, words, length, gram), found)
 
     anchor_rows = keyed.applyInPandas(anchors, "bucket long, block int, hashes binary")
     shared_rows = anchor_rows.groupBy("bucket").applyInPandas(shared, "block int, hashes binary")
-    seg_rows = keyed.cogroup(shared_rows.groupBy("block")).applyInPandas(segments, "shard long, block int, run long, seg binary, n long, least long")
-    answer_rows = seg_rows.groupBy("shard").applyInPandas(shards, "block int, run long, size long, answer binary")
+    seg_rows = keyed.cogroup(shared_rows.groupBy("block")).applyInPandas(segments, "shard long, block int, seg binary, places binary, least long")
+    answer_rows = seg_rows.groupBy("shard").applyInPandas(shards, "block int, places binary, answer binary")
     return keyed.cogroup(answer_rows.groupBy("block")).applyInPandas(spans, schema)
 
 
@@ -216,35 +233,3 @@ def hash_bytes(data: bytes) -> int:
     import xxhash
 
     return xxhash.xxh3_64_intdigest(data)
-
-
-def _occurrences(block: Block, answer: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:
-    """For each answered segment, all its places in the block (the answer names only the first)."""
-    h, at, to, *_ = block.runs
-    if not len(answer):
-        return
-    run = answer["run"].to_numpy(np.int64)
-    order = np.argsort(run, kind="stable")
-    run, said, size = run[order], answer["answer"].to_numpy()[order], answer["size"].to_numpy()[order]
-    own = np.searchsorted(at, run, "right") - 1
-    whole: dict[bytes, bytes] = {}
-    single: dict[bytes, bytes] = {}
-    heads = set()
-    for r, o, a, z in zip(run, own, said, size):
-        c = block.content(r, to[o])
-        if at[o] == r and len(c) == z:
-            whole[c] = a
-        c = block.content(r, r + 1)
-        if len(c) == z:
-            single[c] = a
-        heads.add(int(h[o]))
-    lists = np.isin(h, np.fromiter(heads, U, len(heads)))
-    for r in np.flatnonzero(lists):
-        c = block.content(at[r], to[r])
-        if c in whole:
-            yield at[r], to[r], whole[c]
-        elif single:
-            for a in range(at[r], to[r]):
-                c = block.content(a, a + 1)
-                if c in single:
-                    yield a, a + 1, single[c]

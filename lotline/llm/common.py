@@ -47,12 +47,12 @@ def is_held_out(doc_id) -> bool:
 
 
 def mix(h: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
-    h = h ^ (h >> U(33))
-    h = h * U(MIX1)
-    h ^= h >> U(33)
+    """A 64-bit finaliser, in place: high and low bits of the input reach every output bit."""
+    h ^= h >> U(32)
+    h *= U(MIX1)
+    h ^= h >> U(29)
     h *= U(MIX2)
-    h ^= h >> U(33)
+    h ^= h >> U(32)
     return h
 
 
@@ -78,17 +78,20 @@ def gram_hashes(units: np.ndarray, m: int) -> np.ndarray:
         return np.zeros(0, U)
     sums = np.zeros(len(units) + 1, U)
     np.cumsum(units * powers(MUL, len(units)), out=sums[1:])
-    return mix((sums[m:] - sums[:-m]) * powers(INV, n))
+    out = sums[m:] - sums[:-m]
+    out *= powers(INV, n)
+    return mix(out)
 
 
 def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of bytes other than 0x20 and 0x09-0x0D (safe in UTF-8)."""
-    word = (raw != 32) & ((raw < 9) | (raw > 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], word.view(np.int8), [0]))))
+    word = np.zeros(len(raw) + 2, bool)
+    word[1:-1] = (raw != 32) & ((raw - np.uint8(9)) > 4)  # below 9 wraps round to above 4
+    edge = np.flatnonzero(word[1:] != word[:-1])
     return edge[::2], edge[1::2]
 
 
-def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 16) -> np.ndarray:
     """A 64-bit hash of each word; the bytes are taken about `step` at a time to bound memory."""
     out = np.empty(len(starts), U)
     at = 0

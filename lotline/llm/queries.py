@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from lotline.llm.bpe import op8_bpe
+from lotline.llm.langid import op9_langid
 from lotline.llm.substring_dedup import op1_substring_dedup
 from lotline.llm.suffix_dedup import op5_suffix_dedup
+from lotline.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op8_bpe": op8_bpe,
+    "op9_langid": op9_langid,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -137,8 +137,8 @@ def apply(length: int, n_carry: int):
             return pd.DataFrame({c: [] for c in names})
         ids = block.pdf["doc_id"].fillna(NO_DOC).to_numpy(np.int64)
         hits = []
-        for at, to, answer in answers:
-            first = np.frombuffer(answer, "<i8")[: to - at]
+        for at, answer in answers:
+            first = np.frombuffer(answer, "<i8")
             doc = np.searchsorted(block.first, at, "right") - 1
             while block.n_units[doc] == 0 or block.first[doc] + block.n_units[doc] <= at:
                 doc += 1
@@ -149,8 +149,8 @@ def apply(length: int, n_carry: int):
             a = int(block.first[d])
             b = a + int(block.n_units[d])
             mask = gone[a:b]
-            s, e = (block.starts[a:b] - block.base[d]).tolist(), (block.ends[a:b] - block.base[d]).tolist()
-            kept = b" ".join([raw[s[i] : e[i]] for i in np.flatnonzero(~mask).tolist()])
+            s, e = block.starts[a:b] - block.base[d], block.ends[a:b] - block.base[d]
+            kept = b" ".join([b" ".join(raw[s[x] : e[y - 1]].split()) for x, y in runs_of(~mask)])
             rows.append((b - a, int(mask.sum()), kept.decode("utf-8", "surrogatepass"), [{"start": x, "stop": y} for x, y in runs_of(mask)]))
         out = pd.DataFrame(rows, columns=names[1:5])
         out.insert(0, "doc_id", block.pdf["doc_id"].to_numpy())

@@ -1,8 +1,8 @@
 """Operator 5: byte-level dedup by maximal repeats of an enhanced suffix array.
 
 Candidate segments come from `anchors.settle`. Each shard sorts the suffixes of its distinct
-segments (a segment that occurs twice or more is entered twice), takes the longest common prefixes
-of neighbours from the ranks, and scans them with a stack for common-prefix intervals. Intervals of
+segments (a segment that occurs twice or more is entered twice) at which a maximal repeat can begin,
+takes the longest common prefixes of neighbours, and scans them with a stack for common-prefix intervals. Intervals of
 at least the threshold whose occurrences have two or more different left neighbours are the maximal
 repeats; each is a group with all its occurrences, and together they cover every repeated window.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import anchors
-from lotline.llm.common import U, table
+from lotline.llm.common import U, gram_hashes, table
 from lotline.llm.substring_dedup import covered, runs_of
 
 LENGTH = 200
@@ -23,79 +23,62 @@ GRAM = 32
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,stop:long>>"
 
 
-def suffix_array(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffix order of all texts (each ended by a symbol of its own), neighbours' common prefixes, text starts."""
-    lens = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    starts = np.concatenate(([0], np.cumsum(lens)))
-    symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
-    ends = starts[1:] - 1
-    symbols[ends] = 257 + np.arange(len(texts))
-    n = len(symbols)
-    bits = int(257 + len(texts)).bit_length()
-    levels = [(1, symbols.astype(np.int32))]
-    step = 1
-    while True:
-        k, rank = levels[-1]
-        join = max(2, 62 // bits) if step == 1 else 2
-        key = rank.astype(U)
-        for j in range(1, join):
-            shifted = np.zeros(n, U)
-            if j * k < n:
-                shifted[: n - j * k] = rank[j * k :]
-            key = (key << U(bits)) | shifted
-        order = np.argsort(key, kind="stable")
-        changed = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
-        rank = np.empty(n, np.int32)
-        rank[order] = changed + 1
-        levels.append((k * join, rank))
-        if changed[-1] == n - 1:
-            break
-        bits, step = int(n + 1).bit_length(), 2
-    lcp = np.zeros(n, np.int64)
-    a, b = order[:-1].copy(), order[1:].copy()
-    for i in range(len(levels) - 2, -1, -1):
-        k, rank = levels[i]
-        below = levels[i - 1][0] if i else 0
-        for _ in range(max(1, levels[i + 1][0] // k - 1)):
-            ok = (a < n) & (b < n)
-            same = np.zeros(len(a), bool)
-            same[ok] = rank[a[ok]] == rank[b[ok]]
-            a[same] += k
-            b[same] += k
-    lcp[1:] = a - order[:-1]
-    return order, lcp, starts
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts, a zero byte after each, other bytes raised by one (UTF-8 has no 0xFF); starts of the texts."""
+    starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+    raw = np.frombuffer(b"\xff".join(texts) + b"\xff", np.uint8) + np.uint8(1)
+    return raw, starts
+
+
+def suffix_array(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted suffixes at which a maximal repeat can begin, neighbours' common prefixes, left neighbours.
+
+    A suffix is left out if its first `length` bytes stand nowhere else, or have the same byte to
+    their left wherever they stand: then every repeat that begins there can be extended to the left.
+    """
+    texts = len(starts) - 1
+    ends = np.repeat(starts[1:] - 1, np.diff(starts))
+    window = gram_hashes(raw.astype(U), length)
+    at = np.flatnonzero(np.arange(len(window)) + length <= ends[: len(window)])
+    left = np.empty(len(raw), np.int64)
+    left[1:] = raw[:-1]
+    left[starts[:-1]] = 256 + np.arange(texts)  # nothing stands to the left: differs from all
+    order = np.argsort(window[at], kind="stable")
+    at = at[order]
+    h = window[at]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+    if len(first):
+        low, high = np.minimum.reduceat(left[at], first), np.maximum.reduceat(left[at], first)
+        at = np.sort(at[np.repeat(low != high, np.diff(np.append(first, len(h))))])
+    if not len(at):
+        return at, at, at
+    width = int((ends[at] - at).max())
+    padded = np.concatenate((raw, np.zeros(width, np.uint8)))
+    rows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, width)[at])
+    rows[np.arange(width)[None, :] >= (ends[at] - at)[:, None]] = 0
+    order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
+    rows, at = rows[order], at[order]
+    same = (rows[1:] == rows[:-1]) & (rows[1:] > 0)
+    lcp = np.concatenate(([0], np.where(same.all(axis=1), width, np.argmin(same, axis=1))))
+    return at, lcp, left[at]
 
 
 def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarray]]:
     """(length, starts in the joined texts) of every maximal repeat of at least `length` bytes."""
-    order, lcp, starts = suffix_array(texts)
-    n = len(order)
-    joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64)
-    left = np.empty(n, np.int64)
-    left[1:] = joined[:-1]
-    left[starts[:-1]] = 256 + np.arange(len(texts))  # nothing stands to the left: differs from all
-    left = left[order]
-    high = lcp >= length
-    edge = np.flatnonzero(np.diff(np.concatenate((high.view(np.int8), [0]))))
-    begins = np.flatnonzero(high & ~np.concatenate(([False], high[:-1]))) - 1
-    stops = edge[high[edge]] + 1 if len(edge) else edge
-    if not len(begins):
+    order, lcp, left = suffix_array(*joined(texts), length)
+    if not len(order):
         return []
     differs = np.concatenate(([0], np.cumsum(left[1:] != left[:-1])))
     out = []
-    for lo, hi in zip(begins.tolist(), stops.tolist()):
-        if differs[hi - 1] == differs[lo]:
-            continue  # one left neighbour only: every interval inside is extended to the left elsewhere
-        stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of the open intervals
-        heights = lcp[lo + 1 : hi].tolist()
-        for i, h in enumerate([*heights, 0]):
-            first = lo + i
-            while stack and stack[-1][0] > h:
-                size, first = stack.pop()
-                if differs[lo + i] != differs[first]:
-                    out.append((size, order[first : lo + i + 1]))
-            if h and (not stack or stack[-1][0] < h):
-                stack.append((h, first))
+    stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of the open intervals
+    for i, h in enumerate([*np.where(lcp >= length, lcp, 0)[1:].tolist(), 0]):
+        first = i
+        while stack and stack[-1][0] > h:
+            size, first = stack.pop()
+            if differs[i] != differs[first]:
+                out.append((size, order[first : i + 1]))
+        if h and (not stack or stack[-1][0] < h):
+            stack.append((h, first))
     return out
 
 
@@ -124,7 +107,7 @@ def apply(length: int, n_carry: int):
     def spans(block: anchors.Block | None, answers) -> pd.DataFrame:
         if block is None:
             return pd.DataFrame({c: [] for c in names})
-        hits = [at + np.flatnonzero(np.unpackbits(np.frombuffer(answer, np.uint8), count=to - at)) for at, to, answer in answers]
+        hits = [at + np.flatnonzero(np.unpackbits(np.frombuffer(answer, np.uint8))) for at, answer in answers]
         gone = covered(np.concatenate(hits) if hits else np.zeros(0, np.int64), length, len(block.raw))
         rows = []
         for d, raw in enumerate(block.raws):
