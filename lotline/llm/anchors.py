@@ -3,7 +3,8 @@
 Documents are dealt into small blocks by a hash of doc_id. Each window of L units (words or bytes)
 has an anchor: the least hash among its m-unit grams. Equal windows have equal anchors, so:
 
-1. every block sends its distinct anchors, packed by hash range ("bucket");
+1. every block sends its distinct anchors, packed by hash range ("bucket"), each with how many
+   segments it stands in;
 2. each bucket finds anchors that occur twice or more anywhere, and answers the blocks;
 3. blocks cut out the runs of windows with such an anchor ("segments"), each distinct segment
    once, and send them to the anchor's shard;
@@ -11,9 +12,9 @@ has an anchor: the least hash among its m-unit grams. Equal windows have equal a
 5. blocks turn the answers into spans of their documents.
 
 A hot passage sends one row per block, not per document, in every step, so that no step gathers a
-group that grows with its number of copies. An anchor that stands in many different surroundings
-(a license line, say) is marked "diverse" by any block that sees it; its windows travel one by
-one, dealt by the hash of the whole window, so that one frequent gram does not fill one shard.
+group that grows with its number of copies. An anchor that stands in very many different segments
+(a license line, say) is marked by its bucket; its windows travel one by one, dealt by the hash of
+the whole window, so that one frequent gram does not fill one shard.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from lotline.llm.common import U, gram_hashes, mix, sliding_min, word_bounds, wo
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20
 SHARD_BYTES = 2 << 20
-DIVERSE = 16
+#: An anchor with more different segments than this, over all blocks, is split up by window.
+DIVERSE = 20_000
 LOW = U(0xFFFF)
 #: Windows hashed together: their arrays fit a cache, and the places of their grams fit LOW.
 CHUNK = 1 << 15
@@ -154,12 +156,10 @@ def settle(
         block = Block(pdf, words, length, gram)
         h, at, to, _ = block.runs()
         uniq, count = np.unique(h, return_counts=True)
-        flags = (count > 1).astype(U)
-        for k in np.flatnonzero(count > DIVERSE):
-            if len({block.content(at[r], to[r]) for r in np.flatnonzero(h == uniq[k])}) > DIVERSE:
-                flags[k] |= U(2)
+        for k in np.flatnonzero(count > 16):
+            count[k] = max(2, len({block.content(at[r], to[r]) for r in np.flatnonzero(h == uniq[k])}))
         bucket = (uniq * U(n["buckets"])) >> U(48) if n["buckets"] < 1 << 12 else mix(uniq) % U(n["buckets"])
-        value = (uniq << U(2)) | flags
+        value = (uniq << U(8)) | np.minimum(count, 255).astype(U)
         if n["buckets"] >= 1 << 12:
             by = np.argsort(bucket, kind="stable")
             bucket, value = bucket[by], value[by]
@@ -169,18 +169,17 @@ def settle(
     def shared(key, pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(x) for x in pdf["hashes"]]
         every = np.sort(np.concatenate(parts))
-        h = every >> U(2)
+        h = every >> U(8)
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        flags = np.bitwise_or.reduceat(every & U(3), first)
-        count = np.diff(np.concatenate((first, [len(h)])))
-        twice = (count > 1) | ((flags & U(1)) > 0)
-        hot, mark = h[first][twice], flags[twice] & U(2)
+        count = np.add.reduceat((every & U(255)).astype(np.int64), first)
+        hot = h[first][count > 1]
+        mark = (count[count > 1] > DIVERSE).astype(U)
         out = []
         for part in parts:
-            p = part >> U(2)
+            p = part >> U(8)
             at = np.minimum(np.searchsorted(hot, p), max(len(hot) - 1, 0))
             ok = (hot[at] == p) if len(hot) else np.zeros(len(p), bool)
-            out.append(packed((p[ok] << U(2)) | mark[at[ok]]))
+            out.append(packed((p[ok] << U(1)) | mark[at[ok]]))
         pdf = pdf.assign(hashes=out)
         return pdf.loc[[len(x) > 0 for x in out], ["block", "hashes"]]
 
@@ -192,9 +191,9 @@ def settle(
         ids = block.pdf["doc_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
         h, at, to, doc = block.runs()
         known = np.sort(np.concatenate([unpacked(x) for x in answer["hashes"]]))
-        where = np.minimum(np.searchsorted(known >> U(2), h), len(known) - 1)
-        hit = known[where] >> U(2) == h
-        alone = hit & ((known[where] & U(2)) > 0)
+        where = np.minimum(np.searchsorted(known >> U(1), h), len(known) - 1)
+        hit = known[where] >> U(1) == h
+        alone = hit & ((known[where] & U(1)) > 0)
         seen: dict[bytes, tuple[int, list[int], int]] = {}
         for r in np.flatnonzero(hit).tolist():
             for a, b in ((x, x + 1) for x in range(at[r], to[r])) if alone[r] else ((at[r], to[r]),):

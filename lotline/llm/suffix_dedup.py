@@ -20,6 +20,7 @@ from lotline.llm.substring_dedup import covered, runs_of
 
 LENGTH = 200
 GRAM = 32
+CHUNK = 1 << 16
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,stop:long>>"
 
 
@@ -37,19 +38,22 @@ def suffix_array(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.n
     their left wherever they stand: then every repeat that begins there can be extended to the left.
     """
     texts = len(starts) - 1
-    ends = np.repeat(starts[1:] - 1, np.diff(starts))
-    window = gram_hashes(raw.astype(U), length)
-    at = np.flatnonzero(np.arange(len(window)) + length <= ends[: len(window)])
-    left = np.empty(len(raw), np.int64)
+    ends = np.repeat((starts[1:] - 1).astype(np.int32), np.diff(starts))
+    n = len(raw) - length + 1
+    window = np.concatenate([gram_hashes(raw[c : min(c + CHUNK, n) + length - 1].astype(U), length) for c in range(0, n, CHUNK)] or [np.zeros(0, U)])
+    at = np.flatnonzero(np.arange(len(window), dtype=np.int32) + length <= ends[: len(window)]).astype(np.int32)
+    left = np.empty(len(raw), np.int32)
     left[1:] = raw[:-1]
     left[starts[:-1]] = 256 + np.arange(texts)  # nothing stands to the left: differs from all
-    order = np.argsort(window[at], kind="stable")
-    at = at[order]
     h = window[at]
+    del window
+    order = np.argsort(h)
+    at, h = at[order], h[order]
+    del order
     first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
     if len(first):
         low, high = np.minimum.reduceat(left[at], first), np.maximum.reduceat(left[at], first)
-        at = np.sort(at[np.repeat(low != high, np.diff(np.append(first, len(h))))])
+        at = np.sort(at[np.repeat(low != high, np.diff(np.append(first, len(h))))]).astype(np.int64)
     if not len(at):
         return at, at, at
     width = int((ends[at] - at).max())
