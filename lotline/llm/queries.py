@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from lotline.llm.bpe import op8_bpe
+from lotline.llm.fingerprint import op3_fingerprints
 from lotline.llm.langid import op9_langid
-from lotline.llm.substring_dedup import op1_substring_dedup
+from lotline.llm.near_dedup import op7_near_dedup
+from lotline.llm.packing import op10_packing
+from lotline.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from lotline.llm.suffix_dedup import op5_suffix_dedup
+from lotline.llm.topk import OP2_SQL, op2_exact_topk
 from lotline.llm.toxicity import op4_toxicity
+from lotline.llm.warc import OP6_SQL, op6_warc
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_warc": op6_warc,
+    "op7_near_dedup": op7_near_dedup,
     "op8_bpe": op8_bpe,
     "op9_langid": op9_langid,
+    "op10_packing": op10_packing,
+}
+ORACLE_SQL = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_exact_topk": OP2_SQL,
+    "op6_warc": OP6_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}

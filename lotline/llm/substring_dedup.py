@@ -178,3 +178,22 @@ def substring_dedup(docs: DataFrame, length: int = WINDOW, carry: tuple[str, ...
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), win as (
+  select doc_id, i, array_to_string(ws[i:i + 12], ' ') as g
+  from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w)
+), f as (
+  select g, min(doc_id) as first from win group by g
+), gone as (
+  select distinct win.doc_id, unnest(range(win.i, win.i + 13)) as p from win join f on win.g = f.g where f.first < win.doc_id
+), lost as (
+  select doc_id, list(p) as ps, count(*) as n from gone group by doc_id
+)
+select w.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(array_to_string(list_filter(ws, lambda x, i: not list_contains(coalesce(ps, []), i)), ' '), '')) as kept_sha256
+from w left join lost on w.doc_id = lost.doc_id
+"""
