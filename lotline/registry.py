@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from lotline.queries import applications
+
 FLAGSHIP = "projects"
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+MODULES = [applications]
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
