@@ -73,6 +73,12 @@ def type_allowed(application_id: Column, codes: list[str]) -> Column:
     return F.substring_index(application_id, "/", 1).isin([c.upper() for c in codes])
 
 
+def target_kind_predicate(kind: str, description: Column) -> Column:
+    """Batch target kinds: duplex without larger words, big_dev, granny, or redev (both multi-dwelling kinds)."""
+    duplex, larger = description.rlike(FILTER_DUPLEX), description.rlike(FILTER_LARGER)
+    return {"duplex": duplex & ~larger, "big_dev": larger | description.rlike("(?i)townhouse"), "granny": description.rlike(FILTER_GRANNY), "redev": duplex | larger | description.rlike("(?i)townhouse")}[kind]
+
+
 def every(*conditions: Column | None) -> Column:
     """Conjunction of the conditions that are given."""
     return reduce(and_, [c for c in conditions if c is not None], F.lit(True))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +36,6 @@ def first_match(text: Column, pattern: str, group: int = 1) -> Column:
 
 def approved_units(description: Column) -> Column:
     """A stated number from 2 to 50, else the number a word stands for; 'multi-unit' alone stays null."""
-    number = F.expr("try_cast(null as int)")
     stated = first_match(description, r"(?i)\b(\d+)\s*x?\s*(?:unit|dwelling|townhouse|apartment|lot)s?\b").try_cast("int")
     number = F.when(stated.between(2, 50), stated)
     words = mapping(WORD_UNITS)
@@ -185,7 +182,7 @@ def split_council_address(raw: Column) -> Column:
 def repair_street_address(raw: Column, street: Column) -> Column:
     """Put back a street number that stands before the street name in the raw address; drop the comma before state and postcode."""
     name = F.trim(F.substring_index(street, ",", 1))
-    number = F.regexp_extract(raw, F.concat(F.lit(r"(?i)(\d+[A-Za-z]?(?:[-/]\d+[A-Za-z]?)?)\s+\Q"), name, F.lit(r"\E")), F.lit(1))
+    number = F.call_function("regexp_extract", raw, F.concat(F.lit(r"(?i)(\d+[A-Za-z]?(?:[-/]\d+[A-Za-z]?)?)\s+\Q"), name, F.lit(r"\E")), F.lit(1))
     fixed = F.when(street.rlike(r"^\s*\d") | (name == "") | F.coalesce(number == "", F.lit(True)), street).otherwise(F.concat(number, F.lit(" "), street))
     return F.regexp_replace(fixed, rf"(?i),\s*({STATES})\s+(\d{{4}})\s*$", " $1 $2")
 
@@ -194,7 +191,3 @@ def street_only(raw: Column) -> Column:
     """The first comma part that begins with a number, else the first part."""
     parts = F.transform(F.split(raw, ","), lambda p: F.trim(p))
     return F.coalesce(F.get(F.filter(parts, lambda p: p.rlike(r"^\d")), F.lit(0)), F.get(parts, F.lit(0)))
-
-
-def longest_first(*columns: Column) -> Column:
-    return reduce(lambda a, b: F.when(F.length(b) > F.length(a), b).otherwise(a), columns)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotline.queries import applications
+from lotline.queries import applications, records
 
 FLAGSHIP = "projects"
-MODULES = [applications]
+MODULES = [applications, records]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
