@@ -8,7 +8,8 @@ agree in a coordinate with the probability of their weighted Jaccard similarity.
 Documents with equal shingle sets are one vertex from the start. Vertices that share a band are
 candidates; each bucket is linked through a pivot, candidates are verified exactly, and only buckets
 that still hold several components are looked at again, so that a large group of copies costs one
-comparison per member, and no link between components is left untested.
+comparison per member. What is left is settled exactly: small buckets pair by pair, large ones by
+chunks of which every two meet in one bounded group. No link between components is left untested.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**32 = 3e-6.
 BANDS, ROWS = 32, 5
-PIVOT_ROUNDS = 8
+#: Looks at buckets of several components through one more pivot each, before the exact rest.
+PIVOT_ROUNDS = 1
+#: Buckets up to this size are settled pair by pair; larger ones chunk by chunk (members, shingles in a chunk).
+SMALL, CHUNK, CHUNK_WEIGHT = 32, 256, 200_000
 #: Probabilities that a cell of area 1 holds at most n darts (Poisson with mean 1).
 AT_MOST = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
 C1, C2, C3 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
@@ -167,6 +171,65 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         now = now.select("rep", "label")
 
 
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, rep, total, label, n, weight: members of the buckets that hold two components or more; n and weight of their bucket."""
+    known = members.select("key", "rep", "total").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    mixed = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("total").alias("weight")).where("lo <> hi")
+    return known.join(mixed.select("key", "n", "weight"), "key")
+
+
+def links_of(part: pd.DataFrame, threshold: float) -> list[tuple[int, int]]:
+    """Links between the components of a few hundred sets: enough of them to join what similar pairs join."""
+    reps, label = part["rep"].tolist(), part["label"].tolist()
+    keys = [np.frombuffer(k, U) for k in part["keys"]]
+    weights = [np.frombuffer(w, "<u4") for w in part["weights"]]
+    doc = np.repeat(np.arange(len(reps)), [len(k) for k in keys])
+    _, token, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    weight = np.concatenate(weights)
+    both = np.zeros((len(reps), len(reps)), np.float32)
+    for level in range(1, int(weight.max(initial=0)) + 1):  # shared weight, one unit of it at a time
+        use = (weight >= level) & (count[token] > 1)
+        _, column = np.unique(token[use], return_inverse=True)
+        own = doc[use]
+        for at in range(0, int(column.max(initial=-1)) + 1, 4096):
+            here = (column >= at) & (column < at + 4096)
+            has = np.zeros((len(reps), 4096), np.float32)
+            has[own[here], column[here] - at] = 1
+            both += has @ has.T
+    total = np.array([int(w.sum()) for w in weights], float)
+    similar = both >= threshold * (total[:, None] + total[None, :] - both)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(similar, 1)))):
+        a, b = find(label[i]), find(label[j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((reps[i], reps[j]))
+    return out
+
+
+def linked_in_chunks(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b: links inside large buckets. A bucket is cut into chunks, and every two chunks meet in a group of bounded size."""
+    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("weight") / CHUNK_WEIGHT)).cast("int")
+    own = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    met = own.select("key", "rep", "label", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select("key", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def run(key, part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(links_of(part, threshold), columns=["a", "b"], dtype="int64")
+
+    return met.join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool = False, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, class_id: the least doc_id of the document's near-duplicate class.
 
@@ -193,32 +256,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool
 
     pivots = sizes.select(F.col("rep").alias("b"), F.col("total").alias("tb"))
     first = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"), F.col("total").alias("ta")).distinct().join(pivots, "b")
-    tested = staged(close(first).distinct(), "pairs")
+    tested = staged(ordered(close(first)), "pairs")
     labels = components(verified(tested, sets, threshold))
-    for turn in range(PIVOT_ROUNDS + 1):
-        known = members.select("key", "rep", "total").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        per = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"), F.count(F.lit(1)).alias("parts"))
-        mixed = per.where("parts > 1").select("key", ((F.col("n") * F.col("n") - F.col("n2")) / 2).alias("open"))
-        open_rows = staged(known.join(mixed, "key"), "open")
-        size = open_rows.agg(F.count(F.lit(1)).alias("n"), F.sum("open").alias("pairs_by_row"), F.count_distinct("key").alias("keys")).first()
-        if not size["n"]:
-            break
-        left = open_rows.select("key", F.col("rep").alias("a"), F.col("total").alias("ta"), F.col("label").alias("la"))
-        total = open_rows.select("key", "open").distinct().agg(F.sum("open")).first()[0]
-        last = total <= 20 * size["n"] or turn == PIVOT_ROUNDS
-        if last:  # few enough to test every pair across components
-            right = open_rows.select("key", F.col("rep").alias("b"), F.col("total").alias("tb"), F.col("label").alias("lb"))
-            pairs = left.join(right, "key").where("la <> lb and a > b")
-        else:  # one more pivot per bucket
-            right = open_rows.groupBy("key").agg(F.max_by(F.struct(F.col("rep").alias("b"), F.col("total").alias("tb"), F.col("label").alias("lb")), F.xxhash64("rep", F.lit(turn))).alias("p")).select("key", "p.*")
-            pairs = left.join(right, "key").where("la <> lb")
-        fresh = close(pairs).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = staged(fresh, "pairs")
-        if not fresh.isEmpty():
-            labels = components(verified(fresh, sets, threshold), labels)
-            tested = staged(tested.unionByName(fresh), "tested")
-        if last:
-            break
+    for turn in range(PIVOT_ROUNDS):
+        rows = open_members(members, labels)
+        pivot = rows.groupBy("key").agg(F.max_by(F.struct(F.col("rep").alias("b"), F.col("total").alias("tb"), F.col("label").alias("lb")), F.xxhash64("rep", F.lit(turn))).alias("p")).select("key", "p.*")
+        pairs = rows.select("key", F.col("rep").alias("a"), F.col("total").alias("ta"), F.col("label").alias("la")).join(pivot, "key").where("la <> lb")
+        fresh = staged(ordered(close(pairs)).join(tested, ["a", "b"], "left_anti"), "pairs")
+        labels = components(verified(fresh, sets, threshold), labels)
+        tested = staged(tested.unionByName(fresh), "tested")
+    rows = staged(open_members(members, labels), "open")
+    small = rows.where(F.col("n") <= SMALL)
+    left, right = (small.select("key", F.col("rep").alias(x), F.col("total").alias(f"t{x}"), F.col("label").alias(f"l{x}")) for x in "ab")
+    fresh = staged(ordered(close(left.join(right, "key").where("la <> lb and a > b"))).join(tested, ["a", "b"], "left_anti"), "pairs")
+    labels = components(verified(fresh, sets, threshold).unionByName(linked_in_chunks(rows.where(F.col("n") > SMALL), sets, threshold)), labels)
     reps = vertices.select(*name, "rep").join(labels, "rep", "left").select(*name, F.coalesce("label", "rep").alias("label"))
     classes = signed.select("doc_id", *name).distinct().join(reps, name).groupBy("doc_id").agg(F.min("label").alias("class_id"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
