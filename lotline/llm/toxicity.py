@@ -1,7 +1,7 @@
 """Operator 4: toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Features are rates within one text: densities of two lexicons (a short fixed list, and words that
-mark toxic texts among the learning rows), their nearness to second-person words, capitals,
+Features are rates within one text: densities of two lexicons (a short fixed list, and words and
+word stems that mark toxic texts among the learning rows), their nearness to second-person words, capitals,
 punctuation, and words that turn into lexicon words once look-alike characters are read as letters.
 Trees are grown on histograms in numpy on the driver, over a bounded sample of labelled rows; a
 quarter of that sample is kept from the trees and fits the monotone map from margin to probability.
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from lotline.llm.common import U, held_out, table, word_bounds, word_hashes
 
-#: Bound of the training sample (rows), and of the learnt lexicon (words).
-SAMPLE_ROWS, LEXICON_WORDS = 20_000, 300
+#: Bound of the training sample (rows), and of the learnt lexicon (words and stems).
+SAMPLE_ROWS, LEXICON_WORDS = 20_000, 600
+#: Lengths in characters of the word stems that the learnt lexicon holds besides whole words.
+STEMS = (3, 4, 5, 6, 7)
 THRESHOLD = 0.3
 NEAR = 6
 INSULTS = "idiot idiots stupid moron morons dumb clown pathetic loser losers trash garbage worthless disgusting ugly hate kill scum fool fools jerk shut crap damn hell bastard bitch shit fuck fucking ass asshole liar creep freak imbecile dumm idiota estupido connard salope imbécile dummkopf arschloch".split()
@@ -72,18 +74,28 @@ class Features:
     weights: list[float] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        h = hashes_of(self.words)
-        order = np.argsort(h)
-        self.keys, self.values = h[order], np.array(self.weights, float)[order]
+        """words: whole words, and stems with a closing '*'."""
         self.fixed, self.person = np.sort(hashes_of(INSULTS)), np.sort(hashes_of(SECOND_PERSON))
+        groups: dict[int, list[tuple[str, float]]] = {}
+        for w, v in zip(self.words, self.weights):
+            stem = w.removesuffix("*")
+            groups.setdefault(len(stem.encode()) if w != stem else 0, []).append((stem, v))
+        self.groups = {}
+        for size, entries in groups.items():
+            h = hashes_of([w for w, _ in entries])
+            order = np.argsort(h)
+            self.groups[size] = h[order], np.array([v for _, v in entries])[order]
 
     def lexicon(self, raw: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Word starts, hashes, whether in the fixed list, greatest learnt weight of the word or one of its stems."""
         s, e = word_bounds(raw)
         h = word_hashes(raw, s, e)
         value = np.zeros(len(h))
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            value = np.where(self.keys[at] == h, self.values[at], 0.0)
+        for size, (keys, weights) in self.groups.items():
+            fit = np.flatnonzero(e - s >= size)
+            own = word_hashes(raw, s[fit], s[fit] + size) if size else h
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            value[fit] = np.maximum(value[fit], np.where(keys[at] == own, weights[at], 0.0))
         return s, h, np.isin(h, self.fixed), value
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
@@ -249,16 +261,26 @@ def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def learnt_lexicon(rows: DataFrame) -> tuple[list[str], list[float]]:
-    """Words seen clearly more often in toxic learning texts, with their log odds."""
-    words = rows.where("pmod(xxhash64(doc_id), 4) <> 0").select("toxic", F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}']+"))).alias("word"))
-    counts = words.where("word <> ''").groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
+    """Words, and stems marked by '*', that stand clearly more often in toxic learning texts, with their log odds."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^\\p{L}']+"))
+    stems = [F.array_distinct(F.transform(_longer(words, n), _stem(n))) for n in STEMS]
+    seen = rows.where("pmod(xxhash64(doc_id), 4) <> 0").select("toxic", F.explode(F.concat(words, *stems)).alias("word"))
+    counts = seen.where("word <> ''").groupBy("word").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
     total = rows.agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n")).first()
     bad, n = total["bad"] or 0, total["n"] or 0
     odds = F.log((F.col("bad") + 0.5) / (bad + 1.0)) - F.log((F.col("n") - F.col("bad") + 0.5) / (n - bad + 1.0))
-    good = counts.where(F.col("bad") >= max(5, bad // 50)).withColumn("odds", odds).where("odds > 1.0").orderBy(F.desc("odds"), "word").limit(LEXICON_WORDS).collect()
+    good = counts.where(F.col("bad") >= max(5, bad // 100)).withColumn("odds", odds).where("odds > 2.5").orderBy(F.desc(F.col("odds") * F.log("bad")), "word").limit(LEXICON_WORDS).collect()
     return [r["word"] for r in good], [r["odds"] for r in good]
 
 
+def _longer(words, n: int):
+    return F.filter(words, lambda w: F.length(w) > n)
+
+
+def _stem(n: int):
+    return lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*"))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     """Learn from the bounded sample; None unless it has both labels."""
     rows = learning_rows(docs, labels)
