@@ -19,6 +19,8 @@ from lotline.llm.common import table
 EQUAL, SIGN = 16, 128
 #: The most ranges that ids are dealt into to find each document's neighbour; only ids go there.
 RANGES = 256
+#: Stands for a null doc_id.
+NO_ID = -(1 << 63)
 
 
 def let(value: Column, body) -> Column:
@@ -110,16 +112,18 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     counts as empty, a null doc_id as the smallest. Rows of one doc_id share their next document; of
     several rows with the next id, the least text is taken. A single document is its own next one.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    order = neighbours(base)
-    # Keyed by the next document: its text is cut to what the edit takes before it travels.
-    sent = base.select(F.col("key").alias("next"), "text").join(order, "next")
-    sent = sent.select("key", "half", F.expr("substring(text, 1, cast(half as int))").alias("piece"), lanes(pieces(F.col("text"))).alias("next_f"))
-    sent = sent.groupBy("key", "half").agg(F.min(F.struct("piece", "next_f")).alias("s"))
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    order = neighbours(base).withColumnRenamed("key", "target")
+    # Keyed by the next document: its text is cut to what the edit takes before it travels. Both joins read
+    # the texts by key, so that they share one exchange.
+    sent = base.join(order, base["key"] == order["next"])
+    sent = sent.select("target", "half", F.expr("substring(text, 1, cast(half as int))").alias("piece"), lanes(pieces(F.col("text"))).alias("next_f"))
+    sent = sent.groupBy("target", "half").agg(F.min(F.struct("piece", "next_f")).alias("s"))
     n = F.length("text")
-    joined = base.withColumn("half", F.floor(n / 2)).join(sent, ["key", "half"])
+    joined = base.join(sent, F.col("key") == F.col("target")).where(F.col("half") - F.floor(n / 2) == 0)
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - half as int))"), F.col("s.piece"))
-    out = joined.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), lanes(pieces(F.col("text"))).alias("f"), F.col("s.next_f").alias("next_f"))
+    own_id = F.when(F.col("key") != NO_ID, F.col("key"))
+    out = joined.select(own_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), lanes(pieces(F.col("text"))).alias("f"), F.col("s.next_f").alias("next_f"))
     out = out.withColumn("edited_f", lanes(pieces(F.col("edited"))))
     return out.select("doc_id", "n_chars", "edited", as_text(F.col("f")).alias("fingerprint"), as_text(F.col("edited_f")).alias("edited_fingerprint"), likeness(F.col("f"), F.col("edited_f")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"))
 
