@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotline.functions import parties as N
 from lotline.functions.classify import dwelling_count
 from lotline.operators.writes import copy_missing, insert_ignore
 from lotline.plans import companies as Co
@@ -101,10 +102,24 @@ def first_of_customer(spark: SparkSession, d: str) -> DataFrame:
     return insert_ignore(o.where("o_custkey % 5 = 0 and o_orderkey % 2 = 0"), o, ["o_custkey"], ["o_orderkey"])
 
 
-QUERIES = {f.__name__: f for f in (pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
+def letter_parties(spark: SparkSession, d: str) -> DataFrame:
+    """Recipients of letters made from supplier names: parties, agent and entity type."""
+    i = F.col("id")
+    who = F.when(i % 3 == 0, F.concat(F.col("display_name"), F.lit(" and Jane Smith"))).when(i % 3 == 1, F.concat(F.lit("Mark & Skye Rustin"), i.cast("string"))).otherwise(F.col("display_name"))
+    text = F.concat(F.lit("Our reference: X\n\n"), who, F.lit("\nC/- Agent "), i.cast("string"), F.lit("\n1 A Street\n\nDear Sir\n"))
+    rows = one(spark, d, "companies").select("id", N.recipient(text).alias("r"))
+    return rows.select("id", F.col("r.agent").alias("agent"), F.explode(N.split_parties(F.col("r.name"))).alias("party")).withColumn("entity_type", N.entity_type(F.col("party")))
+
+
+def developer_codenames(spark: SparkSession, d: str) -> DataFrame:
+    return one(spark, d, "companies").select("id", N.codename(N.applicant_seed(F.col("acn"), F.col("display_name"))).alias("codename"))
+
+
+QUERIES = {f.__name__: f for f in (letter_parties, developer_codenames, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
 
 STREET_SQL = "regexp_replace(split_part(display_address, ',', 1), '^[0-9]+/', '')"
 ORACLE_SQL = {
+    "letter_parties": twin("with l as (select id, 'Agent ' || id as agent, unnest(case id % 3 when 0 then [display_name, 'Jane Smith'] when 1 then ['Mark Rustin' || id, 'Skye Rustin' || id] else [display_name] end) as party from companies) select *, case when lower(party) like '%ltd%' or lower(party) like '%limited%' then 'company' else 'individual' end as entity_type from l", "companies"),
     "pending_summaries": twin("select a.id, coalesce(n, 0) as n_done from applications a left join (select application_id, count(*) as n from doc_summaries where doc_position in ('first', 'last') group by 1) s on s.application_id = a.id where coalesce(n, 0) < 2", "applications", "doc_summaries"),
     "coverage": twin(f"with d as (select distinct {STREET_SQL} as s from domain_properties where unit_number = ''), r as (select distinct {STREET_SQL} as s from realestate_properties where unit_number = '') select street_address, case when d.s is not null and r.s is not null then 'both' when d.s is not null then 'first' when r.s is not null then 'second' else 'none' end as coverage from (select distinct street_address from applications) a left join d on d.s = street_address left join r on r.s = street_address", "applications", "domain_properties", "realestate_properties"),
     "scrape_targets": twin(f"select id, street_address from applications where id % 9 in (0, 2, 4, 6, 7) and description is not null and street_address not in (select {STREET_SQL} from domain_properties where unit_number = '')", "applications", "domain_properties"),

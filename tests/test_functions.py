@@ -79,3 +79,31 @@ def test_links(spark):
     assert values(spark, U.classify_url(F.col("x")), links) == ["rea_pdp", "domain_listing", None]
     assert values(spark, U.slug_matches(F.col("x"), F.lit("2 Oak Street"), F.lit("Palm Beach")), links) == [False, True, True]
     assert values(spark, U.clean_url(F.col("x")), ["https://a.com/b?x=1#y)", "https://www.realestate.com.au/property/a-b"]) == ["https://a.com/b", "https://www.realestate.com.au/property/a-b/"]
+
+
+def test_parties(spark):
+    from lotline.functions import parties as N
+
+    cases = {
+        "Peter Dawson and Noela Roberts": ["Peter Dawson", "Noela Roberts"], "Daniel and Amber Knapp": ["Daniel Knapp", "Amber Knapp"], "Mark & Skye Rustin": ["Mark Rustin", "Skye Rustin"],
+        "John Badaloff, Wendy Ann Badaloff": ["John Badaloff", "Wendy Ann Badaloff"], "Storey and Castle Planning": ["Storey and Castle Planning"], "Homecorp Constructions": ["Homecorp Constructions"],
+        "The JNP Trust & Darren and Karen Mealing": ["The JNP Trust", "Darren Mealing", "Karen Mealing"], "Bob Builder Pty Ltd and Jane Smith": ["Bob Builder Pty Ltd", "Jane Smith"], " ; ": [], None: None,
+    }
+    assert values(spark, N.split_parties(F.col("x")), cases) == list(cases.values())
+    assert values(spark, N.care_of(F.col("x")), ["A B C/- Planit Pty Ltd", "A B"]) == [Row(party="A B", agent="Planit Pty Ltd"), Row(party="A B", agent=None)]
+    assert values(spark, N.without_contact(F.col("x")), ["Urbis Pty Ltd (Attention: M R)", "P/L Att: E"]) == ["Urbis Pty Ltd", "P/L"]
+    assert values(spark, N.entity_type(F.col("x")), ["A Pty Ltd", "DAWSON & ROBERTS", "Jane Smith"]) == ["company", "unknown", "individual"]
+    letter = "Our reference: X1\n\nJane Smith\nC/- Plan Pty Ltd\n1 A St\n\nDear Sir\nInformation Request\n"
+    assert values(spark, N.recipient(F.col("x")), [letter, "none"]) == [Row(name="Jane Smith", agent="Plan Pty Ltd"), Row(name=None, agent=None)]
+    assert values(spark, N.letter_kind(F.col("x")), [letter, "x"]) == ["information_request", None]
+
+    def fnv(text):
+        h = 0x811C9DC5
+        for b in text.encode():
+            h = (h ^ b) * 0x01000193 % 2**32
+        return h
+
+    h = fnv("165787173")
+    a, b = h % 48, (h >> 8) % 48
+    want = "-".join([N.ADJECTIVES[a], N.ADJECTIVES[(b + 1) % 48 if a == b else b], N.NOUNS[fnv("165787173:noun") % len(N.NOUNS)]])
+    assert values(spark, N.codename(F.col("x")), ["165787173", "", None]) == [want, "unknown", "unknown"]
