@@ -163,7 +163,7 @@ def test_fingerprints(spark):
     assert len(rows) == len(texts)
     by = {r.doc_id: r for r in rows}
     assert by[1].fingerprint == by[2].fingerprint and by[3].fingerprint == by[4].fingerprint != by[7].fingerprint
-    assert by[1].edited == "A b. C d" + "A b. C"[:0] + "x" * 0 + by[1].edited[8:] and by[1].n_chars == 14
+    assert by[1].edited == "A b. C " + "A b." and by[1].n_chars == 14  # after the last comes the first, doc 7
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows) and by[3].near_edited == 1
     a, b = (FP.fingerprints(spark.createDataFrame([(t,)], "text string")).select("f") for t in ("A b.\nC d.", "E f."))
     whole = FP.fingerprints(spark.createDataFrame([("E f.\nA b.\nC d.",)], "text string")).first().f
