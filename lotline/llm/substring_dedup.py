@@ -129,8 +129,14 @@ def runs_of(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2], edge[1::2]))
 
 
-def apply(length: int, n_carry: int):
-    names = ["doc_id", "n_words", "n_removed", "kept", "spans", *[f"carry_{i}" for i in range(n_carry)]]
+def cut_out(raw: bytes, bounds: list[tuple[int, int]]) -> bytes:
+    """raw without the bytes between each two bounds, which come in order."""
+    edges = [0, *[x for b in bounds for x in b], len(raw)]
+    return b"".join([raw[x:y] for x, y in zip(edges[::2], edges[1::2])])
+
+
+def apply(length: int, n_carry: int, rest: bool = False):
+    names = ["doc_id", "n_words", "n_removed", "kept", "spans", *["rest"] * rest, *[f"carry_{i}" for i in range(n_carry)]]
 
     def spans(block: anchors.Block | None, answers) -> pd.DataFrame:
         if block is None:
@@ -151,27 +157,31 @@ def apply(length: int, n_carry: int):
             mask = gone[a:b]
             s, e = block.starts[a:b] - block.base[d], block.ends[a:b] - block.base[d]
             kept = b" ".join([b" ".join(raw[s[x] : e[y - 1]].split()) for x, y in runs_of(~mask)])
-            rows.append((b - a, int(mask.sum()), kept.decode("utf-8", "surrogatepass"), [{"start": x, "stop": y} for x, y in runs_of(mask)]))
-        out = pd.DataFrame(rows, columns=names[1:5])
+            runs = runs_of(mask)
+            row = (b - a, int(mask.sum()), kept.decode("utf-8", "surrogatepass"), [{"start": x, "stop": y} for x, y in runs])
+            rows.append((*row, cut_out(raw, [(s[x], e[y - 1]) for x, y in runs]).decode("utf-8", "surrogatepass")) if rest else row)
+        out = pd.DataFrame(rows, columns=names[1 : 5 + rest])
         out.insert(0, "doc_id", block.pdf["doc_id"].to_numpy())
-        for c in names[5:]:
+        for c in names[5 + rest :]:
             out[c] = block.pdf[c].to_numpy()
         return out
 
     return spans
 
 
-def substring_dedup(docs: DataFrame, length: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
+def substring_dedup(docs: DataFrame, length: int = WINDOW, carry: tuple[str, ...] = (), rest: bool = False) -> DataFrame:
     """Remove words covered by a window of `length` words that also starts in a smaller doc_id.
 
     docs: doc_id, text; other columns are ignored unless named in `carry` (returned as strings).
     Returns doc_id, n_words, n_removed, kept (words left, joined by one space), spans (removed runs,
-    as word positions). Null or empty text: no words, kept ''. Texts of any length are used whole.
+    as word positions); with rest=True also rest: the text as it stands, with only the characters
+    of the removed runs cut out. Null or empty text: no words, kept and rest ''. Texts of any length
+    are used whole.
     Rows with equal doc_id are never each other's reference; a null doc_id counts as larger than
     any other. An empty table gives an empty result.
     """
-    schema = SCHEMA + "".join(f", carry_{i} string" for i in range(len(carry)))
-    out = anchors.settle(docs, True, length, min(GRAM, length), solve(length), apply(length, len(carry)), schema, carry)
+    schema = SCHEMA + ", rest string" * rest + "".join(f", carry_{i} string" for i in range(len(carry)))
+    out = anchors.settle(docs, True, length, min(GRAM, length), solve(length), apply(length, len(carry), rest), schema, carry)
     return out.withColumnsRenamed({f"carry_{i}": c for i, c in enumerate(carry)})
 
 
