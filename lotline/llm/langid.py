@@ -159,6 +159,11 @@ def train(words: list[str], langs: list[str], hidden: int = HIDDEN, epochs: int
     return net
 
 
+def readable(texts: list[str | None]) -> list[bool]:
+    """Whether a text has a letter, per text; null has none."""
+    return [t is not None and LETTER.search(t) is not None for t in texts]
+
+
 class Labeller:
     """Sums of position probabilities per distinct word, kept up to a bound within a task."""
 
@@ -205,7 +210,7 @@ class Labeller:
         size = total.sum(axis=1)
         best = total.argmax(axis=1)
         score = np.where(size > 0, total[np.arange(len(texts)), best] / np.maximum(size, 1e-9), 0.0)
-        known = [t is not None and LETTER.search(t) is not None for t in texts]
+        known = readable(texts)
         return [self.net.labels[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, np.clip(score, 0, 1), 0.0)
 
 
@@ -221,9 +226,10 @@ def identify(docs: DataFrame, net: BiGRU | None, carry: tuple[str, ...] = ()) ->
     """The language of every whole text.
 
     docs: doc_id, text; of other columns, those named in `carry` are kept. Returns doc_id, lang_pred,
-    score (mean probability of that language over all positions). Null text or text without a letter:
-    'und', score 0; so is everything without a network (nothing to learn from). Repeated rows give
-    repeated rows, an empty table an empty result.
+    score (mean probability of that language over all positions), readable (the text has a letter).
+    Null text or text without a letter: 'und', score 0, not readable. Without a network (nothing to
+    learn from) everything is 'und' with score 0, but readable as ever. Repeated rows give repeated
+    rows, an empty table an empty result.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,12 +237,13 @@ def identify(docs: DataFrame, net: BiGRU | None, carry: tuple[str, ...] = ()) ->
         for pdf in batches:
             size = pdf["text"].str.len().fillna(0).cumsum() // 2_000_000
             for _, part in pdf.groupby(size):
-                langs, score = labeller.documents([t if isinstance(t, str) else None for t in part["text"]]) if labeller else ([UNKNOWN] * len(part), 0.0)
-                out = part.drop(columns=["text"]).assign(lang_pred=langs, score=score)
+                texts = [t if isinstance(t, str) else None for t in part["text"]]
+                langs, score = labeller.documents(texts) if labeller else ([UNKNOWN] * len(part), 0.0)
+                out = part.drop(columns=["text"]).assign(lang_pred=langs, score=score, readable=readable(texts))
                 yield out if "text" not in carry else out.assign(text=part["text"])
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in carry if c != "text"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["lang_pred string", "score double"]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["lang_pred string", "score double", "readable boolean"]
     return kept.mapInPandas(run, ", ".join(fields + ["text string"] * ("text" in carry)))
 
 
