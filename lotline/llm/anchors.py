@@ -38,6 +38,8 @@ DIVERSE = 20_000
 LOW = U(0xFFFF)
 #: Windows hashed together: their arrays fit a cache, and the places of their grams fit LOW.
 CHUNK = 1 << 15
+#: Stands for a null doc_id, so that pandas never holds ids as floats, which would round them.
+NO_ID = np.iinfo(np.int64).max
 PLACES = np.arange(CHUNK + (1 << 12), dtype=U)
 
 
@@ -57,6 +59,8 @@ class Block:
         by = ["doc_id"] if pdf["doc_id"].is_unique else ["doc_id", "text"]
         pdf = pdf.assign(text=pdf["text"].fillna("")).sort_values(by, kind="stable")
         self.pdf, self.words, self.length, self.gram = pdf, words, length, gram
+        self.ids = pdf["doc_id"].to_numpy(np.int64)
+        self.own_ids = pd.arrays.IntegerArray(self.ids, pdf["no_id"].to_numpy(bool))  # null where the document has none
         self.raws = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
         sizes = np.fromiter((len(r) + 1 for r in self.raws), np.int64, len(self.raws))
         self.base = np.concatenate(([0], np.cumsum(sizes)))  # a separator byte follows each text
@@ -128,7 +132,8 @@ def sizes(docs: DataFrame) -> dict[str, int]:
 
 def in_blocks(docs: DataFrame, blocks: int, carry: tuple[str, ...]) -> DataFrame:
     extra = [F.col(c).cast("string").alias(f"carry_{i}") for i, c in enumerate(carry)]
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text", *extra)
+    own = F.col("doc_id").cast("long")
+    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), F.coalesce(own, F.lit(NO_ID)).alias("doc_id"), own.isNull().alias("no_id"), "text", *extra)
 
 
 def settle(
@@ -188,7 +193,6 @@ def settle(
         if not len(pdf) or not len(answer):
             return pd.DataFrame({c: [] for c in cols})
         block = Block(pdf, words, length, gram)
-        ids = block.pdf["doc_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
         h, at, to, doc = block.runs()
         known = np.sort(np.concatenate([unpacked(x) for x in answer["hashes"]]))
         where = np.minimum(np.searchsorted(known >> U(1), h), len(known) - 1)
@@ -200,7 +204,7 @@ def settle(
                 c = block.content(a, b)
                 row = seen.get(c)
                 if row is None:  # documents come in order of doc_id: the first is the least
-                    seen[c] = ((hash_bytes(c) if alone[r] else int(h[r])) % n["shards"], [int(a)], int(ids[doc[r]]))
+                    seen[c] = ((hash_bytes(c) if alone[r] else int(h[r])) % n["shards"], [int(a)], int(block.ids[doc[r]]))
                 else:
                     row[1].append(int(a))
         return pd.DataFrame([(s, key[0], c, np.array(p, "<i4").tobytes(), x) for c, (s, p, x) in seen.items()], columns=cols)

@@ -141,14 +141,13 @@ def apply(length: int, n_carry: int, rest: bool = False):
     def spans(block: anchors.Block | None, answers) -> pd.DataFrame:
         if block is None:
             return pd.DataFrame({c: [] for c in names})
-        ids = block.pdf["doc_id"].fillna(NO_DOC).to_numpy(np.int64)
         hits = []
         for at, answer in answers:
             first = np.frombuffer(answer, "<i8")
             doc = np.searchsorted(block.first, at, "right") - 1
             while block.n_units[doc] == 0 or block.first[doc] + block.n_units[doc] <= at:
                 doc += 1
-            hits.append(at + np.flatnonzero(first < ids[doc]))
+            hits.append(at + np.flatnonzero(first < block.ids[doc]))
         gone = covered(np.concatenate(hits) if hits else np.zeros(0, np.int64), length, len(block.starts))
         rows = []
         for d, raw in enumerate(block.raws):
@@ -161,7 +160,7 @@ def apply(length: int, n_carry: int, rest: bool = False):
             row = (b - a, int(mask.sum()), kept.decode("utf-8", "surrogatepass"), [{"start": x, "stop": y} for x, y in runs])
             rows.append((*row, cut_out(raw, [(s[x], e[y - 1]) for x, y in runs]).decode("utf-8", "surrogatepass")) if rest else row)
         out = pd.DataFrame(rows, columns=names[1 : 5 + rest])
-        out.insert(0, "doc_id", block.pdf["doc_id"].to_numpy())
+        out.insert(0, "doc_id", block.own_ids)
         for c in names[5 + rest :]:
             out[c] = block.pdf[c].to_numpy()
         return out

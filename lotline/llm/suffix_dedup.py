@@ -121,7 +121,7 @@ def apply(length: int, n_carry: int):
             kept = np.frombuffer(raw, np.uint8)[~mask].tobytes()
             rows.append((len(raw), int(mask.sum()), len(runs), kept, [{"start": x, "stop": y} for x, y in runs]))
         out = pd.DataFrame(rows, columns=names[1:6])
-        out.insert(0, "doc_id", block.pdf["doc_id"].to_numpy())
+        out.insert(0, "doc_id", block.own_ids)
         for c in names[6:]:
             out[c] = block.pdf[c].to_numpy()
         return out
