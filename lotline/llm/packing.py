@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import table
+from lotline.llm.common import staged, table
+from lotline.llm.near_dedup import near_duplicates
 
 CAPACITY = 2048
 PER_SOURCE = 4
@@ -103,6 +104,25 @@ def words_of(text: str = "text") -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t-\r]+"), lambda w: w != ""))
 
 
+def with_clusters(docs: DataFrame, size: Column) -> DataFrame:
+    """doc_id, source, size, cluster of every row: documents of one near-duplicate class have one cluster.
+
+    docs: doc_id, text, source. A document is a doc_id with a text, so null doc_ids and different texts
+    under one doc_id are classed like any other. Equal texts have one cluster also where they have no
+    words; a null text has none. Repeated rows give repeated rows.
+    """
+    rows = docs.select("doc_id", "source", size.alias("size"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    classes = near_duplicates(rows.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "class_id").distinct()
+    wordless = F.when(F.col("text").isNotNull() & ~F.col("text").rlike(r"[^ \t-\r]"), F.xxhash64("text"))
+    rows = rows.select("doc_id", "source", "size", "key", F.col("text").isNull().alias("no_text"), wordless.alias("wordless"))
+    cluster = F.when(~F.col("no_text"), F.coalesce("wordless", "class_id"))
+    return rows.join(classes, "key", "left").select("doc_id", "source", "size", cluster.alias("cluster"))
+
+
+def pack_apart(docs: DataFrame) -> DataFrame:
+    """Documents packed by their number of words; no two near copies (five words, 0.8) share a bin."""
+    return best_fit_pack(staged(with_clusters(docs, words_of()), "clusters"), F.col("size"), F.col("cluster"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return best_fit_pack(docs, words_of(), F.when(F.col("text").isNotNull(), F.xxhash64("text")))
+    return pack_apart(table(spark, sf_dir, "documents"))
