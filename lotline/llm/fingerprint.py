@@ -5,7 +5,7 @@ wide vector, and a fingerprint is the sum of the pieces' vectors, so it does not
 order, and pieces can be added or taken away without reading the rest:
 
 * EQUAL lanes, sums of 32-bit hashes modulo 2**32, settle equality;
-* SIGN lanes, sums of +1 or -1 modulo 2**16, make the cosine of two fingerprints an unbiased
+* SIGN lanes, sums of +1 or -1 modulo 2**32 (more pieces than that fit no text), make the cosine of two fingerprints an unbiased
   estimate of the share of pieces that the texts have in common.
 """
 
@@ -33,7 +33,7 @@ def pieces(text: Column) -> Column:
 
 
 def lanes(parts: Column) -> Column:
-    """struct(n, equal: array<long>, sign: array<smallint>) of an array of pieces."""
+    """struct(n, equal: array<long>, sign: array<int>) of an array of pieces."""
     zero = F.lit(0).cast("long")
 
     def equal(ps: Column) -> Column:
@@ -52,8 +52,8 @@ def lanes(parts: Column) -> Column:
 
 
 def wrap(x: Column) -> Column:
-    """A sum modulo 2**16, as a signed small integer."""
-    return ((x + 32768).bitwiseAND(65535) - 32768).cast("smallint")
+    """A sum modulo 2**32, as a signed integer."""
+    return ((x + (1 << 31)).bitwiseAND(0xFFFFFFFF) - (1 << 31)).cast("int")
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -67,7 +67,7 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: 1 for equal fingerprints, else the cosine of the sign lanes, negative estimates being 0."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x["sign"], y["sign"], lambda p, q: p.cast("long") * q.cast("long")), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
+    dot = lambda x, y: F.aggregate(F.zip_with(x["sign"], y["sign"], lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     size = F.sqrt(dot(a, a) * dot(b, b))
     return F.when((a["equal"] == b["equal"]) & (a["n"] == b["n"]), 1.0).when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(a, b) / size))).otherwise(0.0)
 
@@ -75,7 +75,7 @@ def likeness(a: Column, b: Column) -> Column:
 def as_text(f: Column) -> Column:
     """Lower-case hex: number of pieces, equal lanes, sign lanes."""
     digits = lambda xs, n: F.array_join(F.transform(xs, lambda x: F.lpad(F.lower(F.hex(x)), n, "0")), "")
-    return F.concat(F.lpad(F.lower(F.hex(f["n"])), 8, "0"), digits(f["equal"], 8), digits(F.transform(f["sign"], lambda x: x.cast("long").bitwiseAND(65535)), 4))
+    return F.concat(F.lpad(F.lower(F.hex(f["n"])), 8, "0"), digits(f["equal"], 8), digits(F.transform(f["sign"], lambda x: x.cast("long").bitwiseAND(0xFFFFFFFF)), 8))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "f") -> DataFrame:
