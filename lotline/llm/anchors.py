@@ -1,6 +1,6 @@
 """Shared-window search over a whole corpus, without sending every window over the network.
 
-Documents are dealt into small blocks by a hash of doc_id. Each window of L units (words or bytes)
+Documents are dealt into small blocks by a hash of doc_id and text. Each window of L units (words or bytes)
 has an anchor: the least hash among its m-unit grams. Equal windows have equal anchors, so:
 
 1. every block sends its distinct anchors, packed by hash range ("bucket"), each with how many
@@ -33,6 +33,8 @@ from lotline.llm.common import U, gram_hashes, mix, sliding_min, word_bounds, wo
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 32 << 20
 SHARD_BYTES = 2 << 20
+#: Bytes of text that one task takes at most, about.
+TASK_BYTES = 64 << 20
 #: An anchor with more different segments than this, over all blocks, is split up by window.
 DIVERSE = 20_000
 LOW = U(0xFFFF)
@@ -125,15 +127,20 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def sizes(docs: DataFrame) -> dict[str, int]:
-    """How many blocks, buckets and shards; all grow with the bytes of text."""
+    """How many blocks, buckets, shards and partitions; all grow with the bytes of text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return {"blocks": max(1, math.ceil(total / BLOCK_BYTES)), "buckets": max(1, math.ceil(total / BUCKET_BYTES)), "shards": max(1, math.ceil(total / SHARD_BYTES))}
+    return {"blocks": max(1, math.ceil(total / BLOCK_BYTES)), "buckets": max(1, math.ceil(total / BUCKET_BYTES)), "shards": max(1, math.ceil(total / SHARD_BYTES)), "parts": math.ceil(total / TASK_BYTES)}
+
+
+def dealt(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """df by key over `parts` partitions where the session would use fewer, so that no task outgrows its memory."""
+    return df.repartition(parts, key) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def in_blocks(docs: DataFrame, blocks: int, carry: tuple[str, ...]) -> DataFrame:
     extra = [F.col(c).cast("string").alias(f"carry_{i}") for i, c in enumerate(carry)]
     own = F.col("doc_id").cast("long")
-    return docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block"), F.coalesce(own, F.lit(NO_ID)).alias("doc_id"), own.isNull().alias("no_id"), "text", *extra)
+    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), F.coalesce(own, F.lit(NO_ID)).alias("doc_id"), own.isNull().alias("no_id"), "text", *extra)
 
 
 def settle(
@@ -155,7 +162,7 @@ def settle(
     """
     n = sizes(docs)
     blocked = in_blocks(docs, n["blocks"], carry)
-    keyed = blocked.groupBy("block")
+    keyed = dealt(blocked, "block", n["parts"]).groupBy("block")
 
     def anchors(key, pdf: pd.DataFrame) -> pd.DataFrame:
         block = Block(pdf, words, length, gram)
@@ -163,11 +170,10 @@ def settle(
         uniq, count = np.unique(h, return_counts=True)
         for k in np.flatnonzero(count > 16):
             count[k] = max(2, len({block.content(at[r], to[r]) for r in np.flatnonzero(h == uniq[k])}))
-        bucket = (uniq * U(n["buckets"])) >> U(48) if n["buckets"] < 1 << 12 else mix(uniq) % U(n["buckets"])
+        bucket = mix(uniq.copy()) % U(n["buckets"])
         value = (uniq << U(8)) | np.minimum(count, 255).astype(U)
-        if n["buckets"] >= 1 << 12:
-            by = np.argsort(bucket, kind="stable")
-            bucket, value = bucket[by], value[by]
+        by = np.argsort(bucket, kind="stable")
+        bucket, value = bucket[by], value[by]
         start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, int)
         return pd.DataFrame({"bucket": bucket[start].astype(np.int64), "block": np.int32(key[0]), "hashes": [packed(x) for x in np.split(value, start[1:])] if len(start) else []})
 
@@ -226,10 +232,10 @@ def settle(
         return apply(Block(pdf, words, length, gram), found)
 
     anchor_rows = keyed.applyInPandas(anchors, "bucket long, block int, hashes binary")
-    shared_rows = anchor_rows.groupBy("bucket").applyInPandas(shared, "block int, hashes binary")
-    seg_rows = keyed.cogroup(shared_rows.groupBy("block")).applyInPandas(segments, "shard long, block int, seg binary, places binary, least long")
-    answer_rows = seg_rows.groupBy("shard").applyInPandas(shards, "block int, places binary, answer binary")
-    return keyed.cogroup(answer_rows.groupBy("block")).applyInPandas(spans, schema)
+    shared_rows = dealt(anchor_rows, "bucket", n["parts"]).groupBy("bucket").applyInPandas(shared, "block int, hashes binary")
+    seg_rows = keyed.cogroup(dealt(shared_rows, "block", n["parts"]).groupBy("block")).applyInPandas(segments, "shard long, block int, seg binary, places binary, least long")
+    answer_rows = dealt(seg_rows, "shard", n["parts"]).groupBy("shard").applyInPandas(shards, "block int, places binary, answer binary")
+    return keyed.cogroup(dealt(answer_rows, "block", n["parts"]).groupBy("block")).applyInPandas(spans, schema)
 
 
 def hash_bytes(data: bytes) -> int:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -22,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the cluster names none (tests)."""
+    """The folder all executors share. Where none is named, local sessions get a temporary one; a cluster must name it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="lotline-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -37,6 +41,47 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove staged tables from the shared folder that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(conf).delete(folder.getParent(), True)
+
+
+def by_text(docs: DataFrame, fields: str, start: Callable[[], Callable[[list[str | None]], list]], chars: int, keep_text: bool = False) -> DataFrame:
+    """docs with new columns worked out from the texts of a batch.
+
+    fields: the new columns, as in a schema string. start() is called once per task and returns the
+    function from texts to one list or array per new column. Batches are cut at about `chars`
+    characters. All other columns pass through Arrow as they are, so nulls never change a type.
+    """
+    rest = [c for c in docs.columns if keep_text or c != "text"]
+    schema = docs.select(rest).schema
+    new = docs.sparkSession.createDataFrame([], fields).schema
+    names = [*rest, *new.fieldNames()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            size = np.cumsum([len(t or "") for t in texts]) // chars
+            cuts = np.flatnonzero(np.diff(size, prepend=-1)).tolist() if texts else []
+            for a, b in zip(cuts, [*cuts[1:], len(texts)]):
+                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in work(texts[a:b])]
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *made], names)
+
+    return docs.mapInArrow(run, type(schema)([*schema.fields, *new.fields]))
+
+
+def below(n: int, bound: int, *columns: str) -> Column:
+    """A filter by hash that lets about 1.2 * bound of n rows through; all of them if n is small."""
+    share = min(1.0, 1.2 * bound / max(n, 1))
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(share * (1 << 40))
+
+
 def held_out(doc_id):
     """crc32 of the id as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))

@@ -5,6 +5,8 @@ segments (a segment that occurs twice or more is entered twice) at which a maxim
 takes the longest common prefixes of neighbours, and scans them with a stack for common-prefix intervals. Intervals of
 at least the threshold whose occurrences have two or more different left neighbours are the maximal
 repeats; each is a group with all its occurrences, and together they cover every repeated window.
+Segments are runs of windows that share an anchor, so repeats are maximal inside a segment: a repeat
+that spans several segments comes out as one group per segment, which overlap and cover it whole.
 """
 
 from __future__ import annotations
@@ -86,6 +88,48 @@ def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarr
     return out
 
 
+GROUP = np.dtype([("offset", "<i4"), ("length", "<i4"), ("group", "<i8")])
+
+
+def solve_groups(length: int):
+    """Per segment its places in the shard's repeat groups; a group is named by a hash of its bytes."""
+
+    def shard(contents: list[bytes], counts: np.ndarray, least: np.ndarray) -> list[bytes | None]:
+        texts = [*contents, *[contents[i] for i in np.flatnonzero(counts > 1)]]
+        at = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+        found: list[list[tuple[int, int, int]]] = [[] for _ in contents]
+        for size, places in maximal_repeats(texts, length):
+            owner = np.searchsorted(at, places, "right") - 1
+            first = int(places[0] - at[owner[0]])
+            name = anchors.hash_bytes(texts[owner[0]][first : first + size]) - (1 << 63)
+            for t, p in zip(owner.tolist(), places.tolist()):
+                if t < len(contents):  # the second entry of a segment stands for its further places
+                    found[t].append((p - int(at[t]), size, name))
+        return [np.array(x, GROUP).tobytes() if x else None for x in found]
+
+    return shard
+
+
+def list_groups(block: anchors.Block | None, answers) -> pd.DataFrame:
+    rows = []
+    for at, answer in answers:
+        d = int(np.searchsorted(block.base, at, "right")) - 1
+        for offset, size, name in np.frombuffer(answer, GROUP).tolist():
+            rows.append((name, size, d, at - int(block.base[d]) + offset))
+    out = pd.DataFrame(rows, columns=["group_id", "length", "doc", "start"])
+    ids = block.own_ids[out.pop("doc").to_numpy(np.int64)] if block is not None else pd.array([], "Int64")
+    return out.assign(doc_id=ids)[["group_id", "length", "doc_id", "start"]]
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """group_id, length, doc_id, start: every occurrence (in bytes) of every maximal repeat of `length` bytes or more.
+
+    docs: doc_id, text. Repeats are maximal inside an anchor segment (see above). Null text counts as
+    empty; equal rows are occurrences of their own; an empty table gives an empty result.
+    """
+    return anchors.settle(docs, False, length, min(GRAM, length), solve_groups(length), list_groups, "group_id long, length int, doc_id long, start long").distinct()
+
+
 def solve(length: int):
     def shard(contents: list[bytes], counts: np.ndarray, least: np.ndarray) -> list[bytes | None]:
         twice = np.flatnonzero(counts > 1)

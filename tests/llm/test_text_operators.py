@@ -67,15 +67,29 @@ def brute_bytes(texts, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("blocks,diverse", [(1 << 20, 20_000), (400, 20_000), (400, 1)])
-def test_substring_and_suffix_dedup(spark, monkeypatch, blocks, diverse):
-    monkeypatch.setattr(anchors, "BLOCK_BYTES", blocks)
-    monkeypatch.setattr(anchors, "DIVERSE", diverse)
-    texts = random_texts(blocks + diverse)
+SIZES = pytest.mark.parametrize("blocks,diverse,buckets", [(1 << 20, 20_000, 32 << 20), (400, 20_000, 32 << 20), (400, 1, 32 << 20), (4_000, 20_000, 2)])
+
+
+def sized(monkeypatch, blocks, diverse, buckets):
+    """Small blocks, and so few bytes a bucket that there are over 4,096 of them."""
+    for name, value in (("BLOCK_BYTES", blocks), ("DIVERSE", diverse), ("BUCKET_BYTES", buckets)):
+        monkeypatch.setattr(anchors, name, value)
+    return random_texts(blocks + diverse)
+
+
+@SIZES
+def test_substring_dedup(spark, monkeypatch, blocks, diverse, buckets):
+    texts = sized(monkeypatch, blocks, diverse, buckets)
     df = table(spark, texts)
+    assert buckets > 2 or anchors.sizes(df)["buckets"] > 4096
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept").collect()), key=repr)
     assert got == brute_words(texts, 13)
-    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(df, 60).collect()), key=repr)
+
+
+@SIZES
+def test_suffix_dedup(spark, monkeypatch, blocks, diverse, buckets):
+    texts = sized(monkeypatch, blocks, diverse, buckets)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(table(spark, texts), 60).collect()), key=repr)
     assert got == brute_bytes(texts, 60)
 
 
