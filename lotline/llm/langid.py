@@ -1,42 +1,42 @@
 """Operator 9: language identification by a bidirectional gated recurrent network over bytes.
 
-Sequences are the words of a text (runs of non-space bytes, cut every 32 bytes). The network labels
-every byte position with language probabilities; a document's probabilities are their mean over all
-its positions. As the state starts anew with each word, equal words have equal labels: a task runs
-the network once per distinct word it holds, which changes no result. Training is backpropagation
-through time in numpy on the driver, over a bounded sample of labelled documents.
+The network reads a text's bytes across words and lines and labels every position with language
+probabilities; a document's probabilities are their mean over all its positions. Texts are read in
+windows of BODY positions. The forward state of a window begins CONTEXT bytes before it, the backward
+state CONTEXT bytes after it, so that every position has at least that much context on both sides (or
+all there is), and texts of up to BODY bytes are read in one piece.
+
+Gates are piecewise linear and candidate states x / (1 + |x|), which numpy works out quickly. Training
+is backpropagation through time in numpy on the driver, over a bounded sample of labelled text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import U, held_out, table, word_bounds, word_hashes
+from lotline.llm.common import below, by_text, held_out, table
 
-HIDDEN = 12
-LONGEST = 32
-#: Bounds of the training sample: documents, and words out of their whole texts.
-SAMPLE_DOCS, SAMPLE_WORDS = 2_000, 60_000
-CACHE = 1_500_000
+HIDDEN = 8
+BODY, CONTEXT = 240, 16
+#: A symbol that UTF-8 never has: it leaves the state as it is.
+PAD = 255
+#: Bounds of the training sample: documents, and pieces of PIECE bytes out of their whole texts.
+SAMPLE_DOCS, SAMPLE_PIECES, PIECE = 4_000, 10_000, 64
+#: Windows run side by side, and characters read together, in a task.
+SIDE, BATCH_CHARS = 1024, 2_000_000
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
-SCHEMA = "doc_id long, lang_pred string, score double"
-
-
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 @dataclass
 class BiGRU:
-    """w: input weights per byte and direction (2, 256, 3H); u: recurrent (2, H, 3H); v, c: output layer."""
+    """w: input weights per direction and byte (2, 3H, 256); u: recurrent (2, 3H, H); v, c: output layer (labels, 2H)."""
 
     labels: list[str]
     w: np.ndarray
@@ -48,114 +48,122 @@ class BiGRU:
     def fresh(cls, labels: list[str], hidden: int, seed: int) -> BiGRU:
         rng = np.random.default_rng(seed)
         make = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
-        return cls(labels, make(0.3, 2, 256, 3 * hidden), make(hidden**-0.5, 2, hidden, 3 * hidden), make(0.3, 2 * hidden, len(labels)), np.zeros(len(labels), np.float32))
+        net = cls(labels, make(0.5, 2, 3 * hidden, 256), make(hidden**-0.5, 2, 3 * hidden, hidden), make(0.3, len(labels), 2 * hidden), np.zeros((len(labels), 1), np.float32))
+        net.rest()
+        return net
+
+    def rest(self) -> None:
+        """Padding closes the update gate: the state stays."""
+        size = self.u.shape[2]
+        self.w[:, :, PAD] = 0
+        self.w[:, :size, PAD] = 1e6
 
     def run(self, x: np.ndarray, d: int, keep: list | None = None) -> np.ndarray:
-        """States (T, B, H) of one direction over bytes x (T, B), in reading order of that direction."""
+        """States (T, H, B) of one direction over bytes x (T, B), in reading order of that direction."""
         steps, n = x.shape
-        size = self.u.shape[1]
-        h = np.zeros((n, size), np.float32)
-        out = np.empty((steps, n, size), np.float32)
+        size = self.u.shape[2]
+        w, u = self.w[d], self.u[d]
+        h = np.zeros((size, n), w.dtype)
+        out = np.empty((steps, size, n), w.dtype)
+        a, g, one = np.empty((3 * size, n), w.dtype), np.empty((3 * size, n), w.dtype), np.empty((size, n), w.dtype)
         for t in range(steps):
-            a = self.w[d][x[t]]
-            g = h @ self.u[d]
-            zr = sigmoid(a[:, : 2 * size] + g[:, : 2 * size])
-            z, r = zr[:, :size], zr[:, size:]
-            m = np.tanh(a[:, 2 * size :] + r * g[:, 2 * size :])
-            new = m + z * (h - m)
+            np.take(w, x[t], axis=1, out=a, mode="clip")
+            np.matmul(u, h, out=g)
+            zr, m, new = a[: 2 * size], a[2 * size :], out[t]
+            zr += g[: 2 * size]
+            zr *= 0.25
+            zr += 0.5
+            np.maximum(zr, 0, out=zr)
+            np.minimum(zr, 1, out=zr)
+            np.multiply(zr[size:], g[2 * size :], out=one)
+            m += one
+            np.abs(m, out=one)
+            one += 1
+            m /= one
             if keep is not None:
-                keep.append((h, z, r, m, g[:, 2 * size :]))
-            out[t] = h = new
+                keep.append((h, zr[:size].copy(), zr[size:].copy(), m.copy(), g[2 * size :].copy()))
+            np.subtract(h, m, out=new)
+            new *= zr[:size]
+            new += m
+            h = new
         return out
 
-    def states(self, x: np.ndarray, keep: tuple[list, list] | None = None) -> np.ndarray:
-        """(T, B, 2H): what was read before and up to, and from the end back to, each position."""
+    def states(self, x: np.ndarray, context: int, keep: tuple[list, list] | None = None) -> np.ndarray:
+        """(T, 2H, B) for the positions of x between `context` bytes on both sides."""
         f, b = keep or (None, None)
-        return np.concatenate((self.run(x, 0, f), self.run(x[::-1], 1, b)[::-1]), axis=2)
-
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
-        """(T, B, labels) of every position."""
-        a = self.states(x) @ self.v + self.c
-        e = np.exp(a - a.max(axis=2, keepdims=True))
-        return e / e.sum(axis=2, keepdims=True)
+        stop = len(x) - context
+        return np.concatenate((self.run(x[:stop], 0, f)[context:], self.run(x[:context - 1 if context else None:-1], 1, b)[context:][::-1]), axis=1)
+
+    def probabilities(self, x: np.ndarray, context: int) -> np.ndarray:
+        """(T, labels, B) of those positions."""
+        a = np.matmul(self.v, self.states(x, context))
+        a += self.c
+        a -= a.max(axis=1, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(axis=1, keepdims=True)
+        return a
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Loss and gradients for words x (T, B) of language y, by backpropagation through time."""
+        """Loss and gradients for pieces x (T, B) of language y, by backpropagation through time."""
         kept: tuple[list, list] = ([], [])
-        s = self.states(x, kept)
-        a = s @ self.v + self.c
-        e = np.exp(a - a.max(axis=2, keepdims=True))
-        p = e / e.sum(axis=2, keepdims=True)
-        scale = (weight / (len(x) * len(y))).astype(np.float32)
-        pick = p[:, np.arange(len(y)), y]
+        s = self.states(x, 0, kept)
+        a = np.matmul(self.v, s) + self.c
+        e = np.exp(a - a.max(axis=1, keepdims=True))
+        p = e / e.sum(axis=1, keepdims=True)
+        real = x != PAD
+        scale = (real * (weight / (np.maximum(real.sum(axis=0), 1) * len(y)))).astype(self.w.dtype)
+        pick = p[:, y, np.arange(len(y))]
         loss = float(-(np.log(pick + 1e-9) * scale).sum())
         da = p.copy()
-        da[:, np.arange(len(y)), y] -= 1
-        da *= scale[None, :, None]
-        size = self.u.shape[1]
-        ds = da @ self.v.T
+        da[:, y, np.arange(len(y))] -= 1
+        da *= scale[:, None, :]
+        size = self.u.shape[2]
+        ds = np.matmul(self.v.T, da)
         gw, gu = np.zeros_like(self.w), np.zeros_like(self.u)
         for d in (0, 1):
-            xs, dh_out = (x, ds[:, :, :size]) if d == 0 else (x[::-1], ds[::-1, :, size:])
+            xs, dh_out = (x, ds[:, :size]) if d == 0 else (x[::-1], ds[::-1, size:])
             dh = np.zeros_like(dh_out[0])
+            into = np.empty((len(xs), 3 * size, len(y)), self.w.dtype)
             for t in range(len(xs) - 1, -1, -1):
                 h, z, r, m, g = kept[d][t]
                 dh = dh + dh_out[t]
-                dm = dh * (1 - z) * (1 - m * m)
-                dz = dh * (h - m) * z * (1 - z)
-                dr = dm * g * r * (1 - r)
-                into = np.concatenate((dz, dr, dm), axis=1)
-                back = np.concatenate((dz, dr, dm * r), axis=1)
-                hot = np.zeros((256, len(y)), np.float32)
-                hot[xs[t], np.arange(len(y))] = 1
-                gw[d] += hot @ into
-                gu[d] += h.T @ back
-                dh = dh * z + back @ self.u[d].T
-        return loss, [gw, gu, np.einsum("tbh,tbl->hl", s, da), da.sum(axis=(0, 1))]
-
-
-def cut_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bounds of the sequences: words, long ones cut every LONGEST bytes."""
-    s, e = word_bounds(raw)
-    parts = -(-(e - s) // LONGEST)
-    if len(parts) and parts.max() > 1:
-        at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        s = np.repeat(s, parts) + at * LONGEST
-        e = np.minimum(s + LONGEST, np.repeat(e, parts))
-    return s, e
-
-
-def train(words: list[str], langs: list[str], hidden: int = HIDDEN, epochs: int = 4, batch: int = 256, rate: float = 0.01, seed: int = 7) -> BiGRU:
-    """Adam over batches of sequences of equal length; languages weigh alike."""
+                dm = dh * (1 - z) * (1 - np.abs(m)) ** 2
+                dz = dh * (h - m) * (0.25 * ((z > 0) & (z < 1)))
+                dr = dm * g * (0.25 * ((r > 0) & (r < 1)))
+                into[t] = np.concatenate((dz, dr, dm))
+                back = np.concatenate((dz, dr, dm * r))
+                gu[d] += back @ h.T
+                dh = dh * z + self.u[d].T @ back
+            flat = into.transpose(1, 0, 2).reshape(3 * size, -1)
+            for k in range(3 * size):
+                gw[d, k] = np.bincount(xs.ravel(), flat[k], 256)
+        return loss, [gw, gu, np.einsum("tlb,thb->lh", da, s), da.sum(axis=(0, 2))[:, None]]
+
+
+def train(pieces: list[bytes], langs: list[str], hidden: int = HIDDEN, epochs: int = 5, batch: int = 64, rate: float = 0.02, seed: int = 7) -> BiGRU:
+    """Adam over batches of pieces, short ones padded; languages weigh alike."""
     labels = sorted(set(langs))
     rng = np.random.default_rng(seed)
-    raws = [w.encode("utf-8", "replace") for w in words]
-    raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
-    s, e = cut_words(raw)
-    y = np.array([labels.index(x) for x in langs])[np.searchsorted(np.cumsum([len(r) + 1 for r in raws]), s, "right")]
-    if len(s) > SAMPLE_WORDS:
-        pick = np.sort(rng.choice(len(s), SAMPLE_WORDS, replace=False))
-        s, e, y = s[pick], e[pick], y[pick]
-    share = np.bincount(y, minlength=len(labels)) / max(len(y), 1)
-    weight = (1 / np.maximum(share * len(labels), 0.02))[y] if len(y) else np.zeros(0)
+    y = np.array([labels.index(x) for x in langs])
+    width = max(1, max((len(p) for p in pieces), default=1))
+    x = np.frombuffer(b"".join(p.ljust(width, bytes([PAD])) for p in pieces), np.uint8).reshape(len(pieces), width).T.astype(np.intp)
+    weight = (1 / np.maximum(np.bincount(y, minlength=len(labels)) / len(y) * len(labels), 0.02))[y]
     net = BiGRU.fresh(labels, hidden, seed)
     params = [net.w, net.u, net.v, net.c]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    step = 0
-    groups = [np.flatnonzero(e - s == n) for n in range(1, LONGEST + 1)]
-    for epoch in range(epochs):
-        batches = [g[i : i + batch] for g in (rng.permutation(g) for g in groups) for i in range(0, len(g), batch)]
-        for k in rng.permutation(len(batches)):
-            b = batches[k]
-            n = int(e[b[0]] - s[b[0]])
-            x = raw[s[b][None, :] + np.arange(n)[:, None]]
-            _, grads = net.gradients(x, y[b], weight[b])
+    step, steps = 0, epochs * -(-len(y) // batch)
+    for _ in range(epochs):
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), batch):
+            b = order[at : at + batch]
+            _, grads = net.gradients(x[:, b], y[b], weight[b])
             step += 1
-            lr = rate * (0.3**epoch) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step) * min(1.0, len(b) / 64)
-            for p, g, a, q in zip(params, grads, first, second):
-                a += 0.1 * (g - a)
+            lr = rate * (1 - step / (steps + 1)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+            for p, g, m, q in zip(params, grads, first, second):
+                m += 0.1 * (g - m)
                 q += 0.001 * (g * g - q)
-                p -= (lr * a / (np.sqrt(q) + 1e-8)).astype(np.float32)
+                p -= (lr * m / (np.sqrt(q) + 1e-8)).astype(np.float32)
+            net.rest()
     return net
 
 
@@ -164,62 +172,52 @@ def readable(texts: list[str | None]) -> list[bool]:
     return [t is not None and LETTER.search(t) is not None for t in texts]
 
 
-class Labeller:
-    """Sums of position probabilities per distinct word, kept up to a bound within a task."""
-
-    def __init__(self, net: BiGRU):
-        self.net = net
-        self.keys = np.zeros(0, U)
-        self.sums = np.zeros((0, len(net.labels)), np.float32)
-
-    def words(self, raw: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
-        """(words, labels): the sums over each word's positions."""
-        uniq, first, inverse = np.unique(word_hashes(raw, s, e), return_index=True, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.keys, uniq), max(len(self.keys) - 1, 0))
-        have = self.keys[at] == uniq if len(self.keys) else np.zeros(len(uniq), bool)
-        out = np.empty((len(uniq), len(self.net.labels)), np.float32)
-        if have.any():
-            out[have] = self.sums[at[have]]
-        new = np.flatnonzero(~have)
-        begin, size = s[first[new]], (e - s)[first[new]]
-        for n in np.unique(size).tolist():
-            group = np.flatnonzero(size == n)
-            for i in range(0, len(group), 4096):
-                g = group[i : i + 4096]
-                out[new[g]] = self.net.probabilities(raw[begin[g][None, :] + np.arange(n)[:, None]]).sum(axis=0)
-        if len(self.keys) + len(new) > CACHE:
-            self.keys, self.sums = uniq[:CACHE], out[:CACHE]
-        elif len(new):
-            keys = np.concatenate((self.keys, uniq[new]))
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.sums = keys[order], np.concatenate((self.sums, out[new]))[order]
-        return out[inverse]
-
-    def documents(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Predicted language and its probability, per text."""
-        raws = [(t or "").encode("utf-8", "replace") for t in texts]
-        raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
-        base = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
-        s, e = cut_words(raw)
-        total = np.zeros((len(texts), len(self.net.labels)))
-        if len(s):
-            doc = np.searchsorted(base, s, "right") - 1
-            sums = self.words(raw, s, e)
-            edge = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
-            total[doc[edge]] = np.add.reduceat(sums.astype(np.float64), edge, axis=0)
-        size = total.sum(axis=1)
-        best = total.argmax(axis=1)
-        score = np.where(size > 0, total[np.arange(len(texts)), best] / np.maximum(size, 1e-9), 0.0)
-        known = readable(texts)
-        return [self.net.labels[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, np.clip(score, 0, 1), 0.0)
+def pooled(net: BiGRU, raws: list[bytes]) -> np.ndarray:
+    """(texts, labels): the sums of the position probabilities of each text, read in windows."""
+    total = np.zeros((len(raws), len(net.labels)))
+    sizes = np.array([len(r) for r in raws], np.int64)
+    count = -(-sizes // BODY)
+    edge = bytes([PAD]) * CONTEXT
+    # Each text takes whole windows, with padding before it and after it.
+    data = np.frombuffer(b"".join([edge + r.ljust(c * BODY, bytes([PAD])) + edge for r, c in zip(raws, count.tolist())]), np.uint8)
+    base = np.concatenate(([0], np.cumsum(count * BODY + 2 * CONTEXT)))[:-1]
+    doc = np.repeat(np.arange(len(raws)), count)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+    start, left = base[doc] + nth * BODY, np.minimum(sizes[doc] - nth * BODY, BODY)
+    reach = np.arange(BODY + 2 * CONTEXT)
+    for at in range(0, len(doc), SIDE):
+        own = slice(at, at + SIDE)
+        p = net.probabilities(data[start[own][None, :] + reach[:, None]].astype(np.intp), CONTEXT)
+        p *= (reach[:BODY, None] < left[own][None, :])[:, None, :]
+        np.add.at(total, doc[own], p.sum(axis=0).T)
+    return total
+
+
+def predict(net: BiGRU | None, texts: list[str | None]) -> list:
+    """lang_pred, score, readable of texts."""
+    known = readable(texts)
+    if net is None:
+        return [pa.array([UNKNOWN] * len(texts), pa.string()), np.zeros(len(texts)), known]
+    total = pooled(net, [(t or "").encode("utf-8", "replace") for t in texts])
+    size, best = total.sum(axis=1), total.argmax(axis=1)
+    score = np.where(known, np.clip(total[np.arange(len(texts)), best] / np.maximum(size, 1e-9), 0, 1), 0.0)
+    return [pa.array([net.labels[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()), score, known]
 
 
 def training_rows(docs: DataFrame) -> list:
-    """Words of whole texts with their language: a bounded sample, by hashes, of the rows that may be learnt from."""
-    own = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    ids = own.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    words = own.join(F.broadcast(ids.distinct()), "doc_id", "left_semi").select("doc_id", "lang", F.posexplode(F.split("text", "[ \\t-\\r]+")).alias("at", "word"))
-    return words.where("word <> ''").orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at", "word").limit(SAMPLE_WORDS).select("word", "lang").collect()
+    """Pieces of whole texts with their language: a bounded sample, by hashes, of the rows that may be learnt from.
+
+    Hash filters let about as many documents and pieces through as the bounds, whatever the corpus
+    holds, so that no partition sends the driver more than its share.
+    """
+    own = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    some = own.where(below(own.count(), SAMPLE_DOCS, "doc_id", "text")).where(F.col("text").rlike("\\p{L}"))
+    some = some.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.encode("text", "UTF-8").alias("raw"))
+    pieces = F.ceil(F.octet_length("raw") / PIECE).cast("int")
+    total = some.agg(F.sum(pieces)).first()[0] or 0
+    cut = some.select("lang", "h", "raw", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("at")).where(below(total, SAMPLE_PIECES, "h", "at"))
+    piece = F.substr("raw", F.col("at") * PIECE + 1, F.lit(PIECE))
+    return cut.select(piece.alias("piece"), "lang", F.xxhash64("h", "at").alias("order")).orderBy("order", "piece", "lang").limit(SAMPLE_PIECES).collect()
 
 
 def identify(docs: DataFrame, net: BiGRU | None, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -231,26 +229,14 @@ def identify(docs: DataFrame, net: BiGRU | None, carry: tuple[str, ...] = ()) ->
     learn from) everything is 'und' with score 0, but readable as ever. Repeated rows give repeated
     rows, an empty table an empty result.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(net) if net else None
-        for pdf in batches:
-            size = pdf["text"].str.len().fillna(0).cumsum() // 2_000_000
-            for _, part in pdf.groupby(size):
-                texts = [t if isinstance(t, str) else None for t in part["text"]]
-                langs, score = labeller.documents(texts) if labeller else ([UNKNOWN] * len(part), 0.0)
-                out = part.drop(columns=["text"]).assign(lang_pred=langs, score=score, readable=readable(texts))
-                yield out if "text" not in carry else out.assign(text=part["text"])
-
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in carry if c != "text"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["lang_pred string", "score double", "readable boolean"]
-    return kept.mapInPandas(run, ", ".join(fields + ["text string"] * ("text" in carry)))
+    return by_text(kept, "lang_pred string, score double, readable boolean", lambda: lambda texts: predict(net, texts), BATCH_CHARS, "text" in carry)
 
 
 def fit(docs: DataFrame, **options) -> BiGRU | None:
     """Train on the bounded sample; None if no row may be learnt from."""
     rows = training_rows(docs)
-    return train([r["word"] for r in rows], [r["lang"] for r in rows], **options) if rows else None
+    return train([bytes(r["piece"]) for r in rows], [r["lang"] for r in rows], **options) if rows else None
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
