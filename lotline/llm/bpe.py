@@ -10,23 +10,21 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import table
+from lotline.llm.common import by_text, table
 
 #: Fixed value: the split pattern of the byte-level tokenizers.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens kept, and characters encoded together, in one task.
 CACHE = 300_000
 CHARS = 6_000_000
-SCHEMA = "doc_id long, n_tokens long, ids binary, decoded string"
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -42,6 +40,7 @@ class ByteBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.check(spec)
         letters = byte_alphabet()
         vocab = spec["model"]["vocab"]
         self.ids = {bytes(letters[c] for c in s): i for s, i in vocab.items()}
@@ -66,6 +65,17 @@ class ByteBPE:
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.known: dict[str, bytes] = {}
 
+    @staticmethod
+    def check(spec: dict) -> None:
+        """Refuse what this encoder does not do: normalizers, other pre-tokenizers, fallbacks, added tokens with options."""
+        model, pre, odd = spec["model"], spec.get("pre_tokenizer") or {}, []
+        odd += ["normalizer"] if spec.get("normalizer") else []
+        odd += ["model"] if model.get("type", "BPE") != "BPE" or model.get("byte_fallback") or model.get("dropout") or model.get("ignore_merges") or model.get("end_of_word_suffix") or model.get("continuing_subword_prefix") else []
+        odd += ["pre_tokenizer"] if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) else []
+        odd += ["added_tokens"] if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip")) else []
+        if odd:
+            raise ValueError(f"tokenizer file uses {', '.join(odd)} in a way that is not supported")
+
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, joined, and where each word's begin: one pair occurrence index for all."""
         lens = np.fromiter((len(w) for w in words), np.int64, len(words))
@@ -176,15 +186,17 @@ def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
     tokens, decoded ''. Added tokens inside a text count as such. Repeated rows give repeated rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         bpe = tokenizer(path)
-        for pdf in batches:
-            size = pdf["text"].str.len().fillna(0).cumsum() // CHARS
-            for _, part in pdf.groupby(size):
-                ids = bpe.encode(part["text"].fillna("").tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [bpe.decode(x) for x in ids]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
+        def work(texts: list[str | None]) -> list:
+            ids = bpe.encode([t or "" for t in texts])
+            return [pa.array([len(x) // 4 for x in ids], pa.int64()), ids, [bpe.decode(x) for x in ids]]
+
+        return work
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return by_text(own, "n_tokens long, ids binary, decoded string", start, CHARS)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from lotline.llm.near_dedup import near_duplicates
 CAPACITY = 2048
 PER_SOURCE = 4
 BLOCK_ROWS = 20_000
-SCHEMA = "doc_id long, piece int, start long, length long, bin_id string, bin_offset long"
+SCHEMA = "doc_id string, piece int, start long, length long, bin_id string, bin_offset long"
 
 
 class Bins:
@@ -83,12 +83,13 @@ def best_fit_pack(docs: DataFrame, size: Column, cluster: Column, capacity: int
     read; other columns are ignored. Returns one row per piece: doc_id, piece (from 0), start and
     length in units, bin_id, bin_offset. No bin holds two documents of one cluster, nor more than
     per_source pieces of one source. A null source or cluster never conflicts. Null or negative sizes
-    count as 0; empty documents get a piece of length 0. Repeated rows are packed as often as they
-    occur. A document larger than a bin has pieces of `capacity` units and a rest. Empty in, empty out.
+    count as 0; empty documents get a piece of length 0. Ids travel as text, so that a null id rounds no
+    other. Repeated rows are packed as often as they occur. A document larger than a bin has pieces of `capacity` units and a rest. Empty in, empty out.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"))
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"))
     blocks = max(1, -(-docs.count() // BLOCK_ROWS))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    # The row number salts repeated ids, so that no id fills a block by itself.
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "size", "source", "cluster"], kind="stable").reset_index(drop=True)
@@ -96,7 +97,8 @@ def best_fit_pack(docs: DataFrame, size: Column, cluster: Column, capacity: int
         r = np.array([g[0] for g in got], np.int64)
         return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[r], "piece": [g[1] for g in got], "start": [g[2] for g in got], "length": [g[3] for g in got], "bin_id": [f"{key[0]}-{g[4]}" for g in got], "bin_offset": [g[5] for g in got]})
 
-    return rows.groupBy("block").applyInPandas(run, SCHEMA)
+    packed = rows.groupBy("block").applyInPandas(run, SCHEMA)
+    return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def words_of(text: str = "text") -> Column:

@@ -9,21 +9,22 @@ quarter of that sample is kept from the trees and fits the monotone map from mar
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import U, held_out, table, word_bounds, word_hashes
+from lotline.llm.common import U, below, by_text, held_out, table, word_bounds, word_hashes
 
 #: Bound of the training sample (rows), and of the learnt lexicon (words and stems).
 SAMPLE_ROWS, LEXICON_WORDS = 20_000, 600
 #: Lengths in characters of the word stems that the learnt lexicon holds besides whole words.
 STEMS = (3, 4, 5, 6, 7)
 THRESHOLD = 0.3
+#: Characters scored together in a task.
+BATCH_CHARS = 2_000_000
 NEAR = 6
 INSULTS = "idiot idiots stupid moron morons dumb clown pathetic loser losers trash garbage worthless disgusting ugly hate kill scum fool fools jerk shut crap damn hell bastard bitch shit fuck fucking ass asshole liar creep freak imbecile dumm idiota estupido connard salope imbécile dummkopf arschloch".split()
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine ihr euch tu te toi vous votre ton ta usted ustedes tú ti su".split()
@@ -62,6 +63,12 @@ def within(raw: np.ndarray, s: np.ndarray, e: np.ndarray, what: np.ndarray) -> n
     return total[e] - total[s]
 
 
+def lowered(text: str, raw: bytes) -> bytes:
+    """The text in lower case as bytes; as it is in the rare case that its length in bytes would change."""
+    low = text.lower().encode("utf-8", "replace")
+    return low if len(low) == len(raw) else raw
+
+
 def ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a / np.maximum(b, 1)
 
@@ -103,7 +110,8 @@ class Features:
         raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
         base = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
         n_docs, n_bytes = len(raws), np.maximum(np.diff(base) - 1, 0)
-        s, h, fixed, value = self.lexicon(PLAIN[raw])
+        low = np.frombuffer(b"\n".join([lowered(t or "", r) for t, r in zip(texts, raws)]) + b"\n", np.uint8)
+        s, h, fixed, value = self.lexicon(PLAIN[low])
         doc = np.searchsorted(base, s, "right") - 1
         per = lambda flags: np.bincount(doc, flags, n_docs)
         person = np.isin(h, self.person)
@@ -128,7 +136,7 @@ class Features:
         letters = within(raw, ts, te, upper | lower | high)
         odd = within(raw, ts, np.maximum(te - 1, ts), digit | (mark & (raw != 45) & (raw != 39)))
         mixed = (letters > 0) & (odd > 0)
-        read = np.where(self._spread(len(raw), ts[mixed], te[mixed]), READ_AS[raw], np.uint8(32))
+        read = np.where(self._spread(len(raw), ts[mixed], te[mixed]), READ_AS[low], np.uint8(32))
         rs, _, rfixed, rvalue = self.lexicon(read)
         rdoc = np.searchsorted(base, rs, "right") - 1
         hidden = np.bincount(rdoc, rfixed | (rvalue > 0), n_docs)
@@ -244,19 +252,14 @@ class ToxicityModel:
         return np.clip(np.interp(self.trees.margin(self.features.rows(texts)), self.knots, self.values), 0, 1)
 
 
-def batches_of(pdf: pd.DataFrame, chars: int = 2_000_000) -> Iterator[pd.DataFrame]:
-    for _, part in pdf.groupby(pdf["text"].str.len().fillna(0).cumsum() // chars):
-        yield part
-
-
-def texts_of(pdf: pd.DataFrame) -> list[str | None]:
-    return [t if isinstance(t, str) else None for t in pdf["text"]]
-
-
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the rows that may be learnt from; at most SAMPLE_ROWS, by a hash of the id."""
-    marks = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    ids = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    """doc_id, text, toxic of the rows that may be learnt from; at most SAMPLE_ROWS ids, by a hash of the id.
+
+    A hash filter lets about as many ids through as the bound, so no partition sends the driver more
+    than its share of them.
+    """
+    marks = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    ids = marks.where(below(marks.count(), SAMPLE_ROWS, "doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
 
 
@@ -282,16 +285,19 @@ def _stem(n: int):
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
-    """Learn from the bounded sample; None unless it has both labels."""
+    """Learn from the bounded sample; None unless it has both labels.
+
+    A quarter of the sample fits the calibration. Where that quarter or the rest has one label only
+    (very small samples), trees and calibration both use all of it.
+    """
     rows = learning_rows(docs, labels)
     features = Features(*learnt_lexicon(rows))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for part in batches_of(pdf):
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "toxic": part["toxic"].to_numpy(), "x": list(features.rows(texts_of(part)))})
+    def start():
+        return lambda texts: [pa.array(features.rows(texts).tolist(), pa.list_(pa.float64()))]
 
-    got = rows.withColumn("doc_id", F.xxhash64("doc_id")).mapInPandas(run, "doc_id long, toxic int, x array<double>").orderBy("doc_id", "x").toPandas()
+    seen = by_text(rows.select(F.xxhash64("doc_id").alias("doc_id"), "toxic", "text"), "x array<double>", start, BATCH_CHARS)
+    got = seen.orderBy("doc_id", "x").toPandas()
     if got["toxic"].nunique() < 2:
         return None
     x, y, part = np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(float), got["doc_id"].to_numpy() % 4 == 0
@@ -311,16 +317,15 @@ def toxicity(docs: DataFrame, model: ToxicityModel | None, threshold: float = TH
     rows, an empty table an empty result.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for part in batches_of(pdf):
-                score = model.score(texts_of(part)) if model else np.zeros(len(part))
-                out = part.drop(columns=["text"]).assign(score=score, predicted=(score >= threshold).astype(int))
-                yield out if "text" not in carry else out.assign(text=part["text"])
+    def start():
+        def work(texts: list[str | None]) -> list:
+            score = model.score(texts) if model else np.zeros(len(texts))
+            return [score, (score >= threshold).astype(np.int32)]
+
+        return work
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in carry if c != "text"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"] + ["score double", "predicted int"]
-    return kept.mapInPandas(run, ", ".join(fields + ["text string"] * ("text" in carry)))
+    return by_text(kept, "score double, predicted int", start, BATCH_CHARS, "text" in carry)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
