@@ -10,19 +10,21 @@ candidates; each bucket is linked through a pivot, candidates are verified exact
 that still hold several components are looked at again, so that a large group of copies costs one
 comparison per member. What is left is settled exactly: small buckets pair by pair, large ones by
 chunks of which every two meet in one bounded group. No link between components is left untested.
+Tables that nothing reads any more are removed from the shared folder as the work goes on.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import U, gram_hashes, mix, staged, table, word_bounds, word_hashes
+from lotline.llm.common import U, forget, gram_hashes, mix, staged, table, word_bounds, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -32,69 +34,123 @@ BANDS, ROWS = 32, 5
 PIVOT_ROUNDS = 1
 #: Buckets up to this size are settled pair by pair; larger ones chunk by chunk (members, shingles in a chunk).
 SMALL, CHUNK, CHUNK_WEIGHT = 32, 256, 200_000
-#: Probabilities that a cell of area 1 holds at most n darts (Poisson with mean 1).
-AT_MOST = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(12)])
+MASK = (1 << 64) - 1
+#: Hashes below these belong to cells of at most 0, 1, ... darts: a cell of area 1 holds n with Poisson probability, mean 1.
+AT_MOST = np.array([int(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) * (1 << 64)) for i in range(12)], U)
 C1, C2, C3 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
 
 
-def shingles(texts: list[str], size: int, counted: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text: sorted distinct shingle hashes and weights. Words are lower-cased; texts of fewer words are one shingle."""
-    out = []
-    for text in texts:
-        raw = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
-        h = word_hashes(raw, *word_bounds(raw)) if len(raw) else np.zeros(0, U)
-        g = gram_hashes(h, min(size, len(h))) if len(h) else h
-        keys, n = np.unique(g, return_counts=True)
-        out.append((keys, n.astype(np.int64) if counted else np.ones(len(keys), np.int64)))
-    return out
-
-
-def unit(h: np.ndarray) -> np.ndarray:
-    return (h >> U(11)).astype(np.float64) * 2.0**-53
-
-
-def darts(keys: np.ndarray, weights: np.ndarray, doc: np.ndarray, reach: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(document, coordinate, rank, name) of every owned dart with rank below the document's reach."""
+class Sets(NamedTuple):
+    """Weighted shingle sets of several texts, one after another: hashes in order, weights, and where each text's begin."""
+
+    keys: np.ndarray
+    weights: np.ndarray
+    at: np.ndarray
+
+    def some(self, keep: np.ndarray) -> Sets:
+        """The sets of the texts that `keep` flags."""
+        size = np.diff(self.at)
+        use = np.repeat(keep, size)
+        return Sets(self.keys[use], self.weights[use], np.concatenate(([0], np.cumsum(size[keep]))))
+
+    def each(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(self.keys[a:b], self.weights[a:b]) for a, b in zip(self.at.tolist(), self.at[1:].tolist())]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sum of per-element values over each set, modulo 2**64; empty sets give 0."""
+        total = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values)))
+        return total[self.at[1:]] - total[self.at[:-1]]
+
+
+def shingles(texts: list[str], size: int, counted: bool) -> Sets:
+    """Shingles of lower-cased words with their counts (or 1); texts of fewer words are one shingle."""
+    raws = [t.lower().encode("utf-8", "replace") for t in texts]
+    raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
+    base = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
+    s, e = word_bounds(raw)
+    h = word_hashes(raw, s, e)
+    first = np.searchsorted(s, base)  # first word of each text
+    n = np.diff(first)
+    grams = gram_hashes(h, size)
+    many = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    at = np.concatenate(([0], np.cumsum(many)))
+    keys = np.empty(at[-1], U)
+    for d, (a, k, to) in enumerate(zip(first.tolist(), n.tolist(), at.tolist())):
+        if k >= size:
+            keys[to : to + k - size + 1] = np.sort(grams[a : a + k - size + 1])
+        elif k:
+            keys[to] = gram_hashes(h[a : a + k], k)[0]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    new[at[:-1][many > 0]] = True
+    start = np.flatnonzero(new)
+    count = np.diff(np.append(start, len(keys))) if counted else np.ones(len(start), np.int64)
+    return Sets(keys[start], count.astype(np.int64), np.searchsorted(start, at))
+
+
+def darts(keys: np.ndarray, weights: np.ndarray, doc: np.ndarray, since: np.ndarray, reach: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(document, coordinate, rank, name) of every owned dart with a rank from the document's `since` to below its `reach`.
+
+    The plane is cut into bands of weight and, in each, cells of area 1. A cell's darts come out of its
+    hash; of a dart's name the high 40 bits give its rank in the cell and the low 24 its coordinate.
+    """
     out: list[tuple[np.ndarray, ...]] = []
     band, low, width = 0, 0, 1
     rows = np.arange(len(keys))
     while len(rows):
-        cells = np.ceil(reach[doc[rows]] * width).astype(np.int64)
+        lowest = np.floor(since * width).astype(np.int64)
+        cells = (np.ceil(reach * width).astype(np.int64) - lowest)[doc[rows]]
         row = np.repeat(rows, cells)
-        cell = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells)
-        seed = mix(keys[row] + U(band) * C1 + cell.astype(U) * C2)
-        many = np.searchsorted(AT_MOST, unit(seed), "right")
-        at = np.repeat(np.arange(len(row)), many)
-        nth = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        name = mix(seed[at] ^ ((nth.astype(U) + U(1)) * C3))
-        rank = (cell[at] + unit(mix(name + C1))) / width
-        own = (low + width * unit(mix(name + C2)) < weights[row[at]]) & (rank < reach[doc[row[at]]])
-        name = name[own]
-        out.append((doc[row[at[own]]], (mix(name + C3) % U(k)).astype(np.int64), rank[own], name))
+        cell = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells - lowest[doc[rows]], cells)
+        seed = mix(keys[row] + cell.astype(U) * C2 + U(band * int(C1) & MASK))
+        many = np.searchsorted(AT_MOST, seed, "right")
+        own = doc[row]
+        floor, limit = since[own], reach[own]
+        part = weights[row] < low + width  # the element reaches into the band, but not through it
+        nth, at = 0, np.flatnonzero(many)
+        while len(at):
+            name = mix(seed[at] ^ U((nth + 1) * int(C3) & MASK))
+            rank = (cell[at] + (name >> U(24)).astype(np.float64) * 2.0**-40) / width
+            use = (rank < limit[at]) & (rank >= floor[at])
+            cut = np.flatnonzero(use & part[at])
+            if len(cut):
+                height = (mix(name[cut] + C2) >> U(11)).astype(np.float64) * 2.0**-53
+                use[cut] = low + width * height < weights[row[at[cut]]]
+            name = name[use]
+            out.append((own[at[use]], ((name & U(0xFFFFFF)) * U(k) >> U(24)).astype(np.int64), rank[use], name))
+            nth += 1
+            at = at[many[at] > nth]
         band, low, width = band + 1, low + width, low + width
         rows = rows[weights[rows] > low]
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int),) * 4
 
 
-def signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
-    """(documents, k) names of the least darts. Every set must have an element."""
-    keys, weights = (np.concatenate(x) for x in zip(*sets))
-    sizes = np.array([len(s[0]) for s in sets])
-    doc = np.repeat(np.arange(len(sets)), sizes)
-    reach = k * (math.log(k) + 2) / np.bincount(doc, weights, len(sets))
-    out = np.zeros((len(sets), k), U)
-    todo = np.arange(len(sets))
+def signatures(sets: Sets, k: int) -> np.ndarray:
+    """(texts, k) names of the least darts. Every set must have an element."""
+    count = len(sets.at) - 1
+    doc = np.repeat(np.arange(count), np.diff(sets.at))
+    since, reach = np.zeros(count), k * (math.log(k) + 2) / sets.sums(sets.weights)
+    out, least = np.zeros(count * k, U), np.full(count * k, np.inf)
+    todo = np.arange(count)
+    part = slice(None)
     while len(todo):
+        d, c, rank, name = darts(sets.keys[part], sets.weights[part], doc[part], since, reach, k)
+        slot = d * k + c
+        np.minimum.at(least, slot, rank)
+        best = rank == least[slot]
+        out[slot[best]] = name[best]
+        found = np.isfinite(least).reshape(count, k).all(axis=1)
+        todo = todo[~found[todo]]
+        since[todo] = reach[todo]  # some coordinate has no dart yet: look at higher ranks
+        reach[todo] *= 2
         part = np.isin(doc, todo)
-        d, c, rank, name = darts(keys[part], weights[part], doc[part], reach, k)
-        order = np.lexsort((rank, d * k + c))
-        slot = (d * k + c)[order]
-        first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1]))) if len(slot) else np.zeros(0, int)
-        out.reshape(-1)[slot[first]] = name[order][first]
-        found = np.bincount(slot[first] // k, minlength=len(sets))
-        todo = todo[found[todo] < k]
-        reach[todo] *= 2  # some coordinate has no dart yet: look at higher ranks
-    return out
+    return out.reshape(count, k)
+
+
+def text_batches(pdf: pd.DataFrame, chars: int = 400_000, rows: int = 64) -> Iterator[pd.DataFrame]:
+    group = np.maximum(pdf["text"].str.len().cumsum() // chars, np.arange(len(pdf)) // rows)
+    for _, part in pdf.groupby(group):
+        yield part
 
 
 def sign(docs: DataFrame, counted: bool, bands: int, rows: int, shingle: int) -> DataFrame:
@@ -102,32 +158,33 @@ def sign(docs: DataFrame, counted: bool, bands: int, rows: int, shingle: int) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            group = np.maximum(pdf["text"].str.len().cumsum() // 1_000_000, np.arange(len(pdf)) // 256)
-            for _, part in pdf.groupby(group):
+            for part in text_batches(pdf):
                 sets = shingles(part["text"].tolist(), shingle, counted)
-                some = np.array([len(s[0]) > 0 for s in sets])
+                some = np.diff(sets.at) > 0
                 if not some.any():
                     continue
-                sets = [s for s in sets if len(s[0])]
-                sig = signatures(sets, bands * rows).reshape(len(sets), bands, rows)
-                name = np.zeros((len(sets), bands), U)
+                sets = sets.some(some)
+                sig = signatures(sets, bands * rows).reshape(-1, bands, rows)
+                name = np.zeros(sig.shape[:2], U)
                 for i in range(rows):
                     name = mix(name * C1 + sig[:, :, i])
                 name = mix(name + np.arange(bands, dtype=U)[None, :] * C2).view(np.int64)
-                ids = [(mix(s[0] * C1 + s[1].astype(U)).sum(dtype=U), mix(s[0] * C2 + s[1].astype(U) + C3).sum(dtype=U)) for s in sets]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[some], "id_a": np.array([x[0] for x in ids], U).view(np.int64), "id_b": np.array([x[1] for x in ids], U).view(np.int64), "total": [int(s[1].sum()) for s in sets], "bands": list(name)})
+                w = sets.weights.astype(U)
+                ids = [sets.sums(mix(sets.keys * c + w + d)).view(np.int64) for c, d in ((C1, U(0)), (C2, C3))]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[some], "id_a": ids[0], "id_b": ids[1], "total": sets.sums(sets.weights), "bands": list(name)})
 
     kept = docs.where("text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return kept.mapInPandas(run, "doc_id long, id_a long, id_b long, total long, bands array<long>")
 
 
 def packed_sets(docs: DataFrame, counted: bool, shingle: int) -> DataFrame:
+    """rep, keys, weights of the texts, as bytes."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for at in range(0, len(pdf), 256):
-                part = pdf.iloc[at : at + 256]
-                sets = shingles(part["text"].tolist(), shingle, counted)
-                yield pd.DataFrame({"rep": part["doc_id"].to_numpy(), "keys": [k.tobytes() for k, _ in sets], "weights": [w.astype("<u4").tobytes() for _, w in sets]})
+            for part in text_batches(pdf):
+                sets = shingles(part["text"].tolist(), shingle, counted).each()
+                yield pd.DataFrame({"rep": part["rep"].to_numpy(), "keys": [k.tobytes() for k, _ in sets], "weights": [w.astype("<u4").tobytes() for _, w in sets]})
 
     return docs.mapInPandas(run, "rep long, keys binary, weights binary")
 
@@ -139,9 +196,9 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         for pdf in batches:
             ok = []
             for ka, wa, kb, wb in zip(pdf["ka"], pdf["wa"], pdf["kb"], pdf["wb"]):
-                wa, wb = np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4")
-                _, i, j = np.intersect1d(np.frombuffer(ka, U), np.frombuffer(kb, U), assume_unique=True, return_indices=True)
-                both = int(np.minimum(wa[i], wb[j]).sum())
+                ka, kb, wa, wb = np.frombuffer(ka, U), np.frombuffer(kb, U), np.frombuffer(wa, "<u4"), np.frombuffer(wb, "<u4")
+                at = np.minimum(np.searchsorted(kb, ka), len(kb) - 1)
+                both = int(np.minimum(wa, wb[at])[kb[at] == ka].sum())
                 ok.append(both >= threshold * (int(wa.sum()) + int(wb.sum()) - both))
             yield pdf.loc[ok, ["a", "b"]]
 
@@ -154,9 +211,11 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """rep, label: the least vertex of each vertex's component. Labels spread along edges and then skip ahead."""
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     now = both.select(F.col("a").alias("rep")).distinct().withColumn("label", F.col("rep"))
+    used = [both]
     if labels is not None:
         old = labels.select(F.col("rep").alias("a"), F.col("label").alias("b")).where("a <> b")
         both = staged(both.unionByName(old).unionByName(old.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+        used.append(both)
         now = labels.unionByName(now.join(labels, "rep", "left_anti"))
     now = staged(now, "labels")
     while True:
@@ -164,11 +223,12 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         step = now.join(least, now["rep"] == least["a"], "left").select("rep", F.least("label", F.coalesce("least", "label")).alias("label"), F.col("label").alias("old"))
         step = staged(step, "step")
         ahead = step.select(F.col("rep").alias("label"), F.col("label").alias("next"))
-        jumped = step.join(ahead, "label", "left").select("rep", F.coalesce("next", "label").alias("label"), "old")
-        now = staged(jumped, "labels")
-        if now.where("label <> old").isEmpty():
-            return now.select("rep", "label")
-        now = now.select("rep", "label")
+        jumped = staged(step.join(ahead, "label", "left").select("rep", F.coalesce("next", "label").alias("label"), "old"), "labels")
+        forget(now, step)
+        now = jumped.select("rep", "label")
+        if jumped.where("label <> old").isEmpty():
+            forget(*used)
+            return now
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -190,16 +250,18 @@ def links_of(part: pd.DataFrame, threshold: float) -> list[tuple[int, int]]:
     doc = np.repeat(np.arange(len(reps)), [len(k) for k in keys])
     _, token, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     weight = np.concatenate(weights)
-    both = np.zeros((len(reps), len(reps)), np.float32)
-    for level in range(1, int(weight.max(initial=0)) + 1):  # shared weight, one unit of it at a time
+    both = np.zeros((len(reps), len(reps)))
+    below = 0
+    for level in np.unique(weight).tolist():  # shared weight, one step between the weights that occur at a time
         use = (weight >= level) & (count[token] > 1)
+        step, below = level - below, level
         _, column = np.unique(token[use], return_inverse=True)
         own = doc[use]
         for at in range(0, int(column.max(initial=-1)) + 1, 4096):
             here = (column >= at) & (column < at + 4096)
             has = np.zeros((len(reps), 4096), np.float32)
             has[own[here], column[here] - at] = 1
-            both += has @ has.T
+            both += step * (has @ has.T)
     total = np.array([int(w.sum()) for w in weights], float)
     similar = both >= threshold * (total[:, None] + total[None, :] - both)
     root: dict[int, int] = {}
@@ -230,48 +292,54 @@ def linked_in_chunks(rows: DataFrame, sets: DataFrame, threshold: float) -> Data
     return met.join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool = False, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool = True, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, class_id: the least doc_id of the document's near-duplicate class.
 
-    docs: doc_id, text; other columns are ignored. Classes are the connected components of pairs with
-    Jaccard similarity of shingle sets (counted=True: of shingle counts) of at least `threshold`.
-    Texts of fewer words than a shingle are one shingle; null, empty and wordless texts are classes of
-    their own. Rows with one doc_id are one document with several texts: all get one class. A null
-    doc_id gets a null class. Repeated rows give repeated rows; empty in, empty out.
+    docs: doc_id, text; other columns are ignored. Classes are the connected components of pairs whose
+    shingle counts have a weighted Jaccard similarity (counted=False: whose shingle sets have a Jaccard
+    similarity) of at least `threshold`. Texts of fewer words than a shingle are one shingle; null, empty
+    and wordless texts are classes of their own. Rows with one doc_id are one document with several
+    texts: each text is compared, and what is like any of them joins the document's class. A null doc_id
+    gets a null class. Repeated rows give repeated rows; empty in, empty out.
     """
     signed = staged(sign(docs, counted, bands, rows, shingle), "signatures")
     name = ["id_a", "id_b", "total"]
     vertices = staged(signed.groupBy(*name).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "vertices")
-    exploded = vertices.select("rep", "total", F.explode("bands").alias("key"))
+    # A vertex is named by its least document; a document of several texts ties its vertices together.
+    several = signed.groupBy("doc_id").agg(F.min(F.struct(*name)).alias("lo"), F.max(F.struct(*name)).alias("hi")).where("lo <> hi").select("doc_id")
+    tied = signed.join(several, "doc_id").select("doc_id", *name).distinct().join(vertices.select(*name, "rep"), name)
+    tied = staged(tied.join(tied.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct(), "tied")
+    exploded = vertices.select("rep", "total", F.explode("bands").alias("key")).distinct()
     shared = exploded.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").drop("last")
     members = staged(exploded.join(shared, "key"), "members")
     ids = members.select("rep").distinct()
-    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
-    sets = staged(packed_sets(texts.withColumnRenamed("rep", "doc_id"), counted, shingle), "sets")
-    sizes = members.select("rep", "total").distinct()
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi").groupBy("rep", F.xxhash64("text")).agg(F.min("text").alias("text"))
+    sets = staged(packed_sets(texts.select("rep", "text"), counted, shingle), "sets")
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs whose weights allow the threshold."""
         return pairs.where(F.least("ta", "tb") >= F.lit(threshold) * F.greatest("ta", "tb")).select("a", "b")
 
-    pivots = sizes.select(F.col("rep").alias("b"), F.col("total").alias("tb"))
+    pivots = members.select(F.col("rep").alias("b"), F.col("total").alias("tb")).distinct()
     first = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b"), F.col("total").alias("ta")).distinct().join(pivots, "b")
     tested = staged(ordered(close(first)), "pairs")
-    labels = components(verified(tested, sets, threshold))
+    labels = components(verified(tested, sets, threshold).unionByName(tied))
     for turn in range(PIVOT_ROUNDS):
         rows = open_members(members, labels)
         pivot = rows.groupBy("key").agg(F.max_by(F.struct(F.col("rep").alias("b"), F.col("total").alias("tb"), F.col("label").alias("lb")), F.xxhash64("rep", F.lit(turn))).alias("p")).select("key", "p.*")
         pairs = rows.select("key", F.col("rep").alias("a"), F.col("total").alias("ta"), F.col("label").alias("la")).join(pivot, "key").where("la <> lb")
         fresh = staged(ordered(close(pairs)).join(tested, ["a", "b"], "left_anti"), "pairs")
-        labels = components(verified(fresh, sets, threshold), labels)
-        tested = staged(tested.unionByName(fresh), "tested")
+        before, labels = labels, components(verified(fresh, sets, threshold), labels)
+        old, tested = tested, staged(tested.unionByName(fresh), "tested")
+        forget(before, fresh, old)
     rows = staged(open_members(members, labels), "open")
     small = rows.where(F.col("n") <= SMALL)
     left, right = (small.select("key", F.col("rep").alias(x), F.col("total").alias(f"t{x}"), F.col("label").alias(f"l{x}")) for x in "ab")
     fresh = staged(ordered(close(left.join(right, "key").where("la <> lb and a > b"))).join(tested, ["a", "b"], "left_anti"), "pairs")
-    labels = components(verified(fresh, sets, threshold).unionByName(linked_in_chunks(rows.where(F.col("n") > SMALL), sets, threshold)), labels)
+    before, labels = labels, components(verified(fresh, sets, threshold).unionByName(linked_in_chunks(rows.where(F.col("n") > SMALL), sets, threshold)), labels)
     reps = vertices.select(*name, "rep").join(labels, "rep", "left").select(*name, F.coalesce("label", "rep").alias("label"))
-    classes = signed.select("doc_id", *name).distinct().join(reps, name).groupBy("doc_id").agg(F.min("label").alias("class_id"))
+    classes = staged(signed.select("doc_id", *name).distinct().join(reps, name).groupBy("doc_id").agg(F.min("label").alias("class_id")), "classes")
+    forget(before, fresh, rows, tested, members, sets, tied, signed, vertices, labels)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     return own.join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 

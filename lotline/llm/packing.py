@@ -103,7 +103,8 @@ def best_fit_pack(docs: DataFrame, size: Column, cluster: Column, capacity: int
 
 def words_of(text: str = "text") -> Column:
     """Number of words of a text."""
-    return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t-\r]+"), lambda w: w != ""))
+    blanks = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
+    return F.size(F.array_remove(F.split(blanks, " "), ""))
 
 
 def with_clusters(docs: DataFrame, size: Column) -> DataFrame:
