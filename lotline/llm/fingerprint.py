@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from lotline.llm.common import table
 
 EQUAL, SIGN = 16, 128
-#: The most ranges that ids are dealt into to find each document's neighbour; only ids go there.
-RANGES = 256
+#: To find each document's neighbour, ids are dealt into ranges of about RANGE_IDS, at most SIDE * SIDE of them.
+RANGE_IDS, SIDE = 20_000, 64
 #: Stands for a null doc_id.
 NO_ID = -(1 << 63)
 
@@ -83,19 +83,29 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "f") -> DataFra
     return docs.withColumn(out, lanes(pieces(F.col(text))))
 
 
+def place(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted cuts are below the key: the cuts are looked up in two steps, SIDE to a group."""
+    many = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    if len(cuts) <= SIDE:
+        return F.size(F.filter(many(cuts), lambda c: c < key)) if cuts else F.lit(0)
+    groups = [cuts[i : i + SIDE] for i in range(0, len(cuts), SIDE)]
+    before = F.size(F.filter(many([g[-1] for g in groups]), lambda c: c < key))
+    own = F.coalesce(F.get(F.array(*map(many, groups)), before), F.array().cast("array<bigint>"))
+    return F.least(before * SIDE + F.size(F.filter(own, lambda c: c < key)), F.lit(len(cuts)))
+
+
 def neighbours(docs: DataFrame) -> DataFrame:
-    """key, next, n: each distinct id, the next one in descending order (after the last: the first), characters to take.
+    """key, next, half: each distinct id, the next one in descending order (after the last: the first), characters to take.
 
     Ids are dealt into ranges cut at quantiles; a range's smallest id goes on to the greatest id of
     the range below. Of equal ids each length is kept.
     """
     ids = docs.select("key", F.floor(F.length("text") / 2).alias("half")).distinct()
     count = ids.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    n = int(min(RANGES, max(1, count // 1000)))
+    n = int(min(SIDE * SIDE, max(1, count // RANGE_IDS)))
     cuts = sorted(set(ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10_000)).first()[0] or [])) if n > 1 and count else []
-    bucket = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("key"))) if cuts else F.lit(0)
-    ids = ids.withColumn("bucket", bucket)
-    tops = {r["bucket"]: r["top"] for r in ids.groupBy("bucket").agg(F.max("key").alias("top")).collect()}  # at most RANGES rows
+    ids = ids.withColumn("bucket", place(F.col("key"), cuts))
+    tops = {r["bucket"]: r["top"] for r in ids.groupBy("bucket").agg(F.max("key").alias("top")).collect()}  # one row a range
     order = sorted(tops)
     below = {b: tops[a] for a, b in zip([order[-1], *order], order)} if order else {}
     first = F.element_at(F.create_map(*[x for b, t in below.items() for x in (F.lit(b), F.lit(t).cast("long"))]), F.col("bucket")) if below else F.lit(None).cast("long")
@@ -114,17 +124,18 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     order = neighbours(base).withColumnRenamed("key", "target")
-    # Keyed by the next document: its text is cut to what the edit takes before it travels. Both joins read
-    # the texts by key, so that they share one exchange.
+    # Each fingerprint is worked out once, before the texts are dealt by key; both joins read that one exchange.
+    base = fingerprints(base)
+    # Keyed by the next document: its text is cut to what the edit takes before it travels, once, to its target.
     sent = base.join(order, base["key"] == order["next"])
-    sent = sent.select("target", "half", F.expr("substring(text, 1, cast(half as int))").alias("piece"), lanes(pieces(F.col("text"))).alias("next_f"))
+    sent = sent.select("target", "half", F.expr("substring(text, 1, cast(half as int))").alias("piece"), F.col("f").alias("next_f")).repartition("target")
     sent = sent.groupBy("target", "half").agg(F.min(F.struct("piece", "next_f")).alias("s"))
     n = F.length("text")
     joined = base.join(sent, F.col("key") == F.col("target")).where(F.col("half") - F.floor(n / 2) == 0)
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - half as int))"), F.col("s.piece"))
     own_id = F.when(F.col("key") != NO_ID, F.col("key"))
-    out = joined.select(own_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), lanes(pieces(F.col("text"))).alias("f"), F.col("s.next_f").alias("next_f"))
-    out = out.withColumn("edited_f", lanes(pieces(F.col("edited"))))
+    out = joined.select(own_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), "f", F.col("s.next_f").alias("next_f"))
+    out = fingerprints(out, "edited", "edited_f")
     return out.select("doc_id", "n_chars", "edited", as_text(F.col("f")).alias("fingerprint"), as_text(F.col("edited_f")).alias("edited_fingerprint"), likeness(F.col("f"), F.col("edited_f")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"))
 
 
