@@ -6,8 +6,9 @@ cutoff. Phase 2 sends the cutoff out with the queries; a list returns every entr
 even share, cutoff / slices. A vector below its share in every list has a total below the cutoff, so
 these entries suffice. Phase 3 resolves what is not yet known of their totals and ranks them.
 
-Partial scores are block products in numpy: packed blocks of candidates meet packed blocks of
-queries by a join on the query block, which Spark broadcasts only while the queries are small.
+Partial scores are block products in numpy. Packed blocks of candidates are dealt into groups of
+bounded size and travel once; the packed blocks of queries, the smaller side, are copied to every
+group. No key holds all candidates or all queries, and Spark broadcasts a side only while it is small.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from lotline.llm.common import staged, table
 SLICES = 2
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
+#: Blocks of candidates in a group; with few blocks each is a group of its own.
+GROUP_BLOCKS = 16
+#: A vector is known by its id and a hash of its components, as ids may repeat with other components.
+QUERY, CANDIDATE = ["query_id", "query_tag"], ["vec_id", "vec_tag"]
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """id, v (array of long): floor(scale * component); rows that may not take part are left out."""
+    """id, tag (a hash of v), v (array of long): floor(scale * component); rows that may not take part are left out."""
     good = F.col(vec_col).isNotNull() & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.where(F.coalesce(good, F.lit(False)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")).distinct()
+    return vectors.where(F.coalesce(good, F.lit(False)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")).distinct().select("id", F.xxhash64("v").alias("tag"), "v")
 
 
 def nearest_copies(rows: DataFrame, k: int) -> DataFrame:
@@ -53,14 +58,15 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def resolve(pairs: DataFrame, queries: DataFrame, rows: DataFrame) -> DataFrame:
-    """Exact totals of (query_id, vec_id) pairs."""
+    """Exact totals of pairs of a query and a candidate. Candidates come first: their vectors travel by their own key."""
     total = F.aggregate(F.zip_with("q", "v", lambda x, y: F.coalesce(x * y, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
-    joined = pairs.join(queries.select(F.col("id").alias("query_id"), F.col("v").alias("q")), "query_id").join(rows.select(F.col("id").alias("vec_id"), "v"), "vec_id")
-    return joined.select("query_id", "vec_id", total.alias("score"))
+    named = lambda df, keys, v: df.select(F.col("id").alias(keys[0]), F.col("tag").alias(keys[1]), F.col("v").alias(v))
+    joined = pairs.join(named(rows, CANDIDATE, "v"), CANDIDATE).join(named(queries, QUERY, "q"), QUERY)
+    return joined.select(*QUERY, *CANDIDATE, total.alias("score"))
 
 
 def ranked(scores: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy(*QUERY).orderBy(F.desc("score"), *CANDIDATE)
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -69,8 +75,10 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
 
     vectors, queries: id_col, vec_col (other columns are ignored). Returns query_id, rank (from 1),
     vec_id, score. Rows with a null id or vector, or a null or non-finite component, take no part.
-    Repeated rows count once; rows with the query's own id are never its candidates. Missing last
-    components count as 0. With fewer than k candidates all are returned; empty in, empty out.
+    Rows equal in id and components count once. An id with several vectors is several candidates, which
+    can all be among the best, and as a query it is asked once per vector, so its ranks repeat. Rows with
+    the query's own id are never its candidates. Missing last components count as 0. With fewer than k
+    candidates all are returned; empty in, empty out.
     """
     rows = staged(nearest_copies(clean(vectors, id_col, vec_col, scale), k), "candidates")
     asked = staged(clean(queries, id_col, vec_col, scale), "queries")
@@ -78,34 +86,45 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     width = -(-width // slices) * slices
     step = width // slices
     blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
+    packs = max(1, math.ceil(rows.count() / CANDIDATE_BLOCK))
+    groups = max(1, math.ceil(packs / GROUP_BLOCKS), min(packs, rows.sparkSession.sparkContext.defaultParallelism * 2))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for at in range(0, len(pdf), CANDIDATE_BLOCK):
                 part = pdf.iloc[at : at + CANDIDATE_BLOCK]
                 m = matrix(part["v"], width)
-                ids = part["id"].to_numpy(np.int64).tobytes()
-                yield pd.DataFrame({"slice": range(slices), "ids": ids, "m": [np.ascontiguousarray(m[:, s * step : (s + 1) * step]).tobytes() for s in range(slices)]})
+                ids, tags = (part[c].to_numpy(np.int64).tobytes() for c in ("id", "tag"))
+                yield pd.DataFrame({"slice": range(slices), "ids": ids, "tags": tags, "m": [np.ascontiguousarray(m[:, s * step : (s + 1) * step]).tobytes() for s in range(slices)]})
 
-    candidates = rows.mapInPandas(pack, "slice int, ids binary, m binary").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    packed = rows.mapInPandas(pack, "slice int, ids binary, tags binary, m binary")
+    candidates = packed.withColumn("part", F.pmod(F.xxhash64("ids", "tags"), F.lit(groups)).cast("int"))
+
+    def pack_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for qs in pdf["qs"]:
+                ids, tags, cut = (np.array([q[c] for q in qs], np.int64).tobytes() for c in ("id", "tag", "cutoff"))
+                yield pd.DataFrame({"q_ids": [ids], "q_tags": [tags], "cut": [cut], "q": [matrix(pd.Series([x["v"] for x in qs]), width).tobytes()]})
 
     def packed_queries(cutoffs: DataFrame | None) -> DataFrame:
-        own = asked.withColumn("cutoff", F.lit(None).cast("long")) if cutoffs is None else asked.join(cutoffs, F.col("id") == F.col("query_id"), "left")
-        sides = F.struct("id", "v", F.coalesce("cutoff", F.lit(-(1 << 62))).alias("cutoff"))
-        return own.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")).agg(F.sort_array(F.collect_list(sides)).alias("qs"))
+        own = asked.withColumn("cutoff", F.lit(None).cast("long")) if cutoffs is None else asked.join(cutoffs, (F.col("id") == F.col("query_id")) & (F.col("tag") == F.col("query_tag")), "left")
+        sides = F.struct("id", "tag", "v", F.coalesce("cutoff", F.lit(-(1 << 62))).alias("cutoff"))
+        blocked = own.groupBy(F.pmod(F.xxhash64("id", "tag"), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(sides)).alias("qs"))
+        binary = blocked.select("qs").mapInPandas(pack_queries, "q_ids binary, q_tags binary, cut binary, q binary")
+        return binary.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
     def meet(cutoffs: DataFrame | None, local_best: int | None) -> DataFrame:
         """Entries of every list: its best per block of candidates, or all of at least their share."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for s, ids, m, qs in zip(pdf["slice"], pdf["ids"], pdf["m"], pdf["qs"]):
-                    ids = np.frombuffer(ids, np.int64)
-                    own = np.array([q["id"] for q in qs], np.int64)
-                    q = matrix(pd.Series([x["v"] for x in qs]), width)[:, s * step : (s + 1) * step]
+                for s, ids, tags, m, q_ids, q_tags, cut, q in zip(*(pdf[c] for c in ("slice", "ids", "tags", "m", "q_ids", "q_tags", "cut", "q"))):
+                    ids, tags, own, own_tags, cut = (np.frombuffer(x, np.int64) for x in (ids, tags, q_ids, q_tags, cut))
+                    q = np.frombuffer(q, np.int64).reshape(len(own), width)[:, s * step : (s + 1) * step]
                     part = product(q, np.frombuffer(m, np.int64).reshape(len(ids), step))
                     other = own[:, None] != ids[None, :]
                     if local_best:
+                        # Own rows rank last: with one more entry than asked for each, none of the best is missed.
                         n = min(local_best + 1, len(ids))
                         c = np.argpartition(-np.where(other, part, np.iinfo(np.int64).min // 2), n - 1, axis=1)[:, :n]
                         r = np.repeat(np.arange(len(own)), n)
@@ -113,20 +132,21 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
                         keep = other[r, c]
                         r, c = r[keep], c[keep]
                     else:
-                        cut = np.array([x["cutoff"] for x in qs], np.int64)
                         r, c = np.nonzero(other & (part * slices >= cut[:, None]))
-                    yield pd.DataFrame({"query_id": own[r], "vec_id": ids[c], "slice": np.int32(s), "part": part[r, c]})
+                    yield pd.DataFrame({"query_id": own[r], "query_tag": own_tags[r], "vec_id": ids[c], "vec_tag": tags[c], "slice": np.int32(s), "part": part[r, c]})
 
-        return candidates.join(packed_queries(cutoffs), "block").select("slice", "ids", "m", "qs").mapInPandas(run, "query_id long, vec_id long, slice int, part long")
+        met = candidates.join(packed_queries(cutoffs), "part").select("slice", "ids", "tags", "m", "q_ids", "q_tags", "cut", "q")
+        return met.mapInPandas(run, "query_id long, query_tag long, vec_id long, vec_tag long, slice int, part long")
 
-    best = Window.partitionBy("query_id", "slice").orderBy(F.desc("part"), "vec_id")
+    pair = [*QUERY, *CANDIDATE]
+    best = Window.partitionBy(*QUERY, "slice").orderBy(F.desc("part"), *CANDIDATE)
     lists = meet(None, k).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
-    known = ranked(resolve(lists.select("query_id", "vec_id").distinct(), asked, rows), k)
-    cutoffs = staged(known.groupBy("query_id").agg(F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).drop("n"), "cutoffs")
-    entries = meet(cutoffs, None).groupBy("query_id", "vec_id").agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("seen"))
+    known = ranked(resolve(lists.select(*pair).distinct(), asked, rows), k)
+    cutoffs = staged(known.groupBy(*QUERY).agg(F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k).drop("n"), "cutoffs")
+    entries = meet(cutoffs, None).groupBy(*pair).agg(F.sum("part").alias("score"), F.count(F.lit(1)).alias("seen"))
     entries = staged(entries, "entries")
-    whole = entries.where(F.col("seen") == slices).select("query_id", "vec_id", "score")
-    rest = resolve(entries.where(F.col("seen") < slices).select("query_id", "vec_id"), asked, rows)
+    whole = entries.where(F.col("seen") == slices).select(*pair, "score")
+    rest = resolve(entries.where(F.col("seen") < slices).select(*pair), asked, rows)
     return ranked(whole.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -141,10 +161,10 @@ with v as (
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
-  select q.vec_id as query_id, c.vec_id as vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  select q.vec_id as query_id, q.v as q, c.vec_id as vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
 ), r as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+  select *, row_number() over (partition by query_id, q order by score desc, vec_id) as rank from s
 )
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
 """

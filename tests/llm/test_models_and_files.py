@@ -47,6 +47,22 @@ def test_topk_odd_vectors(spark):
     assert exact_topk(two, two).count() == 2 and exact_topk(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_ids(spark):
+    """Different vectors under one id are candidates and queries of their own; no entry may get lost."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in rng.normal(size=6)]) for i in [*range(40), *range(10), 3, 3, 100, 100]]
+    rows += [rows[0], (100, rows[-1][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk(df, df.where("vec_id in (0, 3, 20, 100)")).collect())
+    vectors = sorted({(i, tuple(int(np.floor(256 * x)) for x in v)) for i, v in rows})
+    want = []
+    for i, v in vectors:
+        if i in (0, 3, 20, 100):
+            best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in vectors if j != i)[:5]
+            want += [(i, n, j, -s) for n, (s, j) in enumerate(best, 1)]
+    assert got == sorted(want)
+
+
 def test_warc_segments_and_odd_pages(spark, tmp_path):
     pages = [(1, "http://a", "x" * 50_000 + "é日" * 9_000), (2, None, None), (3, "http://c\r\nX: y", "y" * 150), (4, "u", "y" * 150), (5, "u", "short"), (6, "u", "short"), (7, "u", "WARC/1.1\r\n\r\n\r\n0\r\n\r\n" * 30), (None, "u", "y" * 150), (8, "u", ""), (1, "http://a", "x" * 50_000 + "é日" * 9_000)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
