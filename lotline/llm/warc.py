@@ -3,17 +3,22 @@
 Writing: one response or revisit record per page. Response blocks are HTTP messages with a chunked
 body; blocks over SEGMENT bytes continue in `continuation` records. Records are text (payloads are
 UTF-8, and cuts fall between characters), so Spark's text writer with the record end as its line
-end makes the archive files. Reading: files are parsed by Content-Length; continuation records are
-grouped by their origin's id, put in order of segment number, held against the total length, and the
-chunked framing is taken off. Revisits get their payload's length from the record they refer to.
+end makes the archive files. Reading: files are parsed record by record, plain or gzipped (one member
+per file or per record), WARC 1.0 and 1.1; continuation records are grouped by their origin's id, put
+in order of segment number, held against the total length, and the chunked framing is taken off.
+Revisits get their payload's length from the record they refer to.
 """
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
+import io
 import uuid
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +26,16 @@ from pyspark.sql import functions as F
 
 from lotline.llm.common import shared_dir, table
 
-SEGMENT = 1 << 16
-CHUNK = 1 << 13
-RECORDS_PER_FILE = 512
+#: Blocks longer than this are continued: most pages are.
+SEGMENT = 1 << 11
+CHUNK = 1 << 10
+RECORDS_PER_FILE = 2048
 LEAST_REVISIT = 100
 END = b"\r\n\r\n"
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 PARSED = "record_id string, type string, page_id long, url string, digest string, refers_to long, refers_id string, origin string, segment int, total long, block binary"
+FOUND = "record_id string, page_id long, url string, digest string, payload binary"
 
 
 def cuts(data: bytes, step: int) -> list[bytes]:
@@ -96,8 +103,8 @@ def records_of(page_id, url, html: str, digest: str, first, segment: int) -> lis
 def write_warc(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
     """Write page_id, url, html as gzipped archive files under path.
 
-    Of pages with equal payloads of at least LEAST_REVISIT bytes, the one with the smallest page_id
-    is a response and the others revisit it. Null html is an empty payload; a null page_id is never
+    pages: page_id, url, html; other columns are ignored. Of pages with equal payloads of at least
+    LEAST_REVISIT bytes, the one with the smallest page_id is a response and the others revisit it. Null html is an empty payload; a null page_id is never
     the one referred to while another has the payload.
     """
     digest = F.sha2(F.encode(F.coalesce("html", F.lit("")), "UTF-8"), 256)
@@ -116,74 +123,133 @@ def write_warc(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
     made.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple]:
-    """The records of one archive file."""
-    at = 0
-    while at < len(data):
-        if not data.startswith(VERSION, at):
-            raise ValueError(f"no record at byte {at}")
-        stop = data.index(END, at)
-        head = dict(line.split(": ", 1) for line in data[at:stop].decode().split("\r\n")[1:])
-        size = int(head["Content-Length"])
-        block = data[stop + 4 : stop + 4 + size]
+def header_lines(raw: list[bytes]) -> dict[str, str]:
+    """Named fields, names in lower case; lines that begin with a blank go on with the field before."""
+    out: dict[str, str] = {}
+    name = ""
+    for line in raw:
+        text = line.decode("utf-8", "replace").rstrip("\r\n")
+        if text[:1] in (" ", "\t") and name:
+            out[name] += " " + text.strip()
+        elif ":" in text:
+            name, value = text.split(":", 1)
+            name = name.strip().lower()
+            out[name] = value.strip()
+    return out
+
+
+def parse(stream: BinaryIO) -> Iterator[tuple]:
+    """The records of one archive file, read one after another."""
+    while True:
+        line = stream.readline()
+        while line in (b"\r\n", b"\n"):
+            line = stream.readline()
+        if not line:
+            return
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no record: {line[:40]!r}")
+        raw = []
+        while (line := stream.readline()) not in (b"\r\n", b"\n"):
+            if not line:
+                raise ValueError("header cut short")
+            raw.append(line)
+        head = header_lines(raw)
+        size = int(head["content-length"])
+        block = stream.read(size)
         if len(block) != size:
-            raise ValueError(f"record at byte {at} is cut short")
+            raise ValueError(f"{head.get('warc-record-id')}: record is cut short")
         number = lambda k: int(head[k]) if k in head else None
-        yield head["WARC-Record-ID"], head["WARC-Type"], number("X-Page-ID"), head.get("WARC-Target-URI"), head.get("WARC-Payload-Digest", "").removeprefix("sha256:") or None, number("X-Refers-To-Page"), head.get("WARC-Refers-To"), head.get("WARC-Segment-Origin-ID"), number("WARC-Segment-Number"), number("WARC-Segment-Total-Length"), block
-        at = stop + 4 + size + 4
+        url = head.get("warc-target-uri")
+        url = url[1:-1] if url and url.startswith("<") and url.endswith(">") else url
+        yield head["warc-record-id"], head["warc-type"].lower(), number("x-page-id"), url, head.get("warc-payload-digest"), number("x-refers-to-page"), head.get("warc-refers-to"), head.get("warc-segment-origin-id"), number("warc-segment-number"), number("warc-segment-total-length"), block
+
+
+def opened(content: bytes) -> BinaryIO:
+    """A gzipped file's members are read one after another, as they are needed."""
+    plain = io.BytesIO(content)
+    return io.BufferedReader(gzip.GzipFile(fileobj=plain), 1 << 16) if content[:2] == b"\x1f\x8b" else plain
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archive files under path."""
+    """Every record of the archive files under path. Blocks of segments are deflated until they are joined."""
     names = [c.split()[0] for c in PARSED.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for content in pdf["content"]:
-                data = zlib.decompress(content, 47) if content[:2] == b"\x1f\x8b" else content
-                out = pd.DataFrame(list(parse(data)), columns=names)
-                yield out.astype({c: "Int64" for c in ("page_id", "refers_to", "segment", "total")})
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content").mapInPandas(run, PARSED)
+                rows, size = [], 0
+                for row in parse(opened(content)):
+                    rows.append(row[:-1] + (zlib.compress(row[-1], 1),) if row[8] is not None else row)
+                    size += len(row[-1])
+                    if size > 16 << 20:
+                        yield framed(rows)
+                        rows, size = [], 0
+                yield framed(rows)
+
+    def framed(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("page_id", "refers_to", "segment", "total")})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, PARSED)
+
+
+def checked(rid: str, block: bytes, digest: str | None) -> tuple[str, bytes]:
+    """SHA-256 and payload of a response block, held against its digest if that is of a known kind."""
+    head, body = block.split(END, 1)
+    fields = header_lines(head.split(b"\r\n")[1:])
+    payload = unchunked(body) if fields.get("transfer-encoding", "").lower() == "chunked" else body
+    own = hashlib.sha256(payload).hexdigest()
+    kind, _, value = (digest or "").partition(":")
+    found = {"sha256": own, "sha1": base64.b32encode(hashlib.sha1(payload).digest()).decode()}.get(kind.lower())
+    if found is not None and found.lower() != value.lower():
+        raise ValueError(f"{rid}: payload digest differs")
+    return own, payload
 
 
 def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Joins segments, checks the total length and the digest, and takes off the framing."""
+    """Takes the framing off blocks that stand in one record."""
+    for pdf in batches:
+        rows = [(rid, page, url, *checked(rid, block, digest)) for rid, page, url, digest, block in zip(pdf["record_id"], pdf["page_id"], pdf["url"], pdf["digest"], pdf["block"])]
+        yield pd.DataFrame(rows, columns=["record_id", "page_id", "url", "digest", "payload"]).astype({"page_id": "Int64"})
+
+
+def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Joins the segments of each origin, checks numbers and total length, and takes the framing off.
+
+    A record that was written n times has each segment n times, and comes out n times.
+    """
     for pdf in batches:
         rows = []
         for rid, page, url, digest, segments in zip(pdf["record_id"], pdf["page_id"], pdf["url"], pdf["digest"], pdf["segments"]):
-            numbers = [s["segment"] for s in segments]
-            block = b"".join(s["block"] for s in segments)
-            total = segments[-1]["total"]
-            if numbers != list(range(1, len(numbers) + 1)) or (len(numbers) > 1 and total != len(block)):
+            copies: dict[int, list] = {}
+            for s in segments:
+                copies.setdefault(s["segment"], []).append(s)
+            numbers, times = sorted(copies), len(copies.get(1, []))
+            same = all(len(c) == times and all(bytes(s["block"]) == bytes(c[0]["block"]) for s in c) for c in copies.values())
+            block = b"".join(zlib.decompress(copies[n][0]["block"]) for n in numbers)
+            total = copies[numbers[-1]][0]["total"]
+            if not times or not same or numbers != list(range(1, len(numbers) + 1)) or total != len(block):
                 raise ValueError(f"{rid}: segments {numbers} of {len(block)} bytes, total {total}")
-            head, body = block.split(END, 1)
-            payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-            if hashlib.sha256(payload).hexdigest() != digest:
-                raise ValueError(f"{rid}: payload digest differs")
-            rows.append((rid, page, url, digest, payload))
-        out = pd.DataFrame(rows, columns=["record_id", "page_id", "url", "digest", "payload"])
-        yield out.astype({"page_id": "Int64"})
+            rows += [(rid, page, url, *checked(rid, block, digest))] * times
+        yield pd.DataFrame(rows, columns=["record_id", "page_id", "url", "digest", "payload"]).astype({"page_id": "Int64"})
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per response or revisit record: page_id, url, record_type, refers_to, digest, payload_bytes, payload.
 
-    The payload of a revisit is null; its length is that of the record it refers to. Segments missing,
-    out of number or of another total length, broken framing and wrong digests raise an error. Records
-    written twice are read twice. An empty archive gives an empty result.
+    Records of other types are left out. The digest is the payload's SHA-256 in hex; a revisit's is as
+    stated in its record. The payload of a revisit is null; its length is that of the record it refers
+    to. Segments missing, out of number or of another total length, broken framing and wrong digests
+    raise an error. Records written twice are read twice. An empty archive gives an empty result.
     """
     every = read_records(spark, path)
-    origin = F.coalesce("origin", "record_id")
-    whole = every.where("type = 'response' and segment is null").select("record_id", "page_id", "url", "digest", F.array(F.struct(F.lit(1).alias("segment"), "block", F.octet_length("block").cast("long").alias("total"))).alias("segments"), F.lit(1).cast("long").alias("copies"))
-    cut = every.where("type in ('response', 'continuation') and segment is not null").groupBy(origin.alias("record_id"))
-    cut = cut.agg(F.max("page_id").alias("page_id"), F.max(F.when(F.col("segment") == 1, F.col("url"))).alias("url"), F.max("digest").alias("digest"), F.sort_array(F.collect_set(F.struct("segment", "block", "total"))).alias("segments"), F.count_if(F.col("segment") == 1).alias("copies"))
-    found = "record_id string, page_id long, url string, digest string, payload binary"
-    again = cut.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copy", "copies").mapInPandas(decode, found)
-    responses = whole.drop("copies").mapInPandas(decode, found).unionByName(again)
+    whole = every.where("type = 'response' and segment is null").select("record_id", "page_id", "url", "digest", "block").mapInPandas(decode, FOUND)
+    cut = every.where("type in ('response', 'continuation') and segment is not null").groupBy(F.coalesce("origin", "record_id").alias("record_id"))
+    first = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
+    cut = cut.agg(first("page_id"), first("url"), first("digest"), F.collect_list(F.struct("segment", "block", "total")).alias("segments"))
+    responses = whole.unionByName(cut.select("record_id", "page_id", "url", "digest", "segments").mapInPandas(joined, FOUND))
     shape = lambda df, kind, refers, size, payload: df.select("page_id", "url", F.lit(kind).alias("record_type"), refers.alias("refers_to"), "digest", size.cast("long").alias("payload_bytes"), payload.alias("payload"))
     sizes = responses.groupBy(F.col("record_id").alias("refers_id")).agg(F.max(F.octet_length("payload")).alias("size"))
-    revisits = every.where("type = 'revisit'").select("page_id", "url", "digest", "refers_to", "refers_id").join(sizes, "refers_id", "left")
+    revisits = every.where("type = 'revisit'").select("page_id", "url", F.regexp_replace("digest", "^sha256:", "").alias("digest"), "refers_to", "refers_id").join(sizes, "refers_id", "left")
     return shape(responses, "response", F.lit(None).cast("long"), F.octet_length("payload"), F.col("payload")).unionByName(shape(revisits, "revisit", F.col("refers_to"), F.col("size"), F.lit(None).cast("binary")))
 
 

@@ -1,6 +1,9 @@
 """Operators 2, 4, 6, 9 and 10, and the pipeline: brute force, round trips, held-out accuracy, odd inputs."""
 
+import base64
+import gzip
 import hashlib
+import io
 import zlib
 
 import duckdb
@@ -79,7 +82,43 @@ def test_warc_segments_and_odd_pages(spark, tmp_path):
     assert warc.read_warc(spark, str(tmp_path / "e")).count() == 0
     with pytest.raises(ValueError):
         warc.unchunked(b"5\r\nab\r\n0\r\n\r\n")
-    assert list(warc.parse(b"")) == []
+    assert list(warc.parse(io.BytesIO(b""))) == []
+
+
+def test_warc_of_others(spark, tmp_path):
+    """One gzip member per record, WARC/1.0 and 1.1, LF and folded headers, any file name, segments in other files and out of order."""
+
+    def rec(kind, rid, block, version=b"WARC/1.1", **fields):
+        head = {"WARC-Type": kind, "WARC-Record-ID": rid, **{k.replace("_", "-"): v for k, v in fields.items()}, "Content-Length": len(block)}
+        return version + b"\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked\r\n\r\n"
+    body = bytes(range(256)) * 20
+    block = http + b"".join(b"%X;x=1\r\n%s\r\n" % (len(body[i : i + 999]), body[i : i + 999]) for i in range(0, len(body), 999)) + b"0\r\n\r\n"
+    parts = [block[:2000], block[2000:3100], block[3100:]]
+    more = [rec("continuation", f"<c{n}>", parts[n - 1], WARC_Segment_Origin_ID="<o>", WARC_Segment_Number=n, **({"WARC_Segment_Total_Length": len(block)} if n == 3 else {})) for n in (3, 2)]
+    first = rec("response", "<o>", parts[0], b"WARC/1.0", WARC_Segment_Number=1, WARC_Target_URI="<http://a/>", WARC_Payload_Digest="sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode())
+    plain = rec("response", "<p>", b"HTTP/1.0 200 OK\r\nContent-Length: 3\r\n\r\nabc", b"WARC/1.0", WARC_Target_URI="http://b/", **{"X-Note": "one\r\n\ttwo"})
+    other = rec("warcinfo", "<i>", b"software: x\r\n")
+    again = rec("revisit", "<r>", b"", WARC_Refers_To="<o>", WARC_Target_URI="http://c/")
+    for name, records in (("CC-00001.warc.gz", [other, more[0], plain]), ("b.gz", [again, first]), ("c.warc", [more[1]])):
+        data = b"".join(r if name == "c.warc" else gzip.compress(r) for r in records)
+        (tmp_path / name).write_bytes(data)
+    rows = {r.url: r for r in warc.read_warc(spark, str(tmp_path)).collect()}
+    assert set(rows) == {"http://a/", "http://b/", "http://c/"}
+    assert bytes(rows["http://a/"].payload) == body and bytes(rows["http://b/"].payload) == b"abc"
+    assert rows["http://a/"].digest == hashlib.sha256(body).hexdigest()
+    assert rows["http://c/"].record_type == "revisit" and rows["http://c/"].payload_bytes == len(body)
+    (tmp_path / "c.warc").write_bytes(b"")
+    with pytest.raises(Exception, match="segments"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+
+
+def test_most_pages_are_reassembled(spark, tmp_path):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    warc.write_warc(pages, str(tmp_path / "w"))
+    every = warc.read_records(spark, str(tmp_path / "w")).where("type = 'response'")
+    assert every.where("segment is not null").count() > every.count() / 2
 
 
 def held(i):
