@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotline.queries import applications, records, work
+from lotline.queries import applications, portals, records, work
 
 FLAGSHIP = "projects"
-MODULES = [applications, records, work]
+MODULES = [applications, records, work, portals]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
