@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lotline.functions.hashing import fnv32
-from lotline.functions.text import first_match, squeezed
+from lotline.functions.text import first_match, let, squeezed
 
 # Words that mark a firm, those that always mark a legal entity of its own, and letter kinds in order of precedence.
 FIRM = r"(?i)\b(pty\s*ltd|pty\s*limited|limited|ltd|inc|corp|p\s*/\s*l|p/l|trust|group|holdings|developments?|constructions?|builders?|homes?|planning|consult(?:ing|ants?)|architects?|&\s*co|&\s*sons|&\s*partners)\b"
@@ -57,16 +57,22 @@ def split_parties(raw: Column) -> Column:
     commas is split only if every part is a personal name of two words or more. A firm's own 'and' is
     kept, unless a part is a legal entity by itself; then every part stands alone.
     """
-    s = F.regexp_replace(F.trim(raw), r"[\s,;:.\-]+$", "")
-    listed = parts(s, ",")
-    people_list = (F.size(listed) >= 2) & F.forall(listed, lambda p: (words(p) >= 2) & ~p.rlike(FIRM))
-    joint = parts(s, r"(?i)\s+(?:and|&)\s+")
-    people = F.filter(joint, lambda p: ~p.rlike(ENTITY))
-    longest = F.get(F.array_sort(F.transform(people, lambda p, i: F.struct((-words(p)).alias("n"), i.alias("i"), p.alias("p")))), F.lit(0))["p"]
-    surname = F.when(words(longest) >= 2, F.element_at(F.split(squeezed(longest), " "), -1))
-    named = F.transform(joint, lambda p: F.when(p.rlike(ENTITY) | (words(p) >= 2) | surname.isNull(), p).otherwise(F.concat_ws(" ", p, surname)))
-    whole = (F.size(joint) < 2) | (~F.exists(joint, lambda p: p.rlike(ENTITY)) & s.rlike(FIRM))
-    return F.when(s == "", F.array().cast("array<string>")).when(people_list, listed).when(whole, F.array(s)).otherwise(named)
+    def split(s: Column) -> Column:
+        return let(parts(s, ","), lambda listed: let(parts(s, r"(?i)\s+(?:and|&)\s+"), lambda joint: choose(s, listed, joint)))
+
+    def choose(s: Column, listed: Column, joint: Column) -> Column:
+        people_list = (F.size(listed) >= 2) & F.forall(listed, lambda p: (words(p) >= 2) & ~p.rlike(FIRM))
+        whole = (F.size(joint) < 2) | (~F.exists(joint, lambda p: p.rlike(ENTITY)) & s.rlike(FIRM))
+        return F.when(s == "", F.array().cast("array<string>")).when(people_list, listed).when(whole, F.array(s)).otherwise(let(surname(joint), lambda n: named(joint, n)))
+
+    def surname(joint: Column) -> Column:
+        ranked = F.array_sort(F.transform(F.filter(joint, lambda p: ~p.rlike(ENTITY)), lambda p, i: F.struct((-words(p)).alias("n"), i.alias("i"), p.alias("p"))))
+        return let(F.get(ranked, F.lit(0)), lambda x: F.when(x["n"] <= -2, F.element_at(F.split(squeezed(x["p"]), " "), -1)))
+
+    def named(joint: Column, name: Column) -> Column:
+        return F.transform(joint, lambda p: F.when(p.rlike(ENTITY) | (words(p) >= 2) | name.isNull(), p).otherwise(F.concat_ws(" ", p, name)))
+
+    return let(F.regexp_replace(F.trim(raw), r"[\s,;:.\-]+$", ""), split)
 
 
 def entity_type(name: Column) -> Column:

@@ -21,6 +21,11 @@ PRICE = r"\$([\d,]+(?:\.\d+)?)\s*([kKmM]?)"
 PRICE_LIMIT = 200_000_000
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once, however often body uses it; keeps large expressions small."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def mapping(pairs: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
