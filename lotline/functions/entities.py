@@ -60,12 +60,16 @@ def _tagged(kind: str):
 
 
 def firm_seed(kind: Column, value: Column) -> Column:
-    """The word a firm's name is made from: the host's first part, or the mailbox at a generic host; null if none or short."""
-    host, box = F.substring_index(value, "@", -1), F.substring_index(value, "@", 1)
+    """The word a firm's name is made from: the host's first part, or the mailbox at a generic host; null if none or short.
+
+    Links to generic mail hosts and mailboxes like info@ at them hint at no firm.
+    """
+    host, box = F.substring_index(value, "@", -1), F.regexp_replace(F.substring_index(value, "@", 1), r"[._\-+]", "")
     stem = F.substring_index(F.regexp_replace(host, r"\.(com\.au|net\.au|org\.au|com|net|org)$", ""), ".", 1)
-    mail = F.when(~host.isin(GENERIC_MAIL_HOSTS), stem).when(~box.isin(GENERIC_MAILBOXES), F.regexp_replace(box, "[^a-z]", ""))
-    seed = F.when(kind == "url", stem).when(kind == "email", mail)
-    return F.when(F.length(F.replace(seed, F.lit("-"), F.lit(""))) >= 4, seed)
+    generic = host.isin(GENERIC_MAIL_HOSTS)
+    mail = F.when(~generic, stem).when(~box.isin(GENERIC_MAILBOXES), box)
+    seed = F.when((kind == "url") & ~generic, stem).when((kind == "email") & value.contains("@"), mail)
+    return F.when(F.length(seed) >= 4, seed)
 
 
 def name_candidates(seed: Column) -> Column:

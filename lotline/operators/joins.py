@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotline.functions.text import canonical_long_form
+
+
+def leading_words(text: Column, n: int) -> Column:
+    return F.substring_index(text, " ", n)
+
 
 def prefix_join(left: DataFrame, right: DataFrame, prefix: str, text: str) -> DataFrame:
     """Rows where right.text begins with left.prefix, in any letter case; null and empty prefixes match nothing.
 
-    A prefix that holds a blank fixes the text's first word, so the join is an equi-join on that word
-    with the prefix test on top. The rare prefixes without a blank are joined on their first letter.
+    All words of a prefix but its last stand whole at the head of the text, so the join is an equi-join
+    on the first two of them (a house number and the beginning of the street's name), or on the first
+    where there is only one, with the prefix test on top. Each text is sent once per key length. Prefixes
+    of one word, which are rare, meet on their first one to three characters those texts that begin with
+    a letter such a prefix begins with; these letters are broadcast: there are no more of them than
+    characters.
     """
     p, t = F.lower(F.col(prefix)), F.lower(F.col(text))
-    lhs = left.where(F.col(prefix) != "").withColumns({"_p": p, "_word": F.when(p.contains(" "), F.substring_index(p, " ", 1))})
-    rhs = right.where(F.col(text).isNotNull()).withColumns({"_t": t, "_first": F.substring_index(t, " ", 1)})
-    worded = lhs.where("_word is not null").join(rhs, F.col("_word") == F.col("_first")).where(F.col("_t").startswith(F.col("_p")))
-    short = lhs.where("_word is null").join(rhs, F.substring("_p", 1, 1) == F.substring("_t", 1, 1)).where(F.col("_t").startswith(F.col("_p")))
-    return worded.unionByName(short).drop("_p", "_word", "_t", "_first")
+    lhs = left.where(F.col(prefix) != "").withColumn("_p", p).withColumn("_n", F.least(F.size(F.split("_p", " ")) - 1, F.lit(2)))
+    rhs = right.where(F.col(text).isNotNull()).withColumn("_t", t)
+    by_words = lhs.where("_n > 0").withColumn("_key", F.when(F.col("_n") == 1, leading_words(F.col("_p"), 1)).otherwise(leading_words(F.col("_p"), 2)))
+    words = rhs.withColumn("_key", F.explode(F.array_distinct(F.array(leading_words(F.col("_t"), 1), leading_words(F.col("_t"), 2)))))
+    worded = by_words.join(words, "_key").where(F.col("_t").startswith(F.col("_p")))
+    letters = lhs.where("_n = 0").select(F.left("_p", F.lit(1)).alias("_letter")).distinct()
+    few = rhs.join(F.broadcast(letters), F.left("_t", F.lit(1)) == F.col("_letter"), "left_semi").withColumn("_key", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.left("_t", n)))))
+    short = lhs.where("_n = 0").withColumn("_key", F.left("_p", F.lit(3))).join(few, "_key").where(F.col("_t").startswith(F.col("_p")))
+    return worded.unionByName(short).drop("_p", "_n", "_t", "_key")
 
 
 def lot_matches(streets: DataFrame, properties: DataFrame) -> DataFrame:
@@ -25,6 +39,16 @@ def lot_matches(streets: DataFrame, properties: DataFrame) -> DataFrame:
     return prefix_join(streets.select("street_address").distinct(), properties, "street_address", "display_address")
 
 
+def suburb_matches(targets: DataFrame, properties: DataFrame, street: str = "street", suburb: str = "suburb") -> DataFrame:
+    """targets (their columns) with the properties whose display address begins with 'street, suburb'.
+
+    The street's type is written out first, as the portals do: councils shorten it in many ways.
+    """
+    kind = F.element_at(F.split(street, " "), -1)
+    whole = F.concat(F.left(street, F.length(street) - F.length(kind)), canonical_long_form(kind))
+    return prefix_join(targets.withColumn("_prefix", F.concat(whole, F.lit(", "), suburb)), properties, "_prefix", "display_address").drop("_prefix")
+
+
 def unit_children(matches: DataFrame, properties: DataFrame) -> DataFrame:
     """(street_address, unit columns): units with the number, street and suburb of a matched parent, each once."""
     keys = ["street_number", "street_name", "suburb"]
@@ -35,11 +59,18 @@ def unit_children(matches: DataFrame, properties: DataFrame) -> DataFrame:
 def asof_prev(left: DataFrame, right: DataFrame, on: list[str], key: list[str], ltime: str, rtime: str, rid: str, take: list[str], months: int | None = None) -> DataFrame:
     """Per left row, the latest right row strictly before it (and not older than `months`), ties to the greater id.
 
-    A join and a max_by, which aggregates before it shuffles; left rows without an event are left out.
+    Both sides are laid out in one order of time per key, and each left row takes the last right row
+    before it: no pairs are made, so a key with very many rows on both sides costs one sort. Left rows
+    without an event, or with a null key or time, are left out.
     """
-    back = F.lit(True) if months is None else F.col(rtime) >= F.add_months(F.col(ltime), -months)
-    hits = left.select(*key, *on, ltime).join(right.select(*on, rtime, rid, *[c for c in take if c not in (rtime, rid)]), on).where((F.col(rtime) < F.col(ltime)) & back)
-    return hits.groupBy(*key).agg(F.max_by(F.struct(*take), F.struct(rtime, rid)).alias("_e")).select(*key, "_e.*")
+    given = lambda cols: F.forall(F.array(*[F.col(c).isNull() for c in cols]), lambda x: ~x)
+    events = right.where(given([*on, rtime])).select(*on, F.col(rtime).alias("_t"), F.lit(1).alias("_side"), F.col(rid).alias("_rid"), F.struct(F.col(rtime).alias("_at"), *take).alias("_e"))
+    rows = left.where(given([*on, ltime])).select(*on, F.col(ltime).alias("_t"), F.lit(0).alias("_side"), F.struct(*key).alias("_key"))
+    order = Window.partitionBy(*on).orderBy("_t", "_side", "_rid").rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.unionByName(events, allowMissingColumns=True).withColumn("_prev", F.last("_e", ignorenulls=True).over(order)).where("_side = 0 and _prev is not null")
+    if months is not None:
+        met = met.where(F.col("_prev._at") >= F.add_months("_t", -months))
+    return met.select("_key.*", *[F.col(f"_prev.{c}").alias(c) for c in take])
 
 
 def events_after(left: DataFrame, right: DataFrame, on: list[str], ltime: str, rtime: str) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,9 +94,28 @@ def bio_tags(overlaps: DataFrame) -> DataFrame:
 
 
 def dedupe_window(rows: DataFrame, keys: list[str], time: str, hours: int) -> DataFrame:
-    """Rows stored when a row of the same key is stored only if the last stored one is at least `hours` old: an ordered fold per key."""
-    seconds = hours * 3600
-    listed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.unix_micros(F.col(time).cast("timestamp")).alias("at"), F.col(time).alias("time")))).alias("xs"))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(listed.schema["xs"].dataType).alias("kept"))
-    step = lambda acc, x: F.when(acc["last"].isNull() | (x["at"] - acc["last"] >= seconds * 1_000_000), F.struct(x["at"].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc)
-    return listed.select(*keys, F.explode(F.aggregate("xs", start, step)["kept"]).alias("x")).select(*keys, F.col("x.time").alias(time))
+    """keys and times of the rows stored when a row is stored only if its key's last stored one is at least `hours` old.
+
+    Rows are dealt by key and sorted by time, and each partition is read as a stream that remembers one
+    key and its last stored time: no key's rows are held together, however many there are.
+    """
+    micros = hours * 3600 * 1_000_000
+    key = F.to_json(F.struct(*keys))
+    dealt = rows.where(F.col(time).isNotNull()).select(*keys, time, key.alias("_key"), F.unix_micros(F.col(time).cast("timestamp")).alias("_at"))
+    dealt = dealt.repartition("_key").sortWithinPartitions("_key", "_at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last = None, 0
+        for batch in batches:
+            names, at = batch.column("_key").to_pylist(), batch.column("_at").to_numpy()
+            edges = [0, *(i for i in range(1, len(names)) if names[i] != names[i - 1]), len(names)] if names else [0]
+            kept = []
+            for a, b in zip(edges, edges[1:]):
+                i = a if names[a] != last_key else a + int(np.searchsorted(at[a:b], last + micros))
+                while i < b:
+                    kept.append(i)
+                    last_key, last = names[a], int(at[i])
+                    i = a + int(np.searchsorted(at[a:b], last + micros))
+            yield batch.select([*keys, time]).take(pa.array(kept, pa.int64()))
+
+    return dealt.mapInArrow(run, rows.select(*keys, time).schema)

@@ -95,7 +95,8 @@ def status_counts(apps: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def per_council(apps: DataFrame) -> DataFrame:
-    return apps.groupBy("council_slug").agg(F.count(F.lit(1)).alias("n"), F.min("lodged_date").alias("first_lodged"), F.max("lodged_date").alias("last_lodged"))
+    """Applications per council and vendor, with the first and last day of lodgement."""
+    return apps.groupBy("council_slug", "vendor").agg(F.count(F.lit(1)).alias("n"), F.min("lodged_date").alias("first_lodged"), F.max("lodged_date").alias("last_lodged"))
 
 
 def modal_value(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
@@ -134,10 +135,10 @@ def collapse_duplicates(parent: DataFrame, children: DataFrame, natural: list[st
     return kept, moved
 
 
-def house_and_units(properties: DataFrame, lot: list[str]) -> DataFrame:
-    """Lots with both a parent row and a unit row."""
-    per = properties.groupBy(*lot).agg(count_where(F.col("unit_number") == "", "n_parent"), count_where(F.col("unit_number") != "", "n_units"))
-    return per.where("n_parent > 0 and n_units > 0")
+def house_and_units(properties: DataFrame, applications: DataFrame, key: str = "match_key") -> DataFrame:
+    """match_key, n_parent, n_units of lots with a parent row and a unit row that no application stands for yet."""
+    per = properties.groupBy(key).agg(count_where(F.col("unit_number") == "", "n_parent"), count_where(F.col("unit_number") != "", "n_units"))
+    return per.where("n_parent > 0 and n_units > 0").join(applications.select(key).distinct(), key, "left_anti")
 
 
 def analysis_candidates(apps: DataFrame, docs: DataFrame, done: DataFrame) -> DataFrame:

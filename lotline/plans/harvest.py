@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotline.functions.entities import firm_seed, name_candidates
@@ -53,8 +53,8 @@ def harvest_entities(docs: DataFrame, companies: DataFrame) -> dict[str, DataFra
     The first applicant a document names is its primary one. Of emissions of one link the last counts.
     """
     every = emissions(docs)
-    first = every.where("role = 'applicant'").groupBy("doc_id").agg(F.min("nth").alias("first"))
-    every = every.join(first, "doc_id", "left").withColumn("is_primary", (F.col("role") == "applicant") & (F.col("nth") == F.col("first"))).drop("first")
+    first = F.min(F.when(F.col("role") == "applicant", F.col("nth"))).over(Window.partitionBy("doc_id"))
+    every = every.withColumn("is_primary", (F.col("role") == "applicant") & (F.col("nth") == first))
     resolved, all_companies = resolve_companies(every, companies)
     links = resolved.groupBy("application_id", "company_id", "role", F.col("doc_id").alias("source_doc_id"), "extractor").agg(F.max_by(F.struct("source_field", "confidence"), "nth").alias("e"), F.bool_or(F.coalesce("is_primary", F.lit(False))).alias("is_primary"))
     evidence = every.where("span_start is not null").select("application_id", F.col("doc_id").alias("source_doc_id"), "extractor", "span_start", "span_end", F.col("name").alias("candidate_name"), F.col("role").alias("candidate_role"), "confidence", F.lit("predicted").alias("status"))

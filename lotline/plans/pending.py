@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotline.functions.classify import is_approved, target_kind_predicate
 from lotline.functions.urls import confidence, website_score
 from lotline.operators.joins import unit_evidence
+from lotline.operators.ordered import nth
 
 
 def pending_summaries(apps: DataFrame, summaries: DataFrame, needed: int = 2) -> DataFrame:
@@ -18,12 +19,27 @@ def pending_summaries(apps: DataFrame, summaries: DataFrame, needed: int = 2) ->
     return apps.select("id").join(have, "id", "left").withColumn("n_done", F.coalesce("n_done", F.lit(0))).where(F.col("n_done") < needed)
 
 
+def pending_escalations(summaries: DataFrame, docs: DataFrame, done: DataFrame) -> DataFrame:
+    """Applications whose summary is not complete and that have a document the second tier has not read."""
+    unread = docs.where("file_path is not null").select("application_id", F.col("id").alias("document_id")).join(done.select("document_id"), "document_id", "left_anti")
+    return summaries.where("status = 'incomplete'").select("application_id").join(unread, "application_id", "left_semi")
+
+
+def pending_chunks(chunks: DataFrame, done: DataFrame) -> DataFrame:
+    """Chunks (doc_id, chunk_index) of documents that are not done yet."""
+    return chunks.join(done.select("doc_id", "chunk_index"), ["doc_id", "chunk_index"], "left_anti")
+
+
 def score_websites(candidates: DataFrame, keep: int = 5) -> DataFrame:
-    """Per business and role the best link, its confidence, and the top links; equal scores by link."""
-    scored = candidates.withColumn("score", website_score(F.col("url"), F.col("name"), F.col("role")))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("order"), "url")))
-    out = scored.groupBy("name", "role").agg(ranked.alias("r"))
-    return out.select("name", "role", F.col("r")[0]["url"].alias("url"), (-F.col("r")[0]["order"]).alias("score"), confidence(-F.col("r")[0]["order"]).alias("confidence"), F.slice("r.url", 1, keep).alias("top"))
+    """Per business and role the best link, its confidence, and the `keep` best links; equal scores by link.
+
+    Only the best `keep` of each group and partition are shuffled, so no group is gathered whole.
+    """
+    scored = candidates.select("name", "role", "url", website_score(F.col("url"), F.col("name"), F.col("role")).alias("score"))
+    best = nth(scored, ["name", "role"], [F.desc("score"), F.col("url")], keep)
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("order"), "url")))  # at most `keep` links
+    out = best.groupBy("name", "role").agg(ranked.alias("r"))
+    return out.select("name", "role", F.col("r")[0]["url"].alias("url"), (-F.col("r")[0]["order"]).alias("score"), confidence(-F.col("r")[0]["order"]).alias("confidence"), F.col("r.url").alias("top"))
 
 
 def select_targets(apps: DataFrame, covered: DataFrame, kind: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import classify as C
-from lotline.functions.hashing import hash_bucket, with_coordinates
+from lotline.functions.hashing import CENTRES, DEFAULT_CENTRE, SCATTER, hash_bucket, with_coordinates
+from lotline.functions.text import normalize_address
 from lotline.operators import joins as J
 from lotline.operators import rollups as A
 from lotline.plans import projects as P
@@ -155,7 +156,8 @@ def status_counters(spark: SparkSession, d: str) -> DataFrame:
 
 
 def council_counts(spark: SparkSession, d: str) -> DataFrame:
-    return A.per_council(tables(spark, d, "applications")["applications"])
+    vendor = F.when(F.col("id") % 3 == 0, "b").otherwise("a")
+    return A.per_council(tables(spark, d, "applications")["applications"].withColumn("vendor", vendor))
 
 
 def kind_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -221,7 +223,9 @@ def longest_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def candidate_lots(spark: SparkSession, d: str) -> DataFrame:
-    return A.house_and_units(tables(spark, d, "domain_properties")["domain_properties"], ["street_number", "street_name", "suburb"])
+    t = tables(spark, d, "domain_properties", "applications")
+    key = lambda df, street: df.withColumn("match_key", normalize_address(F.substring_index(street, ",", 1), F.col("suburb"), F.lit("4220"))["match_key"])
+    return A.house_and_units(key(t["domain_properties"], "display_address"), key(t["applications"].where("id % 50 = 0"), "street_address"))
 
 
 def analysis_candidates(spark: SparkSession, d: str) -> DataFrame:
@@ -264,7 +268,7 @@ ORACLE_SQL = {
     "current_rates": twin("select max(month) as as_of_month, max(case when series_id = 'FILRHLBVD' then rate_pct end) as variable_oo_pct, max(case when series_id = 'FILRHLBVDI' then rate_pct end) as variable_inv_pct, max(case when series_id = 'FILRHL3YF' then rate_pct end) as fixed_3yr_oo_pct, max(case when series_id = 'FILRHL3YFI' then rate_pct end) as fixed_3yr_inv_pct from rates where month = (select max(month) from rates where series_id = 'FILRHLBVD')", "rates"),
     "latest_rate": twin("select rate_pct from rates where series_id in ('FILRHLBVD', 'FILRHL3YF', 'FILRHLBVS') order by month desc, case series_id when 'FILRHLBVD' then 1 when 'FILRHL3YF' then 2 else 3 end limit 1", "rates"),
     "status_counters": twin("select * from (select count(*) as apps_total, count(detail_fetched_at) as apps_with_detail from applications), (select count(*) as docs_total, count(file_path) as docs_downloaded, cast(coalesce(sum(file_size), 0) as bigint) as docs_total_bytes from documents_meta)", "applications", "documents_meta"),
-    "council_counts": twin("select council_slug, count(*) as n, min(lodged_date) as first_lodged, max(lodged_date) as last_lodged from applications group by 1", "applications"),
+    "council_counts": twin("select council_slug, case when id % 3 = 0 then 'b' else 'a' end as vendor, count(*) as n, min(lodged_date) as first_lodged, max(lodged_date) as last_lodged from applications group by 1, 2", "applications"),
     "kind_counts": twin(f"select {KIND_SQL} as kind, count(*) as n from applications group by 1", "applications"),
     "derived_dwellings": twin(f"select id, {COUNT_SQL} as dwelling_count, {DKIND_SQL} as dwelling_kind, {KIND_SQL} as kind, upper(nullif(regexp_extract(application_id, '^([A-Za-z]{{2,4}})/', 1), '')) as type_code from applications", "applications"),
     "filtered_applications": twin(f"select id, application_id, suburb, lodged_date from applications where {OTHER} and upper(suburb) = 'SUBURB 3' and application_id like 'MCU/%' and lodged_date between date '1996-01-01' and date '2000-12-31' and lower(description) like '%opera%'", "applications"),
@@ -283,7 +287,7 @@ select scenario_id, case when bad then 'purchase_price, sale_price and hold_mont
   min([case doc_position when 'last' then '1' when 'tier2' then '2' else '3' end, lpad(cast(document_id as varchar), 20, '0'), builder_name]) filter (where builder_name not in ('', 'unknown')) as b,
   min([case doc_position when 'first' then '1' when 'tier2' then '2' else '3' end, lpad(cast(document_id as varchar), 20, '0'), dwelling_kind]) filter (where dwelling_kind not in ('', 'unknown')) as k from doc_summaries group by 1)""", "doc_summaries"),
     "longest_summary": twin("select application_id, left(max_by(builder_name, (case doc_position when 'tier2' then 3 when 'first' then 2 else 1 end, length(builder_name), -document_id)) filter (where builder_name <> ''), 1000) as builder_name from doc_summaries group by 1", "doc_summaries"),
-    "candidate_lots": twin("select street_number, street_name, suburb, count(*) filter (where unit_number = '') as n_parent, count(*) filter (where unit_number <> '') as n_units from domain_properties group by 1, 2, 3 having n_parent > 0 and n_units > 0", "domain_properties"),
+    "candidate_lots": twin(f"with n as (select *, case street_name when 'Oak' then 'oak st' when 'Elm' then 'elm pde' when 'Sea' then 'sea view rd' else 'hill ct' end as norm from domain_properties), k as (select unit_number, street_number || '|' || norm || '|' || lower(suburb) || '|4220' as match_key from n), a as (select split_part(street_address, ' ', 1) || '|' || case split_part(street_address, ' ', 2) when 'Oak' then 'oak st' when 'Elm' then 'elm pde' when 'Sea' then 'sea view rd' else 'hill ct' end || '|' || lower(suburb) || '|4220' as match_key from applications where id % 50 = 0) select match_key, count(*) filter (where unit_number = '') as n_parent, count(*) filter (where unit_number <> '') as n_units from k where match_key not in (select match_key from a) group by 1 having n_parent > 0 and n_units > 0", "domain_properties", "applications"),
     "analysis_candidates": twin("select a.id, lodged_date, n_plans, n_supporting, n_docs, n_plans + n_supporting as richness from applications a join (select application_id as id, count(*) filter (where lower(doc_type) like '%plan%') as n_plans, count(*) filter (where lower(doc_type) like '%specialist%' or lower(doc_type) like '%form%') as n_supporting, count(*) as n_docs from documents_meta group by 1) m on m.id = a.id where n_plans > 0 and n_supporting > 0 and a.id not in (select application_id from doc_summaries where builder_name <> '')", "applications", "documents_meta", "doc_summaries"),
     "work_buckets": twin("select cast(('0x' || left(md5(lower(display_name)), 8))::bigint % 7 as bigint) as bucket, count(*) as n from companies group by 1", "companies"),
 }
