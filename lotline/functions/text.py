@@ -184,6 +184,23 @@ def split_council_address(raw: Column) -> Column:
     return F.struct(part(1).alias("street"), F.initcap(F.lower(part(2))).alias("suburb"), part(4).alias("postcode"), part(3).alias("state"))
 
 
+def split_address(address: Column) -> Column:
+    """struct(street, suburb, state, postcode) of 'street, suburb STATE postcode'; the street's type is written out.
+
+    Without a comma all of it is the street, as it is; without state and postcode these are ''.
+    """
+    pieces = F.filter(F.transform(F.split(address, ","), lambda p: F.trim(p)), lambda p: p != "")
+    tail = r"^(.+?)\s+([A-Z]{2,3})\s+(\d{4})$"
+
+    def read(ps: Column) -> Column:
+        rest, whole = F.array_join(F.slice(ps, 2, F.greatest(F.size(ps), F.lit(1))), " "), F.size(ps) > 1
+        words = F.split(F.get(ps, F.lit(0)), r"\s+")
+        street = F.array_join(F.concat(F.slice(words, 1, F.size(words) - 1), F.array(canonical_long_form(F.element_at(words, -1)))), " ")
+        return F.struct(F.when(whole, street).otherwise(F.trim(address)).alias("street"), F.when(rest.rlike(tail), F.trim(F.regexp_extract(rest, tail, 1))).otherwise(rest).alias("suburb"), F.regexp_extract(rest, tail, 2).alias("state"), F.regexp_extract(rest, tail, 3).alias("postcode"))
+
+    return let(pieces, read)
+
+
 def repair_street_address(raw: Column, street: Column) -> Column:
     """Put back a street number that stands before the street name in the raw address; drop the comma before state and postcode."""
     name = F.trim(F.substring_index(street, ",", 1))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotline.functions.classify import kind_predicate
+
 
 def fk_report(tables: dict[str, DataFrame], specs: list[tuple[str, str, str, str]]) -> DataFrame:
     """child, fk, parent, total, non_null, dangling for each (child, fk, parent, key)."""
@@ -36,3 +38,11 @@ def cardinality_report(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFra
 
 def resolution_counts(rows: DataFrame, reason: str) -> DataFrame:
     return rows.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
+
+
+def gate_report(a: DataFrame, b: DataFrame) -> DataFrame:
+    """gate, n_a, n_b, ok: duplex applications with a usable sale before lodgement in two stores; the second must have some, and as many."""
+    duplex = lambda df: df.where(kind_predicate("duplex", F.col("description"), F.col("approved_units")))
+    both = duplex(a).select(F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(duplex(b).select(F.lit(0).alias("x"), F.lit(1).alias("y")))
+    out = both.agg(F.coalesce(F.sum("x"), F.lit(0)).alias("n_a"), F.coalesce(F.sum("y"), F.lit(0)).alias("n_b"))
+    return out.select(F.lit("duplex").alias("gate"), "n_a", "n_b", ((F.col("n_b") > 0) & (F.col("n_b") >= F.col("n_a"))).alias("ok"))

@@ -91,7 +91,7 @@ def latest_rate(rates: DataFrame, order: tuple[str, ...] = ("FILRHLBVD", "FILRHL
 def status_counts(apps: DataFrame, docs: DataFrame) -> DataFrame:
     a = apps.agg(F.count(F.lit(1)).alias("apps_total"), F.count("detail_fetched_at").alias("apps_with_detail"))
     d = docs.agg(F.count(F.lit(1)).alias("docs_total"), F.count("file_path").alias("docs_downloaded"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("docs_total_bytes"))
-    return a.withColumn("_k", F.lit(1)).join(d.withColumn("_k", F.lit(1)), "_k").drop("_k")  # one row each
+    return a.select("*", *[d.select(c).scalar().alias(c) for c in d.columns])
 
 
 def per_council(apps: DataFrame) -> DataFrame:

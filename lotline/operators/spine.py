@@ -33,8 +33,16 @@ def completed_months(spine: DataFrame, windows: DataFrame) -> DataFrame:
     return spine.join(done, ["date_from", "date_to"])
 
 
+MOST_BACKENDS = 10_000
+
+
 def route_windows(windows: DataFrame, backends: DataFrame) -> DataFrame:
-    """Windows cut to the span of each backend that covers part of them. backends (name, valid_from, valid_to) is a small table."""
-    hit = (F.col("date_from") <= F.coalesce("valid_to", "date_to")) & (F.col("date_to") >= F.coalesce("valid_from", "date_from"))
-    keyed = windows.withColumn("_k", F.lit(1)).join(backends.withColumn("_k", F.lit(1)), "_k").where(hit).drop("_k")
-    return keyed.withColumns({"clip_from": F.greatest("date_from", "valid_from"), "clip_to": F.least("date_to", "valid_to")})
+    """Windows with each backend that covers part of them, cut to its span as clip_from and clip_to.
+
+    backends: name, valid_from, valid_to; open ends are null. It is a list of services and is broadcast;
+    more than MOST_BACKENDS of them raise an error.
+    """
+    if backends.limit(MOST_BACKENDS + 1).count() > MOST_BACKENDS:
+        raise ValueError(f"more than {MOST_BACKENDS} backends")
+    hit = (F.col("date_from") <= F.coalesce("valid_to", "date_from")) & (F.col("date_to") >= F.coalesce("valid_from", "date_to"))
+    return windows.join(F.broadcast(backends), hit).withColumns({"clip_from": F.greatest("date_from", "valid_from"), "clip_to": F.least("date_to", "valid_to")})

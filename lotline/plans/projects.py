@@ -1,7 +1,8 @@
 """The projects list: every application with its people, documents, site, sales before and after, and status.
 
-Each fact is worked out once for all applications, by street, and joined at the end; nothing is looked
-up row by row.
+Streets are matched with each portal's properties once, and the matches are written to the shared
+folder; each fact is worked out from them for all applications, by street, and joined at the end.
+Nothing is looked up row by row.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from lotline.functions.classify import classify_kind, dwelling_count, dwelling_kind, every, is_approved, kind_predicate
 from lotline.operators.joins import asof_prev, coalesce_sources, events_after, lot_matches, matched, unit_children, unit_evidence
 from lotline.operators.rollups import developer_counts, docs_rollup, entities_by_role
+from lotline.operators.staging import settled
 
 LOOKBACK_MONTHS = 120
 
@@ -65,8 +67,11 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     apps = apps.withColumns({"dwelling_count": dwelling_count(desc, n), "dwelling_kind": dwelling_kind(desc, n), "kind": classify_kind(desc, n)})
     key = apps.select("id", "street_address", "lodged_date", "decision_date")
     streets = key.select("street_address").distinct()
-    dom, rea = (lot_matches(streets, t[f"{s}_properties"]) for s in ("domain", "realestate"))
-    dom_units, rea_units = unit_children(dom, t["domain_properties"]), unit_children(rea, t["realestate_properties"])
+    # Street matches and their units are read by several facts each: they are worked out once per portal.
+    fields = ["id", "unit_number", "street_number", "street_name", "suburb", "display_address", "land_area_m2", "bedrooms", "bathrooms", "property_type"]
+    props = {s: t[f"{s}_properties"].select(fields) for s in ("domain", "realestate")}
+    dom, rea = (settled(lot_matches(streets, props[s]), f"{s}_matches") for s in props)
+    dom_units, rea_units = (settled(unit_children(m, props[s]), f"{s}_units") for s, m in (("domain", dom), ("realestate", rea)))
 
     out = apps
     ents = entities_by_role(t["application_entities"], t["companies"])
@@ -175,8 +180,8 @@ def profitability(scenarios: DataFrame, rates: DataFrame) -> DataFrame:
     scenarios: scenario_id, purchase_price, build_cost, sale_price, hold_months, rate_pct, acquisition_costs_pct,
     sale_costs_pct (the last three may be null: the newest owner rate or 6, 5.5 and 2.5 are used).
     """
-    newest = rates.where("series_id = 'FILRHLBVD'").agg(F.max_by("rate_pct", "month").alias("_rate"))  # one row
-    s = scenarios.withColumn("_k", F.lit(1)).join(newest.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    newest = rates.where("series_id = 'FILRHLBVD'").agg(F.max_by("rate_pct", "month").alias("_rate"))
+    s = scenarios.withColumn("_rate", newest.scalar())
     buy, build, sale, months = (F.col(c).cast("double") for c in ("purchase_price", "build_cost", "sale_price", "hold_months"))
     bad = ~matched((buy > 0) & (sale > 0) & (months > 0))
     s = s.withColumns({"error": F.when(bad, "purchase_price, sale_price and hold_months must be above 0"), "rate_pct_used": F.coalesce("rate_pct", "_rate", F.lit(6.0)), "_sale_pct": F.coalesce("sale_costs_pct", F.lit(2.5)) / 100})

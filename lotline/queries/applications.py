@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.functions import classify as C
-from lotline.functions.hashing import CENTRES, DEFAULT_CENTRE, SCATTER, hash_bucket, with_coordinates
+from lotline.functions.hashing import DEFAULT_CENTRE, SCATTER, hash_bucket, with_coordinates
 from lotline.functions.text import normalize_address
 from lotline.operators import joins as J
 from lotline.operators import rollups as A
@@ -290,4 +290,5 @@ select scenario_id, case when bad then 'purchase_price, sale_price and hold_mont
     "candidate_lots": twin(f"with n as (select *, case street_name when 'Oak' then 'oak st' when 'Elm' then 'elm pde' when 'Sea' then 'sea view rd' else 'hill ct' end as norm from domain_properties), k as (select unit_number, street_number || '|' || norm || '|' || lower(suburb) || '|4220' as match_key from n), a as (select split_part(street_address, ' ', 1) || '|' || case split_part(street_address, ' ', 2) when 'Oak' then 'oak st' when 'Elm' then 'elm pde' when 'Sea' then 'sea view rd' else 'hill ct' end || '|' || lower(suburb) || '|4220' as match_key from applications where id % 50 = 0) select match_key, count(*) filter (where unit_number = '') as n_parent, count(*) filter (where unit_number <> '') as n_units from k where match_key not in (select match_key from a) group by 1 having n_parent > 0 and n_units > 0", "domain_properties", "applications"),
     "analysis_candidates": twin("select a.id, lodged_date, n_plans, n_supporting, n_docs, n_plans + n_supporting as richness from applications a join (select application_id as id, count(*) filter (where lower(doc_type) like '%plan%') as n_plans, count(*) filter (where lower(doc_type) like '%specialist%' or lower(doc_type) like '%form%') as n_supporting, count(*) as n_docs from documents_meta group by 1) m on m.id = a.id where n_plans > 0 and n_supporting > 0 and a.id not in (select application_id from doc_summaries where builder_name <> '')", "applications", "documents_meta", "doc_summaries"),
     "work_buckets": twin("select cast(('0x' || left(md5(lower(display_name)), 8))::bigint % 7 as bigint) as bucket, count(*) as n from companies group by 1", "companies"),
+    "map_points": twin(f"with t as (select * from applications where coalesce({GRANNY}, false) or coalesce({DUPLEX}, false) or coalesce({BIG}, false) order by lodged_date desc, id desc limit 2000), h as (select *, list_reduce(list_prepend(cast(14695981039346656037 as hugeint), list_transform(string_split(application_id, ''), lambda c: cast(ascii(c) as hugeint))), lambda h, b: (xor(h, b) * 1099511628211) % 18446744073709551616) as h from t) select application_id, council_slug, {KIND_SQL} as kind, round({DEFAULT_CENTRE[0]} + (cast(h // 4294967296 as double) / 4294967295.0 * 2.0 - 1.0) * {SCATTER}, 6) as lat, round({DEFAULT_CENTRE[1]} + (cast(h % 4294967296 as double) / 4294967295.0 * 2.0 - 1.0) * {SCATTER}, 6) as lng, suburb from h", "applications"),
 }

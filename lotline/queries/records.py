@@ -11,6 +11,7 @@ from lotline.functions import entities as E
 from lotline.functions import text as T
 from lotline.functions import urls as U
 from lotline.functions.classify import da_status, doc_kind, is_approved, target_kind_predicate, treatment
+from lotline.functions.hashing import page_hashes as hash_columns
 from lotline.operators import ordered as O
 from lotline.operators import quality as Q
 from lotline.operators import spine as S
@@ -140,7 +141,9 @@ def company_names(spark: SparkSession, d: str) -> DataFrame:
 def resolved_companies(spark: SparkSession, d: str) -> DataFrame:
     c = one(spark, d, "companies")
     m = c.select(F.col("id").alias("mention_id"), F.upper("display_name").alias("name"), F.when(F.col("id") % 2 == 0, F.col("acn")).alias("acn"))
-    return P.resolve_companies(m, c.where("id % 5 <> 0"))[0].select("mention_id", F.when(F.col("company_id") >= 0, F.col("company_id")).alias("company_id"))
+    found, every = P.resolve_companies(m, c.where("id % 5 <> 0"))
+    new = every.where("id < 0").select(F.col("id").alias("company_id"), F.col("display_name").alias("new_name"), F.col("acn").alias("new_acn"))
+    return found.select("mention_id", "company_id").join(new, "company_id", "left").select("mention_id", F.when(F.col("company_id") >= 0, F.col("company_id")).alias("company_id"), "new_name", "new_acn")
 
 
 def enriched_companies(spark: SparkSession, d: str) -> DataFrame:
@@ -150,7 +153,7 @@ def enriched_companies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def url_kinds(spark: SparkSession, d: str) -> DataFrame:
-    return one(spark, d, "pages").select("page_id", U.clean_url(F.col("url")).alias("clean"), U.host(F.col("url")).alias("host"), U.is_third_party(F.col("url")).alias("third_party"), U.website_score(F.col("url"), F.lit("Thth Homes"), F.lit("builder")).alias("score"))
+    return one(spark, d, "pages").select("page_id", U.classify_url(F.col("url")).alias("kind"), U.clean_url(F.col("url")).alias("clean"), U.host(F.col("url")).alias("host"), U.is_third_party(F.col("url")).alias("third_party"), U.website_score(F.col("url"), F.lit("Thth Homes"), F.lit("builder")).alias("score"))
 
 
 def json_listings(spark: SparkSession, d: str) -> DataFrame:
@@ -158,7 +161,7 @@ def json_listings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_hashes(spark: SparkSession, d: str) -> DataFrame:
-    return one(spark, d, "pages").select("page_id", F.sha2("url", 256).alias("url_hash"), F.sha2("html", 256).alias("content_hash"))
+    return one(spark, d, "pages").select("page_id", *hash_columns(F.col("url"), F.col("html")))
 
 
 def span_overlaps(spark: SparkSession, d: str) -> DataFrame:
@@ -285,7 +288,7 @@ ORACLE_SQL = {
     "stated_units": twin("select id, case id % 9 when 0 then 2 when 2 then 3 when 3 then 4 when 6 then 6 when 7 then 2 end as units, case when lower(decision_outcome) like '%approv%' then 'approved' when lower(decision_outcome) like '%refus%' then 'refused' else 'withdrawn' end as da_status, coalesce(lower(decision_outcome) like '%approv%', false) as approved, coalesce(id % 9 in (0, 2, 4, 6, 7) and description is not null, false) as redev from applications", "applications"),
     "listing_prices": "select p_partkey, least((p_partkey % 900 + 100) * 1000, cast(floor((1 + (p_partkey % 9) / 10.0) * 1000000) as bigint)) as low, greatest((p_partkey % 900 + 100) * 1000, cast(floor((1 + (p_partkey % 9) / 10.0) * 1000000) as bigint)) as high, (p_partkey % 900 + 100) * 1000 as first, p_size % 2 = 0 as rental from part",
     "company_names": "select s_suppkey as id, lower(s_name) as norm_name, case when s_suppkey % 3 = 0 then null else lpad(cast(s_suppkey as varchar), 9, '0') end as acn9 from supplier",
-    "resolved_companies": "select s_suppkey as mention_id, case when s_suppkey % 5 <> 0 then s_suppkey end as company_id from supplier",
+    "resolved_companies": twin("select id as mention_id, case when id % 5 <> 0 then id end as company_id, case when id % 5 = 0 then upper(display_name) end as new_name, case when id % 5 = 0 and id % 2 = 0 then acn end as new_acn from companies", "companies"),
     "json_listings": twin("select page_id, cast(page_id as varchar) as listing_id, 'sold' as listing_type, '$' || (page_id % 90 + 10) || ',000' as price_text, (page_id % 90 + 10) * 1000 as price_low, (page_id % 90 + 10) * 1000 as price_high, cast(page_id % 6 as int) as beds from pages"),
     "page_hashes": "select page_id, sha256(url) as url_hash, sha256(html) as content_hash from pages",
     "span_overlaps": "with r as (select distinct l_orderkey, l_linenumber, cast(floor(l_quantity) as bigint) as a, cast(floor(l_quantity + l_linenumber) as bigint) as b from lineitem) select x.l_orderkey, x.l_linenumber as n1, x.a as a1, x.b as b1, y.l_linenumber as n2, y.a as a2, y.b as b2 from r x join r y on x.l_orderkey = y.l_orderkey where x.l_linenumber <= 2 and y.l_linenumber > 2 and x.a < y.b and y.a < x.b",
@@ -300,4 +303,9 @@ ORACLE_SQL = {
     "collapsed_lots": twin("with k as (select id, max(id) over (partition by street_number, street_name, suburb) as keep from domain_properties) select coalesce(keep, domain_property_id) as domain_property_id, count(*) as n_sales from domain_sales left join k on k.id = domain_property_id group by 1", "domain_properties", "domain_sales"),
     "month_coverage": twin("with m as (select cast(x as date) as date_from, last_day(cast(x as date)) as date_to from (select unnest(generate_series(timestamp '1994-11-01', timestamp '2001-12-01', interval 1 month)) as x)), w as (select date_from, last_day(date_to) as date_to, max_by(status, case status when 'completed' then 4 when 'running' then 3 when 'failed' then 2 else 1 end) as status from windows group by 1, 2), c as (select cast(date_trunc('month', lodged_date) as date) as date_from, count(*) as apps, count(detail_fetched_at) as detail from applications group by 1) select m.date_from, m.date_to, coalesce(status, 'pending') as status, coalesce(apps, 0) as apps, coalesce(detail, 0) as detail from m left join w using (date_from, date_to) left join c on c.date_from = m.date_from", "windows", "applications"),
     "window_times": twin("select slug, date_from, status, date_diff('second', started_at, coalesce(finished_at, timestamp '2002-01-01')) as elapsed_s from windows", "windows"),
+    "page_chunks": f"with {PAGES_SQL}, l as (select doc_id, list(text order by page) as ps, count(*) as n from pg group by 1), w as (select *, unnest(range(0, greatest(0, cast(ceil((n - 5) / 4.0) as bigint)) + 1)) as w from l), t as (select doc_id, w, w * 4 + 1 as page_start, least(w * 4 + 5, n) as page_end, trim(substr(array_to_string(list_filter(ps[w * 4 + 1:w * 4 + 5], lambda p: p <> ''), chr(10) || chr(10)), 1, 18000), ' ' || chr(10) || chr(9) || chr(13)) as x from w) select doc_id, row_number() over (partition by doc_id order by w) - 1 as chunk_index, page_start, page_end, length(x) as n from t where length(x) >= 200",
+    "packed_paragraphs": "with l as (select doc_id, length(text) + 1 as n_chars, list_transform(string_split(text, chr(10)), lambda p: {'pages': 1, 'n': length(p) + 1}) as ps from documents where text is not null) select doc_id, list_reduce(ps, lambda a, x: case when a.n + x.n > 3000 then {'pages': a.pages + 1, 'n': x.n} else {'pages': a.pages, 'n': a.n + x.n} end).pages as n_pages, n_chars from l",
+    "name_rules": "with w as (select doc_id, unnest(list_distinct(string_split(text, ' '))) as c from documents where text is not null), n as (select trim(c) as n from w), r as (select case when length(n) < 4 then 'too_short' when regexp_matches(n, '^[0-9]+$') then 'all_digits' when not regexp_matches(n, '\\p{L}') then 'no_alpha' when upper(n) in (" + ", ".join(f"'{x}'" for x in E.HEADER_WORDS) + ") then 'header_token' when upper(n) in (" + ", ".join(f"'{x}'" for x in E.STREET_WORDS) + ") then 'street_suffix_only' when regexp_matches(n, '(?i)^(?:(?:see|refer|ph|fax|tel|email|web|po\\s*box|p\\.?o)(?:[^\\p{L}\\p{N}_]|$)|(?:p\\.?o\\.|c/-)[\\p{L}\\p{N}_])') then 'admin_phrase_prefix' when length(n) > 80 then 'enormous' end as rule from n) select rule, count(*) as n from r where rule is not null group by 1",
+    "events_dedupe": "with recursive k as (select user_id, event_type, min(ts) as ts from events group by 1, 2 union all select k.user_id, k.event_type, min(e.ts) from k join events e on e.user_id = k.user_id and e.event_type = k.event_type and e.ts >= k.ts + interval 24 hour group by k.user_id, k.event_type) select * from k",
+    "url_kinds": "select page_id, cast(null as varchar) as kind, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as clean, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) as host, true as third_party, case when contains(replace(h, '.', ''), 'ththhomes') then 3 else 0 end + case when regexp_matches(h, 'build|construct|homes|developments|projects') then 2 else 0 end + case when h like '%.com.au' then 1 else 0 end as score from (select *, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') as h from pages)",
 }

@@ -117,6 +117,17 @@ def developer_codenames(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (letter_parties, developer_codenames, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
 
+
+
+def fnv32_sql(text: str) -> str:
+    """FNV-1a of an ASCII text, 32 bits."""
+    return f"list_reduce(list_prepend(2166136261, list_transform(string_split({text}, ''), lambda c: cast(ascii(c) as bigint))), lambda h, b: (xor(h, b) * 16777619) % 4294967296)"
+
+
+def words_sql(words: list[str], at: str) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + f"][cast({at} as bigint) + 1]"
+
+
 STREET_SQL = "regexp_replace(split_part(display_address, ',', 1), '^[0-9]+/', '')"
 ORACLE_SQL = {
     "letter_parties": twin("with l as (select id, 'Agent ' || id as agent, unnest(case id % 3 when 0 then [display_name, 'Jane Smith'] when 1 then ['Mark Rustin' || id, 'Skye Rustin' || id] else [display_name] end) as party from companies) select *, case when lower(party) like '%ltd%' or lower(party) like '%limited%' then 'company' else 'individual' end as entity_type from l", "companies"),
@@ -133,4 +144,6 @@ ORACLE_SQL = {
     "missing_roles": twin("select distinct role, name from (select 'builder' as role, builder_name as name from doc_summaries union all select 'architect', dwelling_kind from doc_summaries) where name is not null and not (role = 'builder' and name like 'Builder 1%')", "doc_summaries"),
     "page_copies": "select page_id, sha256(url) as url_hash, sha256(html) as content_hash, 's' || (page_id % 4) as source from pages where page_id % 4 in (1, 2) and (sha256(url), sha256(html)) not in (select (sha256(url), sha256(html)) from pages where page_id % 3 = 0)",
     "first_of_customer": "with t as (select o_custkey, o_orderkey from orders where o_custkey % 5 = 0 and o_orderkey % 2 = 0) select * from t union all select o_custkey, min(o_orderkey) from orders where o_custkey not in (select o_custkey from t) group by 1",
+    "website_choice": "with p as (select ['builder', 'architect', 'applicant'][page_id % 3 + 1] as role, url, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') as h from pages), s as (select role, url, case when contains(replace(h, '.', ''), 'ththhomes') then 3 else 0 end + case when role = 'builder' and regexp_matches(h, 'build|construct|homes|developments|projects') or role = 'architect' and regexp_matches(h, 'architect|design|studio|drafting') then 2 else 0 end + case when h like '%.com.au' then 1 else 0 end as score from p) select 'Thth Homes' as name, role, url, score, case when score >= 5 then 'high' when score >= 3 then 'medium' when score >= 1 then 'low' else 'no_match' end as confidence from (select *, row_number() over (partition by role order by score desc, url) as n from s) where n = 1",
+    "developer_codenames": twin(f"with s as (select id, coalesce(acn, lower(display_name)) as seed from companies), h as (select id, {fnv32_sql('seed')} as h, {fnv32_sql("seed || ':noun'")} as g from s), i as (select id, g, h % {len(N.ADJECTIVES)} as a, (h >> 8) % {len(N.ADJECTIVES)} as b from h) select id, {words_sql(N.ADJECTIVES, 'a')} || '-' || {words_sql(N.ADJECTIVES, f'case when a = b then (b + 1) % {len(N.ADJECTIVES)} else b end')} || '-' || {words_sql(N.NOUNS, f'g % {len(N.NOUNS)}')} as codename from i", "companies"),
 }
