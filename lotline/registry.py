@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lotline.queries import applications, people, portals, records, values, work
+from lotline.queries import applications, people, portals, records, streams, values, work
 
 FLAGSHIP = "projects"
-MODULES = [applications, records, work, portals, people, values]
+MODULES = [applications, records, work, portals, people, values, streams]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
