@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotline.functions import entities as E
@@ -16,11 +18,13 @@ from lotline.operators import joins as J
 from lotline.operators import quality as Q
 from lotline.operators import spine as S
 from lotline.operators import writes as W
+from lotline.operators.staging import shared_folder
 from lotline.plans import pending as P
 from lotline.plans import spans as Sp
 from lotline.plans.projects import pre_sale
 from lotline.sources import pages as G
 from lotline.sources.adapters import tables, twin
+from lotline.sources.schemas import conformed, read_table
 
 
 def one(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -181,6 +185,30 @@ def evidence_store(spark: SparkSession, d: str) -> DataFrame:
     return W.upsert_evidence(target, fresh)
 
 
+def typed_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Entity tables written in their fixed schemas and scanned again, with how many of their columns are filled."""
+    folder = f"{shared_folder(spark)}/lotline-{uuid.uuid4().hex}"
+    out = []
+    for name in ("applications", "domain_properties", "realestate_sales", "documents_meta", "companies"):
+        conformed(one(spark, d, name), name).write.parquet(f"{folder}/{name}.parquet")
+        t = read_table(spark, folder, name)
+        out.append(t.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"), F.count("id").alias("n_ids"), F.sum("id").alias("sum_ids"), F.lit(len(t.columns)).alias("n_columns")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def labelled_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Training records of every page written as JSON lines and read as text."""
+    spans = Sp.word_spans(one(spark, d, "documents"))
+    heads = spans.where("lower(text) in ('the', 'der', 'les', 'las')").select("doc_id", "page", F.col("span").alias("entity"), (F.col("span") + 1).alias("word"), F.lit("owner").alias("role"))
+    at = f"{shared_folder(spark)}/lotline-{uuid.uuid4().hex}/labels"
+    W.write_jsonl(Sp.split_by_doc(Sp.export_labels(spans, heads), 0.2), at)
+    lines = spark.read.text(at)
+    get = lambda path: F.get_json_object("value", path)
+    rows = lines.select(get("$.doc_id").cast("long").alias("doc_id"), get("$.page").cast("long").alias("page"), F.size(F.from_json(get("$.words"), "array<string>")).alias("n_words"), F.size(F.filter(F.from_json(get("$.tags"), "array<string>"), lambda t: t != "O")).alias("n_tagged"), get("$.fold").alias("fold"))
+    folds = F.size(F.collect_set("fold").over(Window.partitionBy("doc_id")))
+    return rows.select("doc_id", "page", "n_words", "n_tagged", folds.alias("n_folds"))
+
+
 def replaced_links(spark: SparkSession, d: str) -> DataFrame:
     """Links replaced by name and role, then those of every seventh wiped."""
     c = one(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name", F.when(F.col("c_custkey") % 2 == 0, "builder").otherwise("architect").alias("role"), F.lit("old").alias("url"))
@@ -188,7 +216,7 @@ def replaced_links(spark: SparkSession, d: str) -> DataFrame:
     return W.purge(W.replace_rows(c, fresh, ["c_name", "role"]), c.where("id % 7 = 0"), ["id"])
 
 
-QUERIES = {f.__name__: f for f in (read_dates, read_sizes, street_forms, link_kinds, page_links, firm_seeds, scaled_boxes, allowed_types, melted_rates, suburb_scope, postcode_councils, routed_windows, done_months, pending_work, gates, merge_reasons, evidence_store, replaced_links)}
+QUERIES = {f.__name__: f for f in (read_dates, read_sizes, street_forms, link_kinds, page_links, firm_seeds, scaled_boxes, allowed_types, melted_rates, suburb_scope, postcode_councils, routed_windows, done_months, pending_work, gates, merge_reasons, evidence_store, typed_tables, labelled_lines, replaced_links)}
 
 LONG_TYPE = "case street_name when 'Oak' then 'street' when 'Elm' then 'parade' when 'Sea' then 'road' else 'court' end"
 STREET = "regexp_replace(split_part(display_address, ',', 1), '^[^/]*/', '')"
@@ -213,4 +241,6 @@ ORACLE_SQL = {
     "merge_reasons": "select case o_custkey % 3 when 0 then 'no_parent' when 1 then 'remapped' else 'kept' end as reason, count(*) as n from orders group by 1",
     "evidence_store": "with b as (select l_orderkey, l_linenumber, max(l_suppkey) as s from lineitem group by 1, 2) select 'rx' as extractor, l_orderkey as source_doc_id, l_linenumber as span_start, l_linenumber + 5 as span_end, case when l_linenumber >= 2 then 'NAME ' || s else 'Name ' || s end as candidate_name, case when l_linenumber >= 2 and l_linenumber % 2 = 0 then 'new' when l_linenumber <= 3 and s % 2 = 0 then 'box' end as layout, case when l_linenumber <= 3 and s % 3 = 0 then 'verified' else 'predicted' end as status, case when l_linenumber <= 3 and s % 3 = 0 then 'owner' end as truth_role from b",
     "replaced_links": "select c_custkey as id, c_name, case when c_custkey % 2 = 0 then 'builder' else 'architect' end as role, case when c_custkey % 4 < 2 then 'new' else 'old' end as url from customer where c_custkey % 7 <> 0",
+    "typed_tables": twin(" union all ".join(f"select '{t}' as name, count(*) as n_rows, count(id) as n_ids, cast(sum(id) as bigint) as sum_ids, {n} as n_columns from {t}" for t, n in (("applications", 31), ("domain_properties", 33), ("realestate_sales", 10), ("documents_meta", 15), ("companies", 9))), "applications", "domain_properties", "realestate_sales", "documents_meta", "companies"),
+    "labelled_lines": "with sp as (select doc_id, s // 100 as page, s as span, w as text from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), t as (select doc_id, page, span + 1 as span from sp where lower(text) in ('the', 'der', 'les', 'las')) select sp.doc_id, sp.page, count(*) as n_words, count(t.span) as n_tagged, 1 as n_folds from sp left join t using (doc_id, page, span) group by 1, 2",
 }
