@@ -249,7 +249,7 @@ from m left join d using (application_id) left join applications a on a.id = m.a
     "party_documents": twin("select id, doc_type from documents_meta m where file_path is not null and regexp_matches(lower(doc_type), 'decision notice|information request|cover letter|plans') and file_size <= 60000 and application_id in (select id from applications where split_part(application_id, '/', 1) in ('MCU', 'COM')) and application_id in (select application_id from documents_meta group by 1 having count(*) <= 5)", "documents_meta", "applications"),
     "registry_status": "with c as (select s_suppkey % 3 <> 0 as reg, s_suppkey % 4 <> 0 as enr, case when s_suppkey % 5 <> 0 then 'Town ' || s_nationkey end as locality from supplier), p as (select locality, count(*) as n from c where locality is not null group by 1 order by n desc, locality limit 10) select 'companies' as measure, 'total' as label, count(*) as n from c union all select 'companies', 'enriched', count(*) from c where enr union all select 'companies', 'registered', count(*) from c where reg union all select 'locality', locality, n from p",
     "reclassified_docs": twin(f"with k as (select id % 3 as r, {DOC_KIND_SQL} as kind from documents_meta) select 'all' as rule, count(*) as scanned, count(*) filter (where r = 0 and kind <> 'other' or r = 2) as updated from k union all select 'only_null', count(*) filter (where r = 2), count(*) filter (where r = 2) from k", "documents_meta"),
-    "company_lookups": twin("with c as (select *, case when id % 2 = 0 then lpad(cast(id as varchar), 11, '7') end as abn from companies where id % 7 <> 0), m as (select id, case when id % 3 = 1 then acn end as acn, case when id % 4 = 0 then lpad(cast(id + 2 as varchar), 11, '7') end as abn from companies) select m.id as mention_id, coalesce(x.id, y.id, case when m.id % 5 <> 0 then z.id end) as company_id from m left join c x on x.acn = m.acn left join c y on y.abn = m.abn left join c z on z.id = m.id", "companies"),
+    "company_lookups": twin("with c as (select *, case when id % 2 = 0 then lpad(cast(id as varchar), 11, '7') end as abn from companies where id % 7 <> 0), m as (select id, case when id % 3 = 1 then acn end as acn, case when id % 4 = 0 then lpad(cast(id + 2 as varchar), 11, '7') end as abn from companies) select m.id as mention_id, coalesce(x.id, y.id, case when m.id % 5 <> 0 then z.id end) as company_id from m left join c x on x.acn = m.acn left join (select abn, max(id) as id from c group by abn) y on y.abn = m.abn left join c z on z.id = m.id", "companies"),
     "linked_documents": twin("select a.id as application_id from applications a where id in (select application_id from documents_meta where doc_type = 'Information Request') and id not in (select application_id from application_entities where role = 'architect')", "applications", "documents_meta", "application_entities"),
     "overlapping_names": twin("with l as (select distinct application_id, company_id, display_name from application_entities e join companies c on c.id = e.company_id), n as (select distinct application_id, case when company_id % 2 = 0 then 'supplier#' || lpad(cast(company_id as varchar), 9, '0') else 'The Supplier#' || lpad(cast(company_id as varchar), 9, '0') || ' PTY LTD Group' end as name from application_entities where role = 'applicant') select n.application_id, name, min(company_id) as company_id from n join l on l.application_id = n.application_id and (contains(lower(name), lower(display_name)) or contains(lower(display_name), lower(name))) group by 1, 2", "application_entities", "companies"),
     "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
