@@ -346,3 +346,25 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents
+), g as (
+  select doc_id, unnest(case when len(ws) >= 5 then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from w
+), c as (
+  select doc_id, s, count(*) as n from g group by all
+), t as (
+  select doc_id, sum(n) as total from c group by all
+), p as (
+  select a.doc_id as x, b.doc_id as y, sum(least(a.n, b.n)) as shared from c a join c b on a.s = b.s and a.doc_id < b.doc_id group by all
+), e as (
+  select x, y from p join t a on a.doc_id = x join t b on b.doc_id = y where shared >= cast(0.8 as double) * (a.total + b.total - shared)
+), l as (
+  select x, y from e union all select y, x from e
+), r as (
+  select doc_id, doc_id as label from documents union select l.y, r.label from r join l on l.x = r.doc_id
+)
+select doc_id, min(label) as class_id from r group by doc_id
+"""

@@ -5,10 +5,10 @@ from __future__ import annotations
 from lotline.llm.bpe import op8_bpe
 from lotline.llm.fingerprint import op3_fingerprints
 from lotline.llm.langid import op9_langid
-from lotline.llm.near_dedup import op7_near_dedup
+from lotline.llm.near_dedup import OP7_SQL, op7_near_dedup
 from lotline.llm.packing import op10_packing
 from lotline.llm.substring_dedup import OP1_SQL, op1_substring_dedup
-from lotline.llm.suffix_dedup import op5_suffix_dedup
+from lotline.llm.suffix_dedup import OP5_SQL, op5_suffix_dedup
 from lotline.llm.topk import OP2_SQL, op2_exact_topk
 from lotline.llm.toxicity import op4_toxicity
 from lotline.llm.warc import OP6_SQL, op6_warc
@@ -28,5 +28,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op2_exact_topk": OP2_SQL,
+    "op5_suffix_dedup": OP5_SQL,
     "op6_warc": OP6_SQL,
+    "op7_near_dedup": OP7_SQL,
 }

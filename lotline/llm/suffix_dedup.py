@@ -189,3 +189,26 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, carry: tuple[str, ...] =
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+with d as materialized (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), c as (
+  select r, a, substr(h, 2 * a + 1, 910) as p from (select r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0), 256)) as a from d)
+), s as (
+  select r, a + i as i, hash(substr(p, 2 * i + 1, 400)) as g from (select r, a, p, unnest(range(0, least(256, length(p) // 2 - 199))) as i from c)
+), rep as (
+  select r, i, lag(i) over (partition by r order by i) as before, lead(i) over (partition by r order by i) as after
+  from s where g in (select g from s group by g having count(*) > 1)
+), lost as (
+  select r, cast(sum(least(200, coalesce(after - i, 200))) as bigint) as n_removed, count(*) filter (where before is null or i - before > 200) as n_spans from rep group by r
+), cuts as (
+  select r, i as stop, coalesce(before + 200, 0) as start from rep where before is null or i - before > 200
+  union all select r, null, max(i) + 200 from rep group by r
+), kept as (
+  select r, string_agg(case when stop is null then substr(h, 2 * start + 1) else substr(h, 2 * start + 1, 2 * (stop - start)) end, '' order by start) as k from cuts join d using (r) group by r
+)
+select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(k, h))) as kept_sha256
+from d left join lost using (r) left join kept using (r)
+"""

@@ -27,3 +27,28 @@ def test_query_keeps_near_copies_apart(spark):
     for r in op10_packing(spark, SF).collect():
         seen.setdefault((r.bin_id, classes[r.doc_id]), set()).add(r.doc_id)
     assert len({r for _, r in seen}) < len(classes) and all(len(x) == 1 for x in seen.values())
+
+
+def test_packing_equals_a_plain_search_of_all_bins():
+    """Pieces in falling size; of all bins with room and without a conflict the tightest, then the oldest."""
+    import numpy as np
+    import pandas as pd
+
+    from lotline.llm.packing import pack
+
+    rng = np.random.default_rng(8)
+    rows = pd.DataFrame({"size": rng.integers(0, 300, 400), "source": [f"s{i}" if i else None for i in rng.integers(0, 6, 400)], "cluster": [f"c{i}" if i < 150 else None for i in rng.integers(0, 200, 400)]})
+    got = pack(rows, 128, 3)
+    pieces = [(min(128, n - a), r, p, a) for r, n in enumerate(rows["size"].tolist()) for p, a in enumerate(range(0, max(n, 1), 128))]
+    bins, want = [], []
+    for n, r, p, a in sorted(pieces, key=lambda x: (-x[0], x[1], x[2])):
+        s, c = rows["source"][r], rows["cluster"][r]
+        fits = [b for b in bins if 0 < 128 - b["used"] >= n and not (c is not None and c in b["clusters"]) and not (s is not None and b["sources"].count(s) >= 3)]
+        b = min(fits, key=lambda b: (128 - b["used"], b["no"])) if fits else {"no": len(bins), "used": 0, "clusters": [], "sources": []}
+        if not fits:
+            bins.append(b)
+        want.append((r, p, a, n, b["no"], b["used"]))
+        b["used"] += n
+        b["clusters"].append(c)
+        b["sources"].append(s)
+    assert got == want

@@ -12,7 +12,7 @@ from lotline.llm import anchors
 from lotline.llm import fingerprint as FP
 from lotline.llm import near_dedup as ND
 from lotline.llm.substring_dedup import SuffixAutomaton, op1_substring_dedup, substring_dedup
-from lotline.llm.suffix_dedup import maximal_repeats, op5_suffix_dedup, suffix_dedup
+from lotline.llm.suffix_dedup import maximal_repeats, op5_suffix_dedup, repeat_groups, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, block int, seg string, kept string"
@@ -239,3 +239,19 @@ def test_bpe_matches_the_library(spark):
         ids = lib.encode(t or "", add_special_tokens=False).ids
         assert list(memoryview(bytes(rows[i].ids)).cast("I")) == ids and rows[i].n_tokens == len(ids)
         assert rows[i].decoded == lib.decode(ids, skip_special_tokens=False)
+
+
+def test_repeat_groups_hold_every_occurrence(spark, monkeypatch):
+    """Groups are equal strings at two places or more, and together they cover every repeated window."""
+    monkeypatch.setattr(anchors, "BLOCK_BYTES", 400)
+    texts = [(i, t) for i, (_, t) in enumerate(random_texts(5))]
+    raws = {i: (t or "").encode() for i, t in texts}
+    groups, covered = {}, set()
+    for r in repeat_groups(table(spark, texts), 60).collect():
+        groups.setdefault((r.group_id, r.length), set()).add((r.doc_id, r.start))
+    for (_, n), places in groups.items():
+        assert n >= 60 and len(places) > 1 and len({raws[d][s : s + n] for d, s in places}) == 1
+        covered |= {(d, k) for d, s in places for k in range(s, s + n - 59)}
+    count = Counter(r[k : k + 60] for r in raws.values() for k in range(len(r) - 59))
+    assert covered == {(i, k) for i, r in raws.items() for k in range(len(r) - 59) if count[r[k : k + 60]] > 1}
+    assert repeat_groups(table(spark, texts).limit(0), 60).count() == 0
