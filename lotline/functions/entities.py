@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotline.functions.text import matches
+
 # Patterns of identifying tokens and the group that holds the value.
 LICENCE_TAIL = r"\s*(?:LICEN[CS]E|LIC\.?(?:\s*NO\.?)?)[^\n]{0,40}?(?:N[°o]?|No\.?|NUMBER|#)?\.?\s*[:.\-]?\s*(\d[\d\s]*[A-Z]?)"
 PATTERNS: dict[str, tuple[str, int]] = {
@@ -42,13 +44,41 @@ def normal_value(kind: str, value: Column) -> Column:
     return F.when(digits != "", F.upper(F.regexp_replace(value, r"\s+", "")))
 
 
+def may_hold(kind: str, text: Column) -> Column:
+    """A cheap test that a text can hold tokens of a kind; the patterns are only run where it passes."""
+    if kind in ("url", "email"):
+        return text.contains("." if kind == "url" else "@")
+    digits = text.rlike("[0-9]{3}" if kind in ("phone", "acn", "abn") else "[0-9]")
+    return digits if kind in ("phone", "acn", "abn") else digits & text.rlike("(?i)lic")
+
+
+def found(kind: str, text: Column, group: int) -> Column:
+    """All values of a group of the kind's pattern."""
+    return F.when(may_hold(kind, text), F.regexp_extract_all(text, F.lit(PATTERNS[kind][0]), F.lit(group))).otherwise(F.array().cast("array<string>"))
+
+
 def fingerprints(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """keys, kind, normalized_value: each identifying token once per page."""
-    found = []
+    every = []
+    for kind, (_, group) in PATTERNS.items():
+        values = _normalised(kind, found(kind, F.col(text), group))
+        every.append(F.transform(F.array_distinct(F.filter(values, lambda v: v.isNotNull())), _tagged(kind)))
+    return pages.select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*")
+
+
+def fingerprint_spans(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, kind, raw_value, normalized_value, span_start, span_end (from 0): the first place of each identifying token on a page."""
+    every = []
     for kind, (pattern, group) in PATTERNS.items():
-        values = _normalised(kind, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group)))
-        found.append(F.transform(F.array_distinct(F.filter(values, lambda v: v.isNotNull())), _tagged(kind)))
-    return pages.select(*keys, F.explode(F.concat(*found)).alias("f")).select(*keys, "f.*")
+        hits = F.when(may_hold(kind, F.col(text)), matches(F.col(text), pattern, group))
+        every.append(F.transform(F.coalesce(hits, F.array().cast("array<struct<value:string,at:int,to:int,value_at:int>>")), _placed(kind)))
+    rows = pages.select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*").where("normalized_value is not null")
+    first = F.min_by(F.struct("raw_value", "span_start", "span_end"), "span_start")
+    return rows.groupBy(*keys, "kind", "normalized_value").agg(first.alias("_f")).select(*keys, "kind", "_f.raw_value", "normalized_value", "_f.span_start", "_f.span_end")
+
+
+def _placed(kind: str):
+    return lambda m: F.struct(F.lit(kind).alias("kind"), m["value"].alias("raw_value"), normal_value(kind, m["value"]).alias("normalized_value"), m["at"].alias("span_start"), m["to"].alias("span_end"))
 
 
 def _normalised(kind: str, values: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.entities import IGNORED_HOSTS, PATTERNS
 from lotline.functions.parties import FIRM, care_of, entity_type, is_letter, parts, split_parties, without_contact
-from lotline.functions.text import digits_of, first_match, let, squeezed
+from lotline.functions.text import digits_of, first_match, let, matches, squeezed
 
 # The shapes of letter heads, closings, firm lines, plan anchors and licences, and their word lists.
 POSTAL = r"^([A-Z][A-Z\s'\-]+?)\s+(?:QLD|NSW|VIC|ACT|SA|WA|TAS|NT)\s+(\d{4})$"
@@ -200,20 +200,6 @@ def applicant_emissions(text: Column) -> Column:
     return F.when(is_applicant_letter(text), let(letterhead(text), lambda head: let(sign_off(text), lambda s: every(head, s)))).otherwise(none_of(EMISSION))
 
 
-def matches(text: Column, pattern: str, group: int = 1) -> Column:
-    """array<struct(value, at, to, value_at)>: every match with its places (from 0) in the text."""
-    values, rest = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<value:string,at:int,to:int,value_at:int>>").alias("found"))
-
-    def step(s: Column, x: Column) -> Column:
-        """x: the text before a match, the match, its value."""
-        hit = lambda at: F.struct(x["value"].alias("value"), at.alias("at"), (at + F.length(x["whole"])).alias("to"), (at + F.call_function("locate", x["value"], x["whole"]) - 1).alias("value_at"))
-        return let((s["at"] + F.length(x["before"])).cast("int"), lambda at: F.struct((at + F.length(x["whole"])).alias("at"), F.concat(s["found"], F.array(hit(at))).alias("found")))
-
-    rows = lambda whole: F.transform(whole, lambda w, i: F.struct(F.get(rest, i).alias("before"), w.alias("whole"), F.get(values, i).alias("value")))
-    return F.aggregate(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), rows), start, step)["found"]
-
-
 def clean_name(raw: Column) -> Column:
     """Title case, but initials and known short forms stay in capitals."""
     words = F.split(F.regexp_replace(squeezed(raw), r"^[ ,.;:\-]+|[ ,.;:\-]+$", ""), " ")

@@ -34,9 +34,10 @@ def label_value_pairs(labels: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def union_bbox(entities: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id, page, entity, box: the box round all word spans that an entity's characters overlap."""
+    """doc_id, page, entity, box, n_words, font: the box round all word spans that an entity's characters overlap, and the first one's font (if spans carry it)."""
     hits = overlap_join(entities, spans, ["doc_id", "page"], ("e_start", "e_end"), ("char_start", "char_end"))
-    return hits.groupBy("doc_id", "page", "entity").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.count(F.lit(1)).alias("n_words"))
+    font = F.min_by(F.col("font") if "font" in spans.columns else F.lit(None).cast("string"), "char_start").alias("font")
+    return hits.groupBy("doc_id", "page", "entity").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.count(F.lit(1)).alias("n_words"), font)
 
 
 def export_labels(spans: DataFrame, overlaps: DataFrame) -> DataFrame:

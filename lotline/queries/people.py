@@ -197,7 +197,7 @@ def overlapping_names(spark: SparkSession, d: str) -> DataFrame:
 def entity_boxes(spark: SparkSession, d: str) -> DataFrame:
     """Boxes round the words that an entity's characters overlap, whole documents."""
     words = Sp.word_spans(one(spark, d, "documents"))
-    words = words.withColumns({"char_start": F.col("span") * 10, "char_end": F.col("span") * 10 + 8})
+    words = words.withColumns({"char_start": F.col("span") * 10, "char_end": F.col("span") * 10 + 8, "font": F.concat(F.lit("f"), (F.col("span") % 3).cast("string"))})
     heads = words.where("lower(text) in ('the', 'der', 'les', 'las')").select("doc_id", "page", F.col("span").alias("entity"), (F.col("char_start") + 9).alias("e_start"), (F.col("char_start") + 25).alias("e_end"))
     return Sp.union_bbox(heads, words)
 
@@ -252,6 +252,6 @@ from m left join d using (application_id) left join applications a on a.id = m.a
     "company_lookups": twin("with c as (select *, case when id % 2 = 0 then lpad(cast(id as varchar), 11, '7') end as abn from companies where id % 7 <> 0), m as (select id, case when id % 3 = 1 then acn end as acn, case when id % 4 = 0 then lpad(cast(id + 2 as varchar), 11, '7') end as abn from companies) select m.id as mention_id, coalesce(x.id, y.id, case when m.id % 5 <> 0 then z.id end) as company_id from m left join c x on x.acn = m.acn left join (select abn, max(id) as id from c group by abn) y on y.abn = m.abn left join c z on z.id = m.id", "companies"),
     "linked_documents": twin("select a.id as application_id from applications a where id in (select application_id from documents_meta where doc_type = 'Information Request') and id not in (select application_id from application_entities where role = 'architect')", "applications", "documents_meta", "application_entities"),
     "overlapping_names": twin("with l as (select distinct application_id, company_id, display_name from application_entities e join companies c on c.id = e.company_id), n as (select distinct application_id, case when company_id % 2 = 0 then 'supplier#' || lpad(cast(company_id as varchar), 9, '0') else 'The Supplier#' || lpad(cast(company_id as varchar), 9, '0') || ' PTY LTD Group' end as name from application_entities where role = 'applicant') select n.application_id, name, min(company_id) as company_id from n join l on l.application_id = n.application_id and (contains(lower(name), lower(display_name)) or contains(lower(display_name), lower(name))) group by 1, 2", "application_entities", "companies"),
-    "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
+    "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words, 'f' || (min(sp.span) % 3) as font from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
     "shifted_evidence": "with s as (select doc_id, substr(text, 5, 30) as saved, instr('put in front' || chr(10) || text, substr(text, 5, 30)) as pos from documents where text <> '') select doc_id, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 end as int) as span_start, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 + length(saved) end as int) as span_end from s",
 }

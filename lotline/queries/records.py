@@ -34,6 +34,11 @@ def token_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return E.fingerprints(one(spark, d, "documents").where("text is not null"), ["doc_id"])
 
 
+def token_places(spark: SparkSession, d: str) -> DataFrame:
+    """The first place of every token in whole texts."""
+    return E.fingerprint_spans(one(spark, d, "documents").where("text is not null"), ["doc_id"]).where("kind in ('email', 'phone')")
+
+
 def page_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     """Links and e-mail addresses in whole web pages."""
     return E.fingerprints(one(spark, d, "pages").where("html is not null"), ["page_id"], "html").groupBy("kind", "normalized_value").agg(F.count(F.lit(1)).alias("n_pages"))
@@ -212,9 +217,16 @@ def missing_customers(spark: SparkSession, d: str) -> DataFrame:
     return Q.missing_keys(a["customers"], b["customers"], ["name"])
 
 
+#: Child table, its key, and the parent table of every reference among the given tables' entities.
+FOREIGN_KEYS = [
+    ("domain_sales", "domain_property_id", "domain_properties"), ("realestate_sales", "realestate_property_id", "realestate_properties"), ("application_entities", "company_id", "companies"), ("application_entities", "application_id", "applications"),
+    ("application_entities", "source_doc_id", "documents_meta"), ("documents_meta", "application_id", "applications"), ("doc_summaries", "application_id", "applications"), ("doc_summaries", "document_id", "documents_meta"), ("build_features", "application_id", "applications"),
+]
+
+
 def fk_report(spark: SparkSession, d: str) -> DataFrame:
-    t = tables(spark, d, "domain_sales", "domain_properties", "application_entities", "companies", "documents_meta", "applications")
-    return Q.fk_report(t, [("domain_sales", "domain_property_id", "domain_properties", "id"), ("application_entities", "company_id", "companies", "id"), ("documents_meta", "application_id", "applications", "id")])
+    t = tables(spark, d, *{x for c, _, p in FOREIGN_KEYS for x in (c, p)})
+    return Q.fk_report(t, [(c, k, p, "id") for c, k, p in FOREIGN_KEYS])
 
 
 def store_cardinality(spark: SparkSession, d: str) -> DataFrame:
@@ -241,7 +253,7 @@ def window_times(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        token_fingerprints, page_fingerprints, document_stages, text_treatment, page_chunks, packed_paragraphs, picked_pages, name_rules, first_last_docs, tier2_docs, downloads, error_streaks, page_ranges,
+        token_fingerprints, token_places, page_fingerprints, document_stages, text_treatment, page_chunks, packed_paragraphs, picked_pages, name_rules, first_last_docs, tier2_docs, downloads, error_streaks, page_ranges,
         entity_timeline, stage_recall, primary_links, events_dedupe, last_purchase, address_keys, council_addresses, stated_units, listing_prices, company_names, resolved_companies, enriched_companies,
         url_kinds, json_listings, page_hashes, span_overlaps, upserted_customers, patched_customers, merged_stores, remapped_orders, replaced_children, missing_customers, fk_report, store_cardinality,
         collapsed_lots, month_coverage, window_times,
@@ -298,7 +310,7 @@ ORACLE_SQL = {
     "remapped_orders": f"with {A_SQL} select ao.id, b.id as customer_id, ao.natural_key from ao join a on a.id = ao.customer_id join b on b.name = a.name",
     "replaced_children": "select o_custkey, o_orderkey from orders where o_custkey not in (select o_custkey from orders where o_custkey % 10 = 0 and o_orderkey % 2 = 0) union all select o_custkey, o_orderkey from orders where o_custkey % 10 = 0 and o_orderkey % 2 = 0",
     "missing_customers": f"with {A_SQL} select name from a except select name from b",
-    "fk_report": twin("select 'domain_sales' as child, 'domain_property_id' as fk, 'domain_properties' as parent, count(*) as total, count(domain_property_id) as non_null, count(*) filter (where domain_property_id not in (select id from domain_properties)) as dangling from domain_sales union all select 'application_entities', 'company_id', 'companies', count(*), count(company_id), count(*) filter (where company_id not in (select id from companies)) from application_entities union all select 'documents_meta', 'application_id', 'applications', count(*), count(application_id), count(*) filter (where application_id not in (select id from applications)) from documents_meta", "domain_sales", "domain_properties", "application_entities", "companies", "documents_meta", "applications"),
+    "fk_report": twin(" union all ".join(f"select '{c}' as child, '{k}' as fk, '{p}' as parent, count(*) as total, count({k}) as non_null, count(*) filter (where {k} not in (select id from {p})) as dangling from {c}" for c, k, p in FOREIGN_KEYS), *sorted({x for c, _, p in FOREIGN_KEYS for x in (c, p)})),
     "store_cardinality": f"with {A_SQL} select *, n_b >= n_a as ok from (select 'customers' as name, (select count(*) from a) as n_a, (select count(*) from b) as n_b union all select 'orders', (select count(*) from ao), (select count(*) from bo))",
     "collapsed_lots": twin("with k as (select id, max(id) over (partition by street_number, street_name, suburb) as keep from domain_properties) select coalesce(keep, domain_property_id) as domain_property_id, count(*) as n_sales from domain_sales left join k on k.id = domain_property_id group by 1", "domain_properties", "domain_sales"),
     "month_coverage": twin("with m as (select cast(x as date) as date_from, last_day(cast(x as date)) as date_to from (select unnest(generate_series(timestamp '1994-11-01', timestamp '2001-12-01', interval 1 month)) as x)), w as (select date_from, last_day(date_to) as date_to, max_by(status, case status when 'completed' then 4 when 'running' then 3 when 'failed' then 2 else 1 end) as status from windows group by 1, 2), c as (select cast(date_trunc('month', lodged_date) as date) as date_from, count(*) as apps, count(detail_fetched_at) as detail from applications group by 1) select m.date_from, m.date_to, coalesce(status, 'pending') as status, coalesce(apps, 0) as apps, coalesce(detail, 0) as detail from m left join w using (date_from, date_to) left join c on c.date_from = m.date_from", "windows", "applications"),
@@ -308,4 +320,5 @@ ORACLE_SQL = {
     "name_rules": "with w as (select doc_id, unnest(list_distinct(string_split(text, ' '))) as c from documents where text is not null), n as (select trim(c) as n from w), r as (select case when length(n) < 4 then 'too_short' when regexp_matches(n, '^[0-9]+$') then 'all_digits' when not regexp_matches(n, '\\p{L}') then 'no_alpha' when upper(n) in (" + ", ".join(f"'{x}'" for x in E.HEADER_WORDS) + ") then 'header_token' when upper(n) in (" + ", ".join(f"'{x}'" for x in E.STREET_WORDS) + ") then 'street_suffix_only' when regexp_matches(n, '(?i)^(?:(?:see|refer|ph|fax|tel|email|web|po\\s*box|p\\.?o)(?:[^\\p{L}\\p{N}_]|$)|(?:p\\.?o\\.|c/-)[\\p{L}\\p{N}_])') then 'admin_phrase_prefix' when length(n) > 80 then 'enormous' end as rule from n) select rule, count(*) as n from r where rule is not null group by 1",
     "events_dedupe": "with recursive k as (select user_id, event_type, min(ts) as ts from events group by 1, 2 union all select k.user_id, k.event_type, min(e.ts) from k join events e on e.user_id = k.user_id and e.event_type = k.event_type and e.ts >= k.ts + interval 24 hour group by k.user_id, k.event_type) select * from k",
     "url_kinds": "select page_id, cast(null as varchar) as kind, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') as clean, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) as host, true as third_party, case when contains(replace(h, '.', ''), 'ththhomes') then 3 else 0 end + case when regexp_matches(h, 'build|construct|homes|developments|projects') then 2 else 0 end + case when h like '%.com.au' then 1 else 0 end as score from (select *, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') as h from pages)",
+    "token_places": " union all ".join(f"select doc_id, '{kind}' as kind, v as raw_value, n as normalized_value, cast(instr(text, v) - 1 as int) as span_start, cast(instr(text, v) - 1 + length(v) as int) as span_end from (select distinct on (doc_id, n) doc_id, text, v, n from (select doc_id, text, unnest(vs) as v, unnest(list_transform(vs, lambda v: {norm})) as n, unnest(range(len(vs))) as i from (select doc_id, text, regexp_extract_all(text, '{E.PATTERNS[kind][0]}', {E.PATTERNS[kind][1]}) as vs from documents)) where {keep} order by doc_id, n, i)" for kind, norm, keep in (("email", "lower(v)", "true"), ("phone", "regexp_replace(v, '[^0-9]', '', 'g')", "length(n) >= 8"))),
 }
