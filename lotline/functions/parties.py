@@ -99,5 +99,15 @@ def codename(seed: Column) -> Column:
     return F.when(F.coalesce(seed, F.lit("")) == "", "unknown").otherwise(F.concat_ws("-", pick(ADJECTIVES, a), pick(ADJECTIVES, b), pick(NOUNS, h2 % len(NOUNS))))
 
 
+# Fixed value: how many colours a suburb can be shown in.
+COLOURS = 16
+
+
+def colour_index(suburb: Column) -> Column:
+    """The colour a suburb is shown in, from 0, by a hash of its name; null without one."""
+    name = F.nullif(F.trim(F.lower(suburb)), F.lit(""))
+    return F.when(name.isNotNull(), fnv32(name) % COLOURS)
+
+
 def applicant_seed(acn: Column, name: Column) -> Column:
     return F.coalesce(F.nullif(acn, F.lit("")), F.nullif(squeezed(F.lower(name)), F.lit("")))

@@ -18,11 +18,12 @@ def keyed(df: DataFrame, name: str = "display_name") -> DataFrame:
 
 
 def resolve_companies(mentions: DataFrame, companies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(mentions with company_id, companies with the new ones), free of row order.
+    """(mentions with company_id, companies filled up and with the new ones), free of row order.
 
     A mention goes to the company with its ACN, else its ABN, else (only without an ACN of its own)
     the least id with its name. The rest found new companies: by ACN, else by ABN, else by name.
-    Different ACNs are never merged. New ids are negative hashes of the founding key.
+    Different ACNs are never merged. New ids are negative hashes of the founding key. A known company
+    without ACN, ABN or entity type takes the least its mentions give.
     """
     m, c = keyed(mentions, "name"), keyed(companies)
     least = lambda k: c.where(F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(f"_{k}"))
@@ -31,8 +32,12 @@ def resolve_companies(mentions: DataFrame, companies: DataFrame) -> tuple[DataFr
     found = F.coalesce("_acn", "_abn", F.when(F.col("acn").isNull(), F.col("_norm_name")))
     founding = F.coalesce(F.concat(F.lit("acn:"), "acn"), F.concat(F.lit("abn:"), "abn"), F.concat(F.lit("name:"), "norm_name"))
     m = m.withColumn("company_id", F.coalesce(found, -F.abs(F.xxhash64(founding) % (1 << 62)))).drop("_acn", "_abn", "_norm_name")
-    new = m.where("company_id < 0").groupBy(F.col("company_id").alias("id")).agg(F.min("acn").alias("acn"), F.min("abn").alias("abn"), F.min("name").alias("display_name"))
-    return m, companies.unionByName(new, allowMissingColumns=True)
+    facts = [k for k in ("acn", "abn", "entity_type") if k in m.columns]
+    given = m.groupBy(F.col("company_id").alias("id")).agg(*[F.min(k).alias(f"_{k}") for k in facts], F.min("name").alias("_name"))
+    own = [k for k in facts if k in companies.columns]
+    known = companies.join(given.where("id >= 0").select("id", *[f"_{k}" for k in own]), "id", "left").withColumns({k: F.coalesce(k, f"_{k}") for k in own}).select(*companies.columns)
+    new = given.where("id < 0").select("id", *[F.col(f"_{k}").alias(k) for k in facts], F.col("_name").alias("display_name"))
+    return m, known.unionByName(new, allowMissingColumns=True)
 
 
 def enrich_companies(companies: DataFrame, registry: DataFrame) -> DataFrame:
@@ -65,16 +70,20 @@ def match_existing(candidates: DataFrame, linked: DataFrame) -> DataFrame:
     return candidates.join(linked, "application_id").where(hit).groupBy("application_id", "name").agg(F.min("company_id").alias("company_id"))
 
 
-def merge_stores(a: dict[str, DataFrame], b: dict[str, DataFrame], shift: int) -> dict[str, DataFrame]:
+def merge_stores(a: dict[str, DataFrame], b: dict[str, DataFrame], specs: list[tuple[str, list[str], dict[str, str]]], shift: int) -> dict[str, DataFrame]:
     """Store b with what only store a has, parents first.
 
-    Stores hold customers (id, name) and orders (id, customer_id, natural_key). Ids of a's new rows are
-    moved by `shift`; a's children go to b's parents through the parents' natural key.
+    specs: table, natural key, and which table each of its foreign keys points at, in order of dependence.
+    Ids of a's new rows are moved by `shift`; a's foreign keys go to the merged parents through the
+    parents' natural keys, and rows without a parent there are left out.
     """
-    fresh = a["customers"].withColumn("id", F.col("id") + shift)
-    customers = insert_ignore(b["customers"], fresh, ["name"], ["id"])
-    orders = remap_fk(a["orders"], a["customers"], customers, ["name"], "customer_id", True).withColumn("id", F.col("id") + shift)
-    return {"customers": customers, "orders": insert_ignore(b["orders"], orders.select(*b["orders"].columns), ["natural_key"], ["id"])}
+    out, natural = {}, {}
+    for name, key, parents in specs:
+        rows = a[name].withColumn("id", F.col("id") + shift)
+        for fk, parent in parents.items():
+            rows = remap_fk(rows, a[parent], out[parent], natural[parent], fk, True)
+        out[name], natural[name] = insert_ignore(b[name], rows.select(*b[name].columns), key, ["id"]), key
+    return out
 
 
 def lookup(mentions: DataFrame, companies: DataFrame) -> DataFrame:

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from lotline.functions import letters as L
 from lotline.functions.classify import doc_kind
+from lotline.functions.parties import COLOURS, colour_index
 from lotline.operators import lookups as K
 from lotline.operators.joins import has_any, lookup_company, without
 from lotline.plans import companies as Co
 from lotline.plans import harvest as H
 from lotline.plans import spans as Sp
 from lotline.queries.applications import DOC_KIND_SQL
+from lotline.queries.work import fnv32_sql
 from lotline.sources.adapters import tables, twin
 
 GIVEN = "Amber Daniel Skye Mark Karen Darren Jane Boris".split()
@@ -210,7 +212,18 @@ def shifted_evidence(spark: SparkSession, d: str) -> DataFrame:
     return Sp.reanchor(saved, fresh).select("doc_id", "span_start", "span_end")
 
 
-QUERIES = {f.__name__: f for f in (letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
+def filled_companies(spark: SparkSession, d: str) -> DataFrame:
+    """Companies without an ACN take it from mentions that name them by ABN."""
+    c = one(spark, d, "companies").withColumn("abn", F.lpad(F.col("id").cast("string"), 11, "1"))
+    m = c.where("id % 2 = 0").select(F.lit("Someone").alias("name"), F.lpad(F.col("id").cast("string"), 9, "8").alias("acn"), "abn", F.lit("company").alias("entity_type"))
+    return Co.resolve_companies(m, c)[1].where("id >= 0").select("id", "acn", "display_name", "entity_type")
+
+
+def suburb_colours(spark: SparkSession, d: str) -> DataFrame:
+    return one(spark, d, "domain_properties").select("suburb", colour_index(F.when(F.col("id") % 5 == 0, F.upper("suburb")).when(F.col("id") % 5 == 1, " ").otherwise(F.col("suburb"))).alias("colour")).distinct()
+
+
+QUERIES = {f.__name__: f for f in (filled_companies, suburb_colours, letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
 
 
 def listed(names: list[str], i: str) -> str:
@@ -254,4 +267,6 @@ from m left join d using (application_id) left join applications a on a.id = m.a
     "overlapping_names": twin("with l as (select distinct application_id, company_id, display_name from application_entities e join companies c on c.id = e.company_id), n as (select distinct application_id, case when company_id % 2 = 0 then 'supplier#' || lpad(cast(company_id as varchar), 9, '0') else 'The Supplier#' || lpad(cast(company_id as varchar), 9, '0') || ' PTY LTD Group' end as name from application_entities where role = 'applicant') select n.application_id, name, min(company_id) as company_id from n join l on l.application_id = n.application_id and (contains(lower(name), lower(display_name)) or contains(lower(display_name), lower(name))) group by 1, 2", "application_entities", "companies"),
     "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words, 'f' || (min(sp.span) % 3) as font from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
     "shifted_evidence": "with s as (select doc_id, substr(text, 5, 30) as saved, instr('put in front' || chr(10) || text, substr(text, 5, 30)) as pos from documents where text <> '') select doc_id, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 end as int) as span_start, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 + length(saved) end as int) as span_end from s",
+    "filled_companies": twin("select id, case when acn is null and id % 2 = 0 then lpad(cast(id as varchar), 9, '8') else acn end as acn, display_name, entity_type from companies", "companies"),
+    "suburb_colours": twin(f"select distinct suburb, case when id % 5 <> 1 then {fnv32_sql('lower(suburb)')} % {COLOURS} end as colour from domain_properties", "domain_properties"),
 }

@@ -196,10 +196,13 @@ def patched_customers(spark: SparkSession, d: str) -> DataFrame:
     return W.patch_update(b["customers"], a["customers"].withColumn("segment", F.when(F.col("id") % 2 == 0, "")), ["name"], ["segment"], ["balance"])
 
 
+STORE = [("customers", ["name"], {}), ("orders", ["natural_key"], {"customer_id": "customers"})]
+
+
 def merged_stores(spark: SparkSession, d: str) -> DataFrame:
     a, b = halves(spark, d)
     slim = lambda s: {"customers": s["customers"].select("id", "name"), "orders": s["orders"]}
-    return P.merge_stores(slim(a), slim(b), 20_000_000)["orders"]
+    return P.merge_stores(slim(a), slim(b), STORE, 20_000_000)["orders"]
 
 
 def remapped_orders(spark: SparkSession, d: str) -> DataFrame:
