@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,3 +84,10 @@ def pipeline_status(summaries: DataFrame) -> DataFrame:
     """Counters per position: rows, applications, distinct names, rows without a usable name."""
     usable = F.when(~F.col("builder_name").isin("", "unknown"), F.col("builder_name"))
     return summaries.groupBy("doc_position").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("application_id").alias("n_applications"), F.count_distinct(usable).alias("n_names"), F.count_if(usable.isNull()).alias("n_skipped"))
+
+
+def progress_counters(doc_rows: DataFrame, summaries: DataFrame, roles: list[str]) -> DataFrame:
+    """measure, label, n: documents by tier and by method, summaries by status and confidence, distinct names over all roles."""
+    by = lambda df, c: df.groupBy(F.coalesce(F.col(c).cast("string"), F.lit("none")).alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("measure"), "label", "n")
+    names = summaries.select(*roles).unpivot([], roles, "role", "name").where("name <> ''").agg(F.count_distinct("name").alias("n")).select(F.lit("names").alias("measure"), F.lit("distinct").alias("label"), "n")
+    return reduce(DataFrame.unionByName, [by(doc_rows, "tier"), by(doc_rows, "extraction_method"), by(summaries, "status"), by(summaries, "confidence"), names])

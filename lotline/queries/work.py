@@ -70,6 +70,14 @@ def summary_counters(spark: SparkSession, d: str) -> DataFrame:
     return P.pipeline_status(one(spark, d, "doc_summaries"))
 
 
+def progress_counters(spark: SparkSession, d: str) -> DataFrame:
+    t = tables(spark, d, "doc_summaries", "applications")
+    docs = t["doc_summaries"].select(F.when(F.col("doc_position") == "tier2", 2).otherwise(1).alias("tier"), F.when(F.col("document_id") % 9 == 0, "skipped").when(F.col("document_id") % 9 == 1, None).otherwise("text").alias("extraction_method"))
+    i = F.col("id")
+    summaries = t["applications"].select(F.when(i % 3 == 0, "complete").when(i % 3 == 1, "escalated").otherwise("incomplete").alias("status"), F.when(i % 4 == 0, "high").otherwise("low").alias("confidence"), F.concat(F.lit("N"), (i % 17).cast("string")).alias("builder_name"), F.when(i % 2 == 0, F.concat(F.lit("N"), (i % 29).cast("string"))).otherwise("").alias("architect_name"))
+    return P.progress_counters(docs, summaries, ["builder_name", "architect_name"])
+
+
 def label_values(spark: SparkSession, d: str) -> DataFrame:
     spans = Sp.word_spans(one(spark, d, "documents"))
     return Sp.label_value_pairs(spans.where("lower(text) in ('the', 'der', 'les', 'las')"), spans)
@@ -115,7 +123,7 @@ def developer_codenames(spark: SparkSession, d: str) -> DataFrame:
     return one(spark, d, "companies").select("id", N.codename(N.applicant_seed(F.col("acn"), F.col("display_name"))).alias("codename"))
 
 
-QUERIES = {f.__name__: f for f in (letter_parties, developer_codenames, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
+QUERIES = {f.__name__: f for f in (letter_parties, developer_codenames, progress_counters, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
 
 
 
@@ -146,4 +154,5 @@ ORACLE_SQL = {
     "first_of_customer": "with t as (select o_custkey, o_orderkey from orders where o_custkey % 5 = 0 and o_orderkey % 2 = 0) select * from t union all select o_custkey, min(o_orderkey) from orders where o_custkey not in (select o_custkey from t) group by 1",
     "website_choice": "with p as (select ['builder', 'architect', 'applicant'][page_id % 3 + 1] as role, url, regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\\.', '') as h from pages), s as (select role, url, case when contains(replace(h, '.', ''), 'ththhomes') then 3 else 0 end + case when role = 'builder' and regexp_matches(h, 'build|construct|homes|developments|projects') or role = 'architect' and regexp_matches(h, 'architect|design|studio|drafting') then 2 else 0 end + case when h like '%.com.au' then 1 else 0 end as score from p) select 'Thth Homes' as name, role, url, score, case when score >= 5 then 'high' when score >= 3 then 'medium' when score >= 1 then 'low' else 'no_match' end as confidence from (select *, row_number() over (partition by role order by score desc, url) as n from s) where n = 1",
     "developer_codenames": twin(f"with s as (select id, coalesce(acn, lower(display_name)) as seed from companies), h as (select id, {fnv32_sql('seed')} as h, {fnv32_sql("seed || ':noun'")} as g from s), i as (select id, g, h % {len(N.ADJECTIVES)} as a, (h >> 8) % {len(N.ADJECTIVES)} as b from h) select id, {words_sql(N.ADJECTIVES, 'a')} || '-' || {words_sql(N.ADJECTIVES, f'case when a = b then (b + 1) % {len(N.ADJECTIVES)} else b end')} || '-' || {words_sql(N.NOUNS, f'g % {len(N.NOUNS)}')} as codename from i", "companies"),
+    "progress_counters": twin("with d as (select case when doc_position = 'tier2' then '2' else '1' end as tier, case document_id % 9 when 0 then 'skipped' when 1 then 'none' else 'text' end as m from doc_summaries), s as (select ['complete', 'escalated', 'incomplete'][id % 3 + 1] as status, case when id % 4 = 0 then 'high' else 'low' end as confidence, 'N' || id % 17 as b, case when id % 2 = 0 then 'N' || id % 29 end as a from applications) select 'tier' as measure, tier as label, count(*) as n from d group by 2 union all select 'extraction_method', m, count(*) from d group by 2 union all select 'status', status, count(*) from s group by 2 union all select 'confidence', confidence, count(*) from s group by 2 union all select 'names', 'distinct', count(distinct x) from (select b as x from s union all select a from s)", "doc_summaries", "applications"),
 }
