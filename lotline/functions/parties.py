@@ -19,6 +19,9 @@ LETTERS = {
     "response_to_ir_cover_letter": r"Response to (?:Information Request|IR)",
 }
 LETTERHEAD = r"(?i)\bCouncil of the City of Gold Coast\b|\b07\s*5582\s*8866\b|\bmail@goldcoast\.qld\.gov\.au\b|\bCity Development Branch\b|\bPlanning\s*&\s*Environment Directorate\b"
+CARE_OF = r"(?is)^(.*?)\s+(?:c\s*/\s*[\-o]|care\s+of)\s+(.*)$"
+RECIPIENT = r"(?s)Our reference:[^\n]*\n\s*(\S.*?)(?:\n\s*\n|\n\s*Dear\s|$)"
+AGENT_LINE = r"(?i)^c\s*/\s*[-o]?\s*"
 ADJECTIVES = "bright calm gentle lush golden mighty noble swift vivid witty zesty cosmic earthy lively mellow happy lucky royal silver steel fancy jolly dapper eager glowing pure fiery jade mystic nimble olive quick frosty indigo hardy keen sunny sandy breezy coral dewy peachy rosy pink mossy plucky amber scarlet".split()
 NOUNS = "kookaburra koala kangaroo wombat wallaby possum echidna platypus dingo quokka numbat goanna gecko magpie emu lyrebird bilby brumby pademelon cassowary galah cockatoo lorikeet currawong kingfisher ibis rosella bandicoot wagtail fairywren dunnart antechinus yabby potoroo waratah banksia bottlebrush wattle grevillea paperbark boronia hakea callistemon frangipani jacaranda eucalypt telopea kurrajong vegemite lamington pavlova billabong esky didgeridoo boomerang bunyip milo anzac tinnie snag".split()
 
@@ -33,7 +36,7 @@ def letter_kind(text: Column) -> Column:
 
 def care_of(raw: Column) -> Column:
     """struct(party, agent) of 'Party C/- Agent' on one line; agent is null if there is none."""
-    p = r"(?is)^(.*?)\s+(?:c\s*/\s*[\-o]|care\s+of)\s+(.*)$"
+    p = CARE_OF
     return F.struct(F.when(raw.rlike(p), F.trim(F.regexp_extract(raw, p, 1))).otherwise(raw).alias("party"), F.nullif(F.trim(F.regexp_extract(raw, p, 2)), F.lit("")).alias("agent"))
 
 
@@ -82,11 +85,11 @@ def entity_type(name: Column) -> Column:
 
 def recipient(text: Column) -> Column:
     """struct(name, agent) of the address block that follows 'Our reference:'; nulls if there is none."""
-    block = first_match(text, r"(?s)Our reference:[^\n]*\n\s*(\S.*?)(?:\n\s*\n|\n\s*Dear\s|$)")
+    block = first_match(text, RECIPIENT)
     lines = parts(block, "\n")
-    agent = F.get(F.filter(lines, lambda x: x.rlike(r"(?i)^c\s*/\s*[-o]?\s*\S")), F.lit(0))
+    agent = F.get(F.filter(lines, lambda x: x.rlike(AGENT_LINE + r"\S")), F.lit(0))
     own = care_of(F.get(lines, F.lit(0)))
-    return F.struct(without_contact(own["party"]).alias("name"), F.coalesce(F.regexp_replace(agent, r"(?i)^c\s*/\s*[-o]?\s*", ""), own["agent"]).alias("agent"))
+    return F.struct(without_contact(own["party"]).alias("name"), F.coalesce(F.regexp_replace(agent, AGENT_LINE, ""), own["agent"]).alias("agent"))
 
 
 def codename(seed: Column) -> Column:

@@ -16,8 +16,13 @@ STREET_TYPES = {
     "rise": ["rise"], "row": ["row"], "view": ["view"], "sq": ["square", "sq"], "loop": ["loop"],
 }
 WORD_UNITS = {"dual": 2, "duplex": 2, "triple": 3, "triplex": 3, "fourplex": 4, "quadruplex": 4}
+# The patterns of rents, prices, sales, dates, sizes and company forms, and the greatest price taken for one.
 RENTAL = r"(?i)per\s+(week|month)|/\s*w(k|eek)?\b|\bp\.?\s*/?\s*w\.?\b|\bpcm\b|\bweekly\b"
 PRICE = r"\$([\d,]+(?:\.\d+)?)\s*([kKmM]?)"
+SOLD_TAG = r"^Sold(?: by (\w+(?:\s\w+)?))?\s+(?:on\s+)?(\d{1,2}\s+\w+\s+\d{4})$"
+SHOWN_DATE = r"^(\d{1,2})\s+(\w{3,9})\s+(\d{4})$"
+FILE_SIZE = r"(?i)^([\d.]+)\s*([KMG]?b)$"
+COMPANY_FORM = r"\b(pty\.?\s*ltd\.?|pty\.?\s*limited|limited|inc\.?|corp\.?|llc|ltd\.?)\b\.?\s*$"
 PRICE_LIMIT = 200_000_000
 
 
@@ -80,8 +85,7 @@ def au_date(text: Column) -> Column:
 
 def display_date(text: Column) -> Column:
     """'4 Dec 2025', month names short or whole."""
-    p = r"^(\d{1,2})\s+(\w{3,9})\s+(\d{4})$"
-    t = F.trim(text)
+    p, t = SHOWN_DATE, F.trim(text)
     names = "january february march april may june july august september october november december".split()
     months = mapping({n: str(i) for i, name in enumerate(names, 1) for n in (name, name[:3])})
     return F.when(t.rlike(p), real_date(F.regexp_extract(t, p, 3), F.element_at(months, F.lower(F.regexp_extract(t, p, 2))), F.regexp_extract(t, p, 1)))
@@ -93,7 +97,7 @@ def iso_date(text: Column) -> Column:
 
 def size_bytes(text: Column) -> Column:
     """'1.5 MB' to bytes."""
-    p = r"(?i)^([\d.]+)\s*([KMG]?b)$"
+    p = FILE_SIZE
     unit = F.lower(F.regexp_extract(F.trim(text), p, 2))
     factor = F.when(unit == "kb", 1024).when(unit == "mb", 1024**2).when(unit == "gb", 1024**3).otherwise(1)
     return F.when(F.trim(text).rlike(p), F.floor(F.regexp_extract(F.trim(text), p, 1).try_cast("double") * factor))
@@ -126,8 +130,7 @@ def is_rental(text: Column) -> Column:
 
 def sold_tag(text: Column) -> Column:
     """struct(sold_date, method) of 'Sold by auction 03 Dec 2025'."""
-    p = r"^Sold(?: by (\w+(?:\s\w+)?))?\s+(?:on\s+)?(\d{1,2}\s+\w+\s+\d{4})$"
-    t = F.trim(text)
+    p, t = SOLD_TAG, F.trim(text)
     return F.struct(display_date(first_match(t, p, 2)).alias("sold_date"), first_match(t, p, 1).alias("method"))
 
 
@@ -147,7 +150,7 @@ def room_count(value: Column) -> Column:
 def company_norm(name: Column) -> Column:
     """Lower case, without bracketed notes and a closing company form, blanks squeezed."""
     text = F.regexp_replace(F.trim(F.lower(name)), r"\([^)]*\)", "")
-    text = F.trim(F.regexp_replace(text, r"\b(pty\.?\s*ltd\.?|pty\.?\s*limited|limited|inc\.?|corp\.?|llc|ltd\.?)\b\.?\s*$", ""))
+    text = F.trim(F.regexp_replace(text, COMPANY_FORM, ""))
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 

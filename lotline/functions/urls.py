@@ -17,6 +17,10 @@ DENIED_HOSTS = ["google.com", "www.google.com", "policies.google.com", "support.
 ROLE_WORDS = {"builder": "build|construct|homes|developments|projects", "architect": "architect|design|studio|drafting"}
 DIRECTORIES = ["truelocal.com.au", "yellowpages.com.au", "hotfrog.com.au", "yelp.com.au", "oneflare.com.au", "australia.com", "localsearch.com.au", "businesslistingsaustralia.com", "searchfrog.com.au", "australianbusinessesonline.com.au", "homely.com.au", "houzz.com.au"]
 SOCIAL = ["linkedin.com", "facebook.com", "instagram.com", "twitter.com", "x.com", "youtube.com", "tiktok.com"]
+PROFILE_SLUG = r"/(?:property|property-profile)/([a-z0-9][a-z0-9-]*)/?"
+LISTING_SLUG = r"(?i)^https?://www\.domain\.com\.au/(?!property-profile/)([a-z0-9-]+?)-\d{6,}\b"
+SOLD_SLUG = r"(?i)^https?://www\.realestate\.com\.au/sold/([a-z0-9+-]+?)-\d{6,}\b"
+BARE_PROFILE = r"^https?://www\.realestate\.com\.au/property/[a-z0-9-]+$"
 
 
 def classify_url(url: Column) -> Column:
@@ -31,7 +35,7 @@ def clean_url(url: Column) -> Column:
     text = F.substring_index(url, "\\", 1)
     text = F.substring_index(F.substring_index(F.replace(text, F.lit("&amp;"), F.lit("&")), "#", 1), "?", 1)
     text = F.regexp_replace(text, r"""[/.,;)>'"]+$""", "")
-    return F.when(text.rlike(r"^https?://www\.realestate\.com\.au/property/[a-z0-9-]+$"), F.concat(text, F.lit("/"))).otherwise(text)
+    return F.when(text.rlike(BARE_PROFILE), F.concat(text, F.lit("/"))).otherwise(text)
 
 
 def host(url: Column) -> Column:
@@ -68,9 +72,9 @@ def slug_matches(url: Column, address: Column, suburb: Column) -> Column:
     """Whether a link can be about the address: its number after a unit prefix, and the suburb; links of unknown shape pass."""
     number = F.nullif(F.regexp_extract(address, r"^\s*(\d+)\b", 1), F.lit(""))
     place = F.replace(F.lower(suburb), F.lit(" "), F.lit("-"))
-    profile = F.nullif(F.regexp_extract(url, r"/(?:property|property-profile)/([a-z0-9][a-z0-9-]*)/?", 1), F.lit(""))
-    listing = F.nullif(F.lower(F.regexp_extract(url, r"(?i)^https?://www\.domain\.com\.au/(?!property-profile/)([a-z0-9-]+?)-\d{6,}\b", 1)), F.lit(""))
-    sold = F.nullif(F.lower(F.regexp_extract(url, r"(?i)^https?://www\.realestate\.com\.au/sold/([a-z0-9+-]+?)-\d{6,}\b", 1)), F.lit(""))
+    profile = F.nullif(F.regexp_extract(url, PROFILE_SLUG, 1), F.lit(""))
+    listing = F.nullif(F.lower(F.regexp_extract(url, LISTING_SLUG, 1)), F.lit(""))
+    sold = F.nullif(F.lower(F.regexp_extract(url, SOLD_SLUG, 1)), F.lit(""))
     body = F.regexp_replace(F.regexp_replace(F.coalesce(profile, listing), r"^unit-\d+[a-z]?-", ""), r"^\d+[a-z]?-(?=\d+-)", "")
     same = (F.regexp_extract(body, r"^(\d+)[a-z]?-", 1) == number) & F.coalesce(body.contains(place), F.lit(True))
     return F.when(F.coalesce(profile, listing).isNotNull(), F.coalesce(number.isNull() | same, F.lit(True))).when(sold.isNotNull(), F.coalesce(sold.contains(place), F.lit(True))).otherwise(True)

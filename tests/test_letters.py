@@ -66,3 +66,11 @@ def test_page_lookups(spark):
     assert [r.page_id for r in K.fresh_pages(pages, 48, datetime.datetime(2024, 1, 3)).collect()] == [2]
     rows = spark.createDataFrame([(1, "a", "y"), (2, "a", "z"), (3, None, "x"), (4, "c", "x")], "i long, url_hash string, content_hash string")
     assert {r.i: r.page_id for r in K.lookup_page(rows, pages.select("page_id", "url_hash", "content_hash")).collect()} == {1: 2, 2: 1, 3: None, 4: None}
+
+
+def test_bodies_that_are_not_utf8(spark):
+    import gzip
+
+    rows = [(1, b"plain \xff\xfe"), (2, gzip.compress("é".encode())), (3, None), (4, b""), (5, gzip.compress(b"\x80x"))]
+    got = {r.i: r.t for r in spark.createDataFrame(rows, "i long, b binary").select("i", G.unzipped("b").alias("t")).collect()}
+    assert got == {1: "plain \ufffd\ufffd", 2: "é", 3: None, 4: "", 5: "\ufffdx"}
