@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotline.functions.entities import firm_seed, name_candidates
 from lotline.functions.text import company_norm, digits_of
+from lotline.operators.components import components
 from lotline.operators.joins import lookup_company, remap_fk
+from lotline.operators.staging import settled
 from lotline.operators.writes import insert_ignore
 
 
@@ -17,27 +18,88 @@ def keyed(df: DataFrame, name: str = "display_name") -> DataFrame:
     return df.withColumns({"acn": digits_of(F.col("acn"), 9), "abn": digits_of(abn, 11), "norm_name": company_norm(F.col(name))})
 
 
+def known_label(id_: Column) -> Column:
+    """Labels sort known companies by id before new ones by founding key."""
+    return F.concat(F.lit("known:"), F.lpad(id_.cast("string"), 20, "0"))
+
+
+def id_of(label: Column) -> Column:
+    """A known company's id; for a new one a negative hash of its founding key."""
+    return F.when(label.startswith("known:"), F.substring(label, 7, 20).cast("long")).when(label.isNotNull(), -F.lit(1) - F.abs(F.xxhash64(label) % (1 << 62)))
+
+
+def adopted(records: DataFrame, known: DataFrame) -> DataFrame:
+    """(acn, id): ACNs that no known company has, taken over by a known company without one that shares the ABN.
+
+    Of several companies the least id, which takes over one ACN only, the least; a name alone moves no ACN.
+    """
+    seats = known.where("acn is null and abn is not null").groupBy("abn").agg(F.min("id").alias("id"))
+    fresh = records.where("acn is not null").join(known.where("acn is not null").select("acn").distinct(), "acn", "left_anti")
+    own = fresh.join(seats, "abn").groupBy("acn").agg(F.min("id").alias("id"))
+    return own.groupBy("id").agg(F.min("acn").alias("acn")).select("acn", "id")
+
+
+def key_labels(records: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(key, label) of the ABNs and names that records without an ACN hold.
+
+    records: distinct acn, abn, norm_name. seeds: (key, label) of keys held by a known company or beside an
+    ACN. Labels spread from key to key over records without an ACN, one record a round; a key keeps the label
+    that reaches it first, of several the best. Keys that no label reaches are joined into components.
+    """
+    pairs = settled(records.where("acn is null").select(F.concat(F.lit("abn:"), "abn").alias("b"), F.concat(F.lit("name:"), "norm_name").alias("n")).distinct(), "pairs")
+    labels = settled(seeds.groupBy("key").agg(F.min("label").alias("label")), "labels")
+    named = lambda c, out: labels.select(F.col("key").alias(c), F.col("label").alias(out))
+    while True:
+        told = pairs.join(named("b", "lb"), "b", "left").join(named("n", "ln"), "n", "left")
+        told = told.select("b", "n", F.when(F.col("lb").isNull() & F.col("b").isNotNull(), F.col("ln")).alias("to_b"), F.when(F.col("ln").isNull(), F.col("lb")).alias("to_n"))
+        fresh = told.select(F.col("b").alias("key"), F.col("to_b").alias("label")).unionByName(told.select(F.col("n").alias("key"), F.col("to_n").alias("label"))).where("key is not null and label is not null")
+        fresh = settled(fresh.groupBy("key").agg(F.min("label").alias("label")), "reached")
+        if fresh.isEmpty():
+            break
+        labels = settled(labels.unionByName(fresh), "labels")
+    rest = pairs.withColumn("key", F.coalesce("n", "b")).join(labels.select("key"), "key", "left_anti").select(F.coalesce("b", "n").alias("a"), F.coalesce("n", "b").alias("b"))
+    rest = settled(rest.where("a is not null"), "rest")
+    if rest.isEmpty():
+        return labels
+    return labels.unionByName(components(rest).select(F.col("node").alias("key"), F.concat(F.lit("new:"), "component").alias("label")))
+
+
 def resolve_companies(mentions: DataFrame, companies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(mentions with company_id, companies filled up and with the new ones), free of row order.
 
-    A mention goes to the company with its ACN, else its ABN, else (only without an ACN of its own)
-    the least id with its name. The rest found new companies: by ACN, else by ABN, else by name.
-    Different ACNs are never merged. New ids are negative hashes of the founding key. A known company
-    without ACN, ABN or entity type takes the least its mentions give.
+    Mentions are matched with companies and with each other, by ACN before ABN before name.
+
+    * All mentions of one ACN are one company: the known one with it (the least id of several); else a known one
+      without an ACN that shares an ABN with such a mention and takes the ACN over; else a new one.
+      Different ACNs are never merged, whatever ABN or name they share.
+    * A mention without an ACN belongs where its ABN belongs, else where its name belongs. A key belongs to a
+      company or ACN that it stands beside (known before new, then the least id), else to what the fewest
+      mentions lead to: of a firm named with ACN and ABN, once with the ABN under another name and once
+      under that name alone, all three are one company.
+    * Mentions that nothing of this reaches are new companies, one for each set that ABNs and names connect.
+
+    New ids are negative hashes of the founding key (ACN, else the least key of the set). A company without ACN,
+    ABN or entity type takes the least that its mentions give. A mention without a usable name, ACN and ABN has no company.
     """
     m, c = keyed(mentions, "name"), keyed(companies)
-    least = lambda k: c.where(F.col(k).isNotNull()).groupBy(k).agg(F.min("id").alias(f"_{k}"))
-    for k in ("acn", "abn", "norm_name"):
-        m = m.join(least(k), k, "left")
-    found = F.coalesce("_acn", "_abn", F.when(F.col("acn").isNull(), F.col("_norm_name")))
-    founding = F.coalesce(F.concat(F.lit("acn:"), "acn"), F.concat(F.lit("abn:"), "abn"), F.concat(F.lit("name:"), "norm_name"))
-    m = m.withColumn("company_id", F.coalesce(found, -F.abs(F.xxhash64(founding) % (1 << 62)))).drop("_acn", "_abn", "_norm_name")
+    m = settled(m.withColumn("norm_name", F.when(F.col("norm_name") != "", F.col("norm_name"))), "mentions")
+    records = settled(m.select("acn", "abn", "norm_name").distinct(), "records")
+    known = settled(c.select("id", "acn", "abn", F.when(F.col("norm_name") != "", F.col("norm_name")).alias("norm_name")), "known")
+    of_acn = known.where("acn is not null").groupBy("acn").agg(F.min("id").alias("id")).unionByName(adopted(records, known)).withColumn("label", known_label(F.col("id")))
+    acns = records.where("acn is not null").select("acn").distinct().join(of_acn, "acn", "left")
+    acns = settled(acns.select("acn", F.coalesce("label", F.concat(F.lit("new:acn:"), "acn")).alias("label")), "acns")
+    beside = records.join(acns, "acn").select("abn", "norm_name", "label").unionByName(known.select("abn", "norm_name", known_label(F.col("id")).alias("label")))
+    key = F.explode(F.array(F.concat(F.lit("abn:"), "abn"), F.concat(F.lit("name:"), "norm_name")))
+    labels = settled(key_labels(records, beside.select(key.alias("key"), "label").where("key is not null")), "labels")
+    by = lambda prefix, col, out: labels.where(F.col("key").startswith(prefix)).select(F.substring("key", len(prefix) + 1, 1 << 20).alias(col), F.col("label").alias(out))
+    m = m.join(acns.select("acn", F.col("label").alias("_acn")), "acn", "left").join(by("abn:", "abn", "_abn"), "abn", "left").join(by("name:", "norm_name", "_name"), "norm_name", "left")
+    m = m.withColumn("company_id", id_of(F.coalesce("_acn", "_abn", "_name"))).drop("_acn", "_abn", "_name")
     facts = [k for k in ("acn", "abn", "entity_type") if k in m.columns]
-    given = m.groupBy(F.col("company_id").alias("id")).agg(*[F.min(k).alias(f"_{k}") for k in facts], F.min("name").alias("_name"))
+    given = m.where("company_id is not null").groupBy(F.col("company_id").alias("id")).agg(*[F.min(k).alias(f"_{k}") for k in facts], F.min("name").alias("_name"))
     own = [k for k in facts if k in companies.columns]
-    known = companies.join(given.where("id >= 0").select("id", *[f"_{k}" for k in own]), "id", "left").withColumns({k: F.coalesce(k, f"_{k}") for k in own}).select(*companies.columns)
+    filled = companies.join(given.where("id >= 0").select("id", *[f"_{k}" for k in own]), "id", "left").withColumns({k: F.coalesce(k, f"_{k}") for k in own}).select(*companies.columns)
     new = given.where("id < 0").select("id", *[F.col(f"_{k}").alias(k) for k in facts], F.col("_name").alias("display_name"))
-    return m, known.unionByName(new, allowMissingColumns=True)
+    return m, filled.unionByName(new, allowMissingColumns=True)
 
 
 def enrich_companies(companies: DataFrame, registry: DataFrame) -> DataFrame:
@@ -50,20 +112,6 @@ def enrich_companies(companies: DataFrame, registry: DataFrame) -> DataFrame:
     return out.select("id", F.coalesce("_r.acn", "acn").alias("acn"), F.coalesce("_r.name", "display_name").alias("display_name"), F.col("_r.status").alias("registry_status"))
 
 
-def resolve_by_siblings(prints: DataFrame, docs: DataFrame) -> DataFrame:
-    """application_id, source_doc_id, name: the firm name found verbatim in another document of the application.
-
-    prints: application_id, source_doc_id, kind, normalized_value. docs: application_id, doc_id, text.
-    The first candidate spelling wins, then the least document. A document is read only if it holds
-    the candidate's first word.
-    """
-    seeds = prints.withColumn("seed", firm_seed(F.col("kind"), F.col("normalized_value"))).where("seed is not null").select("application_id", "source_doc_id", "seed").distinct()
-    spelled = seeds.select("application_id", "source_doc_id", F.posexplode(name_candidates(F.col("seed"))).alias("place", "candidate"))
-    pairs = spelled.join(docs, "application_id").where((F.col("doc_id") != F.col("source_doc_id")) & F.lower("text").contains(F.lower(F.substring_index("candidate", " ", 1))))
-    found = pairs.withColumn("name", F.call_function("regexp_extract", F.col("text"), F.concat(F.lit(r"(?i)\b\Q"), F.col("candidate"), F.lit(r"\E\b")), F.lit(0))).where("name <> ''")
-    return found.groupBy("application_id", "source_doc_id").agg(F.min_by("name", F.struct("place", "doc_id")).alias("name"))
-
-
 def match_existing(candidates: DataFrame, linked: DataFrame) -> DataFrame:
     """Candidates whose name holds, or is held by, the name of a company linked to the same application; the least company id."""
     hit = F.lower("name").contains(F.lower("display_name")) | F.lower("display_name").contains(F.lower("name"))

@@ -6,7 +6,7 @@ drafters use; the twins state who they name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotline.functions import letters as L
@@ -213,17 +213,30 @@ def shifted_evidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def filled_companies(spark: SparkSession, d: str) -> DataFrame:
-    """Companies without an ACN take it from mentions that name them by ABN."""
-    c = one(spark, d, "companies").withColumn("abn", F.lpad(F.col("id").cast("string"), 11, "1"))
+    """Companies without an ACN take it from mentions by ABN; every tenth shares the ABN of the company before it."""
+    abn = F.lpad((F.col("id") - (F.col("id") % 10 == 5).cast("int")).cast("string"), 11, "0")
+    c = one(spark, d, "companies").withColumn("abn", abn)
     m = c.where("id % 2 = 0").select(F.lit("Someone").alias("name"), F.lpad(F.col("id").cast("string"), 9, "8").alias("acn"), "abn", F.lit("company").alias("entity_type"))
-    return Co.resolve_companies(m, c)[1].where("id >= 0").select("id", "acn", "display_name", "entity_type")
+    return Co.resolve_companies(m, c)[1].where("id >= 0").select("id", "acn", "abn", "display_name", "entity_type")
+
+
+def unknown_firms(spark: SparkSession, d: str) -> DataFrame:
+    """Mentions of firms that no table knows, joined by ABNs and names alone: each name with the least name of its company.
+
+    Every order names its customer's firm; one in sixteen gives an ABN too, which firms of other customers share.
+    """
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    abn = F.when(F.col("o_orderkey") % 16 == 0, F.lpad((F.col("o_orderkey") * 7919 % 9973 + F.col("o_custkey") % 2).cast("string"), 11, "5"))
+    mentions = o.select(F.concat(F.lit("Firm "), F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, " Pty Ltd").otherwise("")).alias("name"), F.lit(None).cast("string").alias("acn"), abn.alias("abn"))
+    found = Co.resolve_companies(mentions, one(spark, d, "companies").limit(0))[0].select("company_id", "norm_name").distinct()
+    return found.select(F.col("norm_name").alias("name"), F.min("norm_name").over(Window.partitionBy("company_id")).alias("first_name"), F.count(F.lit(1)).over(Window.partitionBy("company_id")).alias("n_names"))
 
 
 def suburb_colours(spark: SparkSession, d: str) -> DataFrame:
     return one(spark, d, "domain_properties").select("suburb", colour_index(F.when(F.col("id") % 5 == 0, F.upper("suburb")).when(F.col("id") % 5 == 1, " ").otherwise(F.col("suburb"))).alias("colour")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (filled_companies, suburb_colours, letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
+QUERIES = {f.__name__: f for f in (filled_companies, unknown_firms, suburb_colours, letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
 
 
 def listed(names: list[str], i: str) -> str:
@@ -267,6 +280,14 @@ from m left join d using (application_id) left join applications a on a.id = m.a
     "overlapping_names": twin("with l as (select distinct application_id, company_id, display_name from application_entities e join companies c on c.id = e.company_id), n as (select distinct application_id, case when company_id % 2 = 0 then 'supplier#' || lpad(cast(company_id as varchar), 9, '0') else 'The Supplier#' || lpad(cast(company_id as varchar), 9, '0') || ' PTY LTD Group' end as name from application_entities where role = 'applicant') select n.application_id, name, min(company_id) as company_id from n join l on l.application_id = n.application_id and (contains(lower(name), lower(display_name)) or contains(lower(display_name), lower(name))) group by 1, 2", "application_entities", "companies"),
     "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words, 'f' || (min(sp.span) % 3) as font from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
     "shifted_evidence": "with s as (select doc_id, substr(text, 5, 30) as saved, instr('put in front' || chr(10) || text, substr(text, 5, 30)) as pos from documents where text <> '') select doc_id, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 end as int) as span_start, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 + length(saved) end as int) as span_end from s",
-    "filled_companies": twin("select id, case when acn is null and id % 2 = 0 then lpad(cast(id as varchar), 9, '8') else acn end as acn, display_name, entity_type from companies", "companies"),
+    "filled_companies": twin("""with c as (select *, lpad(cast(id - case when id % 10 = 5 then 1 else 0 end as varchar), 11, '0') as abn from companies),
+m as (select lpad(cast(id as varchar), 9, '8') as acn, abn from c where id % 2 = 0), seats as (select abn, min(id) as id from c where acn is null group by abn),
+taken as (select s.id, min(m.acn) as acn from m join seats s using (abn) where m.acn not in (select acn from c where acn is not null) group by s.id)
+select c.id, coalesce(c.acn, t.acn) as acn, abn, display_name, entity_type from c left join taken t using (id)""", "companies"),
+    "unknown_firms": """with recursive m as (select distinct 'firm ' || o_custkey as name, case when o_orderkey % 16 = 0 then lpad(cast(o_orderkey * 7919 % 9973 + o_custkey % 2 as varchar), 11, '5') end as abn from orders),
+link as (select distinct a.name as x, b.name as y from m a join m b on a.abn = b.abn or a.name = b.name and a.abn is null and b.abn is null),
+reach as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),
+own as (select x as name, min(y) as first_name, count(distinct y) as n_names from reach group by x)
+select name, first_name, n_names from own""",
     "suburb_colours": twin(f"select distinct suburb, case when id % 5 <> 1 then {fnv32_sql('lower(suburb)')} % {COLOURS} end as colour from domain_properties", "domain_properties"),
 }

@@ -58,11 +58,6 @@ def test_resolve_companies(spark):
     assert every.count() == 4
 
 
-def test_siblings(spark):
-    prints = spark.createDataFrame([(1, 10, "url", "bradruddelldesign.com.au")], "application_id int, source_doc_id int, kind string, normalized_value string")
-    docs = spark.createDataFrame([(1, 10, "Brad Ruddell Design"), (1, 11, "plans by BRAD RUDDELL DESIGN, 2020"), (1, 12, None)], "application_id int, doc_id int, text string")
-    assert rows(P.resolve_by_siblings(prints, docs)) == [(1, 10, "BRAD RUDDELL DESIGN")]
-
 
 def test_rates_sheet(spark):
     text = ["banner", "Title,One,Two", "x", "Series ID,S1,S2", "", "31/01/1959,4.5", "28/02/1959,4.6,5.1", "31/02/1959,1,1", "31/03/1959,,n"]
