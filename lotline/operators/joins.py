@@ -74,10 +74,24 @@ def asof_prev(left: DataFrame, right: DataFrame, on: list[str], key: list[str],
 
 
 def events_after(left: DataFrame, right: DataFrame, on: list[str], ltime: str, rtime: str) -> DataFrame:
-    """Pairs of left rows and right events strictly after them."""
+    """Pairs of left rows and right events strictly after them. Where only totals are asked for, see totals_after."""
     return left.join(right, on).where(F.col(rtime) > F.col(ltime))
 
 
+def totals_after(left: DataFrame, right: DataFrame, on: list[str], key: list[str], ltime: str, rtime: str, totals: dict[str, Column]) -> DataFrame:
+    """key of every left row with an event strictly after it, and over those events the sum of each of totals.
+
+    Both sides are laid out from the newest row to the oldest per key, left rows before events of the same
+    time, and sums run along: no pairs are made, so many rows on both sides of one key cost one sort.
+    """
+    given = lambda cols: F.forall(F.array(*[F.col(c).isNull() for c in cols]), lambda x: ~x)
+    events = right.where(given([*on, rtime])).select(*on, F.col(rtime).alias("_t"), F.lit(1).alias("_side"), *[c.alias(f"_{n}") for n, c in totals.items()])
+    rows = left.where(given([*on, ltime])).select(*on, F.col(ltime).alias("_t"), F.lit(0).alias("_side"), F.struct(*key).alias("_key"))
+    order = Window.partitionBy(*on).orderBy(F.desc("_t"), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    met = rows.unionByName(events, allowMissingColumns=True).withColumns({"_later": F.sum("_side").over(order), **{n: F.sum(f"_{n}").over(order) for n in totals}})
+    return met.where("_side = 0 and _later > 0").select("_key.*", *totals)
+
+
 def coalesce_sources(base: DataFrame, key: list[str], sources: list[tuple[DataFrame, str]], value: str, label: str) -> DataFrame:
     """base with `value` from the first source that has one, and which source that was."""
     out, values, names = base, [], []
@@ -103,9 +117,44 @@ def unit_evidence(streets: DataFrame, urls: DataFrame) -> DataFrame:
     return prefix_join(own, found, "_street", "_rest").select("street_address", "discovered_at")
 
 
+def cells_of(span: tuple[str, str], level: Column) -> Column:
+    """The cells of 2**level whole numbers that a span touches (its first place at least)."""
+    start, end = (F.floor(F.col(c)).cast("long") for c in span)
+    last = F.greatest(start, F.ceil(F.col(span[1])).cast("long") - 1)
+    return F.sequence(F.call_function("shiftright", start, level), F.call_function("shiftright", last, level))
+
+
 def overlap_join(a: DataFrame, b: DataFrame, on: list[str], a_span: tuple[str, str], b_span: tuple[str, str]) -> DataFrame:
-    """Pairs whose half-open spans overlap, within equal keys."""
-    return a.join(b, on).where((F.col(a_span[0]) < F.col(b_span[1])) & (F.col(b_span[0]) < F.col(a_span[1])))
+    """Pairs whose half-open spans overlap, within equal keys.
+
+    A span's level is the power of two that covers its length. Spans meet in cells of the longer one's level,
+    of which either touches two at most, and a pair is reported in the cell in which its overlap begins: only
+    spans near each other meet, not all of a key. Spans are sent to the levels that their key has on the other side.
+    """
+    level = lambda span: F.greatest(F.ceil(F.log2(F.greatest(F.ceil(F.col(span[1])) - F.floor(F.col(span[0])), F.lit(1)))), F.lit(0)).cast("int")
+    shown = [*on, *(c for c in a.columns if c not in on), *(c for c in b.columns if c not in on)]
+    # Columns of one name on both sides stay apart, as in a plain join.
+    sides = []
+    for name, df, span in (("a", a, a_span), ("b", b, b_span)):
+        rest = [c for c in df.columns if c not in on]
+        given = df.where(F.col(span[0]).isNotNull() & F.col(span[1]).isNotNull())
+        sides.append(given.select(*on, F.col(span[0]).alias(f"_{name}0"), F.col(span[1]).alias(f"_{name}1"), level(span).alias(f"_{name}_level"), F.struct(*rest).alias(f"_{name}_row")))
+    at = lambda name, lev: F.explode(cells_of((f"_{name}0", f"_{name}1"), F.col(lev))).alias("_cell")
+
+    def met(low: str, high: str, strict: bool) -> DataFrame:
+        """Pairs in which `high` has the greater level (or the same, unless strict)."""
+        lo, hi = (sides[0], sides[1]) if low == "a" else (sides[1], sides[0])
+        levels = hi.groupBy(*on).agg(F.collect_set(f"_{high}_level").alias("_levels"))  # one number per power of two
+        above = F.filter("_levels", lambda x: x > F.col(f"_{low}_level") if strict else x >= F.col(f"_{low}_level"))
+        sent = lo.join(levels, on).withColumn("_level", F.explode(above)).drop("_levels")
+        sent = sent.select("*", at(low, "_level"))
+        own = hi.withColumn("_level", F.col(f"_{high}_level")).select("*", at(high, "_level"))
+        return sent.join(own, [*on, "_level", "_cell"]).select(*on, "_a0", "_a1", "_b0", "_b1", "_a_row", "_b_row", "_level", "_cell")
+
+    pairs = met("a", "b", False).unionByName(met("b", "a", True))
+    begin = F.call_function("shiftright", F.floor(F.greatest("_a0", "_b0")).cast("long"), F.col("_level"))
+    hit = pairs.where((F.col("_a0") < F.col("_b1")) & (F.col("_b0") < F.col("_a1")) & (begin == F.col("_cell")))
+    return hit.select(*on, "_a_row.*", "_b_row.*").toDF(*shown)
 
 
 def remap_fk(child: DataFrame, old_parents: DataFrame, new_parents: DataFrame, natural: list[str], fk: str, required: bool) -> DataFrame:

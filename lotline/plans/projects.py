@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions.classify import classify_kind, dwelling_count, dwelling_kind, every, is_approved, kind_predicate
-from lotline.operators.joins import asof_prev, coalesce_sources, events_after, lot_matches, matched, unit_children, unit_evidence
+from lotline.operators.joins import asof_prev, coalesce_sources, events_after, lot_matches, matched, totals_after, unit_children, unit_evidence
 from lotline.operators.rollups import developer_counts, docs_rollup, entities_by_role
 from lotline.operators.staging import settled
 
@@ -35,16 +35,25 @@ def filter_applications(apps: DataFrame, kind: str | None = None, suburb: str |
     )
 
 
-def site_facts(streets: DataFrame, matches: DataFrame) -> DataFrame:
-    """Per street, over the parent rows: land area, rooms, property type."""
-    own = matches.where("unit_number = ''").groupBy("street_address")
-    return own.agg(F.max("land_area_m2").alias("land"), F.max("bedrooms").alias("beds"), F.max("bathrooms").alias("baths"), F.max("property_type").alias("kind"))
+def site_facts(matches: DataFrame) -> DataFrame:
+    """Per street and portal, over the parent rows: land area, rooms, property type, as d_... and r_...
+
+    matches: the portals' street matches in one table, with `portal`.
+    """
+    of = lambda p, c: F.max(F.when(F.col("portal") == p, F.col(c)))
+    facts = {"land": "land_area_m2", "beds": "bedrooms", "baths": "bathrooms", "kind": "property_type"}
+    return matches.where("unit_number = ''").groupBy("street_address").agg(*[of(p, c).alias(f"{p}_{a}") for p in "dr" for a, c in facts.items()])
 
 
 def unit_rooms(units: DataFrame) -> DataFrame:
-    """Per street: rooms summed over units (each unit's greatest count), and how many units have one."""
-    per = units.groupBy("street_address", "unit_number").agg(F.max("bedrooms").alias("b"), F.max("bathrooms").alias("t"))
-    return per.groupBy("street_address").agg(F.sum("b").alias("beds"), F.count("b").alias("n_beds"), F.sum("t").alias("baths"), F.count("t").alias("n_baths"), F.count(F.lit(1)).alias("n_units"))
+    """Per street and portal: rooms summed over units (each unit's greatest count), and how many units have one, as du_... and ru_...
+
+    A portal without a unit on the street counts 0 and sums to null.
+    """
+    per = units.groupBy("street_address", "portal", "unit_number").agg(F.max("bedrooms").alias("b"), F.max("bathrooms").alias("t"))
+    of = lambda p, c: F.when(F.col("portal") == p, F.col(c))
+    own = lambda p: [F.sum(of(p, "b")).alias(f"{p}u_beds"), F.count(of(p, "b")).alias(f"{p}u_n_beds"), F.sum(of(p, "t")).alias(f"{p}u_baths"), F.count(of(p, "t")).alias(f"{p}u_n_baths"), F.count_if(F.col("portal") == p).alias(f"{p}u_n_units")]
+    return per.groupBy("street_address").agg(*own("d"), *own("r"))
 
 
 def pre_sale(apps: DataFrame, matches: DataFrame, sales: DataFrame, fk: str, sold) -> DataFrame:
@@ -66,44 +75,43 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     desc, n = F.col("description"), F.col("approved_units")
     apps = apps.withColumns({"dwelling_count": dwelling_count(desc, n), "dwelling_kind": dwelling_kind(desc, n), "kind": classify_kind(desc, n)})
     key = apps.select("id", "street_address", "lodged_date", "decision_date")
-    streets = key.select("street_address").distinct()
+    streets = settled(key.select("street_address").distinct(), "streets")
     # Street matches and their units are read by several facts each: they are worked out once per portal.
     fields = ["id", "unit_number", "street_number", "street_name", "suburb", "display_address", "land_area_m2", "bedrooms", "bathrooms", "property_type"]
-    props = {s: t[f"{s}_properties"].select(fields) for s in ("domain", "realestate")}
-    dom, rea = (settled(lot_matches(streets, props[s]), f"{s}_matches") for s in props)
-    dom_units, rea_units = (settled(unit_children(m, props[s]), f"{s}_units") for s, m in (("domain", dom), ("realestate", rea)))
+    props = {p: t[f"{n}_properties"].select(fields) for p, n in (("d", "domain"), ("r", "realestate"))}
+    matches = {p: settled(lot_matches(streets, props[p]).withColumn("portal", F.lit(p)), f"{p}_matches") for p in props}
+    units = {p: settled(unit_children(matches[p], props[p]).withColumn("portal", F.lit(p)), f"{p}_units") for p in props}
+    own_events = lambda rows, fk, sales: rows.select("street_address", F.col("id").alias(fk)).join(sales, fk)
+
+    # Facts of a street are worked out per street and meet the applications' ids; the wide rows come in last, once.
+    sold = own_events(units["d"], "domain_property_id", t["domain_sales"].select("domain_property_id", "event_date", "event_price", "is_sold"))
+    listed = own_events(units["r"], "realestate_property_id", t["realestate_sales"].select("realestate_property_id", "event_date"))
+    seen = unit_evidence(streets, t["discovered_urls"])
+    signs = [df.select("street_address", F.col(c).cast("timestamp").alias("at")) for df, c in ((listed, "event_date"), (seen, "discovered_at"))]
+    last_sign = signs[0].unionByName(signs[1]).groupBy("street_address").agg(F.max("at").alias("last_sign"))
+    both = lambda x: x["d"].unionByName(x["r"])
+    narrow = key.drop("lodged_date")
+    for facts in (site_facts(both(matches)), unit_rooms(both(units)), last_sign):
+        narrow = narrow.join(facts, "street_address", "left")
+
+    pre = [
+        (pre_sale(key, matches["d"], t["domain_sales"], "domain_property_id", F.col("is_sold")), "domain"),
+        (pre_sale(key, matches["r"], t["realestate_sales"], "realestate_property_id", F.col("event_type") == "sold"), "realestate"),
+    ]
+    pre = [(p.select("id", F.struct("event_price", "event_date").alias("pre")), name) for p, name in pre]
+    narrow = coalesce_sources(narrow, ["id"], pre, "pre", "pre_source").where("pre is not null").withColumn("s_later", F.col("last_sign") > F.col("decision_date")).drop("street_address", "decision_date", "last_sign")
+    priced = F.when(F.col("is_sold"), F.col("event_price"))
+    after = totals_after(key.select("id", "street_address", "decision_date"), sold, ["street_address"], ["id"], "decision_date", "event_date", {"post_total": priced, "n_post_sales": priced.isNotNull().cast("long")})
+    narrow = narrow.join(after.withColumn("d_later", F.lit(True)), "id", "left")
 
-    out = apps
     ents = entities_by_role(t["application_entities"], t["companies"])
     counts = developer_counts(t["application_entities"]).select(F.col("company_id").alias("applicant_company_id"), F.col("n_projects").alias("developer_project_count"))
-    out = out.join(ents.join(counts, "applicant_company_id", "left").withColumnRenamed("application_id", "id"), "id", "inner" if analyzed_only else "left")
-    out = out.join(docs_rollup(t["documents_meta"]).withColumnRenamed("application_id", "id"), "id", "left")
-
-    for name, matches, units in (("d", dom, dom_units), ("r", rea, rea_units)):
-        site = site_facts(streets, matches).select("street_address", *[F.col(c).alias(f"{name}_{c}") for c in ("land", "beds", "baths", "kind")])
-        rooms = unit_rooms(units).select("street_address", *[F.col(c).alias(f"{name}u_{c}") for c in ("beds", "n_beds", "baths", "n_baths", "n_units")])
-        out = out.join(site, "street_address", "left").join(rooms, "street_address", "left")
+    narrow = narrow.join(ents.join(counts, "applicant_company_id", "left").withColumnRenamed("application_id", "id"), "id", "inner" if analyzed_only else "left")
+    narrow = narrow.join(docs_rollup(t["documents_meta"]).withColumnRenamed("application_id", "id"), "id", "left")
     drawings = F.col("template_key") == "build_features_drawings"
     top = lambda c, where: F.max(F.when(where & (F.col(c) > 0), F.col(c)))
     features = t["build_features"].groupBy(F.col("application_id").alias("id")).agg(top("site_area_m2", F.lit(True)).alias("f_land"), top("bedrooms", drawings).alias("f_beds"), top("bathrooms", drawings).alias("f_baths"))
-    out = out.join(features, "id", "left")
-
-    pre = [
-        (pre_sale(key, dom, t["domain_sales"], "domain_property_id", F.col("is_sold")), "domain"),
-        (pre_sale(key, rea, t["realestate_sales"], "realestate_property_id", F.col("event_type") == "sold"), "realestate"),
-    ]
-    pre = [(p.select("id", F.struct("event_price", "event_date").alias("pre")), name) for p, name in pre]
-    out = coalesce_sources(out, ["id"], pre, "pre", "pre_source")
-
-    sold = dom_units.select("street_address", F.col("id").alias("domain_property_id")).join(t["domain_sales"].select("domain_property_id", "event_date", "event_price", "is_sold"), "domain_property_id")
-    after = events_after(key.select(F.col("id"), "street_address", "decision_date"), sold, ["street_address"], "decision_date", "event_date").groupBy("id")
-    priced = F.col("is_sold") & F.col("event_price").isNotNull()
-    out = out.join(after.agg(F.sum(F.when(priced, F.col("event_price"))).alias("post_total"), F.count_if(priced).alias("n_post_sales"), F.lit(True).alias("d_later")), "id", "left")
-    listed = rea_units.select("street_address", F.col("id").alias("realestate_property_id")).join(t["realestate_sales"].select("realestate_property_id", "event_date"), "realestate_property_id")
-    later = events_after(key.select("id", "street_address", "decision_date"), listed, ["street_address"], "decision_date", "event_date").select("id").distinct()
-    out = out.join(later.withColumn("r_later", F.lit(True)), "id", "left")
-    seen = events_after(key.select("id", "street_address", "decision_date"), unit_evidence(streets, t["discovered_urls"]), ["street_address"], "decision_date", "discovered_at").select("id").distinct()
-    out = out.join(seen.withColumn("u_later", F.lit(True)), "id", "left")
+    out = apps.join(narrow.join(features, "id", "left"), "id")
 
     units_done = lambda p, c: F.when(F.col(f"{p}u_{c}") >= F.col("dwelling_count"), F.col(f"{p}u_{c.removeprefix('n_')}"))
     rooms = lambda c: F.coalesce(units_done("d", f"n_{c}"), units_done("r", f"n_{c}"), F.col(f"f_{c}") * F.nullif("dwelling_count", F.lit(0))).cast("long")
@@ -112,10 +120,10 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     n_post = F.coalesce("n_post_sales", F.lit(0))
     post = F.nullif(F.coalesce("post_total", F.lit(0)), F.lit(0))
     status = (
-        F.when(~is_approved(F.col("decision_outcome")), None).when(n_post > 0, "built_sold").when(F.coalesce("d_later", "r_later", "u_later", F.lit(False)), "built_unsold")
+        F.when(~is_approved(F.col("decision_outcome")), None).when(n_post > 0, "built_sold").when(F.coalesce("d_later", F.lit(False)) | F.coalesce("s_later", F.lit(False)), "built_unsold")
         .when(F.col("decision_date") < F.add_months(F.lit(as_of), -36), "abandoned_likely").otherwise("unknown")
     )
-    out = out.where("pre is not null").select(
+    out = out.select(
         "id", "council_slug", "application_id", "kind", "suburb", "street_address", "decision_outcome", "lodged_date", "decision_date", "approved_units", "description", "lot_on_plan",
         "applicant_name", "applicant_acn", "applicant_entity_type", "applicant_agent_name", "developer_project_count", "builder_name", "architect_name",
         "dwelling_count", "dwelling_kind", F.when(F.col("applicant_company_id").isNotNull() | (F.col("n_docs") > 0), "derived").alias("insight_status"),

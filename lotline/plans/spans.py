@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotline.operators.joins import overlap_join
 from lotline.operators.ordered import bio_tags
+from lotline.operators.staging import settled
 
 
 def word_spans(docs: DataFrame, per_line: int = 10, lines: int = 10) -> DataFrame:
@@ -17,20 +18,54 @@ def word_spans(docs: DataFrame, per_line: int = 10, lines: int = 10) -> DataFram
     return words.select("doc_id", F.floor(line / lines).alias("page"), "span", "text", (col * 50).alias("x0"), (row * 20).alias("y0"), (col * 50 + 40).alias("x1"), (row * 20 + 10).alias("y1"))
 
 
+#: How far a value may stand from its label. To the right: at most ROW points up or down. Below: at most
+#: DOWN points down and ASIDE sideways; BELOW points are added to the distance of values below.
+ROW, DOWN, ASIDE, BELOW = 3, 25, 60, 5
+#: Width of the first ring of cells to a label's right; each ring is GROWTH times as wide as the one before.
+RING, GROWTH = 64, 4
+
+
+def near_in_cells(labels: DataFrame, spans: DataFrame, x: tuple[Column, Column], y: tuple[Column, Column], width: float, height: float) -> DataFrame:
+    """Pairs of labels and spans of a page with x0 and y0 of the span in cells that the label's window x, y touches."""
+    cell = lambda v, size: F.floor(v / size).cast("long")
+    window = labels.withColumn("_cx", F.explode(F.sequence(cell(x[0], width), cell(x[1], width)))).withColumn("_cy", F.explode(F.sequence(cell(y[0], height), cell(y[1], height))))
+    return window.join(spans.withColumns({"_cx": cell(F.col("x0"), width), "_cy": cell(F.col("y0"), height)}), ["doc_id", "page", "_cx", "_cy"]).where("span <> l_span").drop("_cx", "_cy")
+
+
 def label_value_pairs(labels: DataFrame, spans: DataFrame) -> DataFrame:
     """Each label span's nearest value span: to the right on its row, or below within 25 points and 60 points sideways (5 points further off).
 
-    labels and spans carry doc_id, page, span, text and a box. Equal distances go to the smaller span.
+    labels and spans carry doc_id, page, span, text and a box; rows with a null in the box take no part. Equal
+    distances go to the smaller span. Spans meet labels in cells of the page: below in cells of the window's size; to
+    the right in rings, each four times as wide as the last, which only labels that found nothing to their right go on to.
     """
     box = ["span", "text", "x0", "y0", "x1", "y1"]
-    pairs = labels.select("doc_id", "page", *[F.col(c).alias(f"l_{c}") for c in box]).join(spans, ["doc_id", "page"]).where("span <> l_span")
-    right = (F.abs(F.col("y0") - F.col("l_y0")) <= 3) & (F.col("x0") >= F.col("l_x1"))
+    whole = F.forall(F.array(*[F.col(c).isNull() for c in ("x0", "y0", "x1", "y1")]), lambda v: ~v)
+    spans = settled(spans.where(whole).select("doc_id", "page", *box), "spans")
+    labels = settled(labels.where(whole).select("doc_id", "page", *[F.col(c).alias(f"l_{c}") for c in box]), "labels")
+    right = (F.abs(F.col("y0") - F.col("l_y0")) <= ROW) & (F.col("x0") >= F.col("l_x1"))
     down = F.col("y0") - F.col("l_y1")
-    below = down.between(0, 25) & (F.abs(F.col("x0") - F.col("l_x0")) <= 60)
-    distance = F.when(right, F.col("x0") - F.col("l_x1")).when(below, down + 5)
-    near = pairs.withColumn("distance", distance).where("distance is not null")
-    best = F.min_by(F.struct(F.col("span").alias("v_span"), F.col("text").alias("v_text"), "distance"), F.struct("distance", "span"))
-    return near.groupBy("doc_id", "page", "l_span").agg(best.alias("b")).select("doc_id", "page", "l_span", "b.*")
+    below = down.between(0, DOWN) & (F.abs(F.col("x0") - F.col("l_x0")) <= ASIDE)
+    distance = F.when(right, F.col("x0") - F.col("l_x1")).when(below, down + BELOW)
+    key = ["doc_id", "page", "l_span"]
+    value = F.struct(F.col("span").alias("v_span"), F.col("text").alias("v_text"), "distance")
+    nearest = lambda df: df.withColumn("distance", distance).groupBy(*key).agg(F.min_by(value, F.struct("distance", "span")).alias("b"))
+    under = near_in_cells(labels, spans, (F.col("l_x0") - ASIDE, F.col("l_x0") + ASIDE), (F.col("l_y1"), F.col("l_y1") + DOWN), 2 * ASIDE + 8, 2 * DOWN).where(below)
+    found = [nearest(under)]
+    most, least = spans.agg(F.max("x0")).first()[0] or 0, labels.agg(F.min("l_x1")).first()[0] or 0
+    reach, width, before, rest = most - least, RING, 0, labels
+    while True:
+        window = (F.col("l_x1") + before, F.col("l_x1") + width)
+        ring = near_in_cells(rest, spans, window, (F.col("l_y0") - ROW, F.col("l_y0") + ROW), width, 4 * ROW).where(right & (F.col("x0") <= F.col("l_x1") + width))
+        found.append(settled(nearest(ring), "ring"))
+        if width >= reach:
+            break
+        rest = settled(rest.join(found[-1].select(*key), key, "left_anti"), "rest")
+        before, width = width, width * GROWTH
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.groupBy(*key).agg(F.min_by("b", F.struct("b.distance", "b.v_span")).alias("b")).select(*key, "b.*")
 
 
 def union_bbox(entities: DataFrame, spans: DataFrame) -> DataFrame:
