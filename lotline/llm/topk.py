@@ -28,14 +28,24 @@ QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
 #: Blocks of candidates in a group; with few blocks each is a group of its own.
 GROUP_BLOCKS = 16
+#: Sum of a vector's squared integer components from which it takes no part.
+MOST = 2.0**62
 #: A vector is known by its id and a hash of its components, as ids may repeat with other components.
 QUERY, CANDIDATE = ["query_id", "query_tag"], ["vec_id", "vec_tag"]
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """id, tag (a hash of v), v (array of long): floor(scale * component); rows that may not take part are left out."""
-    good = F.col(vec_col).isNotNull() & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return vectors.where(F.coalesce(good, F.lit(False)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")).distinct().select("id", F.xxhash64("v").alias("tag"), "v")
+    """id, tag (a hash of v), v (array of long): floor(scale * component); rows that may not take part are left out.
+
+    Beside nulls and non-finite components these are vectors whose squares sum to MOST or more: below it no
+    product of two vectors, nor of their slices, can leave a long.
+    """
+    finite = F.col(vec_col).isNotNull() & F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    floors = F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).try_cast("long"))
+    square = F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + F.pow(F.abs(x.cast("double") * scale) + 1.0, F.lit(2.0)))
+    good = F.coalesce(finite, F.lit(False)) & F.col(id_col).isNotNull()
+    fits = F.when(good, square) < MOST
+    return vectors.where(F.coalesce(fits, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), floors.alias("v")).distinct().select("id", F.xxhash64("v").alias("tag"), "v")
 
 
 def nearest_copies(rows: DataFrame, k: int) -> DataFrame:
@@ -74,7 +84,9 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     """Each query's k best candidates by integer inner product, ties to the smaller id.
 
     vectors, queries: id_col, vec_col (other columns are ignored). Returns query_id, rank (from 1),
-    vec_id, score. Rows with a null id or vector, or a null or non-finite component, take no part.
+    vec_id, score. Rows with a null id or vector, or a null or non-finite component, take no part, nor do
+    vectors so long that a score might not fit a long (squares of floor(scale * x) summing to 2**62: components
+    of about eight million, where scale is 256). All other finite components are exact.
     Rows equal in id and components count once. An id with several vectors is several candidates, which
     can all be among the best, and as a query it is asked once per vector, so its ranks repeat. Rows with
     the query's own id are never its candidates. Missing last components count as 0. With fewer than k
@@ -132,7 +144,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
                         keep = other[r, c]
                         r, c = r[keep], c[keep]
                     else:
-                        r, c = np.nonzero(other & (part * slices >= cut[:, None]))
+                        r, c = np.nonzero(other & (part >= -(-cut[:, None] // slices)))
                     yield pd.DataFrame({"query_id": own[r], "query_tag": own_tags[r], "vec_id": ids[c], "vec_tag": tags[c], "slice": np.int32(s), "part": part[r, c]})
 
         met = candidates.join(packed_queries(cutoffs), "part").select("slice", "ids", "tags", "m", "q_ids", "q_tags", "cut", "q")
@@ -160,6 +172,7 @@ with v as (
   select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and list_sum(list_transform(embedding, lambda x: power(abs(256 * cast(x as double)) + 1, 2))) < power(2.0, 62)
 ), s as (
   select q.vec_id as query_id, q.v as q, c.vec_id as vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
   from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
