@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.llm.common import U, below, by_text, held_out, table, word_bounds, word_hashes
+from lotline.llm.common import U, below, by_text, forget, held_out, staged, table, word_bounds, word_hashes
 
 #: Bound of the training sample (rows), and of the learnt lexicon (words and stems).
 SAMPLE_ROWS, LEXICON_WORDS = 20_000, 600
@@ -253,14 +253,16 @@ class ToxicityModel:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of the rows that may be learnt from; at most SAMPLE_ROWS ids, by a hash of the id.
+    """doc_id, text, toxic of the rows that may be learnt from: about SAMPLE_ROWS at most, by hashes of id and text.
 
-    A hash filter lets about as many ids through as the bound, so no partition sends the driver more
-    than its share of them.
+    First ids are bounded, then their rows: an id may stand in any number of rows, of which equal ones are
+    learnt from once. Hash filters let about as many through as the bound, whatever one id or partition holds.
     """
     marks = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = marks.where(below(marks.count(), SAMPLE_ROWS, "doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    own = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    different = own.select("doc_id", F.xxhash64("text").alias("h")).distinct().count()
+    return own.where(below(different, SAMPLE_ROWS, "doc_id", "text")).dropDuplicates(["doc_id", "text"])
 
 
 def learnt_lexicon(rows: DataFrame) -> tuple[list[str], list[float]]:
@@ -290,14 +292,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel | None:
     A quarter of the sample fits the calibration. Where that quarter or the rest has one label only
     (very small samples), trees and calibration both use all of it.
     """
-    rows = learning_rows(docs, labels)
+    rows = staged(learning_rows(docs, labels), "sample")
     features = Features(*learnt_lexicon(rows))
 
     def start():
         return lambda texts: [pa.array(features.rows(texts).tolist(), pa.list_(pa.float64()))]
 
     seen = by_text(rows.select(F.xxhash64("doc_id").alias("doc_id"), "toxic", "text"), "x array<double>", start, BATCH_CHARS)
-    got = seen.orderBy("doc_id", "x").toPandas()
+    got = seen.orderBy("doc_id", "x").limit(SAMPLE_ROWS).toPandas()
+    forget(rows)
     if got["toxic"].nunique() < 2:
         return None
     x, y, part = np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(float), got["doc_id"].to_numpy() % 4 == 0
