@@ -157,14 +157,26 @@ def overlap_join(a: DataFrame, b: DataFrame, on: list[str], a_span: tuple[str, s
     return hit.select(*on, "_a_row.*", "_b_row.*").toDF(*shown)
 
 
-def remap_fk(child: DataFrame, old_parents: DataFrame, new_parents: DataFrame, natural: list[str], fk: str, required: bool) -> DataFrame:
-    """child with fk re-pointed from old parents to new ones through the natural key; of several new ids the greatest.
+def remap_tagged(child: DataFrame, old_parents: DataFrame, new_parents: DataFrame, natural: list[str], fk: str, required: bool) -> DataFrame:
+    """child with fk re-pointed, and `outcome`: what became of every row, in one pass.
 
-    Children without a new parent are left out if the parent is required, else their fk is null.
+    remapped: the new parent's id (of several the greatest). Else fk is null, and the row is kept unless the parent is
+    required: no_key (fk was null), no_old_parent (fk points nowhere), no_natural_key (the old parent has a null
+    in it), no_new_parent. A row that goes has the outcome with 'dropped:' before it.
     """
     new = new_parents.groupBy(*natural).agg(F.max("id").alias("_new"))
-    ids = old_parents.select(F.col("id").alias(fk), *natural).join(new, natural).select(fk, "_new")
-    return child.join(ids, fk, "inner" if required else "left").withColumn(fk, F.col("_new")).drop("_new")
+    whole = F.forall(F.array(*[F.col(c).isNull() for c in natural]), lambda x: ~x)
+    old = old_parents.groupBy(F.col("id").alias(fk)).agg(F.max(F.struct(*natural)).alias("_n")).select(fk, "_n.*").withColumn("_whole", whole)
+    ids = old.join(new, natural, "left").select(F.col(fk).alias("_fk"), "_new", "_whole")
+    why = F.when(F.col(fk).isNull(), "no_key").when(F.col("_whole").isNull(), "no_old_parent").when(~F.col("_whole"), "no_natural_key").otherwise("no_new_parent")
+    outcome = F.when(F.col("_new").isNotNull(), "remapped").otherwise(F.concat(F.lit("dropped:"), why) if required else why)
+    out = child.join(ids, F.col(fk) == F.col("_fk"), "left").withColumn("outcome", outcome)
+    return out.withColumn(fk, F.col("_new")).select(*child.columns, "outcome")
+
+
+def remap_fk(child: DataFrame, old_parents: DataFrame, new_parents: DataFrame, natural: list[str], fk: str, required: bool) -> DataFrame:
+    """The kept rows of remap_tagged."""
+    return remap_tagged(child, old_parents, new_parents, natural, fk, required).where(~F.col("outcome").startswith("dropped:")).drop("outcome")
 
 
 def lookup_company(df: DataFrame, companies: DataFrame) -> DataFrame:

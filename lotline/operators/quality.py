@@ -11,14 +11,28 @@ from lotline.functions.classify import kind_predicate
 
 
 def fk_report(tables: dict[str, DataFrame], specs: list[tuple[str, str, str, str]]) -> DataFrame:
-    """child, fk, parent, total, non_null, dangling for each (child, fk, parent, key)."""
-
-    def one(child: str, fk: str, parent: str, key: str) -> DataFrame:
-        ids = tables[parent].select(F.col(key).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-        rows = tables[child].select(F.col(fk).alias("_k")).join(ids, "_k", "left")
-        return rows.agg(F.count(F.lit(1)).alias("total"), F.count("_k").alias("non_null"), F.count_if(F.col("_k").isNotNull() & F.col("_hit").isNull()).alias("dangling")).select(F.lit(child).alias("child"), F.lit(fk).alias("fk"), F.lit(parent).alias("parent"), "total", "non_null", "dangling")
-
-    return reduce(DataFrame.unionByName, [one(*s) for s in specs])
+    """child, fk, parent, total, non_null, dangling, sample for each (child, fk, parent, key); sample: the least dangling key as text.
+
+    Every table is read once for all its keys: a row becomes one line per reference it makes and per key by
+    which it is referred to. Lines are counted per value before they travel, so a value in very many rows
+    is one line per task, and each value's references meet its parent in one grouping. An empty child reports zeros.
+    """
+    keys = sorted({(parent, key) for _, _, parent, key in specs})
+    lines = []
+    for name, df in tables.items():
+        own = [(-1, keys.index(pk), pk[1]) for pk in keys if pk[0] == name]
+        own += [(n, keys.index((parent, key)), fk) for n, (child, fk, parent, key) in enumerate(specs) if child == name]
+        if own:
+            stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("spec"), F.lit(k).alias("parent"), F.col(c).cast("string").alias("value")) for n, k, c in own]))
+            lines.append(df.select(stacked.alias("x")).select("x.*"))
+    counted = reduce(DataFrame.unionByName, lines).groupBy("parent", "value", "spec").agg(F.count(F.lit(1)).alias("n"))
+    # At most one entry per reference to a parent.
+    met = counted.groupBy("parent", "value").agg(F.bool_or(F.col("spec") < 0).alias("hit"), F.collect_list(F.when(F.col("spec") >= 0, F.struct("spec", "n"))).alias("refs"))
+    met = met.select("value", (F.col("value").isNotNull() & ~F.col("hit")).alias("lost"), F.explode("refs").alias("r")).select("value", "lost", "r.*")
+    found = met.groupBy("spec").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("non_null"), F.sum(F.when(F.col("lost"), F.col("n"))).alias("dangling"), F.min(F.when(F.col("lost"), F.col("value"))).alias("sample"))
+    asked = counted.sparkSession.createDataFrame([(n, *spec[:3]) for n, spec in enumerate(specs)], "spec int, child string, fk string, parent string")
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return asked.join(found, "spec", "left").select("child", "fk", "parent", zero("total"), zero("non_null"), zero("dangling"), "sample")
 
 
 def missing_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotline.functions.entities import firm_seed, name_candidates
@@ -67,17 +67,42 @@ def firm_words(prints: DataFrame) -> DataFrame:
     return prints.withColumn("seed", firm_seed(F.col("kind"), F.col("normalized_value"))).where("seed is not null")
 
 
+#: Letters and digits that belong together; keys that one row of an application holds.
+TOKEN = r"[\p{L}\p{Nd}_]+"
+MOST_KEYS = 1000
+
+
+def tokens_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def texts_with_keys(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """application_id, doc_id, text, key: which of its application's keys a text holds; every text is cut into tokens once.
+
+    wanted: application_id, key; a key is one token or two with a blank between. The keys of an application
+    come as sets of bounded size; a text's tokens and pairs of neighbours are intersected with a set at once.
+    """
+    own = wanted.select("application_id", "key").distinct()
+    many = own.groupBy("application_id").agg(F.ceil(F.count(F.lit(1)) / MOST_KEYS).alias("sets"))
+    sets = own.join(many, "application_id").groupBy("application_id", F.pmod(F.xxhash64("key"), F.col("sets")).alias("set")).agg(F.collect_set("key").alias("keys"))
+    read = docs.select("application_id", "doc_id", "text").where("text <> ''").join(sets.drop("set"), "application_id").withColumn("words", tokens_of(F.col("text")))
+    pairs = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: F.concat(a, F.lit(" "), b))
+    read = read.withColumn("grams", F.concat("words", pairs))
+    return read.select("application_id", "doc_id", "text", F.explode(F.array_intersect("grams", "keys")).alias("key"))
+
+
 def names_in_siblings(prints: DataFrame, docs: DataFrame) -> DataFrame:
     """application_id, seed, name: the firm's name as another document of the application spells it.
 
     Documents that carry a fingerprint of the seed themselves are not read. Candidate spellings go in
     order, then documents by id; between the words of a spelling anything but letters and digits may
-    stand. A document is read only if it holds the candidate's first word.
+    stand. Texts are searched for the first one or two tokens of all spellings at once; the whole spelling
+    is looked for only where they stand.
     """
     seeds = firm_words(prints)
     spelled = seeds.select("application_id", "seed").distinct().select("application_id", "seed", F.posexplode(name_candidates(F.col("seed"))).alias("place", "candidate"))
-    holds = F.lower("text").contains(F.lower(F.substring_index("candidate", " ", 1)))
-    pairs = spelled.join(docs.select("application_id", "doc_id", "text"), "application_id").where(holds)
+    wanted = spelled.withColumn("key", F.concat_ws(" ", F.slice(tokens_of(F.col("candidate")), 1, 2))).where("key <> ''")
+    pairs = texts_with_keys(docs, wanted).join(wanted, ["application_id", "key"])
     own = seeds.select("application_id", "seed", F.col("source_doc_id").alias("doc_id")).distinct()
     pairs = pairs.join(own, ["application_id", "seed", "doc_id"], "left_anti")
     pattern = F.concat(F.lit(r"(?i)\b\Q"), F.replace("candidate", F.lit(" "), F.lit(r"\E\b\W*\b\Q")), F.lit(r"\E\b"))

@@ -88,11 +88,31 @@ def split_by_doc(df: DataFrame, share: float, seed: int = 0) -> DataFrame:
     return df.withColumn("fold", F.when(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10_000)) < int(share * 10_000), "eval").otherwise("train"))
 
 
-def reanchor(evidence: DataFrame, docs: DataFrame) -> DataFrame:
-    """Evidence with its saved text found again in the document: new start and end, null if it is gone."""
-    at = F.expr("locate(saved_text, text)")
-    start = F.when(at > 0, at - 1)
-    return evidence.join(docs.select("doc_id", "text"), "doc_id", "left").withColumns({"span_start": start, "span_end": start + F.length("saved_text")}).drop("text")
+def reanchor(evidence: DataFrame, docs: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Evidence with its saved text found again: new span_start and span_end, null if it is gone.
+
+    evidence: doc_id, saved_text, and span_start, where it stood (else the first place is taken). Of several
+    places the one nearest to the old start counts, the earlier of two: the next one after and the last one
+    before it are looked for, the latter in the reversed text, so no list of places is made. With pages
+    (doc_id, page, start) also page, the last one to begin at or before the new start, and page_start, page_end
+    inside it. A saved text that is empty or null is nowhere.
+    """
+    if "span_start" not in evidence.columns:
+        evidence = evidence.withColumn("span_start", F.lit(0))
+    n, size, old = F.length("text"), F.length("saved_text"), F.greatest(F.coalesce("span_start", F.lit(0)), F.lit(0))
+    found = evidence.join(docs.select("doc_id", "text"), "doc_id", "left").withColumns({"_old": old, "_n": n, "_size": size})
+    found = found.withColumns({"_next": F.expr("locate(saved_text, text, cast(_old as int) + 1)"), "_back": F.expr("locate(reverse(saved_text), reverse(text), cast(greatest(_n - _old - _size + 2, 1) as int))")})
+    ahead = F.when(F.col("_next") > 0, F.col("_next") - 1)
+    behind = F.when((F.col("_back") > 0) & (F.col("_old") > 0), F.col("_n") - F.col("_size") - F.col("_back") + 1)
+    nearer = F.when(behind.isNull() | (ahead - F.col("_old") < F.col("_old") - behind), ahead).otherwise(behind)
+    start = F.when(F.col("_size") > 0, F.coalesce(nearer, ahead)).cast("int")
+    out = found.withColumn("span_start", start).withColumn("span_end", F.col("span_start") + F.col("_size")).drop("text", "_old", "_n", "_size", "_next", "_back")
+    if pages is None:
+        return out
+    begins = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "page"))).alias("_pages"))
+    own = F.element_at(F.filter("_pages", lambda p: p["start"] <= F.col("span_start")), -1)
+    out = out.join(begins, "doc_id", "left").withColumn("_page", F.when(F.size(F.filter("_pages", lambda p: p["start"] <= F.col("span_start"))) > 0, own))
+    return out.withColumns({"page": F.col("_page.page"), "page_start": F.col("span_start") - F.col("_page.start"), "page_end": F.col("span_end") - F.col("_page.start")}).drop("_pages", "_page")
 
 
 def council_for_postcode(df: DataFrame, councils: DataFrame, postcode: Column) -> DataFrame:

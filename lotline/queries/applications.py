@@ -125,6 +125,13 @@ def unit_sales(spark: SparkSession, d: str) -> DataFrame:
     return P.unit_sales(t["applications"], units, t["domain_sales"])
 
 
+def nested_unit_sales(spark: SparkSession, d: str) -> DataFrame:
+    """Every listed project with its unit sales in order, as one line each and how many there are."""
+    rows = P.with_unit_sales(projects(spark, d).select("id"), unit_sales(spark, d))
+    line = lambda u: F.concat_ws("|", u["unit_number"], u["display_address"], u["sold_price"].cast("string"), u["sold_date"].cast("string"))
+    return rows.select("id", F.size("unit_sales").cast("long").alias("n_units"), F.array_join(F.transform("unit_sales", line), "; ").alias("units"))
+
+
 def role_pivot(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d, "application_entities", "companies")
     return A.entities_by_role(t["application_entities"], t["companies"])
@@ -240,7 +247,7 @@ def work_buckets(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        projects, projects_page, suburb_leaderboard, monthly_trends, approved_share, prefix_matches, lot_units, pre_sales, unit_sales, role_pivot, document_rollup, process_stats,
+        projects, projects_page, suburb_leaderboard, monthly_trends, approved_share, prefix_matches, lot_units, pre_sales, unit_sales, nested_unit_sales, role_pivot, document_rollup, process_stats,
         developer_projects, current_rates, latest_rate, status_counters, council_counts, kind_counts, derived_dwellings, filtered_applications, map_points, application_details,
         supply_delta, project_status, project_timing, scenario_profit, business_city_hint, merged_summaries, longest_summary, candidate_lots, analysis_candidates, work_buckets,
     )
@@ -274,6 +281,8 @@ ORACLE_SQL = {
     "filtered_applications": twin(f"select id, application_id, suburb, lodged_date from applications where {OTHER} and upper(suburb) = 'SUBURB 3' and application_id like 'MCU/%' and lodged_date between date '1996-01-01' and date '2000-12-31' and lower(description) like '%opera%'", "applications"),
     "application_details": twin("select a.id, a.application_id, string_agg(cast(m.id as varchar), ',' order by m.published_at is null, m.published_at, m.id) as document_ids from applications a left join documents_meta m on m.application_id = a.id group by 1, 2", "applications", "documents_meta"),
     "supply_delta": twin(PROJECTS_CTE + "\nselect id, dwelling_count - case when lower(coalesce(pre_property_type, '')) in ('land', 'vacant', 'vacant land') then 0 else 1 end as dwellings_delta, post_bedrooms - case when lower(coalesce(pre_property_type, '')) in ('land', 'vacant', 'vacant land') then 0 else pre_bedrooms end as bedrooms_delta, post_bathrooms - case when lower(coalesce(pre_property_type, '')) in ('land', 'vacant', 'vacant land') then 0 else pre_bathrooms end as bathrooms_delta, coalesce(built_status = 'built_sold', false) as finished, coalesce(post_rooms_source = 'da_docs', false) as projected from p", *PROJECT_TABLES),
+    "nested_unit_sales": twin(PROJECTS_CTE + ", " + UNIT_SALES_CTE + """, n as (select id, count(*) as n_units, string_agg(unit_number || '|' || display_address || '|' || sold_price || '|' || sold_date, '; ' order by unit_number, display_address, sold_price, sold_date) as units from us group by 1)
+select p.id, coalesce(n_units, 0) as n_units, coalesce(units, '') as units from p left join n using (id)""", *PROJECT_TABLES),
     "project_status": twin(PROJECTS_CTE + ", " + UNIT_SALES_CTE + f", n as (select id, count(sold_price) as n_sold from us group by 1)\nselect p.id, case when lower(coalesce(decision_outcome, '')) not like '%approv%' then null when coalesce(n_sold, 0) > 0 and dwelling_count > 0 and round(n_sold / dwelling_count * 100) <> 100 then 'Sold ' || cast(cast(round(n_sold / dwelling_count * 100) as bigint) as varchar) || '%' when coalesce(n_sold, 0) > 0 then 'Sold' when built_status = 'built_unsold' then 'Rented' when built_status = 'abandoned_likely' then 'Dormant' when date_diff('day', decision_date, {AS_OF_SQL}) / 30.44 < 15 then 'Building' else 'Unknown' end as project_status from p left join n on n.id = p.id", *PROJECT_TABLES),
     "project_timing": twin(PROJECTS_CTE + ", " + UNIT_SALES_CTE + ", n as (select id, min(sold_date) as first_sold from us group by 1)\nselect p.id, date_diff('day', pre_date, coalesce(case when lower(decision_outcome) like '%approv%' then decision_date end, lodged_date)) as prep_days, date_diff('day', case when lower(decision_outcome) like '%approv%' then decision_date end, first_sold) as project_days from p left join n on n.id = p.id", *PROJECT_TABLES),
     "scenario_profit": twin("""with s as (select o_orderkey as scenario_id, o_totalprice as buy, o_totalprice * 0.6 as build, o_totalprice * cast(case when o_orderkey % 10 = 0 then 0 else 1.9 end as double) as sale, cast(6 + o_orderkey % 20 as double) as months, coalesce((select max_by(rate_pct, month) from rates where series_id = 'FILRHLBVD'), 6.0) as rate from orders),

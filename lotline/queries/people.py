@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions import letters as L
 from lotline.functions.classify import doc_kind
-from lotline.functions.parties import COLOURS, colour_index
+from lotline.functions.parties import COLOURS, colour_index, letter_kind
 from lotline.operators import lookups as K
 from lotline.operators.joins import has_any, lookup_company, without
 from lotline.plans import companies as Co
@@ -20,10 +20,16 @@ from lotline.plans import spans as Sp
 from lotline.queries.applications import DOC_KIND_SQL
 from lotline.queries.work import fnv32_sql
 from lotline.sources.adapters import tables, twin
+from lotline.sources.pages import doc_pages
 
 GIVEN = "Amber Daniel Skye Mark Karen Darren Jane Boris".split()
 FAMILY = "Knapp Rustin Mealing Storey Castle Gardner Ronalds".split()
 FIRMS = ["Oak Studio", "Elm Works", "Sea Projects"]
+#: Openings of letters, and others much like them that are none, with the kind each makes.
+OPENINGS = {
+    "  Decision Notice  \n\nDear A\nPlease find enclosed the decision notice": "decision_notice_cover_letter", "Decision Notice\nenclosed": None, "Decision notice — approval": "decision_notice", "x Decision notice - Express Development Application": "decision_notice",
+    "DECISION NOTICE — APPROVAL": None, "Confirmation Notice – Assessment Manager": "confirmation_notice", "\tInformation Request\t": "information_request", "The Information Request was sent": None, "Response to IR": "response_to_ir_cover_letter", "Response to the IR": None,
+}
 
 
 def one(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -205,11 +211,19 @@ def entity_boxes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shifted_evidence(spark: SparkSession, d: str) -> DataFrame:
-    """Saved passages found again in texts with a line put in front, and one that is gone."""
+    """Passages saved from texts, found again where a line was put in front and the text stands twice: nearest to where they stood, with their page."""
     docs = one(spark, d, "documents").where("text <> ''")
-    fresh = docs.select("doc_id", F.concat(F.lit("put in front\n"), "text").alias("text"))
-    saved = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "no such passage here").otherwise(F.substring("text", 5, 30)).alias("saved_text"))
-    return Sp.reanchor(saved, fresh).select("doc_id", "span_start", "span_end")
+    fresh = docs.select("doc_id", F.concat(F.lit("put in front\n"), "text", F.lit("\n"), "text").alias("text"))
+    second = F.when(F.col("doc_id") % 2 == 1, F.length("text") + 1).otherwise(0)
+    saved = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, "no such passage here").otherwise(F.substring("text", 5, 30)).alias("saved_text"), (F.lit(4) + second).alias("span_start"))
+    starts = doc_pages(fresh).select("doc_id", "page", ((F.col("page") - 1) * 400).alias("start"))
+    return Sp.reanchor(saved, fresh, starts).select("doc_id", "span_start", "span_end", "page", "page_start")
+
+
+def letter_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Letters told from other documents by their wording: whole documents with a letter's opening put in, in broken lines and any case."""
+    opening = F.element_at(F.array(*[F.lit(x) for x in OPENINGS]), (F.col("doc_id") % len(OPENINGS) + 1).cast("int"))
+    return one(spark, d, "documents").select("doc_id", letter_kind(F.concat_ws("\n", F.left("text", F.lit(300)), opening, "text")).alias("kind"))
 
 
 def filled_companies(spark: SparkSession, d: str) -> DataFrame:
@@ -236,7 +250,7 @@ def suburb_colours(spark: SparkSession, d: str) -> DataFrame:
     return one(spark, d, "domain_properties").select("suburb", colour_index(F.when(F.col("id") % 5 == 0, F.upper("suburb")).when(F.col("id") % 5 == 1, " ").otherwise(F.col("suburb"))).alias("colour")).distinct()
 
 
-QUERIES = {f.__name__: f for f in (filled_companies, unknown_firms, suburb_colours, letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
+QUERIES = {f.__name__: f for f in (filled_companies, unknown_firms, letter_kinds, suburb_colours, letter_blocks, applicant_letters, title_blocks, tabular_blocks, harvested_links, harvest_stats, resolved_prints, application_summaries, label_roles, routed_templates, document_tags, party_documents, registry_status, reclassified_docs, company_lookups, linked_documents, overlapping_names, entity_boxes, shifted_evidence)}
 
 
 def listed(names: list[str], i: str) -> str:
@@ -279,11 +293,15 @@ from m left join d using (application_id) left join applications a on a.id = m.a
     "linked_documents": twin("select a.id as application_id from applications a where id in (select application_id from documents_meta where doc_type = 'Information Request') and id not in (select application_id from application_entities where role = 'architect')", "applications", "documents_meta", "application_entities"),
     "overlapping_names": twin("with l as (select distinct application_id, company_id, display_name from application_entities e join companies c on c.id = e.company_id), n as (select distinct application_id, case when company_id % 2 = 0 then 'supplier#' || lpad(cast(company_id as varchar), 9, '0') else 'The Supplier#' || lpad(cast(company_id as varchar), 9, '0') || ' PTY LTD Group' end as name from application_entities where role = 'applicant') select n.application_id, name, min(company_id) as company_id from n join l on l.application_id = n.application_id and (contains(lower(name), lower(display_name)) or contains(lower(display_name), lower(name))) group by 1, 2", "application_entities", "companies"),
     "entity_boxes": "with sp as (select doc_id, s // 100 as page, s as span, w as text, s % 10 * 50 as x0, s // 10 % 10 * 20 as y0, s % 10 * 50 + 40 as x1, s // 10 % 10 * 20 + 10 as y1 from (select doc_id, unnest(string_split(text, ' ')) as w, unnest(range(0, len(string_split(text, ' ')))) as s from documents where text <> '')), h as (select doc_id, page, span as entity from sp where lower(text) in ('the', 'der', 'les', 'las')) select h.doc_id, h.page, entity, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n_words, 'f' || (min(sp.span) % 3) as font from h join sp on sp.doc_id = h.doc_id and sp.page = h.page and sp.span in (entity + 1, entity + 2) group by 1, 2, 3",
-    "shifted_evidence": "with s as (select doc_id, substr(text, 5, 30) as saved, instr('put in front' || chr(10) || text, substr(text, 5, 30)) as pos from documents where text <> '') select doc_id, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 end as int) as span_start, cast(case when doc_id % 4 <> 0 and pos > 0 then pos - 1 + length(saved) end as int) as span_end from s",
+    "shifted_evidence": """with s as (select doc_id, 'put in front' || chr(10) || text || chr(10) || text as t, case when doc_id % 4 = 0 then 'no such passage here' else substr(text, 5, 30) end as saved, 4 + case when doc_id % 2 = 1 then length(text) + 1 else 0 end as old from documents where text <> ''),
+p as (select doc_id, saved, old, unnest(list_filter(range(length(t)), lambda i: substr(t, i + 1, length(saved)) = saved)) as place from s where saved <> '' and contains(t, saved)),
+b as (select doc_id, arg_min(place, (abs(place - old), place)) as span_start, any_value(length(saved)) as n from p group by doc_id)
+select s.doc_id, cast(span_start as int) as span_start, cast(span_start + n as int) as span_end, cast(span_start // 400 + 1 as int) as page, cast(span_start % 400 as int) as page_start from s left join b using (doc_id)""",
     "filled_companies": twin("""with c as (select *, lpad(cast(id - case when id % 10 = 5 then 1 else 0 end as varchar), 11, '0') as abn from companies),
 m as (select lpad(cast(id as varchar), 9, '8') as acn, abn from c where id % 2 = 0), seats as (select abn, min(id) as id from c where acn is null group by abn),
 taken as (select s.id, min(m.acn) as acn from m join seats s using (abn) where m.acn not in (select acn from c where acn is not null) group by s.id)
 select c.id, coalesce(c.acn, t.acn) as acn, abn, display_name, entity_type from c left join taken t using (id)""", "companies"),
+    "letter_kinds": f"select doc_id, [{', '.join('null' if k is None else repr(k) for k in OPENINGS.values())}][doc_id % {len(OPENINGS)} + 1] as kind from documents",
     "unknown_firms": """with recursive m as (select distinct 'firm ' || o_custkey as name, case when o_orderkey % 16 = 0 then lpad(cast(o_orderkey * 7919 % 9973 + o_custkey % 2 as varchar), 11, '5') end as abn from orders),
 link as (select distinct a.name as x, b.name as y from m a join m b on a.abn = b.abn or a.name = b.name and a.abn is null and b.abn is null),
 reach as (select x, y from link union select reach.x, link.y from reach join link on reach.y = link.x),

@@ -18,10 +18,12 @@ from lotline.operators import joins as J
 from lotline.operators import quality as Q
 from lotline.operators import spine as S
 from lotline.operators import writes as W
+from lotline.operators.joins import remap_tagged
 from lotline.operators.staging import shared_folder
 from lotline.plans import pending as P
 from lotline.plans import spans as Sp
 from lotline.plans.projects import pre_sale
+from lotline.queries.records import A_SQL, halves
 from lotline.sources import pages as G
 from lotline.sources.adapters import tables, twin
 from lotline.sources.schemas import conformed, read_table
@@ -169,11 +171,16 @@ def gates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def merge_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """Why orders of one store find their customer in another or not."""
-    o = one(spark, d, "orders")
-    k = F.col("o_custkey")
-    reason = F.when(k % 3 == 0, "no_parent").when(k % 3 == 1, "remapped").otherwise("kept")
-    return Q.resolution_counts(o.select(reason.alias("reason")), "reason")
+    """What becomes of one store's orders when their customers are looked for in another: counts that the remap itself gives.
+
+    Some orders name no customer, some one that their own store lacks. Read as required and as optional.
+    """
+    a, b = halves(spark, d)
+    k = F.col("id")
+    orders = a["orders"].withColumn("customer_id", F.when(k % 11 == 0, None).when(k % 13 == 0, -k).otherwise(F.col("customer_id")))
+    named = a["customers"].withColumn("name", F.when(k % 17 != 0, F.col("name")))
+    counts = [Q.resolution_counts(remap_tagged(orders, named, b["customers"], ["name"], "customer_id", need), "outcome").withColumn("required", F.lit(need)) for need in (True, False)]
+    return counts[0].unionByName(counts[1])
 
 
 def evidence_store(spark: SparkSession, d: str) -> DataFrame:
@@ -238,7 +245,9 @@ ORACLE_SQL = {
     "done_months": twin("select slug, date_from, max(finished_at) as finished_at from windows where status = 'completed' group by 1, 2, last_day(date_to)", "windows"),
     "pending_work": twin("select 'escalate' as rule, application_id from (select distinct application_id from doc_summaries) where application_id % 3 <> 0 and application_id in (select application_id from documents_meta where file_path is not null and id % 10 > 3) union all select 'chunk', doc_id * 10 + c from (select doc_id, unnest([1, 2, 3]) as c from documents where doc_id % 2 = 1)", "doc_summaries", "documents_meta"),
     "gates": twin("with d as (select distinct a.id from applications a join domain_properties m on lower(m.display_address) like lower(a.street_address) || '%' join domain_sales s on s.domain_property_id = m.id where a.street_address <> '' and regexp_matches(description, '(?i)dual\\s+occupancy|duplex') and not regexp_matches(description, '(?i)triplex|fourplex|quadruplex|multi[\\s-]+unit|multi[\\s-]+dwelling') and s.event_date < a.lodged_date and s.event_date >= a.lodged_date - interval 10 year and s.is_sold and s.event_price is not null) select 'duplex' as gate, count(*) filter (where id % 3 <> 0) as n_a, count(*) as n_b, count(*) > 0 as ok from d", "applications", "domain_properties", "domain_sales"),
-    "merge_reasons": "select case o_custkey % 3 when 0 then 'no_parent' when 1 then 'remapped' else 'kept' end as reason, count(*) as n from orders group by 1",
+    "merge_reasons": f"""with {A_SQL}, o as (select id, case when id % 11 = 0 then null when id % 13 = 0 then -id else customer_id end as k from ao),
+w as (select case when k is null then 'no_key' when a.id is null then 'no_old_parent' when a.id % 17 = 0 then 'no_natural_key' when b.id is null then 'no_new_parent' else 'remapped' end as outcome from o left join a on a.id = k left join b on b.name = a.name)
+select case when required and outcome <> 'remapped' then 'dropped:' || outcome else outcome end as outcome, count(*) as n, required from w, (values (true), (false)) t(required) group by 1, 3""",
     "evidence_store": "with b as (select l_orderkey, l_linenumber, max(l_suppkey) as s from lineitem group by 1, 2) select 'rx' as extractor, l_orderkey as source_doc_id, l_linenumber as span_start, l_linenumber + 5 as span_end, case when l_linenumber >= 2 then 'NAME ' || s else 'Name ' || s end as candidate_name, case when l_linenumber >= 2 and l_linenumber % 2 = 0 then 'new' when l_linenumber <= 3 and s % 2 = 0 then 'box' end as layout, case when l_linenumber <= 3 and s % 3 = 0 then 'verified' else 'predicted' end as status, case when l_linenumber <= 3 and s % 3 = 0 then 'owner' end as truth_role from b",
     "replaced_links": "select c_custkey as id, c_name, case when c_custkey % 2 = 0 then 'builder' else 'architect' end as role, case when c_custkey % 4 < 2 then 'new' else 'old' end as url from customer where c_custkey % 7 <> 0",
     "typed_tables": twin(" union all ".join(f"select '{t}' as name, count(*) as n_rows, count(id) as n_ids, cast(sum(id) as bigint) as sum_ids, {n} as n_columns from {t}" for t, n in (("applications", 31), ("domain_properties", 33), ("realestate_sales", 10), ("documents_meta", 15), ("companies", 9))), "applications", "domain_properties", "realestate_sales", "documents_meta", "companies"),
