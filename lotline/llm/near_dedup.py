@@ -280,16 +280,29 @@ def links_of(part: pd.DataFrame, threshold: float) -> list[tuple[int, int]]:
     return out
 
 
+def chunk_pairs(rows: DataFrame) -> DataFrame:
+    """key, rep, label, i, j: members of large buckets, copied to every pair of chunks in which two components can meet.
+
+    A bucket's largest component is cut into chunks of its own, which never meet each other; the rest meet
+    them and themselves. So a component of very many copies and a few strangers cost what the copies cost.
+    """
+    sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("total").alias("w"))
+    top = sizes.groupBy("key").agg(F.max(F.struct("m", "w", "label")).alias("top"))
+    cut = lambda n, w: F.greatest(F.ceil(n / CHUNK), F.ceil(w / CHUNK_WEIGHT)).cast("int")
+    own = rows.join(top, "key").withColumns({"largest": F.col("label") == F.col("top.label"), "many": cut(F.col("top.m"), F.col("top.w")), "rest": cut(F.col("n") - F.col("top.m"), F.col("weight") - F.col("top.w"))})
+    place = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    own = own.withColumn("own", F.when(F.col("largest"), place(F.col("many"))).otherwise(F.col("many") + place(F.col("rest"))))
+    others = F.explode(F.sequence(F.when(F.col("largest"), F.col("many")).otherwise(0), F.col("many") + F.col("rest") - 1))
+    return own.select("key", "rep", "label", "own", others.alias("other")).select("key", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
 def linked_in_chunks(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """a, b: links inside large buckets. A bucket is cut into chunks, and every two chunks meet in a group of bounded size."""
-    chunks = F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("weight") / CHUNK_WEIGHT)).cast("int")
-    own = rows.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
-    met = own.select("key", "rep", "label", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select("key", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    """a, b: links between components inside large buckets, found in groups of bounded size."""
 
     def run(key, part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(links_of(part, threshold), columns=["a", "b"], dtype="int64")
 
-    return met.join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
+    return chunk_pairs(rows).join(sets, "rep").groupBy("key", "i", "j").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool = True, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:

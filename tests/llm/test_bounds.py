@@ -2,7 +2,9 @@
 
 import math
 
-from lotline.llm import toxicity
+from pyspark.sql import functions as F
+
+from lotline.llm import near_dedup, toxicity
 from lotline.llm.common import is_held_out
 from lotline.llm.topk import MOST, exact_topk
 
@@ -32,3 +34,18 @@ def test_sample_is_bounded_whatever_one_id_holds(spark, monkeypatch):
     assert 20 <= kept.count() <= 100 and kept.distinct().count() == kept.count()
     model = toxicity.fit(docs, labels)
     assert model is not None and model.score(["you are a fool number 7"])[0] > model.score(["you are a friend number 7"])[0]
+
+
+def test_a_large_component_meets_strangers_only(spark, monkeypatch):
+    """Members of one bucket: a component of 2,000, one of 30 and single strangers; every pair across components meets, few copies travel."""
+    monkeypatch.setattr(near_dedup, "CHUNK", 50)
+    members = [(1, r, 10, 5 if r < 2000 else 7 if r < 2030 else r) for r in range(2040)]
+    rows = spark.createDataFrame(members, "key long, rep long, total long, label long").withColumns({"n": F.lit(len(members)), "weight": F.lit(10 * len(members))})
+    met = near_dedup.chunk_pairs(rows).collect()
+    assert len(met) < 3 * len(members)
+    groups = {}
+    for m in met:
+        groups.setdefault((m.i, m.j), []).append(m)
+    assert max(len(g) for g in groups.values()) < 200
+    pairs = {(a.rep, b.rep) for g in groups.values() for a in g if a.rep >= 2000 for b in g if a.label != b.label}
+    assert len(pairs) == 40 * 2040 - 30 * 30 - 10
