@@ -4,9 +4,9 @@ Candidate segments come from `anchors.settle`. Each shard sorts the suffixes of
 segments (a segment that occurs twice or more is entered twice) at which a maximal repeat can begin,
 takes the longest common prefixes of neighbours, and scans them with a stack for common-prefix intervals. Intervals of
 at least the threshold whose occurrences have two or more different left neighbours are the maximal
-repeats; each is a group with all its occurrences, and together they cover every repeated window.
-Segments are runs of windows that share an anchor, so repeats are maximal inside a segment: a repeat
-that spans several segments comes out as one group per segment, which overlap and cover it whole.
+repeats of the segments, and together they cover every repeated window: what is removed follows.
+A segment is a run of windows that share an anchor, and a longer repeat spans several. `repeat_groups` puts
+out the maximal repeats of whole texts: the removed passages that share windows meet in one suffix array.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm import anchors
-from lotline.llm.common import U, gram_hashes, table
+from lotline.llm.common import U, gram_hashes, sliding_min, staged, table
+from lotline.llm.near_dedup import components
 from lotline.llm.substring_dedup import covered, runs_of
 
 LENGTH = 200
@@ -69,9 +70,8 @@ def suffix_array(raw: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.n
     return at, lcp, left[at]
 
 
-def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarray]]:
-    """(length, starts in the joined texts) of every maximal repeat of at least `length` bytes."""
-    order, lcp, left = suffix_array(*joined(texts), length)
+def intervals(order: np.ndarray, lcp: np.ndarray, left: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """(length, suffixes) of the common-prefix intervals of `length` or more with two different left neighbours, by one scan with a stack."""
     if not len(order):
         return []
     differs = np.concatenate(([0], np.cumsum(left[1:] != left[:-1])))
@@ -88,6 +88,55 @@ def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarr
     return out
 
 
+def maximal_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarray]]:
+    """(length, starts in the joined texts) of every maximal repeat of at least `length` bytes; for many short texts."""
+    return intervals(*suffix_array(*joined(texts), length), length)
+
+
+def doubled_ranks(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Ranks of all places by their next 1, 2, 4, ... bytes; the end of each text is a letter of its own."""
+    rank = raw.astype(np.int64)
+    rank[starts[1:] - 1] = 257 + np.arange(len(starts) - 1)
+    _, rank = np.unique(rank, return_inverse=True)
+    out, step = [rank], 1
+    while step < len(raw) and rank.max() < len(raw) - 1:
+        ahead = np.zeros(len(raw), np.int64)
+        ahead[:-step] = rank[step:] + 1
+        _, rank = np.unique(rank * (len(raw) + 1) + ahead, return_inverse=True)
+        out.append(rank)
+        step *= 2
+    return out
+
+
+def whole_repeats(texts: list[bytes], length: int) -> list[tuple[int, np.ndarray]]:
+    """As maximal_repeats, for texts of any length: the suffixes are ranked by doubling, not laid out as rows.
+
+    Common prefixes of neighbours are read off the ranks, from the longest step down.
+    """
+    raw, starts = joined(texts)
+    n = len(raw) - length + 1
+    window = np.concatenate([gram_hashes(raw[c : min(c + CHUNK, n) + length - 1].astype(U), length) for c in range(0, n, CHUNK)] or [np.zeros(0, U)])
+    ends = np.repeat(starts[1:] - 1, np.diff(starts))
+    at = np.flatnonzero(np.arange(len(window)) + length <= ends[: len(window)])
+    _, kind, count = np.unique(window[at], return_inverse=True, return_counts=True)
+    at = at[count[kind] > 1]  # only there can a repeat begin
+    if not len(at):
+        return []
+    ranks = doubled_ranks(raw, starts)
+    left = np.empty(len(raw), np.int64)
+    left[1:] = raw[:-1]
+    left[starts[:-1]] = 256 + np.arange(len(texts))
+    order = at[np.argsort(ranks[-1][at], kind="stable")]
+    a, b = order[:-1].copy(), order[1:].copy()
+    for k in range(len(ranks) - 1, -1, -1):
+        inside = np.maximum(a, b) < len(raw)
+        same = np.zeros(len(a), bool)
+        same[inside] = ranks[k][a[inside]] == ranks[k][b[inside]]
+        a[same] += 1 << k
+        b[same] += 1 << k
+    return intervals(order, np.concatenate(([0], a - order[:-1])), left[order], length)
+
+
 GROUP = np.dtype([("offset", "<i4"), ("length", "<i4"), ("group", "<i8")])
 
 
@@ -121,13 +170,75 @@ def list_groups(block: anchors.Block | None, answers) -> pd.DataFrame:
     return out.assign(doc_id=ids)[["group_id", "length", "doc_id", "start"]]
 
 
-def repeat_groups(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def segment_groups(docs: DataFrame, length: int) -> DataFrame:
+    """group_id, length, doc_id, start of repeats that are maximal inside an anchor segment: long ones come in overlapping pieces."""
+    return anchors.settle(docs, False, length, min(GRAM, length), solve_groups(length), list_groups, "group_id long, length int, doc_id long, start long").distinct()
+
+
+#: Bytes of different repeated passages that hang together and are searched in one task.
+TOGETHER_BYTES = 4 << 20
+
+
+def run_anchors(length: int):
+    """h1, anchor: the anchors of a passage's windows; passages with a common window have a common anchor."""
+    gram = min(GRAM, length)
+
+    def run(batches):
+        for pdf in batches:
+            for h, data in zip(pdf["h1"].tolist(), pdf["run"]):
+                g = gram_hashes(np.frombuffer(data, np.uint8).astype(U), gram)
+                own = np.unique(sliding_min(g, length - gram + 1)).view(np.int64)
+                yield pd.DataFrame({"a": np.int64(h), "b": own})
+
+    return run
+
+
+def solve_runs(length: int):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["h1", "h2"])
+        runs = [bytes(x) for x in pdf["run"]]
+        texts = [*runs, *[r for r, k in zip(runs, pdf["copies"]) if k > 1]]  # a passage that stands twice is a repeat itself
+        at = np.cumsum([0] + [len(t) + 1 for t in texts])
+        rows = []
+        for size, places in whole_repeats(texts, length):
+            owner = np.searchsorted(at, places, "right") - 1
+            first = int(places[0] - at[owner[0]])
+            name = anchors.hash_bytes(texts[owner[0]][first : first + size]) - (1 << 63)
+            rows += [(int(t), int(p - at[t]), size, name) for t, p in zip(owner.tolist(), places.tolist()) if t < len(runs)]
+        out = pd.DataFrame(rows, columns=["t", "offset", "length", "group_id"])
+        own = out.pop("t").to_numpy(np.int64)
+        return out.assign(h1=pdf["h1"].to_numpy()[own], h2=pdf["h2"].to_numpy()[own])[["h1", "h2", "group_id", "length", "offset"]]
+
+    return run
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, together: int = TOGETHER_BYTES) -> DataFrame:
     """group_id, length, doc_id, start: every occurrence (in bytes) of every maximal repeat of `length` bytes or more.
 
-    docs: doc_id, text. Repeats are maximal inside an anchor segment (see above). Null text counts as
-    empty; equal rows are occurrences of their own; an empty table gives an empty result.
+    docs: doc_id, text. A repeat is maximal if it can be made longer neither to the left nor to the right at all its
+    places. All repeats lie inside the passages that suffix_dedup removes. Equal passages are searched once; those that
+    share a window, directly or over others, meet in one enhanced suffix array. Only where more than
+    `together` bytes of different passages hang together are their repeats given in pieces (segment_groups), which
+    cover the same windows. Null text counts as empty; equal rows are occurrences of their own, listed
+    once if their ids are equal; an empty table gives an empty result.
     """
-    return anchors.settle(docs, False, length, min(GRAM, length), solve_groups(length), list_groups, "group_id long, length int, doc_id long, start long").distinct()
+    cut = suffix_dedup(docs, length, carry=("text",)).where("n_spans > 0").select("doc_id", F.encode("text", "UTF-8").alias("raw"), F.explode("spans").alias("s"))
+    run = F.expr("substring(raw, cast(s.start as int) + 1, cast(s.stop - s.start as int))")
+    cut = cut.select("doc_id", "s.start", run.alias("run")).withColumns({"h1": F.xxhash64("run"), "h2": F.xxhash64("run", F.lit(1))})
+    cut = staged(cut, "passages")
+    kinds = staged(cut.groupBy("h1", "h2").agg(F.first("run").alias("run"), F.count(F.lit(1)).alias("copies")), "kinds")
+    labels = components(kinds.select("h1", "run").mapInPandas(run_anchors(length), "a long, b long"))
+    kinds = kinds.join(labels.select(F.col("rep").alias("h1"), "label"), "h1")
+    size = kinds.groupBy("label").agg(F.sum(F.octet_length("run")).alias("bytes"))
+    kinds = staged(kinds.join(size, "label"), "kinds")
+    found = kinds.where(F.col("bytes") <= together).groupBy("label").applyInPandas(solve_runs(length), "h1 long, h2 long, group_id long, length int, offset long")
+    out = cut.select("doc_id", "start", "h1", "h2").join(found, ["h1", "h2"]).select("group_id", "length", "doc_id", (F.col("start") + F.col("offset")).alias("start"))
+    large = kinds.where(F.col("bytes") > together)
+    if not large.isEmpty():
+        inside = cut.join(large.select("h1", "h2"), ["h1", "h2"], "left_semi").select(F.col("doc_id").alias("of"), F.col("start").alias("first"), (F.col("start") + F.octet_length("run")).alias("stop"))
+        pieces = segment_groups(docs, length).join(inside, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("start") >= F.col("first")) & (F.col("start") < F.col("stop")), "left_semi")
+        out = out.unionByName(pieces)
+    return out.distinct()
 
 
 def solve(length: int):

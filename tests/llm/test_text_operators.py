@@ -255,3 +255,53 @@ def test_repeat_groups_hold_every_occurrence(spark, monkeypatch):
     count = Counter(r[k : k + 60] for r in raws.values() for k in range(len(r) - 59))
     assert covered == {(i, k) for i, r in raws.items() for k in range(len(r) - 59) if count[r[k : k + 60]] > 1}
     assert repeat_groups(table(spark, texts).limit(0), 60).count() == 0
+
+
+def brute_repeats(raws, length):
+    """(length, places) of all strings at two places or more that can be made longer neither to the left nor to the right."""
+    found = {}
+    places = [(d, k) for d, r in enumerate(raws) for k in range(len(r))]
+    todo = {}
+    for d, k in places:
+        if k + length <= len(raws[d]):
+            todo.setdefault(raws[d][k : k + length], []).append((d, k))
+    while todo:
+        longer = {}
+        for s, at in todo.items():
+            if len(at) < 2:
+                continue
+            right, left = {}, set()
+            for d, k in at:
+                right.setdefault(raws[d][k + len(s)] if k + len(s) < len(raws[d]) else (d, k), []).append((d, k))
+                left.add(raws[d][k - 1] if k else (d, k))
+            if len(right) > 1 and len(left) > 1:
+                found[s] = sorted(at)
+            for c, own in right.items():
+                if isinstance(c, int):
+                    longer[s + bytes([c])] = own
+        todo = longer
+    return sorted((len(s), at) for s, at in found.items())
+
+
+@pytest.mark.parametrize("block_bytes", [300, 1 << 20])
+def test_repeat_groups_are_the_maximal_repeats_of_whole_texts(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(anchors, "BLOCK_BYTES", block_bytes)
+    rng = np.random.default_rng(3)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijé "), n))
+    long, nested = letters(2000), letters(150)
+    texts = [letters(40) + long + letters(30), letters(10) + long, letters(60), letters(5) + long[300:900] + letters(9) + nested, nested + letters(3) + nested, "", "x" * 300, letters(20) + nested[20:140], long[300:900]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    raws = [t.encode() for t in texts]
+
+    def found(df):
+        groups = {}
+        for r in df.collect():
+            groups.setdefault((r.group_id, r.length), []).append((r.doc_id, r.start))
+        return sorted((n, sorted(at)) for (_, n), at in groups.items())
+
+    want = brute_repeats(raws, 100)
+    assert found(repeat_groups(rows, 100)) == want
+    at = [(0, raws[0].index(long.encode())), (1, raws[1].index(long.encode()))]
+    assert any(n >= len(long.encode()) and places[0][1] <= at[0][1] for n, places in want)
+    pieces = found(repeat_groups(rows, 100, together=0))
+    assert max(n for n, _ in pieces) < 600 and max(n for n, _ in want) >= 2000
