@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.classify import is_approved, target_kind_predicate
 from lotline.functions.urls import confidence, website_score
-from lotline.operators.joins import unit_evidence
+from lotline.operators.joins import suburb_matches, unit_evidence
 from lotline.operators.ordered import nth
 
 
@@ -48,6 +48,28 @@ def select_targets(apps: DataFrame, covered: DataFrame, kind: str) -> DataFrame:
     return apps.where(target_kind_predicate(kind, F.col("description"))).join(covered.select("street_address").distinct(), "street_address", "left_anti")
 
 
+def target_states(targets: DataFrame, properties: dict[str, DataFrame], attempts: DataFrame) -> DataFrame:
+    """targets with `state`: whether each source covers them, and how.
+
+    targets: street, suburb, search_address. properties: per source its display_address. attempts: source,
+    display_address, result. A source covers a target that one of its properties' addresses begins with (street type
+    written out, suburb behind it), or whose search address it was asked for with result found or not_found, in any case
+    of letters. skipped: all sources have properties; skipped_by_attempt: all cover it, some only by an
+    attempt; partial: some cover it, kept to fill in the rest; open: none does.
+    """
+    out = targets.withColumn("_asked", F.lower("search_address"))
+    tried = attempts.where(F.col("result").isin("found", "not_found")).select("source", F.lower("display_address").alias("_asked")).distinct()
+    marks = []
+    for n, (source, df) in enumerate(properties.items()):
+        seen = suburb_matches(targets.select("street", "suburb").distinct(), df.select("display_address")).select("street", "suburb").distinct()
+        out = out.join(seen.withColumn(f"_has{n}", F.lit(True)), ["street", "suburb"], "left").join(tried.where(F.col("source") == source).select("_asked", F.lit(True).alias(f"_tried{n}")), "_asked", "left")
+        marks.append((F.coalesce(f"_has{n}", F.lit(False)), F.coalesce(f"_has{n}", f"_tried{n}", F.lit(False))))
+    has, covered = ([m[i] for m in marks] for i in (0, 1))
+    every = lambda cs: reduce(lambda x, y: x & y, cs)
+    state = F.when(every(has), "skipped").when(every(covered), "skipped_by_attempt").when(reduce(lambda x, y: x | y, covered), "partial").otherwise("open")
+    return out.withColumn("state", state).select(*targets.columns, "state")
+
+
 def coverage_label(streets: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
     """street_address, coverage: both, first, second or none of two sources."""
     mark = lambda df, c: df.select("street_address").distinct().withColumn(c, F.lit(True))

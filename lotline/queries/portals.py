@@ -210,6 +210,18 @@ def nested_json(spark: SparkSession, d: str) -> DataFrame:
     return opened.select("conv_id", F.explode("o.turns").alias("t")).select("conv_id", "t.turn", "t.role", F.length("t.text").alias("n_chars"))
 
 
+def search_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """How many pages and results search pages of both portals say there are; some hide it in strings, some say nothing or nonsense."""
+    o = one(spark, d, "orders").withColumn("k", F.col("o_orderkey"))
+    a = script(st(props=st(pageProps=st(componentProps=st(currentPage=F.col("k") % 50 + 1, totalPages=F.col("k") % 50 + 3, totalListings=F.col("k"))))))
+    paged = st(__typename=F.when(F.col("k") % 5 != 0, "Pagination").otherwise("Other"), page=F.col("k") % 50 + 1, maxPageNumberAvailable=F.when(F.col("k") % 3 != 0, F.col("k") % 50 + 3))
+    late = st(__typename=F.lit("Pagination"), page=F.lit(99), maxPageNumberAvailable=F.lit(99), totalResultsCount=F.lit(7))
+    inner = F.to_json(st(noise=F.array(st(totalResultsCount=F.lit("many"))), results=st(pagination=paged, totalResultsCount=F.when(F.col("k") % 4 != 0, F.col("k"))), z=F.when(F.col("k") % 6 == 0, late)))
+    b = assigned(st(**{G.SEARCH_KEY: st(urqlClientCache=F.to_json(F.create_map(F.lit("q1"), st(data=inner))))}))
+    html = F.when(F.col("k") % 10 == 0, "<html></html>").when(F.col("k") % 2 == 0, b).otherwise(a)
+    return G.search_numbers(o.select(F.col("k").alias("page_id"), F.when(F.col("k") % 2 == 0, "b").otherwise("a").alias("source"), html.alias("html")))
+
+
 def page_store(spark: SparkSession, d: str) -> DataFrame:
     """Events as fetches of pages: a source, a link and a body each."""
     return one(spark, d, "events").select(F.col("event_id").alias("page_id"), F.col("event_type").alias("source"), F.sha2(F.col("user_id").cast("string"), 256).alias("url_hash"), F.sha2(F.col("value").cast("string"), 256).alias("content_hash"), F.col("ts").alias("fetched_at"))
@@ -238,7 +250,7 @@ def first_links(spark: SparkSession, d: str) -> DataFrame:
     return dedupe_first(page_store(spark, d), ["source", "url_hash"], ["fetched_at", "page_id"]).select("source", "url_hash", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (portal_profiles, portal_timeline, portal_profiles_b, portal_timeline_b, portal_listings, portal_listings_b, listing_details, listing_details_a, registry_rows, registry_details, page_bodies, nested_json, newest_pages, found_pages, suburb_listings, first_links)}
+QUERIES = {f.__name__: f for f in (search_numbers, portal_profiles, portal_timeline, portal_profiles_b, portal_timeline_b, portal_listings, portal_listings_b, listing_details, listing_details_a, registry_rows, registry_details, page_bodies, nested_json, newest_pages, found_pages, suburb_listings, first_links)}
 
 STORE_SQL = "p as (select event_id as page_id, event_type as source, sha256(cast(user_id as varchar)) as url_hash, value, ts from events)"
 KIND_B = "case o_orderkey % 3 when 0 then 'sold' when 1 then 'buy' else 'rent' end"
@@ -247,6 +259,10 @@ ORACLE_SQL = {
     "portal_timeline": twin("select cast(p.id as varchar) as property_id, event_date, event_price, case when s.id % 3 <> 0 then 'Sale' else 'Unknown' end as category, is_sold, s.id as days_on_market from domain_properties p join domain_sales s on s.domain_property_id = p.id where p.id % 10 <> 9", "domain_properties", "domain_sales"),
     "portal_profiles_b": twin("select id as property_id, lower(street_name) as url_slug, display_address, unit_number, street_number, case street_name when 'Oak' then 'oak st' when 'Elm' then 'elm pde' when 'Sea' then 'sea view rd' else 'hill ct' end as street_name, suburb, property_type, cast(bedrooms as bigint) as bedrooms, cast(bathrooms as bigint) as bathrooms, cast(floor(land_area_m2 * case id % 3 when 0 then 10000.0 when 1 then 1.0 else 4046.8564 end) as bigint) as land_area_m2, 'Off market' as status_label, 'sold' as market_status, id - 1 as valuation_low, id + 1 as valuation_high, 'LOW' as valuation_confidence from realestate_properties where id % 11 <> 0", "realestate_properties"),
     "portal_timeline_b": twin("select p.id as property_id, event_date, case when s.id % 4 <> 0 then event_price end as event_price, case when s.id % 4 <> 0 then '$' || format('{:,}', event_price) end as price_text, case when event_type = 'sold' then 'sold' else 'unknown' end as event_type, 'Agency' as agency_name from realestate_properties p join realestate_sales s on s.realestate_property_id = p.id where p.id % 11 <> 0", "realestate_properties", "realestate_sales"),
+    "search_numbers": """with p as (select o_orderkey as k, case when o_orderkey % 2 = 0 then 'b' else 'a' end as source, o_orderkey % 10 <> 0 as whole, o_orderkey % 5 <> 0 as paged, o_orderkey % 6 = 0 as late from orders)
+select k as page_id, source, case when source = 'a' then k % 50 + 1 when not whole then null when paged then k % 50 + 1 when late then 99 end as current_page,
+  case when source = 'a' then k % 50 + 3 when not whole then null when paged then case when k % 3 <> 0 then k % 50 + 3 end when late then 99 end as max_page,
+  case when source = 'a' then k when not whole then null when k % 4 <> 0 then k when late then 7 end as total from p""",
     "portal_listings": """with e as (
   select distinct on (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity) *, case when l_orderkey % 3 = 0 or l_linenumber = 4 then 'sold' when l_orderkey % 3 = 1 then 'rent' else 'buy' end as kind from lineitem where l_linenumber not in (2, 7)
 ), k as (select *, case when l_linenumber in (5, 6) then null else l_partkey * 1000 end as amount, case when l_linenumber = 6 then 650 end as rent from e where not (l_linenumber = 6 and l_orderkey % 3 <> 1))

@@ -40,6 +40,17 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     return P.coverage_label(t["applications"], t["domain_properties"].where("unit_number = ''").select(street), t["realestate_properties"].where("unit_number = ''").select(street))
 
 
+def target_states(spark: SparkSession, d: str) -> DataFrame:
+    """Applications' streets, as councils shorten them, against two portals and what was asked of them before."""
+    t = tables(spark, d, "applications", "domain_properties", "realestate_properties")
+    street = F.regexp_replace("street_address", "Street$", "St")
+    targets = t["applications"].where("suburb <> ''").select("id", street.alias("street"), "suburb", F.concat("street_address", F.lit(", "), "suburb").alias("search_address"))
+    k = F.col("id") % 12
+    asked = targets.select(F.explode(F.filter(F.array(F.when(k < 3, "domain"), F.when((k == 1) | (k == 5), "realestate")), lambda x: x.isNotNull())).alias("source"), F.upper("search_address").alias("display_address"), F.when(k == 0, "blocked").when(k == 1, "found").otherwise("not_found").alias("result"))
+    portals = {"domain": t["domain_properties"].where("id % 5 <> 0"), "realestate": t["realestate_properties"]}
+    return P.target_states(targets, portals, asked).select("id", "state")
+
+
 def scrape_targets(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d, "applications", "domain_properties")
     street = F.expr("regexp_replace(substring_index(display_address, ',', 1), '^[0-9]+/', '')").alias("street_address")
@@ -123,7 +134,7 @@ def developer_codenames(spark: SparkSession, d: str) -> DataFrame:
     return one(spark, d, "companies").select("id", N.codename(N.applicant_seed(F.col("acn"), F.col("display_name"))).alias("codename"))
 
 
-QUERIES = {f.__name__: f for f in (letter_parties, developer_codenames, progress_counters, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
+QUERIES = {f.__name__: f for f in (letter_parties, target_states, developer_codenames, progress_counters, pending_summaries, website_choice, coverage, scrape_targets, builtcheck_units, paired_lots, redev_signals, lot_matches, summary_counters, label_values, tagged_pages, missing_roles, page_copies, first_of_customer)}
 
 
 
@@ -138,6 +149,11 @@ def words_sql(words: list[str], at: str) -> str:
 
 STREET_SQL = "regexp_replace(split_part(display_address, ',', 1), '^[0-9]+/', '')"
 ORACLE_SQL = {
+    "target_states": twin("""with t as (select id, lower(street_address || ', ' || suburb) as a, id % 12 as k from applications where suburb <> ''),
+d as (select distinct a from t join domain_properties p on lower(p.display_address) like a || '%' where p.id % 5 <> 0), r as (select distinct a from t join realestate_properties p on lower(p.display_address) like a || '%'),
+ad as (select distinct a from t where k in (1, 2)), ar as (select distinct a from t where k in (1, 5)),
+m as (select id, a in (select a from d) as hd, a in (select a from r) as hr, a in (select a from ad) as td, a in (select a from ar) as tr from t)
+select id, case when hd and hr then 'skipped' when (hd or td) and (hr or tr) then 'skipped_by_attempt' when hd or td or hr or tr then 'partial' else 'open' end as state from m""", "applications", "domain_properties", "realestate_properties"),
     "letter_parties": twin("with l as (select id, 'Agent ' || id as agent, unnest(case id % 3 when 0 then [display_name, 'Jane Smith'] when 1 then ['Mark Rustin' || id, 'Skye Rustin' || id] else [display_name] end) as party from companies) select *, case when lower(party) like '%ltd%' or lower(party) like '%limited%' then 'company' else 'individual' end as entity_type from l", "companies"),
     "pending_summaries": twin("select a.id, coalesce(n, 0) as n_done from applications a left join (select application_id, count(*) as n from doc_summaries where doc_position in ('first', 'last') group by 1) s on s.application_id = a.id where coalesce(n, 0) < 2", "applications", "doc_summaries"),
     "coverage": twin(f"with d as (select distinct {STREET_SQL} as s from domain_properties where unit_number = ''), r as (select distinct {STREET_SQL} as s from realestate_properties where unit_number = '') select street_address, case when d.s is not null and r.s is not null then 'both' when d.s is not null then 'first' when r.s is not null then 'second' else 'none' end as coverage from (select distinct street_address from applications) a left join d on d.s = street_address left join r on r.s = street_address", "applications", "domain_properties", "realestate_properties"),
