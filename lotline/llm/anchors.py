@@ -11,8 +11,8 @@ has an anchor: the least hash among its m-unit grams. Equal windows have equal a
 4. a shard settles the segments exactly (suffix automaton or suffix array) and answers the blocks;
 5. blocks turn the answers into spans of their documents.
 
-A hot passage sends one row per block, not per document, in every step, so that no step gathers a
-group that grows with its number of copies. An anchor that stands in very many different segments
+A hot passage sends one row per block of text, not per document, in every step; its shard and bucket
+still hold as many rows as there are blocks with it. An anchor that stands in very many different segments
 (a license line, say) is marked by its bucket; its windows travel one by one, dealt by the hash of
 the whole window, so that one frequent gram does not fill one shard.
 """
