@@ -95,22 +95,26 @@ def place(key: Column, cuts: list[int]) -> Column:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """key, next, half: each distinct id, the next one in descending order (after the last: the first), characters to take.
+    """target, half, next, next_half: each distinct id with each number of characters to take, the next id in
+    descending order (after the last: the first), and the smallest such number among the next id's rows.
 
-    Ids are dealt into ranges cut at quantiles; a range's smallest id goes on to the greatest id of
-    the range below. Of equal ids each length is kept.
+    docs: key, half. Ids are dealt into ranges cut at quantiles; a range's smallest id goes on to the greatest
+    id of the range below. Only ids and numbers travel.
     """
-    ids = docs.select("key", F.floor(F.length("text") / 2).alias("half")).distinct()
+    ids = docs.select("key", "half").distinct()
     count = ids.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     n = int(min(SIDE * SIDE, max(1, count // RANGE_IDS)))
     cuts = sorted(set(ids.agg(F.percentile_approx("key", [i / n for i in range(1, n)], 10_000)).first()[0] or [])) if n > 1 and count else []
     ids = ids.withColumn("bucket", place(F.col("key"), cuts))
-    tops = {r["bucket"]: r["top"] for r in ids.groupBy("bucket").agg(F.max("key").alias("top")).collect()}  # one row a range
+    lows = ids.groupBy("key", "bucket").agg(F.min("half").alias("low"))
+    row = F.struct("key", "low")
+    tops = {r["bucket"]: r["top"] for r in lows.groupBy("bucket").agg(F.max(row).alias("top")).collect()}  # one row a range
     order = sorted(tops)
     below = {b: tops[a] for a, b in zip([order[-1], *order], order)} if order else {}
-    first = F.element_at(F.create_map(*[x for b, t in below.items() for x in (F.lit(b), F.lit(t).cast("long"))]), F.col("bucket")) if below else F.lit(None).cast("long")
-    keys = ids.select("key", "bucket").distinct().withColumn("next", F.coalesce(F.lag("key").over(Window.partitionBy("bucket").orderBy("key")), first))
-    return ids.select("key", "half").join(keys.select("key", "next"), "key")
+    entry = lambda t: F.struct(F.lit(t["key"]).cast("long").alias("key"), F.lit(t["low"]).cast("long").alias("low"))
+    first = F.element_at(F.create_map(*[x for b, t in below.items() for x in (F.lit(b), entry(t))]), F.col("bucket")) if below else F.lit(None).cast("struct<key:bigint,low:bigint>")
+    after = lows.select(F.col("key").alias("target"), F.coalesce(F.lag(row).over(Window.partitionBy("bucket").orderBy("key")), first).alias("after"))
+    return ids.select(F.col("key").alias("target"), "half").join(after, "target").select("target", "half", F.col("after.key").alias("next"), F.col("after.low").alias("next_half"))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -120,18 +124,21 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     code points replaced by the first as many of the next document's, in descending doc_id. Returns
     doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next. Null text
     counts as empty, a null doc_id as the smallest. Rows of one doc_id share their next document; of
-    several rows with the next id, the least text is taken. A single document is its own next one.
+    several rows with the next id, those with the smallest floor(n_chars / 2) come first, and of these the
+    least text is taken. A single document is its own next one.
     """
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    order = neighbours(base).withColumnRenamed("key", "target")
-    # Each fingerprint is worked out once, before the texts are dealt by key; both joins read that one exchange.
+    text = F.coalesce("text", F.lit(""))
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.floor(F.length(text) / 2).alias("half"), text.alias("text"))
+    order = neighbours(base)
+    # Each fingerprint is worked out once, before the texts are dealt by id and half; both joins read that one
+    # exchange. An id that very many rows share, a null one too, is split by its lengths, and each row meets one partner.
     base = fingerprints(base)
     # Keyed by the next document: its text is cut to what the edit takes before it travels, once, to its target.
-    sent = base.join(order, base["key"] == order["next"])
-    sent = sent.select("target", "half", F.expr("substring(text, 1, cast(half as int))").alias("piece"), F.col("f").alias("next_f")).repartition("target")
-    sent = sent.groupBy("target", "half").agg(F.min(F.struct("piece", "next_f")).alias("s"))
+    sent = order.withColumnRenamed("half", "take").join(base, (F.col("key") == F.col("next")) & (F.col("half") == F.col("next_half")))
+    sent = sent.select("target", "take", F.expr("substring(text, 1, cast(take as int))").alias("piece"), F.col("f").alias("next_f")).repartition("target", "take")
+    sent = sent.groupBy("target", "take").agg(F.min(F.struct("piece", "next_f")).alias("s"))
     n = F.length("text")
-    joined = base.join(sent, F.col("key") == F.col("target")).where(F.col("half") - F.floor(n / 2) == 0)
+    joined = base.join(sent, (F.col("key") == F.col("target")) & (F.col("half") == F.col("take")))
     edited = F.concat(F.expr("substring(text, 1, cast(length(text) - half as int))"), F.col("s.piece"))
     own_id = F.when(F.col("key") != NO_ID, F.col("key"))
     out = joined.select(own_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"), "f", F.col("s.next_f").alias("next_f"))

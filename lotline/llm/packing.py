@@ -11,7 +11,6 @@ texts longer than a bin are cut into full bins and a rest.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -24,6 +23,8 @@ from lotline.llm.near_dedup import near_duplicates
 CAPACITY = 2048
 PER_SOURCE = 4
 BLOCK_ROWS = 20_000
+#: Equal rows are dealt into blocks this many at a time.
+EQUAL_ROWS = 64
 SCHEMA = "doc_id string, piece int, start long, length long, bin_id string, bin_offset long"
 
 
@@ -40,7 +41,8 @@ class Bins:
     def place(self, size: int, source: int, cluster: int) -> tuple[int, int]:
         """Bin and offset for a piece; source and cluster are single bits, 0 for none."""
         at = bisect_left(self.open, (size, -1))
-        for i, (_, b) in enumerate(islice(self.open, at, None), at):
+        for i in range(at, len(self.open)):
+            b = self.open[i][1]
             if not self.clusters[b] & cluster and not self.sources[b][-1] & source:
                 del self.open[i]
                 break
@@ -88,11 +90,16 @@ def best_fit_pack(docs: DataFrame, size: Column, cluster: Column, capacity: int
     """
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("size"), F.col("source").cast("string").alias("source"), cluster.cast("string").alias("cluster"))
     blocks = max(1, -(-docs.count() // BLOCK_ROWS))
-    # The row number salts repeated ids, so that no id fills a block by itself.
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    # Equal rows are counted and dealt in numbered parts: a row's block follows from the rows alone, so a task that
+    # runs again deals alike, and no id fills a block by itself.
+    rows = rows.groupBy("doc_id", "size", "source", "cluster").agg(F.count(F.lit(1)).alias("copies"))
+    rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / EQUAL_ROWS))))
+    rows = rows.withColumn("copies", F.least(F.lit(EQUAL_ROWS).cast("long"), F.col("copies") - F.col("part") * EQUAL_ROWS))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", "source", "cluster", "part"), F.lit(blocks)).cast("int"))
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "size", "source", "cluster"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["doc_id", "size", "source", "cluster", "part"], kind="stable")
+        pdf = pdf.loc[pdf.index.repeat(pdf["copies"])].reset_index(drop=True)
         got = pack(pdf, capacity, per_source)
         r = np.array([g[0] for g in got], np.int64)
         return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[r], "piece": [g[1] for g in got], "start": [g[2] for g in got], "length": [g[3] for g in got], "bin_id": [f"{key[0]}-{g[4]}" for g in got], "bin_offset": [g[5] for g in got]})
