@@ -11,6 +11,9 @@ from lotline.registry import FLAGSHIP, ORACLE_SQL, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
+#: Range joins whose small side is refused beyond a stated number of rows.
+BOUNDED = {"routed_windows"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -33,6 +36,8 @@ def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=repr)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert name in BOUNDED or not any(x in plan for x in ("NestedLoop", "Cartesian"))
     if name not in ORACLE_SQL:
         assert got or name == "filtered_applications"
         return
