@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ PATTERNS: dict[str, tuple[str, int]] = {
     "acn": (r"(?i)\bA\.?\s*C\.?\s*N\.?\s*[:.]?\s*(\d{3}\s*\d{3}\s*\d{3})\b", 1),
     "abn": (r"(?i)\bA\.?\s*B\.?\s*N\.?\s*[:.]?\s*(\d{2}\s*\d{3}\s*\d{3}\s*\d{3})\b", 1),
 }
+#: How the hosts of the url pattern end, plurals and countries aside.
+HOST_ENDINGS = ["com", "net", "org", "design", "architect"]
 IGNORED_HOSTS = ["goldcoast.qld.gov.au", "qld.gov.au", "gov.au", "asic.gov.au", "energex.com.au", "ergon.com.au", "urbanutilities.com.au", "qldwater.com.au", "australia.com", "google.com", "youtube.com", "facebook.com", "instagram.com", "linkedin.com"]
 GENERIC_MAIL_HOSTS = ["gmail.com", "googlemail.com", "hotmail.com", "hotmail.com.au", "hotmail.co.uk", "yahoo.com", "yahoo.com.au", "outlook.com", "outlook.com.au", "live.com", "live.com.au", "msn.com", "icloud.com", "me.com", "mac.com", "bigpond.com", "bigpond.com.au", "bigpond.net.au", "bigpond.net", "iinet.net.au", "internode.on.net", "tpg.com.au", "optusnet.com.au", "optus.com.au", "westnet.com.au", "dodo.com.au"]
 GENERIC_MAILBOXES = ["info", "admin", "administrator", "contact", "hello", "mail", "email", "sales", "support", "office", "enquiries", "enquiry", "team", "staff", "reception", "general", "noreply", "no-reply"]
@@ -44,35 +49,38 @@ def normal_value(kind: str, value: Column) -> Column:
     return F.when(digits != "", F.upper(F.regexp_replace(value, r"\s+", "")))
 
 
-def may_hold(kind: str, text: Column) -> Column:
-    """A cheap test that a text can hold tokens of a kind; the patterns are only run where it passes."""
-    if kind in ("url", "email"):
-        return text.contains("." if kind == "url" else "@")
-    digits = text.rlike("[0-9]{3}" if kind in ("phone", "acn", "abn") else "[0-9]")
-    return digits if kind in ("phone", "acn", "abn") else digits & text.rlike("(?i)lic")
+#: The gate column of each kind; the licences have one in common.
+GATES = {"url": "_host", "email": "_at", "phone": "_digits", "acn": "_digits", "abn": "_digits"}
+
 
+def gated(pages: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys, text, and cheap tests that it can hold tokens of a kind: patterns are only run where they pass.
 
-def found(kind: str, text: Column, group: int) -> Column:
-    """All values of a group of the kind's pattern."""
-    return F.when(may_hold(kind, text), F.regexp_extract_all(text, F.lit(PATTERNS[kind][0]), F.lit(group))).otherwise(F.array().cast("array<string>"))
+    Each test is a column of its own, so that it is made once for all the kinds that read it.
+    """
+    low = pages.select(*keys, F.col(text).alias("_text"), F.lower(text).alias("_low"))
+    host = reduce(or_, (F.col("_low").contains("." + e) for e in HOST_ENDINGS))
+    licence = F.col("_low").contains("lic") & F.col("_low").rlike("[0-9]")
+    return low.select(*keys, "_text", host.alias("_host"), F.col("_low").contains("@").alias("_at"), F.col("_low").rlike("[0-9]{3}").alias("_digits"), licence.alias("_licence"))
 
 
 def fingerprints(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """keys, kind, normalized_value: each identifying token once per page."""
     every = []
-    for kind, (_, group) in PATTERNS.items():
-        values = _normalised(kind, found(kind, F.col(text), group))
-        every.append(F.transform(F.array_distinct(F.filter(values, lambda v: v.isNotNull())), _tagged(kind)))
-    return pages.select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*")
+    for kind, (pattern, group) in PATTERNS.items():
+        found = F.when(F.col(GATES.get(kind, "_licence")), F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))).otherwise(F.array().cast("array<string>"))
+        every.append(F.transform(F.array_distinct(F.filter(_normalised(kind, found), lambda v: v.isNotNull())), _tagged(kind)))
+    rows = gated(pages, keys, text).where("_host or _at or _digits or _licence")
+    return rows.select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*")
 
 
 def fingerprint_spans(pages: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """keys, kind, raw_value, normalized_value, span_start, span_end (from 0): the first place of each identifying token on a page."""
     every = []
     for kind, (pattern, group) in PATTERNS.items():
-        hits = F.when(may_hold(kind, F.col(text)), matches(F.col(text), pattern, group))
+        hits = F.when(F.col(GATES.get(kind, "_licence")), matches(F.col("_text"), pattern, group))
         every.append(F.transform(F.coalesce(hits, F.array().cast("array<struct<value:string,at:int,to:int,value_at:int>>")), _placed(kind)))
-    rows = pages.select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*").where("normalized_value is not null")
+    rows = gated(pages, keys, text).select(*keys, F.explode(F.concat(*every)).alias("f")).select(*keys, "f.*").where("normalized_value is not null")
     first = F.min_by(F.struct("raw_value", "span_start", "span_end"), "span_start")
     return rows.groupBy(*keys, "kind", "normalized_value").agg(first.alias("_f")).select(*keys, "kind", "_f.raw_value", "normalized_value", "_f.span_start", "_f.span_end")
 

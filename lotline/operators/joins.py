@@ -49,9 +49,9 @@ def suburb_matches(targets: DataFrame, properties: DataFrame, street: str = "str
     return prefix_join(targets.withColumn("_prefix", F.concat(whole, F.lit(", "), suburb)), properties, "_prefix", "display_address").drop("_prefix")
 
 
-def unit_children(matches: DataFrame, properties: DataFrame) -> DataFrame:
-    """(street_address, unit columns): units with the number, street and suburb of a matched parent, each once."""
-    keys = ["street_number", "street_name", "suburb"]
+def unit_children(matches: DataFrame, properties: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """(street_address, unit columns): units with the number, street and suburb (and columns of `within`) of a matched parent, each once."""
+    keys = ["street_number", "street_name", "suburb", *within]
     parents = matches.where("unit_number = ''").select("street_address", *keys).distinct()
     return properties.where("unit_number <> ''").join(parents, keys)
 
@@ -92,14 +92,12 @@ def totals_after(left: DataFrame, right: DataFrame, on: list[str], key: list[str
     return met.where("_side = 0 and _later > 0").select("_key.*", *totals)
 
 
-def coalesce_sources(base: DataFrame, key: list[str], sources: list[tuple[DataFrame, str]], value: str, label: str) -> DataFrame:
-    """base with `value` from the first source that has one, and which source that was."""
-    out, values, names = base, [], []
-    for i, (df, name) in enumerate(sources):
-        out = out.join(df.select(*key, F.col(value).alias(f"_v{i}")), key, "left")
-        values.append(F.col(f"_v{i}"))
-        names.append(F.when(F.col(f"_v{i}").isNotNull(), name))
-    return out.withColumns({value: F.coalesce(*values), label: F.coalesce(*names)}).drop(*[f"_v{i}" for i in range(len(sources))])
+def coalesce_sources(rows: DataFrame, key: list[str], value: Column, source: str, names: list[str]) -> DataFrame:
+    """key, value, source: per key the value of the first source of `names` that has one; other sources count as none."""
+    place = F.nullif(F.array_position(F.array(*map(F.lit, names)), F.col(source)), F.lit(0))
+    have = rows.select(*key, value.alias("value"), place.alias("_place")).where("value is not null and _place is not null")
+    first = have.groupBy(*key).agg(F.min_by("value", "_place").alias("value"), F.min("_place").alias("_place"))
+    return first.select(*key, "value", F.element_at(F.array(*map(F.lit, names)), F.col("_place").cast("int")).alias("source"))
 
 
 def has_any(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:

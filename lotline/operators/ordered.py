@@ -67,9 +67,13 @@ STAGES = ["submission", "amendment", "ir_council", "ir_response", "further_info"
 
 
 def entity_timeline(links: DataFrame, docs: DataFrame, stage: Column) -> DataFrame:
-    """application_id, stage, role, company_id, is_new: each role and company once per stage; new if the company stands in no earlier stage or row."""
+    """application_id, stage, role, company_id, is_new: each role and company once per stage; new if the company stands in no earlier stage or row.
+
+    Rows are dealt once by application and company, which serves the grouping and the order both.
+    """
     place = F.array_position(F.array(*map(F.lit, STAGES)), F.col("stage"))
-    rows = links.join(docs.select(F.col("id").alias("source_doc_id"), stage.alias("stage")), "source_doc_id").groupBy("application_id", "stage", "role", "company_id").agg(F.min("source_doc_id").alias("doc")).withColumn("_place", place)
+    joined = links.select("application_id", "role", "company_id", "source_doc_id").join(docs.select(F.col("id").alias("source_doc_id"), stage.alias("stage")), "source_doc_id")
+    rows = joined.repartition("application_id", "company_id").groupBy("application_id", "stage", "role", "company_id").agg(F.min("source_doc_id").alias("doc")).withColumn("_place", place)
     first = F.row_number().over(Window.partitionBy("application_id", "company_id").orderBy("_place", "doc", "role"))
     return rows.withColumn("is_new", first == 1).drop("_place", "doc")
 

@@ -8,6 +8,7 @@ Nothing is looked up row by row.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,13 @@ from lotline.operators.rollups import developer_counts, docs_rollup, entities_by
 from lotline.operators.staging import settled
 
 LOOKBACK_MONTHS = 120
+#: The portals, best first, and what makes a sale event of theirs a sale.
+PORTALS = {"domain": "is_sold", "realestate": "event_type = 'sold'"}
+
+
+def stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables of several portals as one, with `portal`."""
+    return reduce(DataFrame.unionByName, [df.withColumn("portal", F.lit(p)) for p, df in tables.items()])
 
 
 def filter_applications(apps: DataFrame, kind: str | None = None, suburb: str | None = None, type_code: str | None = None, date_from: datetime.date | None = None, date_to: datetime.date | None = None, q: str | None = None) -> DataFrame:
@@ -40,7 +48,7 @@ def site_facts(matches: DataFrame) -> DataFrame:
 
     matches: the portals' street matches in one table, with `portal`.
     """
-    of = lambda p, c: F.max(F.when(F.col("portal") == p, F.col(c)))
+    of = lambda p, c: F.max(F.when(F.col("portal").startswith(p), F.col(c)))
     facts = {"land": "land_area_m2", "beds": "bedrooms", "baths": "bathrooms", "kind": "property_type"}
     return matches.where("unit_number = ''").groupBy("street_address").agg(*[of(p, c).alias(f"{p}_{a}") for p in "dr" for a, c in facts.items()])
 
@@ -51,8 +59,9 @@ def unit_rooms(units: DataFrame) -> DataFrame:
     A portal without a unit on the street counts 0 and sums to null.
     """
     per = units.groupBy("street_address", "portal", "unit_number").agg(F.max("bedrooms").alias("b"), F.max("bathrooms").alias("t"))
-    of = lambda p, c: F.when(F.col("portal") == p, F.col(c))
-    own = lambda p: [F.sum(of(p, "b")).alias(f"{p}u_beds"), F.count(of(p, "b")).alias(f"{p}u_n_beds"), F.sum(of(p, "t")).alias(f"{p}u_baths"), F.count(of(p, "t")).alias(f"{p}u_n_baths"), F.count_if(F.col("portal") == p).alias(f"{p}u_n_units")]
+    here = lambda p: F.col("portal").startswith(p)
+    of = lambda p, c: F.when(here(p), F.col(c))
+    own = lambda p: [F.sum(of(p, "b")).alias(f"{p}u_beds"), F.count(of(p, "b")).alias(f"{p}u_n_beds"), F.sum(of(p, "t")).alias(f"{p}u_baths"), F.count(of(p, "t")).alias(f"{p}u_n_baths"), F.count_if(here(p)).alias(f"{p}u_n_units")]
     return per.groupBy("street_address").agg(*own("d"), *own("r"))
 
 
@@ -75,31 +84,30 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     desc, n = F.col("description"), F.col("approved_units")
     apps = apps.withColumns({"dwelling_count": dwelling_count(desc, n), "dwelling_kind": dwelling_kind(desc, n), "kind": classify_kind(desc, n)})
     key = apps.select("id", "street_address", "lodged_date", "decision_date")
-    streets = settled(key.select("street_address").distinct(), "streets")
-    # Street matches and their units are read by several facts each: they are worked out once per portal.
+    streets = key.select("street_address").distinct()
+    # Both portals go through one plan; what several facts read is worked out once.
     fields = ["id", "unit_number", "street_number", "street_name", "suburb", "display_address", "land_area_m2", "bedrooms", "bathrooms", "property_type"]
-    props = {p: t[f"{n}_properties"].select(fields) for p, n in (("d", "domain"), ("r", "realestate"))}
-    matches = {p: settled(lot_matches(streets, props[p]).withColumn("portal", F.lit(p)), f"{p}_matches") for p in props}
-    units = {p: settled(unit_children(matches[p], props[p]).withColumn("portal", F.lit(p)), f"{p}_units") for p in props}
-    own_events = lambda rows, fk, sales: rows.select("street_address", F.col("id").alias(fk)).join(sales, fk)
+    props = stacked({p: t[f"{p}_properties"].select(fields) for p in PORTALS})
+    matches = settled(lot_matches(streets, props), "matches")
+    units = settled(unit_children(matches, props, ("portal",)), "units")
+    own_events = lambda p, sales: units.where(F.col("portal") == p).select("street_address", F.col("id").alias(f"{p}_property_id")).join(sales, f"{p}_property_id")
 
     # Facts of a street are worked out per street and meet the applications' ids; the wide rows come in last, once.
-    sold = own_events(units["d"], "domain_property_id", t["domain_sales"].select("domain_property_id", "event_date", "event_price", "is_sold"))
-    listed = own_events(units["r"], "realestate_property_id", t["realestate_sales"].select("realestate_property_id", "event_date"))
+    sold = own_events("domain", t["domain_sales"].select("domain_property_id", "event_date", "event_price", "is_sold"))
+    listed = own_events("realestate", t["realestate_sales"].select("realestate_property_id", "event_date"))
     seen = unit_evidence(streets, t["discovered_urls"])
     signs = [df.select("street_address", F.col(c).cast("timestamp").alias("at")) for df, c in ((listed, "event_date"), (seen, "discovered_at"))]
     last_sign = signs[0].unionByName(signs[1]).groupBy("street_address").agg(F.max("at").alias("last_sign"))
-    both = lambda x: x["d"].unionByName(x["r"])
     narrow = key.drop("lodged_date")
-    for facts in (site_facts(both(matches)), unit_rooms(both(units)), last_sign):
+    for facts in (site_facts(matches), unit_rooms(units), last_sign):
         narrow = narrow.join(facts, "street_address", "left")
 
-    pre = [
-        (pre_sale(key, matches["d"], t["domain_sales"], "domain_property_id", F.col("is_sold")), "domain"),
-        (pre_sale(key, matches["r"], t["realestate_sales"], "realestate_property_id", F.col("event_type") == "sold"), "realestate"),
-    ]
-    pre = [(p.select("id", F.struct("event_price", "event_date").alias("pre")), name) for p, name in pre]
-    narrow = coalesce_sources(narrow, ["id"], pre, "pre", "pre_source").where("pre is not null").withColumn("s_later", F.col("last_sign") > F.col("decision_date")).drop("street_address", "decision_date", "last_sign")
+    sales = stacked({p: t[f"{p}_sales"].where(F.expr(s) & F.col("event_price").isNotNull()).select(F.col(f"{p}_property_id").alias("property_id"), F.col("id").alias("sale_id"), "event_price", "event_date") for p, s in PORTALS.items()})
+    events = matches.select("portal", "street_address", F.col("id").alias("property_id")).join(sales, ["portal", "property_id"])
+    lodged = key.drop("decision_date").withColumn("portal", F.explode(F.array(*map(F.lit, PORTALS))))
+    pre = asof_prev(lodged, events, ["street_address", "portal"], ["id", "portal"], "lodged_date", "event_date", "sale_id", ["event_price", "event_date"], LOOKBACK_MONTHS)
+    pre = coalesce_sources(pre, ["id"], F.struct("event_price", "event_date"), "portal", list(PORTALS)).withColumnsRenamed({"value": "pre", "source": "pre_source"})
+    narrow = narrow.join(pre, "id").withColumn("s_later", F.col("last_sign") > F.col("decision_date")).drop("street_address", "decision_date", "last_sign")
     priced = F.when(F.col("is_sold"), F.col("event_price"))
     after = totals_after(key.select("id", "street_address", "decision_date"), sold, ["street_address"], ["id"], "decision_date", "event_date", {"post_total": priced, "n_post_sales": priced.isNotNull().cast("long")})
     narrow = narrow.join(after.withColumn("d_later", F.lit(True)), "id", "left")
