@@ -1,10 +1,12 @@
 """Operator 9: language identification by a bidirectional gated recurrent network over bytes.
 
 The network reads a text's bytes across words and lines and labels every position with language
-probabilities; a document's probabilities are their mean over all its positions. Texts are read in
-windows of BODY positions. The forward state of a window begins CONTEXT bytes before it, the backward
-state CONTEXT bytes after it, so that every position has at least that much context on both sides (or
-all there is), and texts of up to BODY bytes are read in one piece.
+probabilities; a document's probabilities are their mean over all its positions. State is carried over
+the whole text in both directions, window by window, as many texts side by side as a batch holds. Where
+fewer than WIDE texts go on, their windows are read all at once instead: each begins with a guess, its
+neighbour then shows the true state, and windows that began with another are read again, until each
+began with the state its neighbour ended with: the same as one pass in order. Where that takes more than
+ROUNDS times the windows, as with a network that forgets nothing, the rest is read in order.
 
 Gates are piecewise linear and candidate states x / (1 + |x|), which numpy works out quickly. Training
 is backpropagation through time in numpy on the driver, over a bounded sample of labelled text.
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 from lotline.llm.common import below, by_text, held_out, table
 
 HIDDEN = 8
-BODY, CONTEXT = 240, 16
+BODY, WIDE, ROUNDS = 240, 64, 8
+#: States that differ by no more than this count as equal.
+TOLERANCE = 1e-5
 #: A symbol that UTF-8 never has: it leaves the state as it is.
 PAD = 255
 #: Bounds of the training sample: documents, and pieces of PIECE bytes out of their whole texts.
@@ -58,12 +62,12 @@ class BiGRU:
         self.w[:, :, PAD] = 0
         self.w[:, :size, PAD] = 1e6
 
-    def run(self, x: np.ndarray, d: int, keep: list | None = None) -> np.ndarray:
-        """States (T, H, B) of one direction over bytes x (T, B), in reading order of that direction."""
+    def run(self, x: np.ndarray, d: int, keep: list | None = None, h: np.ndarray | None = None) -> np.ndarray:
+        """States (T, H, B) of one direction over bytes x (T, B), in reading order of that direction, begun with h (H, B) or at rest."""
         steps, n = x.shape
         size = self.u.shape[2]
         w, u = self.w[d], self.u[d]
-        h = np.zeros((size, n), w.dtype)
+        h = np.zeros((size, n), w.dtype) if h is None else h
         out = np.empty((steps, size, n), w.dtype)
         a, g, one = np.empty((3 * size, n), w.dtype), np.empty((3 * size, n), w.dtype), np.empty((size, n), w.dtype)
         for t in range(steps):
@@ -88,15 +92,13 @@ class BiGRU:
             h = new
         return out
 
-    def states(self, x: np.ndarray, context: int, keep: tuple[list, list] | None = None) -> np.ndarray:
-        """(T, 2H, B) for the positions of x between `context` bytes on both sides."""
-        f, b = keep or (None, None)
-        stop = len(x) - context
-        return np.concatenate((self.run(x[:stop], 0, f)[context:], self.run(x[:context - 1 if context else None:-1], 1, b)[context:][::-1]), axis=1)
+    def states(self, x: np.ndarray, keep: tuple[list, list] = (None, None), begin: tuple = (None, None)) -> np.ndarray:
+        """(T, 2H, B) for the positions of x, both directions begun with the states of `begin`."""
+        return np.concatenate((self.run(x, 0, keep[0], begin[0]), self.run(x[::-1], 1, keep[1], begin[1])[::-1]), axis=1)
 
-    def probabilities(self, x: np.ndarray, context: int) -> np.ndarray:
-        """(T, labels, B) of those positions."""
-        a = np.matmul(self.v, self.states(x, context))
+    def probabilities(self, states: np.ndarray) -> np.ndarray:
+        """(T, labels, B) of positions with those states."""
+        a = np.matmul(self.v, states)
         a += self.c
         a -= a.max(axis=1, keepdims=True)
         np.exp(a, out=a)
@@ -106,7 +108,7 @@ class BiGRU:
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Loss and gradients for pieces x (T, B) of language y, by backpropagation through time."""
         kept: tuple[list, list] = ([], [])
-        s = self.states(x, 0, kept)
+        s = self.states(x, kept)
         a = np.matmul(self.v, s) + self.c
         e = np.exp(a - a.max(axis=1, keepdims=True))
         p = e / e.sum(axis=1, keepdims=True)
@@ -172,24 +174,83 @@ def readable(texts: list[str | None]) -> list[bool]:
     return [t is not None and LETTER.search(t) is not None for t in texts]
 
 
+class Windows:
+    """The windows of several texts, one after another, and the states they begin with: begin (2, windows, H)."""
+
+    def __init__(self, net: BiGRU, raws: list[bytes]):
+        self.net = net
+        sizes = np.array([len(r) for r in raws], np.int64)
+        count = -(-sizes // BODY)
+        self.data = np.frombuffer(b"".join([r.ljust(c * BODY, bytes([PAD])) for r, c in zip(raws, count.tolist())]), np.uint8).reshape(-1, BODY)
+        self.doc = np.repeat(np.arange(len(raws)), count)
+        nth = np.arange(len(self.doc)) - np.repeat(np.cumsum(count) - count, count)
+        #: How many windows of its text a direction reads before this one.
+        self.rank = (nth, count[self.doc] - 1 - nth)
+        self.left = np.minimum(sizes[self.doc] - nth * BODY, BODY)
+        self.begin, self.end = np.zeros((2, 2, len(self.doc), net.u.shape[2]), net.u.dtype)
+
+    def bytes_of(self, windows: np.ndarray, d: int = 0) -> np.ndarray:
+        x = self.data[windows].T.astype(np.intp)
+        return x[::-1] if d else x
+
+    def read(self, d: int, windows: np.ndarray) -> None:
+        """The states that windows end with in direction d."""
+        for at in range(0, len(windows), SIDE):
+            own = windows[at : at + SIDE]
+            self.end[d, own] = self.net.run(self.bytes_of(own, d), d, h=self.begin[d, own].T)[-1].T
+
+    def in_order(self, d: int, windows: np.ndarray) -> None:
+        """Read whole texts or their rests in order, side by side; windows in order of rank."""
+        rank = self.rank[d][windows]
+        for own in np.split(windows, np.flatnonzero(np.diff(rank)) + 1):
+            if len(own) and self.rank[d][own[0]]:
+                self.begin[d, own] = self.end[d, own + (1 if d else -1)]
+            self.read(d, own)
+
+    def at_once(self, d: int, windows: np.ndarray) -> None:
+        """Read rests of texts all at once, and again where a window began with another state than its neighbour ended with."""
+        inner = windows[self.rank[d][windows] > 0]
+        before = inner + (1 if d else -1)
+        self.begin[d, inner] = self.end[d, before]
+        todo, left = windows, ROUNDS * len(windows)
+        while left > 0:
+            self.read(d, todo)
+            left -= len(todo)
+            off = np.abs(self.end[d, before] - self.begin[d, inner]).max(axis=1, initial=0) > TOLERANCE
+            self.begin[d, inner[off]] = self.end[d, before[off]]
+            todo = inner[off]
+            if not len(todo):
+                return
+        self.in_order(d, windows[np.isin(self.doc[windows], self.doc[todo])])
+
+    def settle(self) -> None:
+        """Find the states that all windows begin with, in both directions."""
+        for d in (0, 1):
+            rank = self.rank[d]
+            order = np.argsort(rank, kind="stable")
+            wide = int((np.bincount(rank, minlength=1) >= WIDE).sum())
+            cut = int(np.searchsorted(rank[order], wide))
+            self.in_order(d, order[:cut])
+            if cut < len(order):
+                self.at_once(d, order[cut:])
+
+    def sums(self) -> np.ndarray:
+        """(windows, labels): the sums of the label probabilities of each window's positions."""
+        out = np.zeros((len(self.doc), len(self.net.labels)))
+        for at in range(0, len(out), SIDE):
+            own = np.arange(at, min(at + SIDE, len(out)))
+            p = self.net.probabilities(self.net.states(self.bytes_of(own), begin=(self.begin[0, own].T, self.begin[1, own].T)))
+            p *= (np.arange(BODY)[:, None] < self.left[own])[:, None, :]
+            out[own] = p.sum(axis=0).T
+        return out
+
+
 def pooled(net: BiGRU, raws: list[bytes]) -> np.ndarray:
-    """(texts, labels): the sums of the position probabilities of each text, read in windows."""
+    """(texts, labels): the sums of the position probabilities of each text, state carried over all of it."""
+    windows = Windows(net, raws)
+    windows.settle()
     total = np.zeros((len(raws), len(net.labels)))
-    sizes = np.array([len(r) for r in raws], np.int64)
-    count = -(-sizes // BODY)
-    edge = bytes([PAD]) * CONTEXT
-    # Each text takes whole windows, with padding before it and after it.
-    data = np.frombuffer(b"".join([edge + r.ljust(c * BODY, bytes([PAD])) + edge for r, c in zip(raws, count.tolist())]), np.uint8)
-    base = np.concatenate(([0], np.cumsum(count * BODY + 2 * CONTEXT)))[:-1]
-    doc = np.repeat(np.arange(len(raws)), count)
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-    start, left = base[doc] + nth * BODY, np.minimum(sizes[doc] - nth * BODY, BODY)
-    reach = np.arange(BODY + 2 * CONTEXT)
-    for at in range(0, len(doc), SIDE):
-        own = slice(at, at + SIDE)
-        p = net.probabilities(data[start[own][None, :] + reach[:, None]].astype(np.intp), CONTEXT)
-        p *= (reach[:BODY, None] < left[own][None, :])[:, None, :]
-        np.add.at(total, doc[own], p.sum(axis=0).T)
+    np.add.at(total, windows.doc, windows.sums())
     return total
 
 

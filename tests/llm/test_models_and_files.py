@@ -192,26 +192,29 @@ def test_language_network_reads_across_words(spark, monkeypatch):
         if r.doc_id in whole:
             w = whole[r.doc_id]
             assert r.lang_pred == net.labels[w.argmax()] and abs(r.score - w.max() / w.sum()) < 1e-4
-    monkeypatch.setattr(langid, "BODY", 20)
-    monkeypatch.setattr(langid, "CONTEXT", 6)
-    data = long.encode()
-    parts = []
-    for at in range(0, len(data), 20):
-        a, b, stop = max(0, at - 6), min(len(data), at + 26), min(len(data), at + 20)
-        if a < at or b > stop:  # one direction at a time, each with its own context
-            parts.append(windowed(net, data, a, at, stop, b))
-        else:
-            parts.append(scalar_pass(net, data[at:stop]))
-    assert np.allclose(langid.pooled(net, [data])[0], sum(parts), atol=1e-3)
-
-
-def windowed(net, data, a, at, stop, b):
-    """The same for positions at..stop-1: forward from a, backward from b."""
-    x = np.frombuffer(data[a:b], np.uint8).astype(np.intp)[:, None]
-    f = net.run(x[: stop - a], 0)[at - a :]
-    back = net.run(x[::-1][: b - at], 1)[b - stop :][::-1]
-    p = np.exp(np.matmul(net.v, np.concatenate((f, back), axis=1)) + net.c)
-    return (p / p.sum(axis=1, keepdims=True)).sum(axis=(0, 2))
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+@pytest.mark.parametrize("memory", [0, 3])
+def test_language_state_is_carried_over_whole_texts(monkeypatch, rounds, memory):
+    """Windows change nothing: pooled equals a scalar pass over each whole text, also where the state is hardly ever forgotten."""
+    net = langid.train([b"the cat and", b"der hund und", b"le chat et"] * 20, ["en", "de", "fr"] * 20, epochs=2)
+    net.w[:, : net.u.shape[2], : langid.PAD] += memory
+    monkeypatch.setattr(langid, "ROUNDS", rounds)
+    monkeypatch.setattr(langid, "SIDE", 7)
+    monkeypatch.setattr(langid, "WIDE", 3)
+    texts = [b"", b"a", b"der hund und le chat the cat and " * 30, b"et le chat " * 22, b"x" * 240, b"zz" + b"the " * 300]
+    for body in (20, 240):
+        monkeypatch.setattr(langid, "BODY", body)
+        assert np.allclose(langid.pooled(net, texts), [scalar_pass(net, t) for t in texts], atol=2e-2)
+    assert not langid.pooled(net, [b"", b""]).any() and langid.pooled(net, []).shape == (0, 3)
+
+
+def test_language_of_a_text_of_20000_bytes():
+    net = langid.train([b"the cat and", b"der hund und", b"le chat et"] * 20, ["en", "de", "fr"] * 20, epochs=2)
+    text = b"".join([b"the cat sat and ", b"der hund lief ", b"le chat dort "][i * i % 3] for i in range(1_500))
+    got, want = langid.pooled(net, [text])[0], scalar_pass(net, text)
+    assert len(text) > 20_000 and np.abs(got - want).max() / len(text) < 1e-5
 
 
 def test_toxicity_held_out(spark):
