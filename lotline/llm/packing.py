@@ -11,9 +11,11 @@ texts longer than a bin are cut into full bins and a rest.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ PER_SOURCE = 4
 BLOCK_ROWS = 20_000
 #: Equal rows are dealt into blocks this many at a time.
 EQUAL_ROWS = 64
+#: Texts are taken about this many bytes at a time to count their words.
+STEP = 1 << 17
 SCHEMA = "doc_id string, piece int, start long, length long, bin_id string, bin_offset long"
 
 
@@ -108,30 +112,55 @@ def best_fit_pack(docs: DataFrame, size: Column, cluster: Column, capacity: int
     return packed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def words_of(text: str = "text") -> Column:
-    """Number of words of a text."""
-    blanks = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.size(F.array_remove(F.split(blanks, " "), ""))
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Number of words of each text, counted in its bytes; null has none."""
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, ends, data = texts.buffers()
+    raw, out = np.frombuffer(data or b"", np.uint8), np.zeros(len(texts), np.int64)
+    if not len(texts):
+        return out
+    at = np.frombuffer(ends, kind)[texts.offset : texts.offset + len(texts) + 1]
+    first = np.flatnonzero(np.diff((at[:-1] - at[0]) // STEP, prepend=-1)).tolist()
+    for i, to in zip(first, [*first[1:], len(texts)]):
+        own, here = raw[at[i] : at[to]], at[i : to + 1] - at[i]
+        word = (own != 32) & ((own - np.uint8(9)) > 4)  # below 9 wraps round to above 4
+        begins = word.copy()
+        begins[1:] &= ~word[:-1]
+        start = here[:-1][here[:-1] < here[1:]]
+        begins[start] = word[start]
+        here = here.tolist()
+        out[i:to] = [np.count_nonzero(begins[a:b]) for a, b in zip(here, here[1:])]
+    return out
 
 
-def with_clusters(docs: DataFrame, size: Column) -> DataFrame:
+def with_words(docs: DataFrame) -> DataFrame:
+    """docs with the number of words of `text` as `size` in place of the text."""
+    rest = [c for c in docs.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(word_counts(batch.column("text")))], [*rest, "size"])
+
+    return docs.select(*rest, "text").mapInArrow(run, docs.select(*rest).schema.add("size", "long"))
+
+
+def with_clusters(docs: DataFrame) -> DataFrame:
     """doc_id, source, size, cluster of every row: documents of one near-duplicate class have one cluster.
 
-    docs: doc_id, text, source. A document is a doc_id with a text, so null doc_ids and different texts
-    under one doc_id are classed like any other. Equal texts have one cluster also where they have no
-    words; a null text has none. Repeated rows give repeated rows.
+    docs: doc_id, text, source. The size is the number of words. A document is a doc_id with a text, so null
+    doc_ids and different texts under one doc_id are classed like any other. Equal texts have one cluster also
+    where they have no words; a null text has none. Repeated rows give repeated rows.
     """
-    rows = docs.select("doc_id", "source", size.alias("size"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    rows = docs.select("doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("key"))
     classes = near_duplicates(rows.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "class_id").distinct()
-    wordless = F.when(F.col("text").isNotNull() & ~F.col("text").rlike(r"[^ \t-\r]"), F.xxhash64("text"))
-    rows = rows.select("doc_id", "source", "size", "key", F.col("text").isNull().alias("no_text"), wordless.alias("wordless"))
-    cluster = F.when(~F.col("no_text"), F.coalesce("wordless", "class_id"))
+    rows = with_words(rows.withColumns({"no_text": F.col("text").isNull(), "equal": F.xxhash64("text")}))
+    cluster = F.when(~F.col("no_text"), F.when(F.col("size") == 0, F.col("equal")).otherwise(F.col("class_id")))
     return rows.join(classes, "key", "left").select("doc_id", "source", "size", cluster.alias("cluster"))
 
 
 def pack_apart(docs: DataFrame) -> DataFrame:
     """Documents packed by their number of words; no two near copies (five words, 0.8) share a bin."""
-    return best_fit_pack(staged(with_clusters(docs, words_of()), "clusters"), F.col("size"), F.col("cluster"))
+    return best_fit_pack(staged(with_clusters(docs), "clusters"), F.col("size"), F.col("cluster"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

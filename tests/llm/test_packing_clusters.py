@@ -1,5 +1,7 @@
 """Near copies in op10: none of them share a bin."""
 
+import re
+
 from lotline.llm.packing import op10_packing, pack_apart
 
 SF = "/root/testdata/sf0.001"
@@ -52,3 +54,26 @@ def test_packing_equals_a_plain_search_of_all_bins():
         b["clusters"].append(c)
         b["sources"].append(s)
     assert got == want
+
+
+def test_words_are_counted_in_bytes(spark):
+    """Counts equal a split at blanks, also in slices and of nulls, and the plan of the packed rows has no walk over characters."""
+    import contextlib
+    import io
+
+    import pyarrow as pa
+
+    from lotline.llm.packing import with_clusters, word_counts
+
+    texts = ["", None, " ", "a", " a\tb\x0bc\x0c\r\nd ", "\u00e9t\u00e9\u00a0x \u65e5\u672c", "\x08 \x0e\x1c!", "x  " * 3000]
+    want = [len([w for w in re.split(r"[ \t-\r]+", t or "") if w]) for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        assert word_counts(pa.array(texts, kind)).tolist() == want
+        assert word_counts(pa.array(texts, kind)[3:6]).tolist() == want[3:6]
+        assert word_counts(pa.array([], kind)).tolist() == word_counts(pa.array([None], kind)).tolist()[1:]
+    rows = with_clusters(spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, source string"))
+    assert {r.doc_id: r.size for r in rows.collect()} == dict(enumerate(want))
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        rows.explain("formatted")
+    assert "translate" not in plan.getvalue() and "RLIKE" not in plan.getvalue()
