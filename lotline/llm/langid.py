@@ -5,7 +5,8 @@ probabilities; a document's probabilities are their mean over all its positions.
 the whole text in both directions, window by window, as many texts side by side as a batch holds. Where
 fewer than WIDE texts go on, their windows are read all at once instead: each begins with a guess, its
 neighbour then shows the true state, and windows that began with another are read again, until each
-began with the state its neighbour ended with: the same as one pass in order. Where that takes more than
+began with the state its neighbour ended with: the same as one pass in order. The states of that reading
+are kept for the labels, up to a bound; only of longer batches are windows read once more. Where that takes more than
 ROUNDS times the windows, as with a network that forgets nothing, the rest is read in order.
 
 Gates are piecewise linear and candidate states x / (1 + |x|), which numpy works out quickly. Training
@@ -34,6 +35,8 @@ PAD = 255
 SAMPLE_DOCS, SAMPLE_PIECES, PIECE = 4_000, 10_000, 64
 #: Windows run side by side, and characters read together, in a task.
 SIDE, BATCH_CHARS = 1024, 2_000_000
+#: Positions whose states are kept from the reading that settles them (64 bytes each); of more, windows are read once more.
+KEPT = 3 << 20
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
@@ -66,7 +69,10 @@ class BiGRU:
         """States (T, H, B) of one direction over bytes x (T, B), in reading order of that direction, begun with h (H, B) or at rest."""
         steps, n = x.shape
         size = self.u.shape[2]
-        w, u = self.w[d], self.u[d]
+        w, u = self.w[d].copy(), self.u[d].copy()
+        for into in (w, u):
+            into[: 2 * size] *= 0.25  # gates are 0.5 + a / 4, cut at 0 and 1
+        w[: 2 * size] += 0.5
         h = np.zeros((size, n), w.dtype) if h is None else h
         out = np.empty((steps, size, n), w.dtype)
         a, g, one = np.empty((3 * size, n), w.dtype), np.empty((3 * size, n), w.dtype), np.empty((size, n), w.dtype)
@@ -75,8 +81,6 @@ class BiGRU:
             np.matmul(u, h, out=g)
             zr, m, new = a[: 2 * size], a[2 * size :], out[t]
             zr += g[: 2 * size]
-            zr *= 0.25
-            zr += 0.5
             np.maximum(zr, 0, out=zr)
             np.minimum(zr, 1, out=zr)
             np.multiply(zr[size:], g[2 * size :], out=one)
@@ -97,12 +101,12 @@ class BiGRU:
         return np.concatenate((self.run(x, 0, keep[0], begin[0]), self.run(x[::-1], 1, keep[1], begin[1])[::-1]), axis=1)
 
     def probabilities(self, states: np.ndarray) -> np.ndarray:
-        """(T, labels, B) of positions with those states."""
-        a = np.matmul(self.v, states)
+        """(labels, positions) of positions with the states (positions, 2H)."""
+        a = self.v @ states.T
         a += self.c
-        a -= a.max(axis=1, keepdims=True)
+        a -= a.max(axis=0)
         np.exp(a, out=a)
-        a /= a.sum(axis=1, keepdims=True)
+        a /= a.sum(axis=0)
         return a
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
@@ -187,7 +191,10 @@ class Windows:
         #: How many windows of its text a direction reads before this one.
         self.rank = (nth, count[self.doc] - 1 - nth)
         self.left = np.minimum(sizes[self.doc] - nth * BODY, BODY)
-        self.begin, self.end = np.zeros((2, 2, len(self.doc), net.u.shape[2]), net.u.dtype)
+        size = net.u.shape[2]
+        self.begin, self.end = np.zeros((2, 2, len(self.doc), size), net.u.dtype)
+        #: States (windows, BODY, 2H) of both directions as last read.
+        self.kept = np.empty((len(self.doc), BODY, 2 * size), net.u.dtype) if len(self.doc) * BODY <= KEPT else None
 
     def bytes_of(self, windows: np.ndarray, d: int = 0) -> np.ndarray:
         x = self.data[windows].T.astype(np.intp)
@@ -197,7 +204,11 @@ class Windows:
         """The states that windows end with in direction d."""
         for at in range(0, len(windows), SIDE):
             own = windows[at : at + SIDE]
-            self.end[d, own] = self.net.run(self.bytes_of(own, d), d, h=self.begin[d, own].T)[-1].T
+            states = self.net.run(self.bytes_of(own, d), d, h=self.begin[d, own].T)
+            self.end[d, own] = states[-1].T
+            if self.kept is not None:
+                size = states.shape[1]
+                self.kept[own, :, d * size : (d + 1) * size] = states[:: -1 if d else 1].transpose(2, 0, 1)
 
     def in_order(self, d: int, windows: np.ndarray) -> None:
         """Read whole texts or their rests in order, side by side; windows in order of rank."""
@@ -239,9 +250,10 @@ class Windows:
         out = np.zeros((len(self.doc), len(self.net.labels)))
         for at in range(0, len(out), SIDE):
             own = np.arange(at, min(at + SIDE, len(out)))
-            p = self.net.probabilities(self.net.states(self.bytes_of(own), begin=(self.begin[0, own].T, self.begin[1, own].T)))
-            p *= (np.arange(BODY)[:, None] < self.left[own])[:, None, :]
-            out[own] = p.sum(axis=0).T
+            states = self.net.states(self.bytes_of(own), begin=(self.begin[0, own].T, self.begin[1, own].T)).transpose(2, 0, 1) if self.kept is None else self.kept[own]
+            p = self.net.probabilities(states.reshape(-1, states.shape[2])).reshape(-1, len(own), BODY)
+            p *= np.arange(BODY) < self.left[own, None]
+            out[own] = p.sum(axis=2).T
         return out
 
 
