@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +66,11 @@ def by_text(docs: DataFrame, fields: str, start: Callable[[], Callable[[list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            size = np.cumsum([len(t or "") for t in texts]) // chars
-            cuts = np.flatnonzero(np.diff(size, prepend=-1)).tolist() if texts else []
-            for a, b in zip(cuts, [*cuts[1:], len(texts)]):
-                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in work(texts[a:b])]
+            size = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy()) // chars
+            cuts = np.flatnonzero(np.diff(size, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(size)]):
                 part = batch.slice(a, b - a)
+                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in work(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *made], names)
 
     return docs.mapInArrow(run, type(schema)([*schema.fields, *new.fields]))

@@ -5,9 +5,10 @@ probabilities; a document's probabilities are their mean over all its positions.
 the whole text in both directions, window by window, as many texts side by side as a batch holds. Where
 fewer than WIDE texts go on, their windows are read all at once instead: each begins with a guess, its
 neighbour then shows the true state, and windows that began with another are read again, until each
-began with the state its neighbour ended with: the same as one pass in order. The states of that reading
-are kept for the labels, up to a bound; only of longer batches are windows read once more. Where that takes more than
-ROUNDS times the windows, as with a network that forgets nothing, the rest is read in order.
+began with the state its neighbour ended with: the same as one pass in order. Where that takes more than
+ROUNDS times the windows, as with a network that forgets nothing, the rest is read in order. Of the first
+direction only what its states add to the labels is kept, up to a bound; the second direction's
+states are judged with it as they are read. Only of longer batches are windows read once more.
 
 Gates are piecewise linear and candidate states x / (1 + |x|), which numpy works out quickly. Training
 is backpropagation through time in numpy on the driver, over a bounded sample of labelled text.
@@ -35,8 +36,8 @@ PAD = 255
 SAMPLE_DOCS, SAMPLE_PIECES, PIECE = 4_000, 10_000, 64
 #: Windows run side by side, and characters read together, in a task.
 SIDE, BATCH_CHARS = 1024, 2_000_000
-#: Positions whose states are kept from the reading that settles them (64 bytes each); of more, windows are read once more.
-KEPT = 3 << 20
+#: Numbers, one per position and label, kept of the first direction (4 bytes each); of batches with more, windows are read once more.
+KEPT = 16 << 20
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
@@ -96,18 +97,15 @@ class BiGRU:
             h = new
         return out
 
-    def states(self, x: np.ndarray, keep: tuple[list, list] = (None, None), begin: tuple = (None, None)) -> np.ndarray:
-        """(T, 2H, B) for the positions of x, both directions begun with the states of `begin`."""
-        return np.concatenate((self.run(x, 0, keep[0], begin[0]), self.run(x[::-1], 1, keep[1], begin[1])[::-1]), axis=1)
+    def states(self, x: np.ndarray, keep: tuple[list, list]) -> np.ndarray:
+        """(T, 2H, B) for the positions of x, both directions begun at rest."""
+        return np.concatenate((self.run(x, 0, keep[0]), self.run(x[::-1], 1, keep[1])[::-1]), axis=1)
 
-    def probabilities(self, states: np.ndarray) -> np.ndarray:
-        """(labels, positions) of positions with the states (positions, 2H)."""
-        a = self.v @ states.T
-        a += self.c
-        a -= a.max(axis=0)
-        np.exp(a, out=a)
-        a /= a.sum(axis=0)
-        return a
+    def share(self, states: np.ndarray, d: int) -> np.ndarray:
+        """(T, labels, B): what the states (T, H, B) of one direction add to the labels' logits."""
+        size = self.u.shape[2]
+        a = np.matmul(self.v[:, d * size : (d + 1) * size], states)
+        return a if d else np.add(a, self.c, out=a)
 
     def gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Loss and gradients for pieces x (T, B) of language y, by backpropagation through time."""
@@ -191,24 +189,42 @@ class Windows:
         #: How many windows of its text a direction reads before this one.
         self.rank = (nth, count[self.doc] - 1 - nth)
         self.left = np.minimum(sizes[self.doc] - nth * BODY, BODY)
-        size = net.u.shape[2]
-        self.begin, self.end = np.zeros((2, 2, len(self.doc), size), net.u.dtype)
-        #: States (windows, BODY, 2H) of both directions as last read.
-        self.kept = np.empty((len(self.doc), BODY, 2 * size), net.u.dtype) if len(self.doc) * BODY <= KEPT else None
+        self.begin, self.end = np.zeros((2, 2, len(self.doc), net.u.shape[2]), net.u.dtype)
+        #: Shares (BODY, labels, windows) of the first direction, windows in its order of reading, and the windows' sums by the second.
+        shape = (BODY, len(net.labels), len(self.doc))
+        self.kept = np.empty(shape, net.u.dtype) if np.prod(shape) <= KEPT else None
+        self.slot = np.argsort(np.argsort(nth, kind="stable"))
+        self.judged = np.zeros((2, len(self.doc)), bool)
+        self.sums = np.zeros((len(self.doc), len(net.labels)))
 
     def bytes_of(self, windows: np.ndarray, d: int = 0) -> np.ndarray:
         x = self.data[windows].T.astype(np.intp)
         return x[::-1] if d else x
 
-    def read(self, d: int, windows: np.ndarray) -> None:
-        """The states that windows end with in direction d."""
+    def read(self, d: int, windows: np.ndarray, judge: bool = True) -> None:
+        """The states that windows end with in direction d; unless they begin with a guess, their states go into the labels."""
         for at in range(0, len(windows), SIDE):
             own = windows[at : at + SIDE]
             states = self.net.run(self.bytes_of(own, d), d, h=self.begin[d, own].T)
             self.end[d, own] = states[-1].T
-            if self.kept is not None:
-                size = states.shape[1]
-                self.kept[own, :, d * size : (d + 1) * size] = states[:: -1 if d else 1].transpose(2, 0, 1)
+            if not judge or self.kept is None:
+                continue
+            self.judged[d, own] = True
+            slot = self.slot[own]
+            if d:
+                self.judge(own, self.kept.take(slot, axis=2), states)
+            elif (np.diff(slot) == 1).all():
+                self.kept[:, :, slot[0] : slot[-1] + 1] = self.net.share(states, d)
+            else:
+                self.kept[:, :, slot] = self.net.share(states, d)
+
+    def judge(self, own: np.ndarray, share: np.ndarray, states: np.ndarray) -> None:
+        """The sums of windows' label probabilities, from the first direction's share and the second's states, in its order of reading."""
+        share += self.net.share(states, 1)[::-1]
+        share -= share.max(axis=1, keepdims=True)
+        np.exp(share, out=share)
+        share *= ((np.arange(BODY)[:, None] < self.left[own]) / share.sum(axis=1))[:, None].astype(share.dtype)
+        self.sums[own] = share.sum(axis=0, dtype=np.float64).T
 
     def in_order(self, d: int, windows: np.ndarray) -> None:
         """Read whole texts or their rests in order, side by side; windows in order of rank."""
@@ -225,7 +241,7 @@ class Windows:
         self.begin[d, inner] = self.end[d, before]
         todo, left = windows, ROUNDS * len(windows)
         while left > 0:
-            self.read(d, todo)
+            self.read(d, todo, judge=todo is not windows)
             left -= len(todo)
             off = np.abs(self.end[d, before] - self.begin[d, inner]).max(axis=1, initial=0) > TOLERANCE
             self.begin[d, inner[off]] = self.end[d, before[off]]
@@ -244,25 +260,25 @@ class Windows:
             self.in_order(d, order[:cut])
             if cut < len(order):
                 self.at_once(d, order[cut:])
+            if self.kept is not None:
+                self.read(d, order[~self.judged[d, order]])
 
-    def sums(self) -> np.ndarray:
-        """(windows, labels): the sums of the label probabilities of each window's positions."""
-        out = np.zeros((len(self.doc), len(self.net.labels)))
-        for at in range(0, len(out), SIDE):
-            own = np.arange(at, min(at + SIDE, len(out)))
-            states = self.net.states(self.bytes_of(own), begin=(self.begin[0, own].T, self.begin[1, own].T)).transpose(2, 0, 1) if self.kept is None else self.kept[own]
-            p = self.net.probabilities(states.reshape(-1, states.shape[2])).reshape(-1, len(own), BODY)
-            p *= np.arange(BODY) < self.left[own, None]
-            out[own] = p.sum(axis=2).T
-        return out
+    def reread(self) -> None:
+        """Judge all windows by another reading, once they have settled."""
+        for at in range(0, len(self.doc), SIDE):
+            own = np.arange(at, min(at + SIDE, len(self.doc)))
+            first, second = (self.net.run(self.bytes_of(own, d), d, h=self.begin[d, own].T) for d in (0, 1))
+            self.judge(own, self.net.share(first, 0), second)
 
 
 def pooled(net: BiGRU, raws: list[bytes]) -> np.ndarray:
     """(texts, labels): the sums of the position probabilities of each text, state carried over all of it."""
     windows = Windows(net, raws)
     windows.settle()
+    if windows.kept is None:
+        windows.reread()
     total = np.zeros((len(raws), len(net.labels)))
-    np.add.at(total, windows.doc, windows.sums())
+    np.add.at(total, windows.doc, windows.sums)
     return total
 
 

@@ -24,7 +24,7 @@ SAMPLE_ROWS, LEXICON_WORDS = 20_000, 600
 STEMS = (3, 4, 5, 6, 7)
 THRESHOLD = 0.3
 #: Characters scored together in a task.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 NEAR = 6
 INSULTS = "idiot idiots stupid moron morons dumb clown pathetic loser losers trash garbage worthless disgusting ugly hate kill scum fool fools jerk shut crap damn hell bastard bitch shit fuck fucking ass asshole liar creep freak imbecile dumm idiota estupido connard salope imbécile dummkopf arschloch".split()
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine ihr euch tu te toi vous votre ton ta usted ustedes tú ti su".split()
