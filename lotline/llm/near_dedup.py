@@ -1,9 +1,10 @@
 """Operator 7: near-duplicate classes by DartMinHash signatures and banded joining.
 
 A text is the weighted set of its five-word shingles. Darts are thrown, by hashes, at the plane of
-(weight, rank) of every element; a document owns the darts below its elements' weights. Each dart
-belongs to one coordinate, and a coordinate's value is the owned dart of least rank. Two documents
-agree in a coordinate with the probability of their weighted Jaccard similarity.
+(weight, rank) of every element, each as far above the one before as a Poisson process says; a document
+owns the darts below its elements' weights. Each dart belongs to one coordinate, and a coordinate's
+value is the owned dart of least rank. Two documents agree in a coordinate with the probability of
+their weighted Jaccard similarity.
 
 Documents with equal shingle sets are one vertex from the start. Vertices that share a band are
 candidates; each bucket is linked through a pivot, candidates are verified exactly, and only buckets
@@ -21,7 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotline.llm.common import U, forget, gram_hashes, mix, staged, table, word_bounds, word_hashes
@@ -35,8 +36,8 @@ PIVOT_ROUNDS = 1
 #: Buckets up to this size are settled pair by pair; larger ones chunk by chunk (members, shingles in a chunk).
 SMALL, CHUNK, CHUNK_WEIGHT = 32, 256, 200_000
 MASK = (1 << 64) - 1
-#: Hashes below these belong to cells of at most 0, 1, ... darts: a cell of area 1 holds n with Poisson probability, mean 1.
-AT_MOST = np.array([int(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) * (1 << 64)) for i in range(12)], U)
+#: Area of a strip of darts: a text with few shingles has several strips of each, thrown side by side.
+AREA = 8
 C1, C2, C3 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
 
 
@@ -88,63 +89,72 @@ def shingles(texts: list[str], size: int, counted: bool) -> Sets:
     return Sets(keys[start], count.astype(np.int64), np.searchsorted(start, at))
 
 
-def darts(keys: np.ndarray, weights: np.ndarray, doc: np.ndarray, since: np.ndarray, reach: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(document, coordinate, rank, name) of every owned dart with a rank from the document's `since` to below its `reach`.
+def after(rank: np.ndarray, name: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Ranks of the darts `name` in strips of these widths, if `rank` are those of the darts before them."""
+    return rank - np.log(((name >> U(24)).view(np.int64) + 1) * 2.0**-40) / width
 
-    The plane is cut into bands of weight and, in each, cells of area 1. A cell's darts come out of its
-    hash; of a dart's name the high 40 bits give its rank in the cell and the low 24 its coordinate.
+
+def strips(sets: Sets, doc: np.ndarray, since: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Strips that begin from the document's `since` to below its `reach`: name and rank of the first dart, document, end, width, share owned.
+
+    The plane is cut into bands of weight and, in each, strips of area AREA. A strip's darts come out of
+    its hash: of a name the high 40 bits give the distance to the dart before, the low 24 the coordinate.
     """
     out: list[tuple[np.ndarray, ...]] = []
     band, low, width = 0, 0, 1
-    rows = np.arange(len(keys))
+    rows = np.arange(len(doc))
     while len(rows):
-        lowest = np.floor(since * width).astype(np.int64)
-        cells = (np.ceil(reach * width).astype(np.int64) - lowest)[doc[rows]]
-        row = np.repeat(rows, cells)
-        cell = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells - lowest[doc[rows]], cells)
-        seed = mix(keys[row] + cell.astype(U) * C2 + U(band * int(C1) & MASK))
-        many = np.searchsorted(AT_MOST, seed, "right")
-        own = doc[row]
-        floor, limit = since[own], reach[own]
-        part = weights[row] < low + width  # the element reaches into the band, but not through it
-        nth, at = 0, np.flatnonzero(many)
-        while len(at):
-            name = mix(seed[at] ^ U((nth + 1) * int(C3) & MASK))
-            rank = (cell[at] + (name >> U(24)).astype(np.float64) * 2.0**-40) / width
-            use = (rank < limit[at]) & (rank >= floor[at])
-            cut = np.flatnonzero(use & part[at])
-            if len(cut):
-                height = (mix(name[cut] + C2) >> U(11)).astype(np.float64) * 2.0**-53
-                use[cut] = low + width * height < weights[row[at[cut]]]
-            name = name[use]
-            out.append((own[at[use]], ((name & U(0xFFFFFF)) * U(k) >> U(24)).astype(np.int64), rank[use], name))
-            nth += 1
-            at = at[many[at] > nth]
+        begun = np.ceil(since * (width / AREA)).astype(np.int64)
+        many = (np.ceil(reach * (width / AREA)).astype(np.int64) - begun)[doc[rows]]
+        begun = begun[doc[rows]]
+        first, more = np.flatnonzero(many > 0), np.flatnonzero(many > 1)
+        again = many[more] - 1
+        row = np.concatenate((rows[first], np.repeat(rows[more], again)))
+        nth = np.concatenate((begun[first], np.arange(again.sum()) - np.repeat(np.cumsum(again) - again - begun[more] - 1, again)))
+        name = mix(sets.keys[row] + nth.astype(U) * C2 + U(band * int(C1) & MASK))
+        wide, start = np.full(len(row), float(width)), nth * (AREA / width)
+        out.append((name, after(start, name, wide), doc[row], start + AREA / width, wide, (sets.weights[row] - low) / width))
         band, low, width = band + 1, low + width, low + width
-        rows = rows[weights[rows] > low]
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int),) * 4
+        rows = rows[sets.weights[rows] > low]
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def signatures(sets: Sets, k: int) -> np.ndarray:
     """(texts, k) names of the least darts. Every set must have an element."""
     count = len(sets.at) - 1
     doc = np.repeat(np.arange(count), np.diff(sets.at))
-    since, reach = np.zeros(count), k * (math.log(k) + 2) / sets.sums(sets.weights)
+    step = k / sets.sums(sets.weights)
+    since, reach = np.zeros(count), (math.log(k) + 2) * step
     out, least = np.zeros(count * k, U), np.full(count * k, np.inf)
-    todo = np.arange(count)
-    part = slice(None)
-    while len(todo):
-        d, c, rank, name = darts(sets.keys[part], sets.weights[part], doc[part], since, reach, k)
-        slot = d * k + c
-        np.minimum.at(least, slot, rank)
-        best = rank == least[slot]
-        out[slot[best]] = name[best]
-        found = np.isfinite(least).reshape(count, k).all(axis=1)
-        todo = todo[~found[todo]]
-        since[todo] = reach[todo]  # some coordinate has no dart yet: look at higher ranks
-        reach[todo] *= 2
-        part = np.isin(doc, todo)
-    return out.reshape(count, k)
+    todo = np.ones(count, bool)
+    thrown = strips(sets, doc, since, reach)
+    while True:
+        name, rank, own, end, width, share = thrown
+        limit, cut = np.minimum(reach[own], end), bool((share < 1).any())
+        at = np.flatnonzero(rank < limit)
+        while len(at):
+            n, r = name[at], rank[at]
+            slot = own[at] * k + ((n & U(0xFFFFFF)) * U(k) >> U(24)).view(np.int64)
+            use = r < least[slot]
+            if cut:  # some elements reach into a band, but not through it
+                use &= (mix(n + C2) >> U(11)).view(np.int64) * 2.0**-53 < share[at]
+            use = np.flatnonzero(use)
+            s, low = slot[use], r[use]
+            np.minimum.at(least, s, low)
+            best = low == least[s]
+            out[s[best]] = n[use[best]]
+            name[at] = n = mix(n + C3)
+            rank[at] = r = after(r, n, width[at])
+            at = at[r < limit[at]]
+        todo = ~np.isfinite(least).reshape(count, k).all(axis=1)
+        if not todo.any():
+            return out.reshape(count, k)
+        # Some coordinate has no dart yet: look at higher ranks, from the darts that wait there.
+        since, reach = reach, reach + 2 * step
+        wait = todo[own] & (rank < end)
+        part = sets.some(todo)
+        new = strips(part, doc[todo[doc]], since, reach)
+        thrown = tuple(np.concatenate((x[wait], y)) for x, y in zip(thrown, new))
 
 
 def text_batches(pdf: pd.DataFrame, chars: int = 400_000, rows: int = 64) -> Iterator[pd.DataFrame]:
@@ -231,6 +241,13 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return now
 
 
+def shared_bands(vertices: DataFrame) -> DataFrame:
+    """key, rep, total, pivot: bands that vertices of two documents or more share, and the least document of each."""
+    own = Window.partitionBy("key")
+    known = vertices.select(F.explode("bands").alias("key"), "rep", "total").withColumns({"pivot": F.min("rep").over(own), "last": F.max("rep").over(own)})
+    return known.where("pivot < last").drop("last").distinct()
+
+
 def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
@@ -315,6 +332,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool
     texts: each text is compared, and what is like any of them joins the document's class. A null doc_id
     gets a null class. Repeated rows give repeated rows; empty in, empty out.
     """
+    classes = class_table(docs, threshold, counted, bands, rows, shingle)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    return own.join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+
+
+def class_table(docs: DataFrame, threshold: float = THRESHOLD, counted: bool = True, bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, class_id as in near_duplicates, once for every doc_id that has a text with words."""
     signed = staged(sign(docs, counted, bands, rows, shingle), "signatures")
     name = ["id_a", "id_b", "total"]
     vertices = staged(signed.groupBy(*name).agg(F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands")), "vertices")
@@ -322,9 +346,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool
     several = signed.groupBy("doc_id").agg(F.min(F.struct(*name)).alias("lo"), F.max(F.struct(*name)).alias("hi")).where("lo <> hi").select("doc_id")
     tied = signed.join(several, "doc_id").select("doc_id", *name).distinct().join(vertices.select(*name, "rep"), name)
     tied = staged(tied.join(tied.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b").where("a <> b").distinct(), "tied")
-    exploded = vertices.select("rep", "total", F.explode("bands").alias("key")).distinct()
-    shared = exploded.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last").drop("last")
-    members = staged(exploded.join(shared, "key"), "members")
+    members = staged(shared_bands(vertices), "members")
     ids = members.select("rep").distinct()
     texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("rep"), "text").join(ids, "rep", "left_semi").groupBy("rep", F.xxhash64("text")).agg(F.min("text").alias("text"))
     sets = staged(packed_sets(texts.select("rep", "text"), counted, shingle), "sets")
@@ -353,8 +375,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, counted: bool
     reps = vertices.select(*name, "rep").join(labels, "rep", "left").select(*name, F.coalesce("label", "rep").alias("label"))
     classes = staged(signed.select("doc_id", *name).distinct().join(reps, name).groupBy("doc_id").agg(F.min("label").alias("class_id")), "classes")
     forget(before, fresh, rows, tested, members, sets, tied, signed, vertices, labels)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    return own.join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return classes
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotline.llm.common import staged, table
-from lotline.llm.near_dedup import near_duplicates
+from lotline.llm.near_dedup import class_table
 
 CAPACITY = 2048
 PER_SOURCE = 4
@@ -152,7 +152,7 @@ def with_clusters(docs: DataFrame) -> DataFrame:
     where they have no words; a null text has none. Repeated rows give repeated rows.
     """
     rows = docs.select("doc_id", "source", "text", F.xxhash64("doc_id", "text").alias("key"))
-    classes = near_duplicates(rows.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "class_id").distinct()
+    classes = class_table(rows.select(F.col("key").alias("doc_id"), "text")).withColumnRenamed("doc_id", "key")
     rows = with_words(rows.withColumns({"no_text": F.col("text").isNull(), "equal": F.xxhash64("text")}))
     cluster = F.when(~F.col("no_text"), F.when(F.col("size") == 0, F.col("equal")).otherwise(F.col("class_id")))
     return rows.join(classes, "key", "left").select("doc_id", "source", "size", cluster.alias("cluster"))
