@@ -71,11 +71,34 @@ def pre_sale(apps: DataFrame, matches: DataFrame, sales: DataFrame, fk: str, sol
     return asof_prev(apps, events, ["street_address"], ["id"], "lodged_date", "event_date", "sale_id", ["event_price", "event_date"], LOOKBACK_MONTHS)
 
 
-def unit_sales(apps: DataFrame, units: DataFrame, sales: DataFrame) -> DataFrame:
-    """Per application and sold unit the latest date and the greatest price, each by itself, if after the decision."""
+SALE = ["unit_number", "display_address", "sold_price", "sold_date"]
+
+
+def street_sales(units: DataFrame, sales: DataFrame) -> DataFrame:
+    """Per street each sold unit's latest date and greatest price, each by itself; like rows once."""
     latest = sales.where(F.col("is_sold") & F.col("event_price").isNotNull()).groupBy("domain_property_id").agg(F.max("event_date").alias("sold_date"), F.max("event_price").alias("sold_price"))
     rows = units.select("street_address", F.col("id").alias("domain_property_id"), "unit_number", "display_address").join(latest, "domain_property_id")
-    return events_after(apps.select("id", "street_address", "decision_date"), rows, ["street_address"], "decision_date", "sold_date").select("id", "unit_number", "display_address", "sold_price", "sold_date").distinct()
+    return settled(rows.select("street_address", *SALE).distinct(), "street_sales")
+
+
+def by_repetition(apps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """id, street_address, decision_date of the ids that stand in one row, and of the others."""
+    key = apps.select("id", "street_address", "decision_date")
+    repeated = settled(key.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"), "repeated")
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    return key.join(repeated, same, "left_anti"), key.join(repeated, same, "left_semi")
+
+
+def unit_sales(apps: DataFrame, units: DataFrame, sales: DataFrame) -> DataFrame:
+    """Per application and sold unit the latest date and the greatest price, each by itself, if after the decision.
+
+    Like sales of a street become one before they meet its applications, so that only the rows of repeated ids are
+    compared afterwards: what is put out is not shuffled.
+    """
+    of_street = street_sales(units, sales)
+    later = lambda rows: events_after(rows, of_street, ["street_address"], "decision_date", "sold_date").select("id", *SALE)
+    once, more = by_repetition(apps)
+    return later(once).unionByName(later(more).distinct())
 
 
 def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool = False, limit: int | None = 50, offset: int = 0, **filters) -> DataFrame:

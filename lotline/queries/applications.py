@@ -119,10 +119,13 @@ def pre_sales(spark: SparkSession, d: str) -> DataFrame:
     return P.pre_sale(t["applications"], m, t["domain_sales"], "domain_property_id", F.col("is_sold"))
 
 
+def sale_units(t: dict[str, DataFrame]) -> DataFrame:
+    return J.unit_children(J.lot_matches(t["applications"], t["domain_properties"]), t["domain_properties"])
+
+
 def unit_sales(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d, "applications", "domain_properties", "domain_sales")
-    units = J.unit_children(J.lot_matches(t["applications"], t["domain_properties"]), t["domain_properties"])
-    return P.unit_sales(t["applications"], units, t["domain_sales"])
+    return P.unit_sales(t["applications"], sale_units(t), t["domain_sales"])
 
 
 def nested_unit_sales(spark: SparkSession, d: str) -> DataFrame:
