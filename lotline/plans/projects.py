@@ -101,6 +101,15 @@ def unit_sales(apps: DataFrame, units: DataFrame, sales: DataFrame) -> DataFrame
     return later(once).unionByName(later(more).distinct())
 
 
+def unit_sale_counts(apps: DataFrame, units: DataFrame, sales: DataFrame) -> DataFrame:
+    """id, n_sold: how many rows unit_sales has, worked out without making them but for repeated ids."""
+    of_street = street_sales(units, sales)
+    once, more = by_repetition(apps)
+    n = totals_after(once, of_street, ["street_address"], ["id"], "decision_date", "sold_date", {"n_sold": F.lit(1).cast("long")})
+    rest = events_after(more, of_street, ["street_address"], "decision_date", "sold_date").select("id", *SALE).distinct()
+    return n.unionByName(rest.groupBy("id").agg(F.count(F.lit(1)).alias("n_sold")))
+
+
 def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool = False, limit: int | None = 50, offset: int = 0, **filters) -> DataFrame:
     """The list, newest lodgement first. limit=None gives all rows (for further work), else 1 to 500."""
     apps = filter_applications(t["applications"], **filters)

@@ -204,7 +204,8 @@ def supply_delta(spark: SparkSession, d: str) -> DataFrame:
 
 
 def project_status(spark: SparkSession, d: str) -> DataFrame:
-    return P.project_status(projects(spark, d), unit_sales(spark, d).groupBy("id").agg(F.count("sold_price").alias("n_sold")), AS_OF)
+    t = tables(spark, d, *PROJECT_TABLES)
+    return P.project_status(P.projects(t, AS_OF, limit=None), P.unit_sale_counts(t["applications"], sale_units(t), t["domain_sales"]), AS_OF)
 
 
 def project_timing(spark: SparkSession, d: str) -> DataFrame:
