@@ -110,6 +110,27 @@ def unit_sale_counts(apps: DataFrame, units: DataFrame, sales: DataFrame) -> Dat
     return n.unionByName(rest.groupBy("id").agg(F.count(F.lit(1)).alias("n_sold")))
 
 
+def portal_properties(t: dict[str, DataFrame]) -> DataFrame:
+    fields = ["id", "unit_number", "street_number", "street_name", "suburb", "display_address", "land_area_m2", "bedrooms", "bathrooms", "property_type"]
+    return stacked({p: t[f"{p}_properties"].select(fields) for p in PORTALS})
+
+
+def pre_sales(t: dict[str, DataFrame], key: DataFrame, matches: DataFrame) -> DataFrame:
+    """id, pre, pre_source: per application (id, street_address, lodged_date) the last sale before lodgement, of the first portal that has one."""
+    sales = stacked({p: t[f"{p}_sales"].where(F.expr(s) & F.col("event_price").isNotNull()).select(F.col(f"{p}_property_id").alias("property_id"), F.col("id").alias("sale_id"), "event_price", "event_date") for p, s in PORTALS.items()})
+    events = matches.select("portal", "street_address", F.col("id").alias("property_id")).join(sales, ["portal", "property_id"])
+    lodged = key.select("id", "street_address", "lodged_date").withColumn("portal", F.explode(F.array(*map(F.lit, PORTALS))))
+    pre = asof_prev(lodged, events, ["street_address", "portal"], ["id", "portal"], "lodged_date", "event_date", "sale_id", ["event_price", "event_date"], LOOKBACK_MONTHS)
+    return coalesce_sources(pre, ["id"], F.struct("event_price", "event_date"), "portal", list(PORTALS)).withColumnsRenamed({"value": "pre", "source": "pre_source"})
+
+
+def listed(t: dict[str, DataFrame]) -> DataFrame:
+    """id, street_address and decision_date of every application on the list: what projects(limit=None) puts out, without the other facts."""
+    key = t["applications"].select("id", "street_address", "lodged_date", "decision_date")
+    matches = settled(lot_matches(key.select("street_address").distinct(), portal_properties(t)), "matches")
+    return key.drop("lodged_date").join(pre_sales(t, key, matches).select("id"), "id")
+
+
 def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool = False, limit: int | None = 50, offset: int = 0, **filters) -> DataFrame:
     """The list, newest lodgement first. limit=None gives all rows (for further work), else 1 to 500."""
     apps = filter_applications(t["applications"], **filters)
@@ -118,8 +139,7 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     key = apps.select("id", "street_address", "lodged_date", "decision_date")
     streets = key.select("street_address").distinct()
     # Both portals go through one plan; what several facts read is worked out once.
-    fields = ["id", "unit_number", "street_number", "street_name", "suburb", "display_address", "land_area_m2", "bedrooms", "bathrooms", "property_type"]
-    props = stacked({p: t[f"{p}_properties"].select(fields) for p in PORTALS})
+    props = portal_properties(t)
     matches = settled(lot_matches(streets, props), "matches")
     units = settled(unit_children(matches, props, ("portal",)), "units")
     own_events = lambda p, sales: units.where(F.col("portal") == p).select("street_address", F.col("id").alias(f"{p}_property_id")).join(sales, f"{p}_property_id")
@@ -134,11 +154,7 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     for facts in (site_facts(matches), unit_rooms(units), last_sign):
         narrow = narrow.join(facts, "street_address", "left")
 
-    sales = stacked({p: t[f"{p}_sales"].where(F.expr(s) & F.col("event_price").isNotNull()).select(F.col(f"{p}_property_id").alias("property_id"), F.col("id").alias("sale_id"), "event_price", "event_date") for p, s in PORTALS.items()})
-    events = matches.select("portal", "street_address", F.col("id").alias("property_id")).join(sales, ["portal", "property_id"])
-    lodged = key.drop("decision_date").withColumn("portal", F.explode(F.array(*map(F.lit, PORTALS))))
-    pre = asof_prev(lodged, events, ["street_address", "portal"], ["id", "portal"], "lodged_date", "event_date", "sale_id", ["event_price", "event_date"], LOOKBACK_MONTHS)
-    pre = coalesce_sources(pre, ["id"], F.struct("event_price", "event_date"), "portal", list(PORTALS)).withColumnsRenamed({"value": "pre", "source": "pre_source"})
+    pre = pre_sales(t, key, matches)
     narrow = narrow.join(pre, "id").withColumn("s_later", F.col("last_sign") > F.col("decision_date")).drop("street_address", "decision_date", "last_sign")
     priced = F.when(F.col("is_sold"), F.col("event_price"))
     after = totals_after(key.select("id", "street_address", "decision_date"), sold, ["street_address"], ["id"], "decision_date", "event_date", {"post_total": priced, "n_post_sales": priced.isNotNull().cast("long")})
@@ -181,10 +197,24 @@ def projects(t: dict[str, DataFrame], as_of: datetime.date, analyzed_only: bool
     return out.orderBy(F.desc("lodged_date"), F.desc("id")).offset(offset).limit(min(max(limit, 1), 500))
 
 
-def with_unit_sales(rows: DataFrame, sales: DataFrame) -> DataFrame:
-    """rows with unit_sales: an array of structs in order of unit number."""
-    nested = sales.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("unit_number", "display_address", "sold_price", "sold_date"))).alias("unit_sales"))
-    return rows.join(nested, "id", "left").withColumn("unit_sales", F.coalesce("unit_sales", F.array().cast("array<struct<unit_number:string,display_address:string,sold_price:bigint,sold_date:date>>")))
+def with_unit_sales(rows: DataFrame, apps: DataFrame, units: DataFrame, sales: DataFrame) -> DataFrame:
+    """rows (id, street_address and decision_date of applications) with unit_sales: an array of structs in order of unit number.
+
+    A street's sales are nested once, and each row takes those after its decision. Only rows of ids that
+    several applications share collect theirs from unit_sales' rows.
+    """
+    of_street = street_sales(units, sales)
+    listed = F.array_sort(F.collect_list(F.struct(*SALE)))
+    none = F.array().cast("array<struct<unit_number:string,display_address:string,sold_price:bigint,sold_date:date>>")
+    once, more = by_repetition(apps)
+    ids = more.select(F.col("id").alias("_id")).distinct()
+    same = F.col("id").eqNullSafe(F.col("_id"))
+    whole = of_street.groupBy("street_address").agg(listed.alias("_every"))
+    own = rows.join(ids, same, "left_anti").join(whole, "street_address", "left")
+    own = own.withColumn("unit_sales", F.coalesce(F.filter("_every", lambda u: u["sold_date"] > F.col("decision_date")), none)).drop("_every")
+    pairs = events_after(more, of_street, ["street_address"], "decision_date", "sold_date").select(F.col("id").alias("_id"), *SALE).distinct()
+    shared = rows.join(ids, same, "left_semi").join(pairs.groupBy("_id").agg(listed.alias("unit_sales")), same, "left").drop("_id")
+    return own.unionByName(shared.withColumn("unit_sales", F.coalesce("unit_sales", none)))
 
 
 def application_detail(apps: DataFrame, docs: DataFrame) -> DataFrame:

@@ -130,7 +130,8 @@ def unit_sales(spark: SparkSession, d: str) -> DataFrame:
 
 def nested_unit_sales(spark: SparkSession, d: str) -> DataFrame:
     """Every listed project with its unit sales in order, as one line each and how many there are."""
-    rows = P.with_unit_sales(projects(spark, d).select("id"), unit_sales(spark, d))
+    t = tables(spark, d, *PROJECT_TABLES)
+    rows = P.with_unit_sales(P.listed(t), t["applications"], sale_units(t), t["domain_sales"])
     line = lambda u: F.concat_ws("|", u["unit_number"], u["display_address"], u["sold_price"].cast("string"), u["sold_date"].cast("string"))
     return rows.select("id", F.size("unit_sales").cast("long").alias("n_units"), F.array_join(F.transform("unit_sales", line), "; ").alias("units"))
 

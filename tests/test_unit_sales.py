@@ -46,7 +46,7 @@ def n_pairs(spark, crowded):
     return QUERIES["unit_sales"](spark, crowded).count()
 
 
-@pytest.mark.parametrize("name", ["unit_sales", "project_status"])
+@pytest.mark.parametrize("name", ["unit_sales", "project_status", "nested_unit_sales"])
 def test_pairs_are_not_shuffled(spark, crowded, n_pairs, name):
     assert n_pairs > 100_000
     n = shuffled_rows(spark, lambda: QUERIES[name](spark, crowded).write.format("noop").mode("overwrite").save())
