@@ -18,6 +18,26 @@ def word_spans(docs: DataFrame, per_line: int = 10, lines: int = 10) -> DataFram
     return words.select("doc_id", F.floor(line / lines).alias("page"), "span", "text", (col * 50).alias("x0"), (row * 20).alias("y0"), (col * 50 + 40).alias("x1"), (row * 20 + 10).alias("y1"))
 
 
+def by_repetition(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Documents whose id no other row has, and the others (None if there are none), whose pages lie over each other; a null id counts among these."""
+    repeated = settled(docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 or _id is null").select("_id"), "repeated")
+    if repeated.isEmpty():
+        return docs, None
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    return docs.join(repeated, same, "left_anti"), docs.join(repeated, same, "left_semi")
+
+
+def page_words(docs: DataFrame, per_line: int = 10, lines: int = 10) -> DataFrame:
+    """doc_id, page, spans: the words of word_spans, those of a page as one array in order (span, text and box), without a shuffle."""
+    size = per_line * lines
+    # Bound by lambdas, so that a text is cut into words once, not once a page.
+    pages = lambda words: F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / size).cast("int")), lambda p: F.struct(p.cast("long").alias("page"), F.slice(words, p * size + 1, F.lit(size)).alias("texts")))
+    rows = docs.where("text <> ''").select("doc_id", F.explode(F.transform(F.array(F.split("text", " ")), pages)[0]).alias("p")).select("doc_id", "p.*")
+    col, row = (lambda i: F.pmod(i, F.lit(per_line))), (lambda i: F.floor(i / per_line))
+    span = lambda text, i: F.struct((F.col("page") * size + i).cast("int").alias("span"), text.alias("text"), (col(i) * 50).alias("x0"), (row(i) * 20).alias("y0"), (col(i) * 50 + 40).alias("x1"), (row(i) * 20 + 10).alias("y1"))
+    return rows.select("doc_id", "page", F.transform("texts", span).alias("spans"))
+
+
 #: How far a value may stand from its label. To the right: at most ROW points up or down. Below: at most
 #: DOWN points down and ASIDE sideways; BELOW points are added to the distance of values below.
 ROW, DOWN, ASIDE, BELOW = 3, 25, 60, 5
@@ -68,6 +88,20 @@ def label_value_pairs(labels: DataFrame, spans: DataFrame) -> DataFrame:
     return out.groupBy(*key).agg(F.min_by("b", F.struct("b.distance", "b.v_span")).alias("b")).select(*key, "b.*")
 
 
+def page_label_values(pages: DataFrame) -> DataFrame:
+    """label_value_pairs of pages (doc_id, page, labels, spans) that hold their labels and spans as arrays: each is worked out by itself.
+
+    Every label of a page looks at every span of it: for pages of a bounded size. Boxes are whole.
+    """
+    right = lambda l, s: (F.abs(s["y0"] - l["y0"]) <= ROW) & (s["x0"] >= l["x1"])  # noqa: E731, E741
+    below = lambda l, s: (s["y0"] - l["y1"]).between(0, DOWN) & (F.abs(s["x0"] - l["x0"]) <= ASIDE)  # noqa: E731, E741
+    distance = lambda l, s: F.when(right(l, s), s["x0"] - l["x1"]).otherwise(s["y0"] - l["y1"] + BELOW)  # noqa: E731, E741
+    near = lambda l: F.filter("spans", lambda s: (right(l, s) | below(l, s)) & (s["span"] != l["span"]))  # noqa: E731, E741
+    value = lambda l: F.array_min(F.transform(near(l), lambda s: F.struct(distance(l, s).alias("distance"), s["span"].alias("v_span"), s["text"].alias("v_text"))))  # noqa: E731, E741
+    rows = pages.where(F.size("labels") > 0).select("doc_id", "page", F.explode(F.transform("labels", lambda l: F.struct(l["span"].alias("l_span"), value(l).alias("b")))).alias("l"))  # noqa: E741
+    return rows.where("l.b is not null").select("doc_id", "page", "l.l_span", "l.b.v_span", "l.b.v_text", "l.b.distance")
+
+
 def union_bbox(entities: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, page, entity, box, n_words, font: the box round all word spans that an entity's characters overlap, and the first one's font (if spans carry it)."""
     hits = overlap_join(entities, spans, ["doc_id", "page"], ("e_start", "e_end"), ("char_start", "char_end"))
@@ -75,6 +109,18 @@ def union_bbox(entities: DataFrame, spans: DataFrame) -> DataFrame:
     return hits.groupBy("doc_id", "page", "entity").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.count(F.lit(1)).alias("n_words"), font)
 
 
+def page_boxes(pages: DataFrame) -> DataFrame:
+    """union_bbox of pages (doc_id, page, entities, spans) that hold their entities and spans as arrays: each is worked out by itself.
+
+    Every entity of a page looks at every span of it: for pages of a bounded size. Spans carry a font.
+    """
+    hit = lambda e: lambda s: (e["e_start"] < s["char_end"]) & (s["char_start"] < e["e_end"])
+    rows = pages.where(F.size("entities") > 0).select("doc_id", "page", F.explode(F.transform("entities", lambda e: F.struct(e["entity"].alias("entity"), F.filter("spans", hit(e)).alias("hits")))).alias("e"))
+    rows = rows.select("doc_id", "page", F.col("e.entity").alias("entity"), F.col("e.hits").alias("h")).where(F.size("h") > 0)
+    font = F.array_min(F.transform("h", lambda s: F.struct(s["char_start"].alias("char_start"), s["font"].alias("font"))))["font"]
+    return rows.select("doc_id", "page", "entity", F.array_min("h.x0").alias("x0"), F.array_min("h.y0").alias("y0"), F.array_max("h.x1").alias("x1"), F.array_max("h.y1").alias("y1"), F.size("h").cast("long").alias("n_words"), font.alias("font"))
+
+
 def export_labels(spans: DataFrame, overlaps: DataFrame) -> DataFrame:
     """One row per page: words and tags in order; words of no entity are O."""
     tags = bio_tags(overlaps).withColumnRenamed("word", "span")
@@ -83,6 +129,19 @@ def export_labels(spans: DataFrame, overlaps: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "page").agg(listed.alias("w")).select("doc_id", "page", F.col("w.text").alias("words"), F.col("w.tag").alias("tags"))
 
 
+def page_labels(pages: DataFrame) -> DataFrame:
+    """export_labels of pages (doc_id, page, spans, overlaps) that hold their spans and overlaps (entity, word, role) as arrays: each is worked out by itself.
+
+    Every span of a page looks at every overlap of it: for pages of a bounded size.
+    """
+    begins = lambda own, o: o["word"] == F.array_min(F.transform(F.filter(own, lambda x: x["entity"] == o["entity"]), lambda x: x["word"]))
+    tagged = lambda own: F.transform(own, lambda o: F.struct(o["word"].alias("word"), o["entity"].alias("entity"), F.concat(F.when(begins(own, o), "B-").otherwise("I-"), F.upper(o["role"])).alias("tag")))
+    of_span = lambda tags, s: F.coalesce(F.array_max(F.filter(tags, lambda t: t["word"] == s["span"]))["tag"], F.lit("O"))
+    # Bound by a lambda, so that the tags are worked out once, not once a span.
+    tags = F.transform(F.array(tagged(F.col("overlaps"))), lambda tags: F.transform("spans", lambda s: of_span(tags, s)))[0]
+    return pages.select("doc_id", "page", F.col("spans.text").alias("words"), tags.alias("tags"))
+
+
 def split_by_doc(df: DataFrame, share: float, seed: int = 0) -> DataFrame:
     """fold: 'eval' for about `share` of the documents, else 'train'; all rows of a document go together."""
     return df.withColumn("fold", F.when(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(10_000)) < int(share * 10_000), "eval").otherwise("train"))
