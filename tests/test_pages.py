@@ -6,7 +6,7 @@ from lotline.registry import QUERIES
 from tests.test_larger_tables import SMALL, same  # noqa: F401
 from tests.test_unit_sales import shuffled_rows
 
-NAMES = ["entity_boxes", "label_values"]
+NAMES = ["entity_boxes", "label_values", "labelled_lines"]
 
 
 @pytest.mark.parametrize("name", NAMES)
