@@ -27,10 +27,11 @@ def emissions(docs: DataFrame) -> DataFrame:
     is_plan = t.contains("plan") | t.contains("drawing")
     rows = docs.select("doc_id", "application_id", "text", is_plan.alias("is_plan")).where("text is not null")
     blocks = lambda c, field: F.transform(c.cast(f"array<{PLAN_FIELDS}>"), lambda b: F.struct(F.lit("plans_title_regex").alias("extractor"), b["name"].alias("name"), b["role"].alias("role"), F.lit(field).alias("source_field"), b["confidence"].alias("confidence"), F.lit("company").alias("entity_type"), b["acn"].alias("acn"), b["abn"].alias("abn"), b["span_start"].alias("span_start"), b["span_end"].alias("span_end")))
-    plans = rows.where("is_plan").select("doc_id", "application_id", F.posexplode(F.concat(blocks(title_block(F.col("text")), "plans_title_block"), blocks(brand_blocks(F.col("text")), "plans_url_inferred"))).alias("nth", "e"))
+    # Outer, as of a plain explode Spark infers a filter that reads every text a second time, below the joins and groups that made it.
+    plans = rows.where("is_plan").select("doc_id", "application_id", F.posexplode_outer(F.concat(blocks(title_block(F.col("text")), "plans_title_block"), blocks(brand_blocks(F.col("text")), "plans_url_inferred"))).alias("nth", "e")).where("nth is not null")
     letters = rows.where("not is_plan").withColumn("council", council_emissions(F.col("text"))).withColumn("by_council", F.size("council") > 0)
     letters = letters.withColumns({"own": F.when(F.col("by_council"), F.col("council")).otherwise(applicant_emissions(F.col("text"))), "extractor": F.when(F.col("by_council"), "correspondence_regex").otherwise("applicant_letter_regex")})
-    found = letters.select("doc_id", "application_id", "extractor", "text", F.posexplode("own").alias("nth", "e"))
+    found = letters.select("doc_id", "application_id", "extractor", "text", F.posexplode_outer("own").alias("nth", "e")).where("nth is not null")
     at = F.expr("locate(e.name, text)")
     found = found.select("doc_id", "application_id", "nth", "extractor", "e.*", F.when(at > 0, at - 1).alias("span_start")).withColumns({"span_end": F.col("span_start") + F.length("name"), "acn": F.lit(None).cast("string"), "abn": F.lit(None).cast("string")})
     return found.unionByName(plans.select("doc_id", "application_id", "nth", "e.*"))
@@ -47,6 +48,11 @@ def tabular_entities(labels_and_spans: DataFrame) -> DataFrame:
     return first.select("doc_id", "page", F.col("b.v_text").alias("name"), F.when(F.col("b.role") == "client", client_role(F.col("b.v_text"))).otherwise(F.col("b.role")).alias("role"), F.col("b.v_span").alias("span"))
 
 
+def emission_stats(every: DataFrame) -> DataFrame:
+    """Per extractor: documents, emissions, and emissions that stand in their text. Companies take no part."""
+    return every.groupBy("extractor").agg(F.count_distinct("doc_id").alias("n_docs"), F.count(F.lit(1)).alias("n_emissions"), F.count("span_start").alias("n_evidence"))
+
+
 def harvest_entities(docs: DataFrame, companies: DataFrame) -> dict[str, DataFrame]:
     """evidence (one row per emission that stands in its text), links (per application, company, role, document and extractor), companies with the new ones, stats.
 
@@ -58,8 +64,7 @@ def harvest_entities(docs: DataFrame, companies: DataFrame) -> dict[str, DataFra
     resolved, all_companies = resolve_companies(every, companies)
     links = resolved.groupBy("application_id", "company_id", "role", F.col("doc_id").alias("source_doc_id"), "extractor").agg(F.max_by(F.struct("source_field", "confidence"), "nth").alias("e"), F.bool_or(F.coalesce("is_primary", F.lit(False))).alias("is_primary"))
     evidence = every.where("span_start is not null").select("application_id", F.col("doc_id").alias("source_doc_id"), "extractor", "span_start", "span_end", F.col("name").alias("candidate_name"), F.col("role").alias("candidate_role"), "confidence", F.lit("predicted").alias("status"))
-    stats = every.groupBy("extractor").agg(F.count_distinct("doc_id").alias("n_docs"), F.count(F.lit(1)).alias("n_emissions"), F.count("span_start").alias("n_evidence"))
-    return {"evidence": evidence, "links": links.select("application_id", "company_id", "role", "source_doc_id", "extractor", "e.*", "is_primary"), "companies": all_companies, "stats": stats}
+    return {"evidence": evidence, "links": links.select("application_id", "company_id", "role", "source_doc_id", "extractor", "e.*", "is_primary"), "companies": all_companies, "stats": emission_stats(every)}
 
 
 def firm_words(prints: DataFrame) -> DataFrame:
