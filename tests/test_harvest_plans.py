@@ -8,3 +8,9 @@ from tests.test_larger_tables import SMALL
 def test_letters_are_read_once(spark):
     plan = H.emissions(written(spark, SMALL))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Council of the City of Gold Coast") < 10  # 59 with filters that read letters
+
+
+def test_chosen_letters_are_read_once(spark):
+    docs = written(spark, SMALL)
+    plan = H.emissions(docs.join(docs.where("doc_id % 2 = 0").select("doc_id"), "doc_id", "left_semi"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Council of the City of Gold Coast") < 10
