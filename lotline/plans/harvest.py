@@ -10,6 +10,7 @@ from lotline.functions.letters import applicant_emissions, brand_blocks, client_
 from lotline.functions.text import repair_street_address, split_council_address, squeezed
 from lotline.operators.joins import lookup_company
 from lotline.operators.rollups import longest_in_priority, priority_merge, process_stats
+from lotline.operators.staging import settled
 from lotline.plans.companies import keyed, match_existing, resolve_companies, summary_status
 from lotline.plans.spans import label_value_pairs
 
@@ -121,7 +122,7 @@ def resolve_fingerprints(prints: DataFrame, docs: DataFrame, links: DataFrame, c
     A found name goes to a company linked to the application whose name holds it or is held by it, else
     to the company of that name, else to a new one.
     """
-    found = names_in_siblings(prints, docs)
+    found = settled(names_in_siblings(prints, docs), "found")
     linked = links.select("application_id", "company_id").distinct().join(companies.select(F.col("id").alias("company_id"), "display_name"), "company_id")
     known = match_existing(found.select("application_id", "name").distinct(), linked)
     rest = found.join(known.select("application_id", "name"), ["application_id", "name"], "left_anti").select("application_id", "name", F.lit(None).cast("string").alias("acn")).distinct()
